@@ -60,6 +60,12 @@ class Keyed:
     def with_df(self, df: DataFrame) -> "Keyed":
         return Keyed(df, self.keys, self.order, self.chunked, self.hot_keys, self.extra)
 
+    def cluster(self) -> "Keyed":
+        """Hash-partition by the key once, so that scans with different
+        ``by`` columns (all containing the key) share that one exchange."""
+        parts = [*self.keys] + ([CHUNK] if self.chunked else [])
+        return self.with_df(self.df.repartition(*parts))
+
     def result(self) -> DataFrame:
         return self.df.drop(CHUNK) if self.chunked else self.df
 

@@ -13,10 +13,20 @@ from pyspark.sql import functions as F
 from eventide import operators as ops
 from eventide.sources.tables import table
 
+DAY_MS = 86_400_000
+
 
 # ---------------------------------------------------------------- inputs
+def _k() -> F.Column:
+    return F.get_json_object("props", "$.k").cast("int")
+
+
+def events(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").withColumn("k", _k())
+
+
 def marketplace_orders(spark: SparkSession, d: str) -> DataFrame:
-    """F11-shaped orders: order_id, customer_id, product_id, price, ts, seq."""
+    """Orders as marketplace orders: order_id, customer_id, product_id, price, ts, seq."""
     o = table(spark, d, "orders")
     return o.select(F.col("o_orderkey").cast("string").alias("order_id"),
                     F.col("o_custkey").alias("customer_id"),
@@ -26,14 +36,268 @@ def marketplace_orders(spark: SparkSession, d: str) -> DataFrame:
                     F.col("o_orderkey").alias("seq"))
 
 
+def transactions(spark: SparkSession, d: str) -> DataFrame:
+    """Card transactions: userId, amount, country, merchant, ts, event_id."""
+    e = events(spark, d)
+    return e.select(F.col("user_id").alias("userId"), F.col("value").alias("amount"),
+                    (F.col("k") % 20).cast("string").alias("country"),
+                    F.col("event_type").alias("merchant"), "ts", "event_id")
+
+
+def currency_changes(spark: SparkSession, d: str) -> DataFrame:
+    """A rate changelog: currency, op, rate DECIMAL(10,4), update_time, event_id."""
+    e = events(spark, d)
+    cur = (F.when(F.col("user_id") % 6 == 0, "EUR").when(F.col("user_id") % 6 == 1, "USD")
+           .when(F.col("user_id") % 6 == 2, "GBP").when(F.col("user_id") % 6 == 3, "JPY")
+           .when(F.col("user_id") % 6 == 4, "CHF").otherwise("UNK"))
+    op = (F.when(F.col("event_type") == "signup", "+I")
+          .when(F.col("event_type").isin("click", "view"), "+U")
+          .when(F.col("event_type") == "error", "-U")
+          .when(F.col("event_type") == "purchase", "-D"))
+    return e.select(cur.alias("currency"), op.alias("op"),
+                    F.col("value").cast("decimal(10,4)").alias("rate"),
+                    F.col("ts").alias("update_time"), "event_id")
+
+
+def quality_input(spark: SparkSession, d: str) -> DataFrame:
+    e = events(spark, d)
+    n = table(spark, d, "nation")
+    k = F.col("k")
+    j = e.join(n, F.col("n_nationkey") == F.col("user_id") % 25, "left")
+    return j.select(
+        "event_id",
+        F.col("user_id").cast("string").alias("userId"),
+        F.when(k % 17 == 0, F.lit(None)).when(k % 19 == 0, -F.col("value"))
+        .otherwise(F.col("value") * 30).alias("amount"),
+        F.when(k % 23 == 0, F.lit(None))
+        .otherwise(F.substring("n_name", 1, 1 + k % 4)).alias("country"),
+        F.when(k % 11 == 0, F.lit(None)).when(k % 13 == 0, F.lit(" \t "))
+        .otherwise(F.col("event_type")).alias("merchant"))
+
+
+def user_events_nulled(spark: SparkSession, d: str) -> DataFrame:
+    e = events(spark, d)
+    k = F.col("k")
+    return e.select("event_id",
+                    F.when(k % 13 == 0, F.lit(None)).otherwise(F.col("user_id")).alias("user_id"),
+                    "event_type",
+                    F.when(k % 9 == 0, F.lit(None)).otherwise(F.col("value")).alias("value"),
+                    F.when(k % 5 == 0, F.lit(None)).otherwise(F.col("ts")).alias("ts"))
+
+
+def cdc_inputs(spark: SparkSession, d: str):
+    """Orders and line items as row-level CDC envelopes of one database
+    transaction per order, plus END events announcing 1 + items changes
+    (one too many for every tenth order, which must never complete)."""
+    o = table(spark, d, "orders")
+    li = table(spark, d, "lineitem")
+    orders_cdc = o.select(
+        F.lit(None).cast("struct<id:bigint,customer_id:bigint,status:string,"
+                         "total_amount:double>").alias("before"),
+        F.struct(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer_id"),
+                 F.col("o_orderstatus").alias("status"),
+                 F.col("o_totalprice").alias("total_amount")).alias("after"),
+        F.lit("c").alias("op"),
+        F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("ts_ms"),
+        F.struct(F.col("o_orderkey").cast("string").alias("id"),
+                 F.lit(1).cast("bigint").alias("total_order"),
+                 F.lit(1).cast("bigint").alias("data_collection_order")).alias("transaction"))
+    items_cdc = li.select(
+        F.struct((F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("id"),
+                 F.col("l_orderkey").alias("order_id"),
+                 F.col("l_partkey").alias("product_id"),
+                 F.col("l_quantity").cast("int").alias("quantity"),
+                 F.col("l_extendedprice").alias("unit_price")).alias("after"),
+        F.lit("c").alias("op"),
+        F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("ts_ms"),
+        F.struct(F.col("l_orderkey").cast("string").alias("id"),
+                 (F.col("l_linenumber") + 1).cast("bigint").alias("total_order"),
+                 F.col("l_linenumber").cast("bigint").alias("data_collection_order"))
+        .alias("transaction"))
+    counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    ends = (o.join(counts, o.o_orderkey == counts.l_orderkey, "left")
+            .select(F.lit("END").alias("status"), F.col("o_orderkey").cast("string").alias("id"),
+                    F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("ts_ms"),
+                    (1 + F.coalesce(F.col("n"), F.lit(0))
+                     + F.when(F.col("o_orderkey") % 10 == 0, 1).otherwise(0))
+                    .cast("bigint").alias("event_count")))
+    begins = o.select(F.lit("BEGIN").alias("status"),
+                      F.col("o_orderkey").cast("string").alias("id"),
+                      F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("ts_ms"),
+                      F.lit(None).cast("bigint").alias("event_count"))
+    return orders_cdc, items_cdc, begins.unionByName(ends)
+
+
+def kv_changes(spark: SparkSession, d: str) -> DataFrame:
+    e = events(spark, d)
+    k = F.col("k")
+
+    def s(v):
+        return F.struct(v.cast("string").alias("S"), F.lit(None).cast("string").alias("N"))
+
+    def n(v):
+        return F.struct(F.lit(None).cast("string").alias("S"), v.cast("string").alias("N"))
+
+    pk = F.concat(F.lit("user#"), F.col("user_id").cast("string"))
+    keys = F.create_map(F.lit("pk"), s(pk), F.lit("sk"), s(F.lit("profile")))
+    note = F.when(k % 4 == 0, F.lit('say "hi"'))
+    new_img = F.create_map(F.lit("pk"), s(pk), F.lit("sk"), s(F.lit("profile")),
+                           F.lit("type"), s(F.col("event_type")), F.lit("value"),
+                           n(F.col("value")), F.lit("k"), n(k), F.lit("note"), s(note))
+    old_img = F.create_map(F.lit("pk"), s(pk), F.lit("sk"), s(F.lit("profile")),
+                           F.lit("k"), n(k - 1))
+    name = F.upper(F.when(F.col("event_type") == "signup", "INSERT")
+                   .when(F.col("event_type") == "click", "MODIFY")
+                   .when(F.col("event_type") == "purchase", "REMOVE")
+                   .otherwise(F.col("event_type")))
+    return e.select(
+        F.col("event_id").cast("string").alias("eventID"), name.alias("eventName"),
+        F.struct(keys.alias("Keys"),
+                 F.when(name != "REMOVE", new_img).alias("NewImage"),
+                 F.when((name == "MODIFY") | ((name == "REMOVE") & (k % 3 != 0)), old_img)
+                 .alias("OldImage"),
+                 F.col("event_id").cast("string").alias("SequenceNumber"),
+                 F.lit(100).cast("bigint").alias("SizeBytes"),
+                 F.lit("NEW_AND_OLD_IMAGES").alias("StreamViewType")).alias("dynamodb"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("emit_ms"))
+
+
 # ---------------------------------------------------------------- queries
-def q_spend_threshold(spark: SparkSession, d: str) -> DataFrame:
-    r = ops.spend_threshold(marketplace_orders(spark, d), 500000.0,
-                            key="customer_id", price="price", order_id="order_id",
-                            time="ts", seq="seq")
+def q_spend_threshold(spark, d):
+    r = ops.spend_threshold(marketplace_orders(spark, d), 500000.0, key="customer_id",
+                            price="price", order_id="order_id", time="ts", seq="seq")
     return r.withColumn("total_spend", F.round("total_spend", 2))
 
 
+def q_anomaly_alerts(spark, d):
+    return ops.anomaly_alerts(transactions(spark, d), user="userId", amount="amount",
+                              country="country", merchant="merchant", time="ts",
+                              seq="event_id", keep=("event_id",))
+
+
+def _pricing_inputs(spark, d):
+    e = events(spark, d)
+    inv = e.filter(F.col("event_type") != "purchase").select(
+        F.col("user_id").alias("sku"), (F.col("k") % 50 + 1).alias("quantity"),
+        (F.lit(10.0) + F.col("k")).alias("basePrice"), "ts", "event_id")
+    comp = e.filter(F.col("event_type") == "purchase").select(
+        F.col("user_id").alias("sku"), F.col("value").alias("price"), "ts", "event_id")
+    return inv, comp
+
+
+def q_dynamic_pricing(spark, d):
+    inv, comp = _pricing_inputs(spark, d)
+    r = ops.dynamic_pricing(inv, comp, key="sku", time="ts", inventory_seq="event_id",
+                            competitor_seq="event_id", demand_threshold=3)
+    return r.withColumns({"newPrice": F.round("newPrice", 4),
+                          "oldPrice": F.round("oldPrice", 4)})
+
+
+def _sessions(mode):
+    def q(spark, d):
+        e = events(spark, d)
+        return ops.sessions(e, 12 * 3600, user="user_id", event_type="event_type", time="ts",
+                            seq="event_id", end_event="purchase", on_timeout=mode)
+    return q
+
+
+def q_session_summary(spark, d):
+    r = ops.session_summary(events(spark, d), "12 hours", user="user_id", time="ts",
+                            value="value", event_type="event_type")
+    return r.select(F.col("user_id").alias("userId"), "sessionStart", "sessionEnd",
+                    "eventCount", F.round("totalValue", 2).alias("totalValue"),
+                    F.array_join("eventTypes", ",").alias("eventTypes"))
+
+
+def q_first_match_join(spark, d):
+    e = events(spark, d)
+    c = table(spark, d, "customer")
+    orders = e.filter(F.col("event_type") == "purchase").select(
+        F.col("event_id").cast("string").alias("orderId"),
+        F.col("user_id").alias("customerId"), F.col("value").alias("totalAmount"),
+        "ts", "event_id")
+    customers = (e.filter(F.col("event_type") == "signup")
+                 .join(c, F.col("c_custkey") == F.col("user_id"))
+                 .select(F.col("user_id").alias("customerId"),
+                         F.when(F.col("k") % 7 == 0, F.lit(None)).otherwise(F.col("c_name"))
+                         .alias("name"),
+                         F.concat(F.lower(F.regexp_replace("c_name", "#", "")),
+                                  F.lit("@example.com")).alias("email"),
+                         F.col("c_mktsegment").alias("tier"), "ts", "event_id"))
+    return ops.first_match_join(orders, customers, key="customerId", time="ts",
+                                order_seq="event_id", customer_seq="event_id")
+
+
+def q_changelog_audit(spark, d):
+    return ops.changelog_audit(currency_changes(spark, d), key="currency", rate="rate",
+                               time="update_time", op="op", seq="event_id")
+
+
+def q_latest_by_key(spark, d):
+    return ops.latest_by_key(table(spark, d, "orders"), "o_custkey", time="o_orderdate",
+                             seq="o_orderkey")
+
+
+def q_latest_changelog(spark, d):
+    return ops.latest_changelog(table(spark, d, "orders"), "o_custkey", time="o_orderdate",
+                                seq="o_orderkey")
+
+
+def q_quality_score(spark, d):
+    return ops.quality_score(quality_input(spark, d), user="userId", amount="amount",
+                             country="country", merchant="merchant")
+
+
+def q_row_formatter_nation(spark, d):
+    return ops.row_formatter(table(spark, d, "nation"), ["n_regionkey"], order="n_nationkey")
+
+
+def q_row_formatter_events(spark, d):
+    return ops.row_formatter(user_events_nulled(spark, d), ["event_type"], order="event_id")
+
+
+def q_cdc_transactions(spark, d):
+    oc, ic, te = cdc_inputs(spark, d)
+    r = ops.cdc_transactions(oc, ic, te)
+    text = F.array_join(F.transform("line_items", lambda x: F.concat_ws(
+        ":", x["product_id"].cast("string"), x["quantity"].cast("string"),
+        F.round(x["unit_price"] * 100).cast("bigint").cast("string"))), ";")
+    return r.select("transaction_id", "order_id", "customer_id", "status", "total_amount",
+                    F.size("line_items").alias("n_items"), text.alias("items_text"))
+
+
+def q_cdc_changelog(spark, d):
+    return ops.cdc_changelog(kv_changes(spark, d), event_time="emit_ms")
+
+
+def q_hybrid_window(spark, d):
+    r = ops.hybrid_window(events(spark, d), DAY_MS, 3, key="user_id", price="value",
+                          time="ts", seq="event_id")
+    return r.withColumn("total_price", F.round("total_price", 2))
+
+
+def q_early_fire_window(spark, d):
+    r = ops.early_fire_window(events(spark, d), DAY_MS, key="user_id", price="value",
+                              time="ts", seq="event_id", keep=("event_id",))
+    return r.withColumn("total_price", F.round("total_price", 2))
+
+
 QUERIES = {
+    "anomaly_alerts": q_anomaly_alerts,
+    "dynamic_pricing": q_dynamic_pricing,
+    "sessions_continue": _sessions("continue"),
+    "sessions_close": _sessions("close"),
+    "session_summary": q_session_summary,
+    "first_match_join": q_first_match_join,
+    "changelog_audit": q_changelog_audit,
+    "latest_by_key": q_latest_by_key,
+    "latest_changelog": q_latest_changelog,
+    "quality_score": q_quality_score,
+    "row_formatter_nation": q_row_formatter_nation,
+    "row_formatter_events": q_row_formatter_events,
+    "cdc_transactions": q_cdc_transactions,
+    "cdc_changelog": q_cdc_changelog,
+    "hybrid_window": q_hybrid_window,
+    "early_fire_window": q_early_fire_window,
     "spend_threshold": q_spend_threshold,
 }
