@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from eventide.functions.columns import T_MS
 from eventide.operators._common import SEQ, require_time, with_time_seq
 from eventide.plans.keyed import keyed, scan
+from eventide.streaming.ops import WATERMARK
 
 # Fixed values that must equal the reference's (weights, windows, threshold).
 RISK_THRESHOLD = 0.7
@@ -25,7 +26,8 @@ def anomaly_alerts(df: DataFrame, *, user: str = "userId", amount: str = "amount
                    country: str = "country", merchant: str = "merchant",
                    time: str = "ts", seq: str | None = None,
                    threshold: float = RISK_THRESHOLD, keep=(),
-                   rows_per_chunk: int | None = None) -> DataFrame:
+                   rows_per_chunk: int | None = None,
+                   watermark: str | None = WATERMARK) -> DataFrame:
     """Output: user, alertType, riskScore, reason, transactionCount (+ keep).
 
     Each row is scored against the rows of the same user before it (in
@@ -37,6 +39,20 @@ def anomaly_alerts(df: DataFrame, *, user: str = "userId", amount: str = "amount
     d = d.select(user, amount, country, merchant, T_MS, SEQ, *[c for c in keep
                                                               if c not in (user, amount, country, merchant)])
     amt = F.col(amount)
+    if d.isStreaming:
+        from eventide.streaming import ops as st
+        extra = [c for c in keep if c != user]
+        if extra and extra != [seq]:
+            raise NotImplementedError("streams keep only the seq column")
+        rules = {"velocity_ms": VELOCITY_WINDOW_MS, "velocity_min": VELOCITY_MIN_PRIOR,
+                 "geo_ms": GEO_WINDOW_MS, "factor": AMOUNT_FACTOR,
+                 "merchant_min": MERCHANT_MIN_PRIOR, "small": SMALL_AMOUNT,
+                 "lookback": SMALL_LOOKBACK, "small_min": SMALL_MIN, "threshold": threshold,
+                 "w": (W_VELOCITY, W_GEO, W_AMOUNT, W_MERCHANT, W_SMALL)}
+        s = d.select(user, amt.cast("double").alias("_amount"),
+                     F.col(country).alias("_country"), F.col(merchant).alias("_merchant"),
+                     T_MS, SEQ)
+        return st.anomaly_alerts(s, user, rules, seq if extra else None, watermark)
     k = keyed(d, [user], [T_MS, SEQ], rows_per_chunk)
     k = scan(k, rn="_rn", lags={"_lt": F.col(T_MS), "_lc": F.col(country)},
              sums_before={"_tot": amt},

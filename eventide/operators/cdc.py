@@ -44,6 +44,11 @@ def cdc_transactions(orders_cdc: DataFrame, items_cdc: DataFrame,
         F.lit(None).cast(orders_cdc.schema["after"].dataType).alias("_hdr"),
         F.lit(None).cast(ITEM).alias("_item"), F.col("event_count").alias("_expected"))
     u = o.unionByName(it).unionByName(t)
+    if u.isStreaming:
+        if items != "array":
+            raise NotImplementedError("streams emit line items as an array")
+        from eventide.streaming import ops as st
+        return st.cdc_transactions(u)
     hdr_order = F.when(F.col("_hdr").isNotNull(), F.struct("_ord", "_ts"))
     head = [F.max_by("_hdr", hdr_order).alias("_h"),
             F.count(F.when(F.col("_side") < 2, 1)).alias("_received"),

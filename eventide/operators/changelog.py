@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from eventide.functions.columns import T_MS
 from eventide.operators._common import SEQ, with_time_seq
 from eventide.plans.keyed import keyed, scan
+from eventide.streaming.ops import WATERMARK
 
 OPS = ("+I", "-U", "+U", "-D")
 
@@ -18,7 +19,8 @@ OPS = ("+I", "-U", "+U", "-D")
 def changelog_audit(df: DataFrame, *, key: str = "currency", rate: str = "rate",
                     time: str = "update_time", op: str = "op", seq: str | None = None,
                     rate_type: str = "decimal(10,4)",
-                    rows_per_chunk: int | None = None) -> DataFrame:
+                    rows_per_chunk: int | None = None,
+                    watermark: str | None = WATERMARK) -> DataFrame:
     """Output: currency(key), change_type, old_rate, new_rate, change_time.
 
     INSERT -> (null, rate); UPDATE_AFTER -> (remembered, rate); UPDATE_BEFORE
@@ -28,6 +30,10 @@ def changelog_audit(df: DataFrame, *, key: str = "currency", rate: str = "rate",
     d = d.filter(opc.isin("+I", "+U", "-D")).select(
         key, op, F.col(rate).cast(rate_type).alias("_rate"), F.col(time).alias("_time"),
         T_MS, SEQ)
+    if d.isStreaming:
+        from eventide.streaming import ops as st
+        return st.changelog_audit(d.withColumn("_op", opc), key,
+                                  df.schema[time].dataType.simpleString(), rate_type, watermark)
     k = keyed(d, [key], [T_MS, SEQ], rows_per_chunk)
     k = scan(k, lags={"_prev": F.when(opc != "-D", F.col("_rate"))})
     return k.result().select(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from eventide.functions.columns import T_MS
 from eventide.operators._common import SEQ, with_time_seq
 from eventide.plans.keyed import keyed, scan
+from eventide.streaming.ops import WATERMARK
 
 
 def first_match_join(orders: DataFrame, customers: DataFrame, *,
@@ -15,7 +16,8 @@ def first_match_join(orders: DataFrame, customers: DataFrame, *,
                      order_seq: str | None = None, customer_seq: str | None = None,
                      order_id: str = "orderId", total: str = "totalAmount",
                      name: str = "name", email: str = "email", tier: str = "tier",
-                     rows_per_chunk: int | None = None) -> DataFrame:
+                     rows_per_chunk: int | None = None,
+                     watermark: str | None = WATERMARK) -> DataFrame:
     """Output: orderId, customerId, totalAmount, customerName, customerEmail,
     customerTier, firstArrival ('ORDER'|'CUSTOMER'), joinTimestamp (ms).
 
@@ -37,6 +39,12 @@ def first_match_join(orders: DataFrame, customers: DataFrame, *,
                                F.lit(None).cast(ostruct_type()).alias("_o"),
                                cstruct.alias("_c"))))
     order = [T_MS, "_side", SEQ]
+    if u.isStreaming:
+        from eventide.streaming import ops as st
+        s = u.select(key, T_MS, SEQ, "_side", F.col("_o.orderId").alias("_oid"),
+                     F.col("_o.totalAmount").alias("_total"), F.col("_c.name").alias("_name"),
+                     F.col("_c.email").alias("_email"), F.col("_c.tier").alias("_tier"))
+        return st.first_match_join(s, key, watermark)
     k = keyed(u, [key], order, rows_per_chunk)
     k = scan(k, lasts={"_lo": F.col("_o"), "_lc": F.col("_c")},
              firsts={"_fs": F.col("_side")})

@@ -29,62 +29,70 @@ OUT_SCHEMA = ("sku string, newPrice double, oldPrice double, reason string, "
               "timestamp bigint, seq bigint")
 
 
+def price_step(state, side, qty, base, cprice, inventory_threshold, demand_threshold,
+               min_change):
+    """Apply one row to ``state = [price, inventory, competitor, demand]``;
+    return (newPrice, oldPrice, reason) when the price changes, else None."""
+    if side == 0:
+        state[1] = qty
+        state[3] += 1
+        if state[0] is None and base is not None and base == base:
+            state[0] = base
+    else:
+        state[2] = None if cprice is None or cprice != cprice else cprice
+    price, inv, comp = state[0], state[1], state[2]
+    if price is None:
+        return None
+    new = price
+    reasons = []
+    if inv is not None and inv < inventory_threshold and new < price * LOW_INVENTORY_CAP:
+        new = price * LOW_INVENTORY_RAISE
+        reasons.append("LOW_INVENTORY")
+    if state[3] > demand_threshold and new < price * HIGH_DEMAND_CAP:
+        new = price * HIGH_DEMAND_RAISE
+        reasons.append("HIGH_DEMAND")
+        state[3] = 0
+    if comp is not None and abs(new - comp) > comp * COMPETITOR_TOLERANCE:
+        new = comp * COMPETITOR_UNDERCUT
+        reasons.append("COMPETITOR_MATCH")
+    if abs(new - price) > price * min_change:
+        state[0] = new
+        return new, price, ",".join(reasons) if reasons else "BASELINE"
+    return None
+
+
 def _fold(inventory_threshold, demand_threshold, min_change):
     def run(batches):
         import numpy as np
         import pandas as pd
         cur = object()
-        price = comp = None
-        inv, dem = 0, 0
+        state = None
         for pdf in batches:
-            out_sku, out_new, out_old, out_reason, out_ts, out_seq = [], [], [], [], [], []
-            skus = pdf["_sku"].tolist()
-            sides = pdf["_side"].to_numpy()
-            qty = pdf["_qty"].tolist()
-            base = pdf["_base"].tolist()
-            cprice = pdf["_cprice"].tolist()
-            ts = pdf["_t"].tolist()
-            seq = pdf["_seqo"].tolist()
-            for i in range(len(skus)):
-                if skus[i] != cur:
-                    cur, price, comp, inv, dem = skus[i], None, None, 0, 0
-                if sides[i] == 0:
-                    inv = qty[i]
-                    dem += 1
-                    if price is None and base[i] is not None and base[i] == base[i]:
-                        price = base[i]
-                else:
-                    c = cprice[i]
-                    comp = None if c is None or c != c else c
-                if price is None:
-                    continue
-                new = price
-                reasons = []
-                if inv is not None and inv < inventory_threshold \
-                        and new < price * LOW_INVENTORY_CAP:
-                    new = price * LOW_INVENTORY_RAISE
-                    reasons.append("LOW_INVENTORY")
-                if dem > demand_threshold and new < price * HIGH_DEMAND_CAP:
-                    new = price * HIGH_DEMAND_RAISE
-                    reasons.append("HIGH_DEMAND")
-                    dem = 0
-                if comp is not None and abs(new - comp) > comp * COMPETITOR_TOLERANCE:
-                    new = comp * COMPETITOR_UNDERCUT
-                    reasons.append("COMPETITOR_MATCH")
-                if abs(new - price) > price * min_change:
-                    out_sku.append(cur)
-                    out_new.append(new)
-                    out_old.append(price)
-                    out_reason.append(",".join(reasons) if reasons else "BASELINE")
-                    out_ts.append(ts[i])
-                    out_seq.append(seq[i])
-                    price = new
-            if out_sku:
-                yield pd.DataFrame({"sku": out_sku, "newPrice": np.array(out_new, "float64"),
-                                    "oldPrice": np.array(out_old, "float64"),
-                                    "reason": out_reason,
-                                    "timestamp": np.array(out_ts, "int64"),
-                                    "seq": np.array(out_seq, "int64")})
+            out = {"sku": [], "newPrice": [], "oldPrice": [], "reason": [], "timestamp": [],
+                   "seq": []}
+            cols = zip(pdf["_sku"].tolist(), pdf["_side"].tolist(), pdf["_qty"].tolist(),
+                       pdf["_base"].tolist(), pdf["_cprice"].tolist(), pdf["_t"].tolist(),
+                       pdf["_seqo"].tolist())
+            for sku, side, qty, base, cprice, t, seq in cols:
+                if sku != cur:
+                    cur, state = sku, [None, 0, None, 0]
+                if qty is not None and qty != qty:
+                    qty = None
+                hit = price_step(state, side, None if qty is None else int(qty), base, cprice,
+                                 inventory_threshold, demand_threshold, min_change)
+                if hit is not None:
+                    out["sku"].append(sku)
+                    out["newPrice"].append(hit[0])
+                    out["oldPrice"].append(hit[1])
+                    out["reason"].append(hit[2])
+                    out["timestamp"].append(t)
+                    out["seq"].append(seq)
+            if out["sku"]:
+                yield pd.DataFrame({
+                    "sku": out["sku"], "newPrice": np.array(out["newPrice"], "float64"),
+                    "oldPrice": np.array(out["oldPrice"], "float64"), "reason": out["reason"],
+                    "timestamp": np.array(out["timestamp"], "int64"),
+                    "seq": np.array(out["seq"], "int64")})
     return run
 
 
@@ -124,6 +132,10 @@ def dynamic_pricing(inventory: DataFrame, competitor: DataFrame | None = None, *
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
+    if u.isStreaming:
+        from eventide.streaming import ops as st
+        return st.dynamic_pricing(u, (int(inventory_threshold), int(demand_threshold),
+                                      float(min_change)))
     u = u.repartition("_sku").sortWithinPartitions("_sku", "_t", "_side", "_seqo")
     return u.mapInPandas(_fold(int(inventory_threshold), int(demand_threshold),
                                float(min_change)), OUT_SCHEMA)

@@ -49,6 +49,11 @@ def row_formatter(df: DataFrame, keys, *, order: str, type_names: str = "runtime
                   F.col(order).alias("_ord"), formatted.alias("formatted_row"),
                   schema_info.alias("schema_info"), signature.alias("_sig"))
     kk = [f"_k{i}" for i in range(len(keys))]
+    if d.isStreaming:
+        from eventide.streaming import ops as st
+        s = d.select(*[F.col(f"_k{i}").alias(key) for i, key in enumerate(keys)], "_ord",
+                     "formatted_row", "schema_info", "_sig")
+        return st.pattern_count(s, keys)
     k = keyed(d, kk, ["_ord"], rows_per_chunk).cluster()
     k = scan(k, by=["_sig"], rn="_srn")
     k = scan(k, sums={"_pat": (F.col("_srn") == 1).cast("long")})

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from eventide.functions.columns import T_MS, ms_to_ntz
 from eventide.operators._common import SEQ, require_time, with_time_seq
 from eventide.plans.keyed import keyed, scan
+from eventide.streaming.ops import WATERMARK
 
 
 def sessions(df: DataFrame, timeout_s: int, *, user: str = "userId",
              event_type: str = "eventType", time: str = "ts", seq: str | None = None,
              end_event: str = "LOGOUT", on_timeout: str = "continue",
-             rows_per_chunk: int | None = None) -> DataFrame:
+             rows_per_chunk: int | None = None,
+             watermark: str | None = WATERMARK) -> DataFrame:
     """Output: user, status, sessionDuration BIGINT (ms), eventCount INT,
     firstEventType, lastEventType.
 
@@ -28,6 +30,10 @@ def sessions(df: DataFrame, timeout_s: int, *, user: str = "userId",
         raise ValueError("on_timeout must be 'continue' or 'close'")
     tmo = int(timeout_s) * 1000
     d = with_time_seq(df, time, seq, "sessions", need=(user, event_type))
+    if d.isStreaming:
+        from eventide.streaming import ops as st
+        return st.sessions(d.withColumn("_type", F.col(event_type)), tmo, user, end_event,
+                           on_timeout == "close", watermark)
     d = d.select(user, event_type, T_MS, SEQ)
     et, t = F.col(event_type), F.col(T_MS)
     k = keyed(d, [user], [T_MS, SEQ], rows_per_chunk)

@@ -7,14 +7,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.columns import T_MS
-from eventide.operators._common import SEQ, with_time_seq
+from eventide.operators._common import SEQ, require_time, with_time_seq
+from eventide.streaming.ops import WATERMARK
 from eventide.plans.keyed import keyed, scan
 
 
 def spend_threshold(df: DataFrame, threshold: float, *, key: str = "customer_id",
                     price: str = "price", order_id: str = "order_id",
                     time: str | None = "ts", seq: str | None = None,
-                    rows_per_chunk: int | None = None) -> DataFrame:
+                    rows_per_chunk: int | None = None,
+                    watermark: str | None = WATERMARK) -> DataFrame:
     """Output: key, total_spend DOUBLE, crossing_order_id STRING, order_count INT.
 
     The crossing test is inclusive (``>=``); a null price counts as 0.  With
@@ -22,6 +24,12 @@ def spend_threshold(df: DataFrame, threshold: float, *, key: str = "customer_id"
     crossing is reported."""
     d = with_time_seq(df, time, seq, "spend_threshold", need=(key, price, order_id))
     order = [T_MS, SEQ] if time is not None else [SEQ]
+    if d.isStreaming:
+        from eventide.streaming import ops as st
+        require_time(time, "spend_threshold (stream)")
+        return st.spend_threshold(
+            d.withColumn("_price", F.col(price).cast("double")), threshold, key, order_id,
+            watermark)
     d = d.select(key, price, order_id, *order)
     k = keyed(d, [key], order, rows_per_chunk)
     k = scan(k, rn="_n", sums={"_s": F.coalesce(F.col(price).cast("double"), F.lit(0.0))})

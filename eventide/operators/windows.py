@@ -8,17 +8,23 @@ from pyspark.sql import functions as F
 from eventide.functions.columns import T_MS, interval_ms, ms_to_ntz, window_start
 from eventide.operators._common import SEQ, require_time, with_time_seq
 from eventide.plans.keyed import keyed, scan
+from eventide.streaming.ops import WATERMARK
 
 
 def hybrid_window(df: DataFrame, size, count_threshold: int, *, key: str,
                   price: str = "price", time: str = "ts", seq: str | None = None,
-                  rows_per_chunk: int | None = None) -> DataFrame:
+                  rows_per_chunk: int | None = None,
+                  watermark: str | None = WATERMARK) -> DataFrame:
     """Epoch-aligned tumbling window per key that also fires every
     ``count_threshold`` rows.  Output: key, window_start, window_end
     (TIMESTAMP_NTZ, UTC), num_orders INT, total_price DOUBLE (null price as 0)."""
     require_time(time, "hybrid_window")
     size_ms, n = interval_ms(size), int(count_threshold)
     d = with_time_seq(df, time, seq, "hybrid_window", need=(key, price))
+    if d.isStreaming:
+        from eventide.streaming import ops as st
+        return st.hybrid_window(d.withColumn("_price", F.col(price).cast("double")), size_ms, n,
+                                key, watermark)
     d = d.select(key, price, T_MS, SEQ).withColumn("_win", window_start(F.col(T_MS), size_ms))
     k = keyed(d, [key], [T_MS, SEQ], rows_per_chunk)
     k = scan(k, by=["_win"], rn="_r")
@@ -33,7 +39,8 @@ def hybrid_window(df: DataFrame, size, count_threshold: int, *, key: str,
 
 def early_fire_window(df: DataFrame, size, *, key: str, price: str = "price",
                       time: str = "ts", seq: str | None = None, order_by: str = "event",
-                      keep=(), rows_per_chunk: int | None = None) -> DataFrame:
+                      keep=(), rows_per_chunk: int | None = None,
+                      watermark: str | None = WATERMARK) -> DataFrame:
     """Running window aggregate emitted on every row.  The running totals
     restart whenever a row's window differs from the previous row's (also for
     late rows).  ``order_by``: 'event' (time, seq) or 'arrival' (seq).
@@ -41,6 +48,13 @@ def early_fire_window(df: DataFrame, size, *, key: str, price: str = "price",
     require_time(time, "early_fire_window")
     size_ms = interval_ms(size)
     d = with_time_seq(df, time, seq, "early_fire_window", need=(key, price, *keep))
+    if d.isStreaming:
+        from eventide.streaming import ops as st
+        extra = [c for c in keep if c != key]
+        if extra and extra != [seq]:
+            raise NotImplementedError("streams keep only the seq column")
+        return st.early_fire_window(d.withColumn("_price", F.col(price).cast("double")),
+                                    size_ms, key, seq if extra else None, watermark)
     d = d.select(key, price, T_MS, SEQ, *[c for c in keep if c not in (key, price)]) \
         .withColumn("_win", window_start(F.col(T_MS), size_ms))
     order = [T_MS, SEQ] if order_by == "event" else [SEQ]
