@@ -49,27 +49,37 @@ def cdc_transactions(orders_cdc: DataFrame, items_cdc: DataFrame,
             raise NotImplementedError("streams emit line items as an array")
         from eventide.streaming import ops as st
         return st.cdc_transactions(u)
-    hdr_order = F.when(F.col("_hdr").isNotNull(), F.struct("_ord", "_ts"))
-    head = [F.max_by("_hdr", hdr_order).alias("_h"),
-            F.count(F.when(F.col("_side") < 2, 1)).alias("_received"),
-            F.max(F.col("_side") == 2).alias("_ended"),
-            F.max_by("_expected", F.when(F.col("_side") == 2, F.col("_ts"))).alias("_exp")]
+    counts = [F.count(F.when(F.col("_side") < 2, 1)).alias("_received"),
+              F.max(F.col("_side") == 2).alias("_ended"),
+              F.max_by("_expected", F.when(F.col("_side") == 2, F.col("_ts"))).alias("_exp")]
     done = (F.coalesce(F.col("_ended"), F.lit(False)) & F.col("_exp").isNotNull()
             & (F.col("_received") == F.col("_exp")))
-    header = [F.col("_txn").alias("transaction_id"),
-              F.col("_h.id").cast("bigint").alias("order_id"),
-              F.col("_h.customer_id").cast("bigint").alias("customer_id"),
-              F.col("_h.status").alias("status"),
-              F.col("_h.total_amount").cast("double").alias("total_amount")]
+
+    def header(h):
+        return [F.col("_txn").alias("transaction_id"),
+                h["id"].cast("bigint").alias("order_id"),
+                h["customer_id"].cast("bigint").alias("customer_id"),
+                h["status"].alias("status"),
+                h["total_amount"].cast("double").alias("total_amount")]
+
+    def tagged(c, name):
+        return F.collect_list(F.when(F.col(c).isNotNull(), F.struct(
+            F.col("_ord").alias("o"), F.col("_ts").alias("t"), F.col(c).alias(name))))
+
     if items == "array":
-        srt = F.array_sort(F.collect_list(F.when(F.col("_item").isNotNull(), F.struct(
-            F.col("_ord").alias("o"), F.col("_ts").alias("t"), F.col("_item").alias("i")))))
-        g = u.groupBy("_txn").agg(*head, srt.alias("_items"))
-        return g.filter(done).select(*header, F.transform("_items", lambda x: x["i"])
-                                     .alias("line_items"))
+        # Only collect_list and fixed-width aggregates: Spark plans a hash-based
+        # ObjectHashAggregate with map-side partial aggregation (no sorts).
+        g = u.groupBy("_txn").agg(tagged("_hdr", "h").alias("_hs"), *counts,
+                                  tagged("_item", "i").alias("_items"))
+        g = g.filter(done).withColumn("_h", F.array_max("_hs")["h"])
+        return g.select(*header(F.col("_h")),
+                        F.transform(F.array_sort("_items"), lambda x: x["i"])
+                        .alias("line_items"))
     if items != "rows":
         raise ValueError("items must be 'array' or 'rows'")
-    g = u.groupBy("_txn").agg(*head).filter(done).select(*header)
+    hdr = F.max_by("_hdr", F.when(F.col("_hdr").isNotNull(), F.struct("_ord", "_ts")))
+    g = u.groupBy("_txn").agg(hdr.alias("_h"), *counts).filter(done) \
+        .select(*header(F.col("_h")))
     lines = it.filter(F.col("_item").isNotNull()).select(
         F.col("_txn").alias("transaction_id"), "_ord", "_ts", "_item")
     return (g.join(lines, "transaction_id", "left")

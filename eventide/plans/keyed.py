@@ -110,6 +110,12 @@ def keyed(df: DataFrame, keys, order, rows_per_chunk: int | None = None) -> Keye
     n_hot = hot.count()
     if n_hot == 0:
         return Keyed(df, keys, order, False)
+    # Materialise the (small) hot-key table once in the shared checkpoint
+    # folder, so the main job does not recompute the key statistics and a
+    # lost executor does not send it back to the input scan.
+    from eventide.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    hot = hot.checkpoint(eager=True)
     side = F.broadcast(hot) if n_hot <= BROADCAST_ROW_LIMIT else hot
     on = _null_safe_on(df, side, [(k, f"_hk{i}") for i, k in enumerate(keys)])
     chunk = (F.when(F.col("_w").isNull(), F.lit(0))
