@@ -42,21 +42,28 @@ def row_formatter(df: DataFrame, keys, *, order: str, type_names: str = "runtime
                      .otherwise(F.lit(tname(f.dataType)))) for f in fields])
     else:
         schema_info = F.lit(", ".join(f"{f.name}:{tname(f.dataType)}" for f in fields))
-    signature = F.concat_ws("|", *[
-        F.concat(F.lit(f.name + ":"), F.when(F.col(f.name).isNull(), F.lit("NULL"))
-                 .otherwise(F.lit("SET"))) for f in fields])
-    d = df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                  F.col(order).alias("_ord"), formatted.alias("formatted_row"),
-                  schema_info.alias("schema_info"), signature.alias("_sig"))
-    kk = [f"_k{i}" for i in range(len(keys))]
-    if d.isStreaming:
+    # The null/set signature as bit masks (62 columns per long): the same
+    # grouping as the "name:SET|name:NULL" text, far cheaper to sort on.
+    names = [f.name for f in fields]
+    groups = [names[j:j + 62] for j in range(0, len(names), 62)]
+    mcols = [f"_m{g}" for g in range(len(groups))]
+    mask_exprs = [sum((F.col(c).isNull().cast("long") * (1 << i) for i, c in enumerate(grp)),
+                      F.lit(0)) for grp in groups]
+    masks = [m.alias(name) for m, name in zip(mask_exprs, mcols)]
+    if df.isStreaming:
         from eventide.streaming import ops as st
-        s = d.select(*[F.col(f"_k{i}").alias(key) for i, key in enumerate(keys)], "_ord",
-                     "formatted_row", "schema_info", "_sig")
+        sig = F.concat_ws("|", *[m.cast("string") for m in mask_exprs])
+        s = df.select(*keys, F.col(order).alias("_ord"), formatted.alias("formatted_row"),
+                      schema_info.alias("schema_info"), sig.alias("_sig"))
         return st.pattern_count(s, keys)
+    # Texts are rendered after the shuffle and the sorts: only the input
+    # columns and the masks travel through them.
+    d = df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                  F.col(order).alias("_ord"), *[F.col(c) for c in names], *masks)
+    kk = [f"_k{i}" for i in range(len(keys))]
     k = keyed(d, kk, ["_ord"], rows_per_chunk).cluster()
-    k = scan(k, by=["_sig"], rn="_srn")
+    k = scan(k, by=mcols, rn="_srn")
     k = scan(k, sums={"_pat": (F.col("_srn") == 1).cast("long")})
     return k.result().select(*[F.col(f"_k{i}").alias(key) for i, key in enumerate(keys)],
-                             "formatted_row", "schema_info",
+                             formatted.alias("formatted_row"), schema_info.alias("schema_info"),
                              F.col("_pat").cast("long").alias("distinct_patterns"))
