@@ -213,6 +213,20 @@ UNION ALL
 SELECT '+U', 1, {", ".join(_OCOLS)} FROM l WHERE rn > 1
 """
 
+# Materialising the latest-row changelog gives the latest row per key again.
+ORACLE["changelog_materialized"] = ORACLE["latest_by_key"]
+
+ORACLE["changelog_scd2"] = f"""
+WITH a AS (
+  SELECT *, MAX(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderkey
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mx
+  FROM orders),
+k AS (SELECT * EXCLUDE (mx) FROM a WHERE mx IS NULL OR o_orderdate >= mx)
+SELECT {", ".join(_OCOLS)}, o_orderdate AS valid_from,
+       LEAD(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS valid_to
+FROM k
+"""
+
 ORACLE["quality_score"] = f"""
 WITH q AS (
   SELECT e.event_id, CAST(e.user_id AS VARCHAR) AS userId,

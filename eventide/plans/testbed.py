@@ -243,6 +243,20 @@ def q_latest_changelog(spark, d):
                                 seq="o_orderkey")
 
 
+def q_changelog_materialized(spark, d):
+    ch = ops.latest_changelog(table(spark, d, "orders"), "o_custkey", time="o_orderdate",
+                              seq="o_orderkey")
+    return ops.materialize_changelog(ch, "o_custkey", time="o_orderdate", seq="o_orderkey") \
+        .drop("change_seq")
+
+
+def q_changelog_scd2(spark, d):
+    ch = ops.latest_changelog(table(spark, d, "orders"), "o_custkey", time="o_orderdate",
+                              seq="o_orderkey")
+    return ops.scd2_from_changelog(ch.drop("change_seq"), "o_custkey", time="o_orderdate",
+                                   seq="o_orderkey")
+
+
 def q_quality_score(spark, d):
     return ops.quality_score(quality_input(spark, d), user="userId", amount="amount",
                              country="country", merchant="merchant")
@@ -292,6 +306,8 @@ QUERIES = {
     "changelog_audit": q_changelog_audit,
     "latest_by_key": q_latest_by_key,
     "latest_changelog": q_latest_changelog,
+    "changelog_materialized": q_changelog_materialized,
+    "changelog_scd2": q_changelog_scd2,
     "quality_score": q_quality_score,
     "row_formatter_nation": q_row_formatter_nation,
     "row_formatter_events": q_row_formatter_events,
