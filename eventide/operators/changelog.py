@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from eventide.functions.columns import T_MS
 from eventide.operators._common import SEQ, with_time_seq
-from eventide.plans.keyed import keyed, scan
+from eventide.functions.columns import interval_ms
+from eventide.plans.keyed import keyed, scan, ttl_epochs
 from eventide.streaming.ops import WATERMARK
 
 OPS = ("+I", "-U", "+U", "-D")
@@ -20,11 +21,14 @@ def changelog_audit(df: DataFrame, *, key: str = "currency", rate: str = "rate",
                     time: str = "update_time", op: str = "op", seq: str | None = None,
                     rate_type: str = "decimal(10,4)",
                     rows_per_chunk: int | None = None,
-                    watermark: str | None = WATERMARK) -> DataFrame:
+                    watermark: str | None = WATERMARK,
+                    state_ttl=None) -> DataFrame:
     """Output: currency(key), change_type, old_rate, new_rate, change_time.
 
     INSERT -> (null, rate); UPDATE_AFTER -> (remembered, rate); UPDATE_BEFORE
-    ignored; DELETE -> (remembered, null) and forgets the rate."""
+    ignored; DELETE -> (remembered, null) and forgets the rate.
+    ``state_ttl`` (the reference keeps 7 days): after a longer silence the
+    remembered rate is gone."""
     d = with_time_seq(df, time, seq, "changelog_audit", need=(key, rate, op))
     opc = F.col(op)
     d = d.filter(opc.isin("+I", "+U", "-D")).select(
@@ -33,8 +37,10 @@ def changelog_audit(df: DataFrame, *, key: str = "currency", rate: str = "rate",
     if d.isStreaming:
         from eventide.streaming import ops as st
         return st.changelog_audit(d.withColumn("_op", opc), key,
-                                  df.schema[time].dataType.simpleString(), rate_type, watermark)
+                                  df.schema[time].dataType.simpleString(), rate_type, watermark,
+                                  interval_ms(state_ttl) if state_ttl else None)
     k = keyed(d, [key], [T_MS, SEQ], rows_per_chunk)
+    k = ttl_epochs(k, interval_ms(state_ttl) if state_ttl else None)
     k = scan(k, lags={"_prev": F.when(opc != "-D", F.col("_rate"))})
     return k.result().select(
         key,

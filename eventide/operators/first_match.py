@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from eventide.functions.columns import T_MS
 from eventide.operators._common import SEQ, with_time_seq
-from eventide.plans.keyed import keyed, scan
+from eventide.functions.columns import interval_ms
+from eventide.plans.keyed import keyed, scan, ttl_epochs
 from eventide.streaming.ops import WATERMARK
 
 
@@ -17,14 +18,18 @@ def first_match_join(orders: DataFrame, customers: DataFrame, *,
                      order_id: str = "orderId", total: str = "totalAmount",
                      name: str = "name", email: str = "email", tier: str = "tier",
                      rows_per_chunk: int | None = None,
-                     watermark: str | None = WATERMARK) -> DataFrame:
+                     watermark: str | None = WATERMARK,
+                     state_ttl=None) -> DataFrame:
     """Output: orderId, customerId, totalAmount, customerName, customerEmail,
     customerTier, firstArrival ('ORDER'|'CUSTOMER'), joinTimestamp (ms).
 
     At most one row per key: at the first row (in event-time order) where an
     order row finds a stored customer with a non-null name, or a customer row
     finds a stored order with a non-null id.  Stored values are the latest of
-    each side up to that row."""
+    each side up to that row.
+
+    ``state_ttl`` (ms or '1 hour'; the reference keeps state 1 hour):
+    after a silence longer than that a key starts over and may match again."""
     o = with_time_seq(orders, time, order_seq, "first_match_join(orders)",
                       need=(key, order_id, total))
     c = with_time_seq(customers, time, customer_seq, "first_match_join(customers)",
@@ -44,15 +49,17 @@ def first_match_join(orders: DataFrame, customers: DataFrame, *,
         s = u.select(key, T_MS, SEQ, "_side", F.col("_o.orderId").alias("_oid"),
                      F.col("_o.totalAmount").alias("_total"), F.col("_c.name").alias("_name"),
                      F.col("_c.email").alias("_email"), F.col("_c.tier").alias("_tier"))
-        return st.first_match_join(s, key, watermark)
+        return st.first_match_join(s, key, watermark,
+                                   interval_ms(state_ttl) if state_ttl else None)
     k = keyed(u, [key], order, rows_per_chunk)
+    k = ttl_epochs(k, interval_ms(state_ttl) if state_ttl else None)
     k = scan(k, lasts={"_lo": F.col("_o"), "_lc": F.col("_c")},
              firsts={"_fs": F.col("_side")})
     side = F.col("_side")
     cand = (((side == 0) & F.col("_lc.name").isNotNull())
             | ((side == 1) & F.col("_lo.orderId").isNotNull()))
     hit = k.result().filter(F.coalesce(cand, F.lit(False)))
-    first = hit.groupBy(key).agg(F.min_by(F.struct("_lo", "_lc", "_fs", T_MS),
+    first = hit.groupBy(*k.keys).agg(F.min_by(F.struct("_lo", "_lc", "_fs", T_MS),
                                           F.struct(*order)).alias("m"))
     return first.select(
         F.col("m._lo.orderId").alias("orderId"),

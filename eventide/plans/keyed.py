@@ -128,6 +128,23 @@ def keyed(df: DataFrame, keys, order, rows_per_chunk: int | None = None) -> Keye
     return Keyed(out, keys, order, True, n_hot)
 
 
+def ttl_epochs(k: Keyed, ttl_ms: int | None) -> Keyed:
+    """Event-time state expiry: when consecutive rows of a key are more than
+    ``ttl_ms`` apart, the state written by the earlier row has expired and
+    the later row starts from a fresh state.  Returns the scan keyed by
+    ``keys + (_epoch,)``, one epoch per stretch of live state."""
+    if not ttl_ms:
+        return k
+    t = F.col(k.order[0])
+    k = scan(k, lags={"_ttl_prev": t})
+    k = k.with_df(k.df.withColumn("_ttl_new", (F.col("_ttl_prev").isNull()
+                                               | (t - F.col("_ttl_prev") > int(ttl_ms)))
+                                  .cast("int")))
+    k = scan(k, sums={"_epoch": F.col("_ttl_new")})
+    return Keyed(k.df.drop("_ttl_prev", "_ttl_new"), k.keys + ("_epoch",), k.order,
+                 k.chunked, k.hot_keys, k.extra)
+
+
 def scan(k: Keyed, *, by=(), rn: str | None = None, sums=None, sums_before=None,
          lasts=None, lasts_before=None, lags=None, leads=None, firsts=None,
          maxes_before=None, recent=None) -> Keyed:

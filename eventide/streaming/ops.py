@@ -74,12 +74,13 @@ def sessions(d: DataFrame, timeout_ms, key, end_event, close, watermark=WATERMAR
                 watermark)
 
 
-def changelog_audit(d: DataFrame, key, time_type, rate_type, watermark=WATERMARK):
+def changelog_audit(d: DataFrame, key, time_type, rate_type, watermark=WATERMARK,
+                    ttl_ms=None):
     from eventide.streaming.processors import AuditProcessor
     d = d.select(key, "_op", F.col("_rate").cast("string").alias("_rate"), "_time", T_MS, "_q")
     schema = (f"{key} {_ktype(d, key)}, change_type string, old_rate string, "
               f"new_rate string, change_time {time_type}")
-    out = _tws(d, key, AuditProcessor(), schema, "None", watermark)
+    out = _tws(d, key, AuditProcessor(ttl_ms), schema, "None", watermark)
     return out.select(key, "change_type", F.col("old_rate").cast(rate_type).alias("old_rate"),
                       F.col("new_rate").cast(rate_type).alias("new_rate"), "change_time")
 
@@ -93,12 +94,12 @@ def anomaly_alerts(d: DataFrame, key, rules, seq_name, watermark=WATERMARK):
     return out.withColumnRenamed("_q", seq_name) if seq_name else out.drop("_q")
 
 
-def first_match_join(u: DataFrame, key, watermark=WATERMARK):
+def first_match_join(u: DataFrame, key, watermark=WATERMARK, ttl_ms=None):
     from eventide.streaming.processors import FirstMatchProcessor
     schema = (f"orderId string, {key} {_ktype(u, key)}, totalAmount double, "
               "customerName string, customerEmail string, customerTier string, "
               "firstArrival string, joinTimestamp long")
-    out = _tws(u, key, FirstMatchProcessor(), schema, "None", watermark)
+    out = _tws(u, key, FirstMatchProcessor(ttl_ms), schema, "None", watermark)
     return out.withColumnRenamed(key, "customerId")
 
 

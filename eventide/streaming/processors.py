@@ -188,14 +188,20 @@ class SessionProcessor(_Processor):
 class AuditProcessor(_Processor):
     """Rates travel as strings so DECIMAL values stay exact in state."""
 
+    def __init__(self, ttl_ms=None):
+        self.ttl = ttl_ms
+
     def init(self, handle):
-        self.st = handle.getValueState("rate", "prev string")
+        self.st = handle.getValueState("rate", "prev string, last long")
 
     def handleInputRows(self, key, rows, timerValues):
-        prev = self.st.get()[0] if self.st.exists() else None
+        prev, last = self.st.get() if self.st.exists() else (None, None)
         out = []
         for r in _sorted(rows):
             op, rate = r["_op"], r["_rate"]
+            if self.ttl and last is not None and r[T] - last > self.ttl:
+                prev = None
+            last = r[T]
             if op == "+I":
                 out.append(self._row(key[0], "INSERT", None, rate, r["_time"]))
                 prev = rate
@@ -205,7 +211,7 @@ class AuditProcessor(_Processor):
             elif op == "-D":
                 out.append(self._row(key[0], "DELETE", prev, None, r["_time"]))
                 prev = None
-        self.st.update((prev,))
+        self.st.update((prev, last))
         return iter(out)
 
 class AnomalyProcessor(_Processor):
@@ -259,18 +265,25 @@ class AnomalyProcessor(_Processor):
         return iter(out)
 
 class FirstMatchProcessor(_Processor):
+    EMPTY = [False, None, None, False, None, None, None, None, False, None]
+
+    def __init__(self, ttl_ms=None):
+        self.ttl = ttl_ms
+
     def init(self, handle):
         self.st = handle.getValueState(
             "match", "has_o boolean, oid string, total double, has_c boolean, name string, "
-                     "email string, tier string, first int, done boolean")
+                     "email string, tier string, first int, done boolean, last long")
 
     def handleInputRows(self, key, rows, timerValues):
-        s = list(self.st.get()) if self.st.exists() else \
-            [False, None, None, False, None, None, None, None, False]
+        s = list(self.st.get()) if self.st.exists() else list(self.EMPTY)
         out = []
         for r in sorted(rows, key=lambda r: (r[T], r["_side"], r[Q])):
+            if self.ttl and s[9] is not None and r[T] - s[9] > self.ttl:
+                s = list(self.EMPTY)
+            s[9] = r[T]
             if s[8]:
-                break
+                continue
             if s[7] is None:
                 s[7] = r["_side"]
             if r["_side"] == 0:

@@ -288,3 +288,28 @@ def test_latest_changelog_ties_and_late_rows(spark):
     assert sorted(got) == sorted([("+I", 1), ("-U", 1), ("+U", 3), ("-U", 3), ("+U", 4)])
     latest = ops.latest_by_key(df, "key", time="t", seq="seq").collect()
     assert [r.seq for r in latest] == [4]
+
+
+def test_state_ttl_first_match_and_audit(spark):
+    base = dt.datetime(2025, 1, 1)
+    h = dt.timedelta(hours=1)
+    orders = spark.createDataFrame([(1, "o1", 5.0, base, 1), (1, "o2", 6.0, base + 3 * h, 3)],
+                                   "customerId int, orderId string, totalAmount double, "
+                                   "ts timestamp, seq int")
+    cust = spark.createDataFrame([(1, "Ann", "a@x", "gold", base + 2 * h, 2)],
+                                 "customerId int, name string, email string, tier string, "
+                                 "ts timestamp, seq int")
+    kw = dict(order_seq="seq", customer_seq="seq")
+    plain = ops.first_match_join(orders, cust, **kw).collect()
+    assert [(r.orderId, r.firstArrival) for r in plain] == [("o1", "ORDER")]
+    ttl = ops.first_match_join(orders, cust, state_ttl="1 hour", **kw).collect()
+    # o1 expired before Ann arrived; o2 comes within the hour after Ann
+    assert [(r.orderId, r.firstArrival) for r in ttl] == [("o2", "CUSTOMER")]
+    d = dt.timedelta(days=1)
+    ch = spark.createDataFrame([("+I", "EUR", Decimal("1.1"), base, 1),
+                                ("+U", "EUR", Decimal("1.2"), base + 8 * d, 2),
+                                ("+U", "EUR", Decimal("1.3"), base + 9 * d, 3)],
+                               "op string, currency string, rate decimal(10,4), "
+                               "update_time timestamp, seq int")
+    out = ops.changelog_audit(ch, seq="seq", state_ttl="7 days").orderBy("change_time").collect()
+    assert [r.old_rate for r in out] == [None, None, Decimal("1.2000")]

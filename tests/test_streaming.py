@@ -150,3 +150,10 @@ def test_stream_cdc_transactions(spark):
     st, _ = _split_to_stream(spark, te, "ts_ms")
     got = _run(spark, ops.cdc_transactions(so, si, st), d)
     _same(got, ops.cdc_transactions(oc, ic, te))
+
+
+def test_stream_state_ttl(spark):
+    cc = tb.currency_changes(spark, SF)
+    s, d = _split_to_stream(spark, cc, "event_id")
+    kw = dict(time="update_time", seq="event_id", state_ttl="3 hours")
+    _same(_run(spark, ops.changelog_audit(s, **kw), d), ops.changelog_audit(cc, **kw))
