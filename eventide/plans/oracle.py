@@ -213,6 +213,22 @@ UNION ALL
 SELECT '+U', 1, {", ".join(_OCOLS)} FROM l WHERE rn > 1
 """
 
+ORACLE["changelog_audit_versioned"] = """
+WITH a AS (
+  SELECT *, MAX(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderkey
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mx
+  FROM orders),
+k AS (SELECT * EXCLUDE (mx) FROM a WHERE mx IS NULL OR o_orderdate >= mx),
+l AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn,
+             LAG(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS prev
+      FROM k)
+SELECT CAST(o_custkey AS VARCHAR) AS currency,
+       CASE WHEN rn = 1 THEN 'INSERT' ELSE 'UPDATE' END AS change_type,
+       CAST(CASE WHEN rn = 1 THEN NULL ELSE prev END AS DECIMAL(10, 4)) AS old_rate,
+       CAST(o_totalprice AS DECIMAL(10, 4)) AS new_rate, o_orderdate AS change_time
+FROM l
+"""
+
 # Materialising the latest-row changelog gives the latest row per key again.
 ORACLE["changelog_materialized"] = ORACLE["latest_by_key"]
 

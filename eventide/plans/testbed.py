@@ -243,6 +243,18 @@ def q_latest_changelog(spark, d):
                                 seq="o_orderkey")
 
 
+def q_changelog_audit_versioned(spark, d):
+    """Audit trail of the latest-order-per-customer view's changelog."""
+    ch = ops.latest_changelog(table(spark, d, "orders"), "o_custkey", time="o_orderdate",
+                              seq="o_orderkey")
+    ch = ch.select(F.col("o_custkey").cast("string").alias("currency"), "op",
+                   F.col("o_totalprice").cast("decimal(10,4)").alias("rate"),
+                   F.col("o_orderdate").alias("update_time"),
+                   (F.col("o_orderkey") * 2 + F.col("change_seq")).alias("seq"))
+    return ops.changelog_audit(ch, key="currency", rate="rate", time="update_time", op="op",
+                               seq="seq")
+
+
 def q_changelog_materialized(spark, d):
     ch = ops.latest_changelog(table(spark, d, "orders"), "o_custkey", time="o_orderdate",
                               seq="o_orderkey")
@@ -306,6 +318,7 @@ QUERIES = {
     "changelog_audit": q_changelog_audit,
     "latest_by_key": q_latest_by_key,
     "latest_changelog": q_latest_changelog,
+    "changelog_audit_versioned": q_changelog_audit_versioned,
     "changelog_materialized": q_changelog_materialized,
     "changelog_scd2": q_changelog_scd2,
     "quality_score": q_quality_score,
