@@ -27,7 +27,8 @@ def anomaly_alerts(df: DataFrame, *, user: str = "userId", amount: str = "amount
                    time: str = "ts", seq: str | None = None,
                    threshold: float = RISK_THRESHOLD, keep=(),
                    rows_per_chunk: int | None = None,
-                   watermark: str | None = WATERMARK) -> DataFrame:
+                   watermark: str | None = WATERMARK,
+                   stream_order: str = "arrival") -> DataFrame:
     """Output: user, alertType, riskScore, reason, transactionCount (+ keep).
 
     Each row is scored against the rows of the same user before it (in
@@ -52,7 +53,8 @@ def anomaly_alerts(df: DataFrame, *, user: str = "userId", amount: str = "amount
         s = d.select(user, amt.cast("double").alias("_amount"),
                      F.col(country).alias("_country"), F.col(merchant).alias("_merchant"),
                      T_MS, SEQ)
-        return st.anomaly_alerts(s, user, rules, seq if extra else None, watermark)
+        return st.anomaly_alerts(s, user, rules, seq if extra else None, watermark,
+                                 stream_order)
     k = keyed(d, [user], [T_MS, SEQ], rows_per_chunk)
     k = scan(k, rn="_rn", lags={"_lt": F.col(T_MS), "_lc": F.col(country)},
              sums_before={"_tot": amt},

@@ -22,7 +22,7 @@ def changelog_audit(df: DataFrame, *, key: str = "currency", rate: str = "rate",
                     rate_type: str = "decimal(10,4)",
                     rows_per_chunk: int | None = None,
                     watermark: str | None = WATERMARK,
-                    state_ttl=None) -> DataFrame:
+                    state_ttl=None, stream_order: str = "arrival") -> DataFrame:
     """Output: currency(key), change_type, old_rate, new_rate, change_time.
 
     INSERT -> (null, rate); UPDATE_AFTER -> (remembered, rate); UPDATE_BEFORE
@@ -38,7 +38,8 @@ def changelog_audit(df: DataFrame, *, key: str = "currency", rate: str = "rate",
         from eventide.streaming import ops as st
         return st.changelog_audit(d.withColumn("_op", opc), key,
                                   df.schema[time].dataType.simpleString(), rate_type, watermark,
-                                  interval_ms(state_ttl) if state_ttl else None)
+                                  interval_ms(state_ttl) if state_ttl else None,
+                                  stream_order)
     k = keyed(d, [key], [T_MS, SEQ], rows_per_chunk)
     k = ttl_epochs(k, interval_ms(state_ttl) if state_ttl else None)
     k = scan(k, lags={"_prev": F.when(opc != "-D", F.col("_rate"))})

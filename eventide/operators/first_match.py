@@ -19,7 +19,7 @@ def first_match_join(orders: DataFrame, customers: DataFrame, *,
                      name: str = "name", email: str = "email", tier: str = "tier",
                      rows_per_chunk: int | None = None,
                      watermark: str | None = WATERMARK,
-                     state_ttl=None) -> DataFrame:
+                     state_ttl=None, stream_order: str = "arrival") -> DataFrame:
     """Output: orderId, customerId, totalAmount, customerName, customerEmail,
     customerTier, firstArrival ('ORDER'|'CUSTOMER'), joinTimestamp (ms).
 
@@ -50,7 +50,8 @@ def first_match_join(orders: DataFrame, customers: DataFrame, *,
                      F.col("_o.totalAmount").alias("_total"), F.col("_c.name").alias("_name"),
                      F.col("_c.email").alias("_email"), F.col("_c.tier").alias("_tier"))
         return st.first_match_join(s, key, watermark,
-                                   interval_ms(state_ttl) if state_ttl else None)
+                                   interval_ms(state_ttl) if state_ttl else None,
+                                   stream_order)
     k = keyed(u, [key], order, rows_per_chunk)
     k = ttl_epochs(k, interval_ms(state_ttl) if state_ttl else None)
     k = scan(k, lasts={"_lo": F.col("_o"), "_lc": F.col("_c")},

@@ -103,7 +103,8 @@ def dynamic_pricing(inventory: DataFrame, competitor: DataFrame | None = None, *
                     competitor_seq: str | None = None,
                     inventory_threshold: int = INVENTORY_THRESHOLD,
                     demand_threshold: int = DEMAND_THRESHOLD,
-                    min_change: float = MIN_PRICE_CHANGE) -> DataFrame:
+                    min_change: float = MIN_PRICE_CHANGE,
+                    stream_order: str = "arrival") -> DataFrame:
     """Output: sku, newPrice, oldPrice, reason, timestamp (event ms), seq.
 
     Inventory rows set the stock level, count one demand signal and give the
@@ -135,7 +136,7 @@ def dynamic_pricing(inventory: DataFrame, competitor: DataFrame | None = None, *
     if u.isStreaming:
         from eventide.streaming import ops as st
         return st.dynamic_pricing(u, (int(inventory_threshold), int(demand_threshold),
-                                      float(min_change)))
+                                      float(min_change)), order=stream_order)
     u = u.repartition("_sku").sortWithinPartitions("_sku", "_t", "_side", "_seqo")
     return u.mapInPandas(_fold(int(inventory_threshold), int(demand_threshold),
                                float(min_change)), OUT_SCHEMA)

@@ -16,7 +16,8 @@ def spend_threshold(df: DataFrame, threshold: float, *, key: str = "customer_id"
                     price: str = "price", order_id: str = "order_id",
                     time: str | None = "ts", seq: str | None = None,
                     rows_per_chunk: int | None = None,
-                    watermark: str | None = WATERMARK) -> DataFrame:
+                    watermark: str | None = WATERMARK,
+                    stream_order: str = "arrival") -> DataFrame:
     """Output: key, total_spend DOUBLE, crossing_order_id STRING, order_count INT.
 
     The crossing test is inclusive (``>=``); a null price counts as 0.  With
@@ -29,7 +30,7 @@ def spend_threshold(df: DataFrame, threshold: float, *, key: str = "customer_id"
         require_time(time, "spend_threshold (stream)")
         return st.spend_threshold(
             d.withColumn("_price", F.col(price).cast("double")), threshold, key, order_id,
-            watermark)
+            watermark, stream_order)
     d = d.select(key, price, order_id, *order)
     k = keyed(d, [key], order, rows_per_chunk)
     k = scan(k, rn="_n", sums={"_s": F.coalesce(F.col(price).cast("double"), F.lit(0.0))})

@@ -40,7 +40,8 @@ def hybrid_window(df: DataFrame, size, count_threshold: int, *, key: str,
 def early_fire_window(df: DataFrame, size, *, key: str, price: str = "price",
                       time: str = "ts", seq: str | None = None, order_by: str = "event",
                       keep=(), rows_per_chunk: int | None = None,
-                      watermark: str | None = WATERMARK) -> DataFrame:
+                      watermark: str | None = WATERMARK,
+                      stream_order: str = "arrival") -> DataFrame:
     """Running window aggregate emitted on every row.  The running totals
     restart whenever a row's window differs from the previous row's (also for
     late rows).  ``order_by``: 'event' (time, seq) or 'arrival' (seq).
@@ -54,7 +55,8 @@ def early_fire_window(df: DataFrame, size, *, key: str, price: str = "price",
         if extra and extra != [seq]:
             raise NotImplementedError("streams keep only the seq column")
         return st.early_fire_window(d.withColumn("_price", F.col(price).cast("double")),
-                                    size_ms, key, seq if extra else None, watermark)
+                                    size_ms, key, seq if extra else None, watermark,
+                                    stream_order)
     d = d.select(key, price, T_MS, SEQ, *[c for c in keep if c not in (key, price)]) \
         .withColumn("_win", window_start(F.col(T_MS), size_ms))
     order = [T_MS, SEQ] if order_by == "event" else [SEQ]

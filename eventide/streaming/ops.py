@@ -20,8 +20,17 @@ def _named(proc, schema: str):
 
 
 def _tws(d: DataFrame, key: str, proc, schema: str, time_mode: str,
-         watermark: str | None) -> DataFrame:
+         watermark: str | None, order: str = "arrival") -> DataFrame:
     proc = _named(proc, schema)
+    if order == "event":
+        if not watermark:
+            raise ValueError("stream order 'event' needs a watermark")
+        fields = [f for f in d.schema.fields if f.name != key]
+        proc.buffer_fields = [f.name for f in fields]
+        proc.buffer_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+        time_mode = "EventTime"
+    elif order != "arrival":
+        raise ValueError("stream order must be 'arrival' or 'event'")
     d = d.withColumn("_ts", F.timestamp_millis(F.col(T_MS)))
     if watermark:
         d = d.withWatermark("_ts", watermark)
@@ -32,21 +41,23 @@ def _ktype(df: DataFrame, key: str) -> str:
     return df.schema[key].dataType.simpleString()
 
 
-def spend_threshold(d: DataFrame, threshold, key, order_id, watermark=WATERMARK):
+def spend_threshold(d: DataFrame, threshold, key, order_id, watermark=WATERMARK,
+                    order="arrival"):
     from eventide.streaming.processors import SpendThresholdProcessor
     d = d.select(key, F.col(order_id), F.col("_price"), T_MS, "_q")
     schema = (f"{key} {_ktype(d, key)}, total_spend double, crossing_order_id string, "
               "order_count int")
     return _tws(d, key, SpendThresholdProcessor(threshold, key, order_id), schema, "None",
-                watermark)
+                watermark, order)
 
 
-def early_fire_window(d: DataFrame, size_ms, key, seq_name, watermark=WATERMARK):
+def early_fire_window(d: DataFrame, size_ms, key, seq_name, watermark=WATERMARK,
+                      order="arrival"):
     from eventide.streaming.processors import EarlyFireProcessor
     d = d.select(key, "_price", T_MS, "_q")
     schema = (f"{key} {_ktype(d, key)}, _ws long, _we long, num_orders int, "
               "total_price double, _q long")
-    out = _tws(d, key, EarlyFireProcessor(size_ms), schema, "None", watermark)
+    out = _tws(d, key, EarlyFireProcessor(size_ms), schema, "None", watermark, order)
     cols = [key, ms_to_ntz(F.col("_ws")).alias("window_start"),
             ms_to_ntz(F.col("_we")).alias("window_end"), "num_orders", "total_price"]
     if seq_name:
@@ -75,31 +86,33 @@ def sessions(d: DataFrame, timeout_ms, key, end_event, close, watermark=WATERMAR
 
 
 def changelog_audit(d: DataFrame, key, time_type, rate_type, watermark=WATERMARK,
-                    ttl_ms=None):
+                    ttl_ms=None, order="arrival"):
     from eventide.streaming.processors import AuditProcessor
     d = d.select(key, "_op", F.col("_rate").cast("string").alias("_rate"), "_time", T_MS, "_q")
     schema = (f"{key} {_ktype(d, key)}, change_type string, old_rate string, "
               f"new_rate string, change_time {time_type}")
-    out = _tws(d, key, AuditProcessor(ttl_ms), schema, "None", watermark)
+    out = _tws(d, key, AuditProcessor(ttl_ms), schema, "None", watermark, order)
     return out.select(key, "change_type", F.col("old_rate").cast(rate_type).alias("old_rate"),
                       F.col("new_rate").cast(rate_type).alias("new_rate"), "change_time")
 
 
-def anomaly_alerts(d: DataFrame, key, rules, seq_name, watermark=WATERMARK):
+def anomaly_alerts(d: DataFrame, key, rules, seq_name, watermark=WATERMARK,
+                   order="arrival"):
     from eventide.streaming.processors import AnomalyProcessor
     d = d.select(key, "_amount", "_country", "_merchant", T_MS, "_q")
     schema = (f"{key} {_ktype(d, key)}, alertType string, riskScore double, reason string, "
               "transactionCount int, _q long")
-    out = _tws(d, key, AnomalyProcessor(rules), schema, "None", watermark)
+    out = _tws(d, key, AnomalyProcessor(rules), schema, "None", watermark, order)
     return out.withColumnRenamed("_q", seq_name) if seq_name else out.drop("_q")
 
 
-def first_match_join(u: DataFrame, key, watermark=WATERMARK, ttl_ms=None):
+def first_match_join(u: DataFrame, key, watermark=WATERMARK, ttl_ms=None,
+                     order="arrival"):
     from eventide.streaming.processors import FirstMatchProcessor
     schema = (f"orderId string, {key} {_ktype(u, key)}, totalAmount double, "
               "customerName string, customerEmail string, customerTier string, "
               "firstArrival string, joinTimestamp long")
-    out = _tws(u, key, FirstMatchProcessor(ttl_ms), schema, "None", watermark)
+    out = _tws(u, key, FirstMatchProcessor(ttl_ms), schema, "None", watermark, order)
     return out.withColumnRenamed(key, "customerId")
 
 
@@ -120,11 +133,11 @@ def cdc_transactions(u: DataFrame, watermark=None):
     return u.groupBy("_txn").transformWithState(_named(TransactionProcessor(), schema), schema, "Append", "None")
 
 
-def dynamic_pricing(u: DataFrame, args, watermark=WATERMARK):
+def dynamic_pricing(u: DataFrame, args, watermark=WATERMARK, order="arrival"):
     from eventide.operators.pricing import price_step
     from eventide.streaming.processors import PricingProcessor
     u = u.withColumnRenamed("_seqo", "_q")
     schema = ("sku string, newPrice double, oldPrice double, reason string, "
               "timestamp long, seq long")
     return _tws(u, "_sku", PricingProcessor(*args, fold_row=price_step), schema, "None",
-                watermark)
+                watermark, order)

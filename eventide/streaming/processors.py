@@ -38,21 +38,76 @@ def field_names(ddl: str) -> list[str]:
 
 
 class _Processor(StatefulProcessor):
-    """Named output rows (``names`` is set from the output schema)."""
+    """Base: named output rows (``names`` is set from the output schema) and
+    the two row orders.
+
+    arrival (default): each micro-batch's rows of a key are folded at once,
+    sorted by (time, seq).  event (``buffer_fields`` set): rows wait in list
+    state, one event-time timer per distinct time; when the watermark passes
+    them they are folded in (time, seq) order, so rows arriving in another
+    order than their times (within the watermark delay) give the batch
+    result."""
 
     names: list[str] = []
+    buffer_fields: list[str] | None = None
+    buffer_schema: str | None = None
 
     def _row(self, *values):
         return Row(**dict(zip(self.names, values)))
 
+    def init(self, handle):
+        self.h = handle
+        self.setup(handle)
+        if self.buffer_fields:
+            self.buf = handle.getListState("pending", self.buffer_schema)
+
+    def setup(self, handle):
+        pass
+
+    def fold(self, key, rows):
+        raise NotImplementedError
+
+    def handleInputRows(self, key, rows, timerValues):
+        if not self.buffer_fields:
+            return self.fold(key, rows)
+        new = [tuple(r[f] for f in self.buffer_fields) for r in rows]
+        ti = self.buffer_fields.index(T)
+        for t in sorted({x[ti] for x in new}):
+            self.h.registerTimer(t)
+        if new:
+            self.buf.appendList(new)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if not self.buffer_fields or not self.buf.exists():
+            return iter([])
+        wm = timerValues.getCurrentWatermarkInMs()
+        ti = self.buffer_fields.index(T)
+        pending = [tuple(x) for x in self.buf.get()]
+        ready = [x for x in pending if x[ti] <= wm]
+        if not ready:
+            return iter([])
+        rest = [x for x in pending if x[ti] > wm]
+        if rest:
+            self.buf.put(rest)
+        else:
+            self.buf.clear()
+        return self.fold(key, [Row(**dict(zip(self.buffer_fields, x))) for x in ready])
+
+    def close(self):
+        pass
+
+
+
+
 class SpendThresholdProcessor(_Processor):
     def __init__(self, threshold, key, order_id):
         self.threshold, self.key, self.order_id = float(threshold), key, order_id
 
-    def init(self, handle):
+    def setup(self, handle):
         self.st = handle.getValueState("spend", "total double, n int, done boolean")
 
-    def handleInputRows(self, key, rows, timerValues):
+    def fold(self, key, rows):
         total, n, done = self.st.get() if self.st.exists() else (0.0, 0, False)
         out = []
         if not done:
@@ -71,10 +126,10 @@ class EarlyFireProcessor(_Processor):
     def __init__(self, size_ms):
         self.size = int(size_ms)
 
-    def init(self, handle):
+    def setup(self, handle):
         self.st = handle.getValueState("win", "start long, n int, total double")
 
-    def handleInputRows(self, key, rows, timerValues):
+    def fold(self, key, rows):
         start, n, total = self.st.get() if self.st.exists() else (None, 0, 0.0)
         out = []
         for r in _sorted(rows):
@@ -191,10 +246,10 @@ class AuditProcessor(_Processor):
     def __init__(self, ttl_ms=None):
         self.ttl = ttl_ms
 
-    def init(self, handle):
+    def setup(self, handle):
         self.st = handle.getValueState("rate", "prev string, last long")
 
-    def handleInputRows(self, key, rows, timerValues):
+    def fold(self, key, rows):
         prev, last = self.st.get() if self.st.exists() else (None, None)
         out = []
         for r in _sorted(rows):
@@ -221,12 +276,12 @@ class AnomalyProcessor(_Processor):
     def __init__(self, rules):
         self.r = rules
 
-    def init(self, handle):
+    def setup(self, handle):
         self.st = handle.getValueState("user", "n int, tot double, country string, t long")
         self.merchants = handle.getMapState("merchants", "merchant string", "n int")
         self.recent = handle.getListState("recent", "amount double")
 
-    def handleInputRows(self, key, rows, timerValues):
+    def fold(self, key, rows):
         r_ = self.r
         n, tot, lc, lt = self.st.get() if self.st.exists() else (0, 0.0, None, None)
         recent = [x[0] for x in self.recent.get()] if self.recent.exists() else []
@@ -270,12 +325,12 @@ class FirstMatchProcessor(_Processor):
     def __init__(self, ttl_ms=None):
         self.ttl = ttl_ms
 
-    def init(self, handle):
+    def setup(self, handle):
         self.st = handle.getValueState(
             "match", "has_o boolean, oid string, total double, has_c boolean, name string, "
                      "email string, tier string, first int, done boolean, last long")
 
-    def handleInputRows(self, key, rows, timerValues):
+    def fold(self, key, rows):
         s = list(self.st.get()) if self.st.exists() else list(self.EMPTY)
         out = []
         for r in sorted(rows, key=lambda r: (r[T], r["_side"], r[Q])):
@@ -369,10 +424,10 @@ class PricingProcessor(_Processor):
         self.args = (inventory_threshold, demand_threshold, min_change)
         self.fold_row = fold_row
 
-    def init(self, handle):
+    def setup(self, handle):
         self.st = handle.getValueState("price", "price double, inv int, comp double, dem int")
 
-    def handleInputRows(self, key, rows, timerValues):
+    def fold(self, key, rows):
         state = list(self.st.get()) if self.st.exists() else [None, 0, None, 0]
         out = []
         for r in sorted(rows, key=lambda r: (r[T], r["_side"], r[Q])):

@@ -157,3 +157,31 @@ def test_stream_state_ttl(spark):
     s, d = _split_to_stream(spark, cc, "event_id")
     kw = dict(time="update_time", seq="event_id", state_ttl="3 hours")
     _same(_run(spark, ops.changelog_audit(s, **kw), d), ops.changelog_audit(cc, **kw))
+
+
+def _shuffled_stream(spark, df, order_col, sentinel, order=(1, 0, 2)):
+    """Files written in another order than their times: rows arrive late
+    by up to one file's time span."""
+    d = tempfile.mkdtemp(prefix="eventide-stream-")
+    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
+    step = (hi - lo) // 3 + 1
+    for n, i in enumerate(order):
+        df.filter((F.col(order_col) >= lo + i * step) & (F.col(order_col) < lo + (i + 1) * step)) \
+            .coalesce(1).write.parquet(f"{d}/in/p{n}")
+    sentinel.coalesce(1).write.parquet(f"{d}/in/p9")
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1) \
+        .parquet(f"{d}/in/*"), d
+
+
+def test_stream_event_order_equals_batch_with_late_files(spark):
+    tx = tb.transactions(spark, SF)
+    sent = _sentinel(spark, tx, userId=SENTINEL, event_id=10**9, ts=dt.datetime(2030, 1, 1))
+    s, d = _shuffled_stream(spark, tx, "event_id", sent)
+    kw = dict(user="userId", time="ts", seq="event_id", keep=("event_id",))
+    got = _run(spark, ops.anomaly_alerts(s, watermark="60 days", stream_order="event", **kw), d)
+    _same(got.filter(F.col("userId") != SENTINEL), ops.anomaly_alerts(tx, **kw))
+    # the default arrival order folds the late file after the newer one
+    s2, d2 = _shuffled_stream(spark, tx, "event_id", sent)
+    arrival = _run(spark, ops.anomaly_alerts(s2, watermark="60 days", **kw), d2)
+    assert sorted(map(str, arrival.filter(F.col("userId") != SENTINEL).collect())) != \
+        sorted(map(str, ops.anomaly_alerts(tx, **kw).collect()))
