@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK = "_chunk"
 # A key with more rows than this is split into time slices of about this size.
@@ -63,11 +64,13 @@ class Keyed:
     def cluster(self) -> "Keyed":
         """Hash-partition by the key once, so that scans with different
         ``by`` columns (all containing the key) share that one exchange."""
-        parts = [*self.keys] + ([CHUNK] if self.chunked else [])
+        parts = ([*self.extra["part"], CHUNK] if self.chunked else [*self.keys])
         return self.with_df(self.df.repartition(*parts))
 
     def result(self) -> DataFrame:
-        return self.df.drop(CHUNK) if self.chunked else self.df
+        if not self.chunked:
+            return self.df
+        return self.df.drop(CHUNK, *self.extra.get("part", []))
 
 
 def _rows_per_chunk(df: DataFrame, rows_per_chunk: int | None) -> int:
@@ -77,6 +80,27 @@ def _rows_per_chunk(df: DataFrame, rows_per_chunk: int | None) -> int:
     return int(v) if v else DEFAULT_ROWS_PER_CHUNK
 
 
+def _normalized(df: DataFrame, c: str, prefix: str) -> dict:
+    """Two never-null columns that identify the value of ``c`` (null
+    included): ``coalesce(c, default)`` and ``isnull(c)``.  Partitioning and
+    joining on them keeps one hash partitioning from window to carry join."""
+    dt = df.schema[c].dataType
+    if isinstance(dt, (T.NumericType,)):
+        default = F.lit(0).cast(dt)
+        v = F.col(c)
+    elif isinstance(dt, T.StringType):
+        default, v = F.lit(""), F.col(c)
+    elif isinstance(dt, T.BooleanType):
+        default, v = F.lit(False), F.col(c)
+    elif isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        default, v = F.timestamp_millis(F.lit(0)).cast(dt), F.col(c)
+    elif isinstance(dt, T.BinaryType):
+        default, v = F.lit(bytearray()), F.col(c)
+    else:  # nested types: compare their JSON text
+        default, v = F.lit(""), F.to_json(F.col(c))
+    return {f"{prefix}v": F.coalesce(v, default), f"{prefix}n": F.col(c).isNull()}
+
+
 def _null_safe_on(left: DataFrame, right: DataFrame, pairs) -> Column:
     cond = None
     for lcol, rcol in pairs:
@@ -125,7 +149,11 @@ def keyed(df: DataFrame, keys, order, rows_per_chunk: int | None = None) -> Keye
     out = (df.join(side, on, "left")
            .withColumn(CHUNK, chunk)
            .drop("_lo", "_w", *[f"_hk{i}" for i in range(len(keys))]))
-    return Keyed(out, keys, order, True, n_hot)
+    norm = {}
+    for i, kc in enumerate(keys):
+        norm.update(_normalized(out, kc, f"_nk{i}"))
+    out = out.withColumns(norm)
+    return Keyed(out, keys, order, True, n_hot, {"part": list(norm)})
 
 
 def ttl_epochs(k: Keyed, ttl_ms: int | None) -> Keyed:
@@ -141,8 +169,11 @@ def ttl_epochs(k: Keyed, ttl_ms: int | None) -> Keyed:
                                                | (t - F.col("_ttl_prev") > int(ttl_ms)))
                                   .cast("int")))
     k = scan(k, sums={"_epoch": F.col("_ttl_new")})
+    extra = dict(k.extra)
+    if k.chunked:
+        extra["part"] = list(extra["part"]) + ["_epoch"]
     return Keyed(k.df.drop("_ttl_prev", "_ttl_new"), k.keys + ("_epoch",), k.order,
-                 k.chunked, k.hot_keys, k.extra)
+                 k.chunked, k.hot_keys, extra)
 
 
 def scan(k: Keyed, *, by=(), rn: str | None = None, sums=None, sums_before=None,
@@ -197,7 +228,12 @@ def scan(k: Keyed, *, by=(), rn: str | None = None, sums=None, sums_before=None,
 
 def _scan_chunked(k, by, rn, sums, sums_before, lasts, lasts_before, lags, leads,
                   firsts, maxes_before, recent) -> Keyed:
-    part = [*k.keys, *by, CHUNK]
+    bnorm = {}
+    for j, b in enumerate(by):
+        bnorm.update(_normalized(k.df, b, f"_nb{j}"))
+    base = k.df.withColumns(bnorm) if bnorm else k.df
+    grp = [*k.extra["part"], *bnorm]
+    part = [*grp, CHUNK]
     wc = Window.partitionBy(*part).orderBy(*k.order)
     ostruct = F.struct(*[F.col(c) for c in k.order])
     local = {"_l__rn": F.row_number().over(wc),
@@ -219,7 +255,7 @@ def _scan_chunked(k, by, rn, sums, sums_before, lasts, lasts_before, lags, leads
     for n, (p, kk) in recent.items():
         local[f"_l_{n}"] = F.count(F.when(p, 1)).over(wc.rowsBetween(-kk, -1))
         local[f"_t_{n}"] = F.lead(F.lit(1), kk).over(wc).isNull()
-    ldf = k.df.withColumns(local)
+    ldf = base.withColumns(local)
 
     # one summary row per non-empty chunk
     aggs = [F.count(F.lit(1)).alias("_s__cnt")]
@@ -239,7 +275,7 @@ def _scan_chunked(k, by, rn, sums, sums_before, lasts, lasts_before, lags, leads
         aggs.append(F.transform(F.array_sort(tail), lambda x: x["p"]).alias(f"_s_{n}"))
     summ = ldf.groupBy(*part).agg(*aggs)
 
-    s = Window.partitionBy(*k.keys, *by).orderBy(CHUNK)
+    s = Window.partitionBy(*grp).orderBy(CHUNK)
     carry = {"_c__cnt": F.sum("_s__cnt").over(s.rowsBetween(_UNB, -1))}
     for n in {**sums, **sums_before}:
         carry[f"_c_{n}"] = F.sum(f"_s_{n}").over(s.rowsBetween(_UNB, -1))
@@ -263,8 +299,11 @@ def _scan_chunked(k, by, rn, sums, sums_before, lasts, lasts_before, lags, leads
     cdf = summ.withColumns(carry).select(
         *[F.col(c).alias(f"_j{i}") for i, c in enumerate(part)], *carry.keys())
 
-    joined = ldf.join(cdf, _null_safe_on(ldf, cdf, [(c, f"_j{i}") for i, c in
-                                                     enumerate(part)]), "left")
+    on = None
+    for i, c in enumerate(part):  # never-null columns: a plain equi-join that
+        e = ldf[c] == cdf[f"_j{i}"]  # keeps the window's hash partitioning
+        on = e if on is None else on & e
+    joined = ldf.join(cdf, on, "left")
     lrn = F.col("_l__rn")
     out = {}
     if rn:
@@ -287,5 +326,5 @@ def _scan_chunked(k, by, rn, sums, sums_before, lasts, lasts_before, lags, leads
         from_prev = F.size(F.filter(c, lambda x, i: x & (i >= F.size(c) - need)))
         out[n] = F.col(f"_l_{n}") + F.when(lrn <= kk, F.coalesce(from_prev, F.lit(0))) \
             .otherwise(F.lit(0))
-    drop = [c for c in joined.columns if c.startswith(("_l_", "_t_", "_c_", "_j"))]
+    drop = [c for c in joined.columns if c.startswith(("_l_", "_t_", "_c_", "_j"))] + list(bnorm)
     return k.with_df(joined.withColumns(out).drop(*drop))
