@@ -76,6 +76,11 @@ def latest_changelog(df: DataFrame, keys, *, time: str, seq: str,
     keys = [keys] if isinstance(keys, str) else list(keys)
     cols = df.columns
     d = with_time_seq(df, time, seq, "latest_changelog", need=keys)
+    if d.isStreaming:
+        from eventide.streaming import ops as st
+        s = d.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], T_MS, SEQ,
+                     *cols)
+        return st.latest_changelog(s, [f"_k{i}" for i in range(len(keys))], cols)
     row = F.struct(*[F.col(c) for c in cols])
     d = d.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], row.alias("_row"),
                  T_MS, SEQ)

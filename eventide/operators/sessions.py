@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventide.functions.columns import T_MS, ms_to_ntz
 from eventide.operators._common import SEQ, require_time, with_time_seq
@@ -59,18 +60,27 @@ def sessions(df: DataFrame, timeout_s: int, *, user: str = "userId",
 
 def session_summary(df: DataFrame, gap: str, *, user: str = "userId",
                     time: str = "ts", value: str = "eventValue",
-                    event_type: str = "eventType") -> DataFrame:
+                    event_type: str = "eventType",
+                    watermark: str | None = None) -> DataFrame:
     """Plain inactivity sessions (documented variant): one row per session with
     sessionStart, sessionEnd (last event + gap), eventCount, totalValue and the
     sorted distinct eventTypes.  Native ``session_window``: partial session
     merging happens before the shuffle."""
+    ntz = isinstance(df.schema[time].dataType, T.TimestampNTZType)
+    if df.isStreaming:  # sessions close when the watermark passes their end
+        if ntz:  # watermarks need TIMESTAMP; UTC wall clock either way
+            df = df.withColumn(time, F.col(time).cast("timestamp"))
+        df = df.withWatermark(time, watermark or WATERMARK)
+    else:
+        ntz = False
     w = F.session_window(F.col(time), gap)
+    bound = (lambda c: c.cast("timestamp_ntz")) if ntz else (lambda c: c)
     return (df.groupBy(user, w.alias("s"))
             .agg(F.count(F.lit(1)).cast("int").alias("eventCount"),
                  F.sum(value).alias("totalValue"),
                  F.array_sort(F.collect_set(event_type)).alias("eventTypes"))
-            .select(user, F.col("s.start").alias("sessionStart"),
-                    F.col("s.end").alias("sessionEnd"), "eventCount", "totalValue",
+            .select(user, bound(F.col("s.start")).alias("sessionStart"),
+                    bound(F.col("s.end")).alias("sessionEnd"), "eventCount", "totalValue",
                     "eventTypes"))
 
 

@@ -120,9 +120,17 @@ def keyed(df: DataFrame, keys, order, rows_per_chunk: int | None = None) -> Keye
     if df.isStreaming:
         raise ValueError("batch form only; use eventide.streaming for streams")
     limit = _rows_per_chunk(df, rows_per_chunk)
+    dt = df.schema[order[0]].dataType
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        t = F.unix_micros(F.col(order[0]).cast("timestamp"))
+    elif isinstance(dt, T.DateType):
+        t = F.unix_date(F.col(order[0])).cast("long")
+    elif isinstance(dt, T.NumericType):
+        t = F.col(order[0])
+    else:  # no arithmetic on this order column: keys stay whole
+        limit = 0
     if limit <= 0:
         return Keyed(df, keys, order, False)
-    t = F.col(order[0])
     stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
                                   F.min(t).alias("_lo"), F.max(t).alias("_hi"))
     hot = (stats.filter(F.col("_n") > limit)

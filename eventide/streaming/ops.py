@@ -141,3 +141,13 @@ def dynamic_pricing(u: DataFrame, args, watermark=WATERMARK, order="arrival"):
               "timestamp long, seq long")
     return _tws(u, "_sku", PricingProcessor(*args, fold_row=price_step), schema, "None",
                 watermark, order)
+
+
+def latest_changelog(d: DataFrame, keys, row_cols, watermark=None):
+    """``d`` has ``_k*`` key columns, ``_t``, ``_q`` and the row columns."""
+    from eventide.streaming.processors import LatestChangelogProcessor
+    fields = [d.schema[c] for c in row_cols]
+    row_ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+    schema = "op string, change_seq int, " + row_ddl
+    proc = _named(LatestChangelogProcessor(list(row_cols), row_ddl), schema)
+    return d.groupBy(*keys).transformWithState(proc, schema, "Append", "None")

@@ -440,3 +440,32 @@ class PricingProcessor(_Processor):
 
     def close(self):
         pass
+
+
+class LatestChangelogProcessor(_Processor):
+    """Changelog of the latest-row-per-key view: the current row is kept in
+    value state (with the row's own schema); a row at least as new replaces
+    it and emits -U (old row) then +U (new row)."""
+
+    def __init__(self, row_fields, row_ddl):
+        self.row_fields, self.row_ddl = row_fields, row_ddl
+
+    def init(self, handle):
+        self.st = handle.getValueState("current", "_cur_t long, " + self.row_ddl)
+
+    def handleInputRows(self, key, rows, timerValues):
+        cur = tuple(self.st.get()) if self.st.exists() else None
+        out = []
+        for r in sorted(rows, key=lambda r: r[Q]):
+            if cur is not None and (r[T] is None or r[T] < cur[0]):
+                continue
+            vals = tuple(r[f] for f in self.row_fields)
+            if cur is None:
+                out.append(self._row("+I", 0, *vals))
+            else:
+                out.append(self._row("-U", 0, *cur[1:]))
+                out.append(self._row("+U", 1, *vals))
+            cur = (r[T],) + vals
+        if cur is not None:
+            self.st.update(cur)
+        return iter(out)

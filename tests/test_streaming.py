@@ -185,3 +185,18 @@ def test_stream_event_order_equals_batch_with_late_files(spark):
     arrival = _run(spark, ops.anomaly_alerts(s2, watermark="60 days", **kw), d2)
     assert sorted(map(str, arrival.filter(F.col("userId") != SENTINEL).collect())) != \
         sorted(map(str, ops.anomaly_alerts(tx, **kw).collect()))
+
+
+def test_stream_latest_changelog_and_session_summary(spark):
+    o = spark.read.parquet(f"{SF}/orders.parquet")
+    s, d = _split_to_stream(spark, o, "o_orderkey")
+    kw = dict(time="o_orderdate", seq="o_orderkey")
+    _same(_run(spark, ops.latest_changelog(s, "o_custkey", **kw), d),
+          ops.latest_changelog(o, "o_custkey", **kw))
+    ev = tb.events(spark, SF)
+    sent = _sentinel(spark, ev, user_id=SENTINEL, event_id=10**9, ts=dt.datetime(2030, 1, 1))
+    s, d = _split_to_stream(spark, ev, "event_id", sentinel=sent)
+    kw = dict(user="user_id", time="ts", value="value", event_type="event_type")
+    got = _run(spark, ops.session_summary(s, "12 hours", **kw), d)
+    # sessions still open at the end (the sentinel's) are not emitted in append mode
+    _same(got, ops.session_summary(ev, "12 hours", **kw))
