@@ -53,3 +53,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized to the input for a cluster run: shuffle partitions so
+    that each holds about ``partition_bytes`` (AQE coalesces small ones and
+    splits skewed join partitions), scan splits of the same size."""
+    parts = max(200, int(input_bytes // partition_bytes) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
