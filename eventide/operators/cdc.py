@@ -6,11 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventide.functions.columns import interval_ms
+
 ITEM = "struct<product_id:bigint,quantity:int,unit_price:double>"
 
 
 def cdc_transactions(orders_cdc: DataFrame, items_cdc: DataFrame,
-                     txn_events: DataFrame, *, items: str = "array") -> DataFrame:
+                     txn_events: DataFrame, *, items: str = "array", state_ttl=None,
+                     watermark: str | None = "1 second") -> DataFrame:
     """Join the order-header and order-item change events of one database
     transaction once the transaction's END event has arrived and exactly the
     announced number of change events is present.
@@ -23,7 +26,13 @@ def cdc_transactions(orders_cdc: DataFrame, items_cdc: DataFrame,
 
     items='rows' returns one row per line item instead of an array (plus
     ``line_no``): completeness is then decided by partial aggregates only and
-    no transaction is ever gathered into one row."""
+    no transaction is ever gathered into one row.
+
+    ``state_ttl`` (the reference keeps 1 hour): events of a transaction more
+    than that apart (by ``ts_ms``) belong to separate attempts, and a stream
+    clears a transaction's state once it has been silent that long, so
+    transactions that never complete do not keep state forever."""
+    ttl = interval_ms(state_ttl) if state_ttl else None
     o = orders_cdc.select(
         F.col("transaction.id").alias("_txn"), F.lit(0).alias("_side"),
         F.col("transaction.total_order").alias("_ord"), F.col("ts_ms").alias("_ts"),
@@ -48,7 +57,15 @@ def cdc_transactions(orders_cdc: DataFrame, items_cdc: DataFrame,
         if items != "array":
             raise NotImplementedError("streams emit line items as an array")
         from eventide.streaming import ops as st
-        return st.cdc_transactions(u)
+        return st.cdc_transactions(u, watermark, ttl)
+    grp = ["_txn"]
+    if ttl:
+        from eventide.functions.columns import T_MS
+        from eventide.plans.keyed import keyed, ttl_epochs
+        u = u.withColumn(T_MS, F.col("_ts")).withColumn("_q", F.xxhash64(*u.columns))
+        k = ttl_epochs(keyed(u, ["_txn"], [T_MS, "_side", "_q"]), ttl)
+        u = k.result()
+        grp = ["_txn", "_epoch"]
     counts = [F.count(F.when(F.col("_side") < 2, 1)).alias("_received"),
               F.max(F.col("_side") == 2).alias("_ended"),
               F.max_by("_expected", F.when(F.col("_side") == 2, F.col("_ts"))).alias("_exp")]
@@ -69,7 +86,7 @@ def cdc_transactions(orders_cdc: DataFrame, items_cdc: DataFrame,
     if items == "array":
         # Only collect_list and fixed-width aggregates: Spark plans a hash-based
         # ObjectHashAggregate with map-side partial aggregation (no sorts).
-        g = u.groupBy("_txn").agg(tagged("_hdr", "h").alias("_hs"), *counts,
+        g = u.groupBy(*grp).agg(tagged("_hdr", "h").alias("_hs"), *counts,
                                   tagged("_item", "i").alias("_items"))
         g = g.filter(done).withColumn("_h", F.array_max("_hs")["h"])
         return g.select(*header(F.col("_h")),
@@ -78,7 +95,7 @@ def cdc_transactions(orders_cdc: DataFrame, items_cdc: DataFrame,
     if items != "rows":
         raise ValueError("items must be 'array' or 'rows'")
     hdr = F.max_by("_hdr", F.when(F.col("_hdr").isNotNull(), F.struct("_ord", "_ts")))
-    g = u.groupBy("_txn").agg(hdr.alias("_h"), *counts).filter(done) \
+    g = u.groupBy(*grp).agg(hdr.alias("_h"), *counts).filter(done) \
         .select(*header(F.col("_h")))
     lines = it.filter(F.col("_item").isNotNull()).select(
         F.col("_txn").alias("transaction_id"), "_ord", "_ts", "_item")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.columns import T_MS
+from eventide.functions.columns import T_MS, interval_ms
 from eventide.operators._common import SEQ, with_time_seq
 
 # Fixed values that must equal the reference's defaults.
@@ -61,12 +61,13 @@ def price_step(state, side, qty, base, cprice, inventory_threshold, demand_thres
     return None
 
 
-def _fold(inventory_threshold, demand_threshold, min_change):
+def _fold(inventory_threshold, demand_threshold, min_change, ttl_ms=None):
     def run(batches):
         import numpy as np
         import pandas as pd
         cur = object()
         state = None
+        last_t = None
         for pdf in batches:
             out = {"sku": [], "newPrice": [], "oldPrice": [], "reason": [], "timestamp": [],
                    "seq": []}
@@ -74,8 +75,9 @@ def _fold(inventory_threshold, demand_threshold, min_change):
                        pdf["_base"].tolist(), pdf["_cprice"].tolist(), pdf["_t"].tolist(),
                        pdf["_seqo"].tolist())
             for sku, side, qty, base, cprice, t, seq in cols:
-                if sku != cur:
+                if sku != cur or (ttl_ms and last_t is not None and t - last_t > ttl_ms):
                     cur, state = sku, [None, 0, None, 0]
+                last_t = t
                 if qty is not None and qty != qty:
                     qty = None
                 hit = price_step(state, side, None if qty is None else int(qty), base, cprice,
@@ -104,7 +106,7 @@ def dynamic_pricing(inventory: DataFrame, competitor: DataFrame | None = None, *
                     inventory_threshold: int = INVENTORY_THRESHOLD,
                     demand_threshold: int = DEMAND_THRESHOLD,
                     min_change: float = MIN_PRICE_CHANGE,
-                    stream_order: str = "arrival") -> DataFrame:
+                    stream_order: str = "arrival", state_ttl=None) -> DataFrame:
     """Output: sku, newPrice, oldPrice, reason, timestamp (event ms), seq.
 
     Inventory rows set the stock level, count one demand signal and give the
@@ -113,7 +115,9 @@ def dynamic_pricing(inventory: DataFrame, competitor: DataFrame | None = None, *
     ``demand_threshold`` signals raise by 8 % (and reset the counter), a
     competitor price more than 5 % away sets 98 % of it; a change above
     ``min_change`` is emitted and becomes the price.  At equal times
-    inventory rows go before competitor rows."""
+    inventory rows go before competitor rows.  ``state_ttl`` (the reference
+    keeps 7 days): after a longer silence a SKU starts from a fresh state."""
+    ttl = interval_ms(state_ttl) if state_ttl else None
     inv = with_time_seq(inventory, time, inventory_seq, "dynamic_pricing(inventory)",
                         need=(key, quantity, base_price))
     parts = [inv.select(F.col(key).cast("string").alias("_sku"), F.lit(0).alias("_side"),
@@ -136,7 +140,7 @@ def dynamic_pricing(inventory: DataFrame, competitor: DataFrame | None = None, *
     if u.isStreaming:
         from eventide.streaming import ops as st
         return st.dynamic_pricing(u, (int(inventory_threshold), int(demand_threshold),
-                                      float(min_change)), order=stream_order)
+                                      float(min_change)), order=stream_order, ttl_ms=ttl)
     u = u.repartition("_sku").sortWithinPartitions("_sku", "_t", "_side", "_seqo")
     return u.mapInPandas(_fold(int(inventory_threshold), int(demand_threshold),
-                               float(min_change)), OUT_SCHEMA)
+                               float(min_change), ttl), OUT_SCHEMA)

@@ -22,18 +22,24 @@ def _named(proc, schema: str):
 def _tws(d: DataFrame, key: str, proc, schema: str, time_mode: str,
          watermark: str | None, order: str = "arrival") -> DataFrame:
     proc = _named(proc, schema)
+    ttl = getattr(proc, "ttl", None)
+    if ttl:
+        proc.cleanup_ms = int(ttl)
+        time_mode = "EventTime"
+        if not watermark:
+            raise ValueError("state_ttl on a stream needs a watermark")
     if order == "event":
         if not watermark:
             raise ValueError("stream order 'event' needs a watermark")
-        fields = [f for f in d.schema.fields if f.name != key]
+        fields = [f for f in d.schema.fields if f.name not in (key, "_evt")]
         proc.buffer_fields = [f.name for f in fields]
         proc.buffer_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
         time_mode = "EventTime"
     elif order != "arrival":
         raise ValueError("stream order must be 'arrival' or 'event'")
-    d = d.withColumn("_ts", F.timestamp_millis(F.col(T_MS)))
+    d = d.withColumn("_evt", F.timestamp_millis(F.col(T_MS)))
     if watermark:
-        d = d.withWatermark("_ts", watermark)
+        d = d.withWatermark("_evt", watermark)
     return d.groupBy(key).transformWithState(proc, schema, "Append", time_mode)
 
 
@@ -125,22 +131,28 @@ def pattern_count(d: DataFrame, keys, watermark=None):
             .transformWithState(_named(PatternCountProcessor(), schema), schema, "Append", "None"))
 
 
-def cdc_transactions(u: DataFrame, watermark=None):
+def cdc_transactions(u: DataFrame, watermark=WATERMARK, ttl_ms=None):
     from eventide.streaming.processors import TransactionProcessor
     schema = ("transaction_id string, order_id long, customer_id long, status string, "
               "total_amount double, line_items array<struct<product_id:bigint,quantity:int,"
               "unit_price:double>>")
-    return u.groupBy("_txn").transformWithState(_named(TransactionProcessor(), schema), schema, "Append", "None")
+    proc = TransactionProcessor()
+    if not ttl_ms:
+        return u.groupBy("_txn").transformWithState(_named(proc, schema), schema, "Append",
+                                                    "None")
+    proc.ttl = ttl_ms
+    u = u.withColumn(T_MS, F.col("_ts")).withColumn("_q", F.lit(0).cast("long"))
+    return _tws(u, "_txn", proc, schema, "EventTime", watermark)
 
 
-def dynamic_pricing(u: DataFrame, args, watermark=WATERMARK, order="arrival"):
+def dynamic_pricing(u: DataFrame, args, watermark=WATERMARK, order="arrival", ttl_ms=None):
     from eventide.operators.pricing import price_step
     from eventide.streaming.processors import PricingProcessor
     u = u.withColumnRenamed("_seqo", "_q")
     schema = ("sku string, newPrice double, oldPrice double, reason string, "
               "timestamp long, seq long")
-    return _tws(u, "_sku", PricingProcessor(*args, fold_row=price_step), schema, "None",
-                watermark, order)
+    return _tws(u, "_sku", PricingProcessor(*args, fold_row=price_step, ttl_ms=ttl_ms), schema,
+                "None", watermark, order)
 
 
 def latest_changelog(d: DataFrame, keys, row_cols, watermark=None):

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.streaming.stateful_processor import ListState, MapState, ValueState
 
 T, Q = "_t", "_q"
 
@@ -51,6 +52,7 @@ class _Processor(StatefulProcessor):
     names: list[str] = []
     buffer_fields: list[str] | None = None
     buffer_schema: str | None = None
+    cleanup_ms: int | None = None  # clear a key's state after this much silence
 
     def _row(self, *values):
         return Row(**dict(zip(self.names, values)))
@@ -60,6 +62,31 @@ class _Processor(StatefulProcessor):
         self.setup(handle)
         if self.buffer_fields:
             self.buf = handle.getListState("pending", self.buffer_schema)
+        if self.cleanup_ms:
+            self.cleanup = handle.getValueState("cleanup", "at long")
+
+    def _schedule_cleanup(self, rows):
+        """One event-time timer per key at (newest row time + TTL); a newer
+        row moves it.  When it fires the key's state is cleared, so keys
+        that fall silent do not keep state forever."""
+        if not self.cleanup_ms:
+            return
+        ts = [r[T] for r in rows if r[T] is not None]
+        if not ts:
+            return
+        at = max(ts) + self.cleanup_ms
+        if self.cleanup.exists():
+            old = self.cleanup.get()[0]
+            if old >= at:
+                return
+            self.h.deleteTimer(old)
+        self.h.registerTimer(at)
+        self.cleanup.update((at,))
+
+    def _clear_all(self):
+        for v in list(vars(self).values()):
+            if isinstance(v, (ValueState, ListState, MapState)):
+                v.clear()
 
     def setup(self, handle):
         pass
@@ -68,6 +95,8 @@ class _Processor(StatefulProcessor):
         raise NotImplementedError
 
     def handleInputRows(self, key, rows, timerValues):
+        rows = list(rows)
+        self._schedule_cleanup(rows)
         if not self.buffer_fields:
             return self.fold(key, rows)
         new = [tuple(r[f] for f in self.buffer_fields) for r in rows]
@@ -79,6 +108,13 @@ class _Processor(StatefulProcessor):
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        out = list(self._drain(key, timerValues))
+        if self.cleanup_ms and self.cleanup.exists() \
+                and self.cleanup.get()[0] == expiredTimerInfo.getExpiryTimeInMs():
+            self._clear_all()
+        return iter(out)
+
+    def _drain(self, key, timerValues):
         if not self.buffer_fields or not self.buf.exists():
             return iter([])
         wm = timerValues.getCurrentWatermarkInMs()
@@ -376,14 +412,14 @@ class PatternCountProcessor(_Processor):
 class TransactionProcessor(_Processor):
     """Header, counters and line items of one open database transaction."""
 
-    def init(self, handle):
+    def setup(self, handle):
         self.st = handle.getValueState(
             "txn", "hdr_ord long, hdr_ts long, order_id long, customer_id long, status string, "
                    "total double, received long, expected long, ended boolean")
         self.items = handle.getListState(
             "items", "o long, t long, product_id long, quantity int, unit_price double")
 
-    def handleInputRows(self, key, rows, timerValues):
+    def fold(self, key, rows):
         s = list(self.st.get()) if self.st.exists() else \
             [None, None, None, None, None, None, 0, None, False]
         new_items = []
@@ -420,17 +456,23 @@ class TransactionProcessor(_Processor):
         return iter(out)
 
 class PricingProcessor(_Processor):
-    def __init__(self, inventory_threshold, demand_threshold, min_change, fold_row):
+    def __init__(self, inventory_threshold, demand_threshold, min_change, fold_row,
+                 ttl_ms=None):
         self.args = (inventory_threshold, demand_threshold, min_change)
         self.fold_row = fold_row
+        self.ttl = ttl_ms
 
     def setup(self, handle):
-        self.st = handle.getValueState("price", "price double, inv int, comp double, dem int")
+        self.st = handle.getValueState(
+            "price", "price double, inv int, comp double, dem int, last long")
 
     def fold(self, key, rows):
-        state = list(self.st.get()) if self.st.exists() else [None, 0, None, 0]
+        state = list(self.st.get()) if self.st.exists() else [None, 0, None, 0, None]
         out = []
         for r in sorted(rows, key=lambda r: (r[T], r["_side"], r[Q])):
+            if self.ttl and state[4] is not None and r[T] - state[4] > self.ttl:
+                state = [None, 0, None, 0, None]
+            state[4] = r[T]
             emitted = self.fold_row(state, r["_side"], r["_qty"], r["_base"], r["_cprice"],
                                     *self.args)
             if emitted is not None:

@@ -313,3 +313,25 @@ def test_state_ttl_first_match_and_audit(spark):
                                "update_time timestamp, seq int")
     out = ops.changelog_audit(ch, seq="seq", state_ttl="7 days").orderBy("change_time").collect()
     assert [r.old_rate for r in out] == [None, None, Decimal("1.2000")]
+
+
+def test_state_ttl_transactions_and_pricing(spark):
+    orders, items, txn = _cdc_fixture()
+    late = [dict(items[1], ts_ms=items[1]["ts_ms"] + 2 * 3600_000)]  # 2 h later
+    o = read_cdc(spark, _write_json(orders), "orders_cdc")
+    i = read_cdc(spark, _write_json([items[0]] + late), "order_items_cdc")
+    t = read_cdc(spark, _write_json(txn), "transaction_events")
+    assert ops.cdc_transactions(o, i, t).count() == 1
+    assert ops.cdc_transactions(o, i, t, state_ttl="1 hour").count() == 0
+    base = dt.datetime(2025, 1, 1)
+    d = dt.timedelta(days=1)
+    inv = spark.createDataFrame([("s", 5, 100.0, base, 1), ("s", 50, 10.0, base + 9 * d, 2)],
+                                "sku string, quantity int, basePrice double, ts timestamp, seq int")
+    plain = ops.dynamic_pricing(inv, None, inventory_seq="seq").collect()
+    ttl = ops.dynamic_pricing(inv, None, inventory_seq="seq", state_ttl="7 days").collect()
+    # low stock raises 100 -> 115; after 9 silent days the TTL form restarts at 10
+    assert [r.newPrice for r in plain] == [pytest.approx(115.0)]
+    assert [r.newPrice for r in ttl] == [pytest.approx(115.0)]
+    inv2 = inv.union(spark.createDataFrame([("s", 5, 10.0, base + 9 * d, 3)], inv.schema))
+    assert [round(r.oldPrice, 2) for r in ops.dynamic_pricing(
+        inv2, None, inventory_seq="seq", state_ttl="7 days").collect()] == [100.0, 10.0]

@@ -200,3 +200,13 @@ def test_stream_latest_changelog_and_session_summary(spark):
     got = _run(spark, ops.session_summary(s, "12 hours", **kw), d)
     # sessions still open at the end (the sentinel's) are not emitted in append mode
     _same(got, ops.session_summary(ev, "12 hours", **kw))
+
+
+def test_stream_ttl_cleanup_transactions(spark):
+    oc, ic, te = tb.cdc_inputs(spark, SF)
+    so, d = _split_to_stream(spark, oc, "ts_ms")
+    si, _ = _split_to_stream(spark, ic, "ts_ms")
+    st, _ = _split_to_stream(spark, te, "ts_ms")
+    got = _run(spark, ops.cdc_transactions(so, si, st, state_ttl="3650 days",
+                                           watermark="36500 days"), d)
+    _same(got, ops.cdc_transactions(oc, ic, te, state_ttl="3650 days"))
