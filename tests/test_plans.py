@@ -11,7 +11,7 @@ PYTHON_ALLOWED = {"dynamic_pricing"}  # the one true recurrence: sorted mapInPan
 
 ONE_EXCHANGE = ["anomaly_alerts", "sessions_continue", "sessions_close", "changelog_audit",
                 "hybrid_window", "early_fire_window", "spend_threshold", "latest_by_key",
-                "row_formatter_events", "dynamic_pricing"]
+                "row_formatter_events", "dynamic_pricing", "latest_changelog"]
 
 
 @pytest.fixture(scope="module")
