@@ -75,9 +75,10 @@ def test_stream_anomaly_and_audit(spark):
     _same(_run(spark, ops.changelog_audit(s, **kw), d), ops.changelog_audit(cc, **kw))
 
 
-def test_stream_early_fire(spark):
+@pytest.mark.parametrize("parts", [1, 3, 10])
+def test_stream_early_fire(spark, parts):
     ev = tb.events(spark, SF)
-    s, d = _split_to_stream(spark, ev, "event_id")
+    s, d = _split_to_stream(spark, ev, "event_id", parts=parts)
     kw = dict(key="user_id", price="value", time="ts", seq="event_id", keep=("event_id",))
     _same(_run(spark, ops.early_fire_window(s, 3_600_000, **kw), d),
           ops.early_fire_window(ev, 3_600_000, **kw))
