@@ -38,16 +38,19 @@ def sessions(df: DataFrame, timeout_s: int, *, user: str = "userId",
     d = d.select(user, event_type, T_MS, SEQ)
     et, t = F.col(event_type), F.col(T_MS)
     k = keyed(d, [user], [T_MS, SEQ], rows_per_chunk)
-    k = scan(k, lags={"_pt": t, "_pe": et}, leads={"_nt": t})
+    k = scan(k, rn="_rn", lags={"_pt": t, "_pe": et}, leads={"_nt": t})
     start = F.col("_pt").isNull() | F.col("_pe").eqNullSafe(F.lit(end_event))
     if on_timeout == "close":
         start = start | (t - F.col("_pt") > tmo)
-    k = k.with_df(k.df.withColumn("_start", start.cast("int")))
-    k = scan(k, sums={"_sid": F.col("_start")})
-    k = scan(k, by=["_sid"], rn="_cnt", firsts={"_st": t, "_fe": et})
+    # the session's opening row = the last start row so far (row number,
+    # time and type travel together); no session id or grouped scan needed
+    opening = F.when(start, F.struct(F.col("_rn").alias("n"), t.alias("t"), et.alias("e")))
+    k = scan(k, lasts={"_open": opening})
     is_end = et.eqNullSafe(F.lit(end_event))
     is_tmo = ~is_end & (F.col("_nt").isNull() | (F.col("_nt") - t > tmo))
-    out = k.result().filter(is_end | is_tmo)
+    out = k.result().filter(is_end | is_tmo).withColumns({
+        "_cnt": F.col("_rn") - F.col("_open.n") + 1, "_st": F.col("_open.t"),
+        "_fe": F.col("_open.e")})
     return out.select(
         user,
         F.when(is_end, F.lit("COMPLETED")).otherwise(F.lit("TIMEOUT")).alias("status"),

@@ -61,12 +61,18 @@ def early_fire_window(df: DataFrame, size, *, key: str, price: str = "price",
         .withColumn("_win", window_start(F.col(T_MS), size_ms))
     order = [T_MS, SEQ] if order_by == "event" else [SEQ]
     k = keyed(d, [key], order, rows_per_chunk)
-    k = scan(k, lags={"_pw": F.col("_win")})
-    k = k.with_df(k.df.withColumn(
-        "_new", (~F.col("_pw").eqNullSafe(F.col("_win"))).cast("int")))
-    k = scan(k, sums={"_isl": F.col("_new")})
-    k = scan(k, by=["_isl"], rn="_cnt",
-             sums={"_tot": F.coalesce(F.col(price).cast("double"), F.lit(0.0))})
+    price_0 = F.coalesce(F.col(price).cast("double"), F.lit(0.0))
+    if order_by == "event":
+        # window start is monotone in event time: each window is one run
+        k = scan(k, by=["_win"], rn="_cnt", sums={"_tot": price_0})
+    else:
+        # arrival order: a row whose window differs from the previous row's
+        # (also a late row) restarts the totals
+        k = scan(k, lags={"_pw": F.col("_win")})
+        k = k.with_df(k.df.withColumn(
+            "_new", (~F.col("_pw").eqNullSafe(F.col("_win"))).cast("int")))
+        k = scan(k, sums={"_isl": F.col("_new")})
+        k = scan(k, by=["_isl"], rn="_cnt", sums={"_tot": price_0})
     return k.result().select(
         key, ms_to_ntz(F.col("_win")).alias("window_start"),
         ms_to_ntz(F.col("_win") + size_ms).alias("window_end"),
