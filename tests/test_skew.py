@@ -1,0 +1,41 @@
+"""A key holding half of all rows is split over many tasks, with the same
+results as the single-window plan."""
+
+from pyspark.sql import functions as F
+
+from eventide import operators as ops
+from eventide.plans.keyed import keyed, scan
+
+
+def _skewed(spark, n=20000):
+    return (spark.range(n)
+            .select(F.when(F.col("id") % 2 == 0, F.lit("hot"))
+                    .otherwise(F.concat(F.lit("k"), (F.col("id") % 97).cast("string")))
+                    .alias("customer_id"),
+                    (F.col("id") * 1000).alias("ts"), F.col("id").alias("seq"),
+                    ((F.col("id") * 7919) % 101 - 20).cast("double").alias("price"),
+                    F.col("id").cast("string").alias("order_id")))
+
+
+def test_hot_key_spreads_over_tasks(spark):
+    df = _skewed(spark)
+    k = keyed(df, ["customer_id"], ["ts", "seq"], rows_per_chunk=1000)
+    assert k.chunked and k.hot_keys == 1
+    k = scan(k, rn="_rn", sums={"_s": F.col("price")})
+    parts = (k.result().filter(F.col("customer_id") == "hot")
+             .groupBy(F.spark_partition_id().alias("p")).count().collect())
+    assert len(parts) > 1
+    assert max(r["count"] for r in parts) < 0.5 * 10000
+
+
+def test_hot_key_results_equal_plain_plan(spark):
+    df = _skewed(spark)
+    kw = dict(key="customer_id", time="ts", seq="seq")
+    split = ops.spend_threshold(df, 500.0, rows_per_chunk=1000, **kw)
+    plain = ops.spend_threshold(df, 500.0, rows_per_chunk=0, **kw)
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, plain.collect()))
+    a = ops.early_fire_window(df, 60_000, key="customer_id", time="ts", seq="seq",
+                              keep=("seq",), rows_per_chunk=1000)
+    b = ops.early_fire_window(df, 60_000, key="customer_id", time="ts", seq="seq",
+                              keep=("seq",), rows_per_chunk=0)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
