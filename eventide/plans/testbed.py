@@ -114,12 +114,18 @@ def cdc_inputs(spark: SparkSession, d: str):
                  (F.col("l_linenumber") + 1).cast("bigint").alias("total_order"),
                  F.col("l_linenumber").cast("bigint").alias("data_collection_order"))
         .alias("transaction"))
-    counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
-    ends = (o.join(counts, o.o_orderkey == counts.l_orderkey, "left")
-            .select(F.lit("END").alias("status"), F.col("o_orderkey").cast("string").alias("id"),
-                    F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("ts_ms"),
-                    (1 + F.coalesce(F.col("n"), F.lit(0))
-                     + F.when(F.col("o_orderkey") % 10 == 0, 1).otherwise(0))
+    # one aggregate over orders and items (map-side partial), no join
+    per_txn = (o.select(F.col("o_orderkey").alias("k"),
+                        F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("ts_ms"),
+                        F.lit(1).alias("n"))
+               .unionByName(li.select(F.col("l_orderkey").alias("k"),
+                                      F.lit(None).cast("long").alias("ts_ms"),
+                                      F.lit(1).alias("n")))
+               .groupBy("k").agg(F.max("ts_ms").alias("ts_ms"), F.sum("n").alias("n")))
+    ends = (per_txn.filter(F.col("ts_ms").isNotNull())
+            .select(F.lit("END").alias("status"), F.col("k").cast("string").alias("id"),
+                    "ts_ms",
+                    (F.col("n") + F.when(F.col("k") % 10 == 0, 1).otherwise(0))
                     .cast("bigint").alias("event_count")))
     begins = o.select(F.lit("BEGIN").alias("status"),
                       F.col("o_orderkey").cast("string").alias("id"),
