@@ -335,3 +335,14 @@ def test_state_ttl_transactions_and_pricing(spark):
     inv2 = inv.union(spark.createDataFrame([("s", 5, 10.0, base + 9 * d, 3)], inv.schema))
     assert [round(r.oldPrice, 2) for r in ops.dynamic_pricing(
         inv2, None, inventory_seq="seq", state_ttl="7 days").collect()] == [100.0, 10.0]
+
+
+def test_quality_readme_rules_variant(spark):
+    df = spark.createDataFrame([("Alice", 0.0, "US", "Acme"), ("Bob1", 50000.0, "XX", "Shop")],
+                               "userId string, amount double, country string, merchant string")
+    code = {r.userId: r for r in ops.quality_score(df).collect()}
+    assert code["Alice"].quality_issues == "" and code["Bob1"].quality_issues == "INVALID_AMOUNT"
+    readme = {r.userId: r for r in ops.quality_score(df, rules="readme",
+                                                     country_codes=["US", "DE"]).collect()}
+    assert readme["Alice"].quality_issues == "INVALID_AMOUNT"  # 0 is not > 0
+    assert readme["Bob1"].quality_issues == "INVALID_COUNTRY"  # 50 000 < 1 000 000 is fine

@@ -211,3 +211,15 @@ def test_stream_ttl_cleanup_transactions(spark):
     got = _run(spark, ops.cdc_transactions(so, si, st, state_ttl="3650 days",
                                            watermark="36500 days"), d)
     _same(got, ops.cdc_transactions(oc, ic, te, state_ttl="3650 days"))
+
+
+def test_stream_cdc_json_source(spark):
+    from eventide.sources.cdc_json import read_cdc, read_cdc_stream
+    from test_golden import _kv, _write_json
+    rows = [_kv("1", "INSERT", "100", new={"name": "Alice", "age": "30"}),
+            _kv("2", "MODIFY", "101", new={"name": "Alice", "age": "31"},
+                old={"name": "Alice", "age": "30"})]
+    path = _write_json(rows)
+    batch = ops.cdc_changelog(read_cdc(spark, path, "kv_changes")).drop("event_time")
+    s = ops.cdc_changelog(read_cdc_stream(spark, path, "kv_changes")).drop("event_time")
+    _same(_run(spark, s, tempfile.mkdtemp(prefix="eventide-stream-")), batch)
