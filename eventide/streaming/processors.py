@@ -321,6 +321,7 @@ class AnomalyProcessor(_Processor):
         r_ = self.r
         n, tot, lc, lt = self.st.get() if self.st.exists() else (0, 0.0, None, None)
         recent = [x[0] for x in self.recent.get()] if self.recent.exists() else []
+        seen_now = {}  # merchant visits read/written once per micro-batch
         out = []
         for r in _sorted(rows):
             t, amt, c, m = r[T], r["_amount"], r["_country"], r["_merchant"]
@@ -334,12 +335,15 @@ class AnomalyProcessor(_Processor):
             if n > 0 and amt is not None and amt > tot / n * r_["factor"]:
                 score += r_["w"][2]
                 why.append("AMOUNT_ANOMALY")
-            mk = (m,)
-            seen = self.merchants.getValue(mk)[0] if self.merchants.containsKey(mk) else 0
+            if m not in seen_now:
+                mk = (m,)
+                seen_now[m] = self.merchants.getValue(mk)[0] \
+                    if self.merchants.containsKey(mk) else 0
+            seen = seen_now[m]
             if seen > r_["merchant_min"]:
                 score += r_["w"][3]
                 why.append("MERCHANT_FREQUENCY")
-            self.merchants.updateValue(mk, (seen + 1,))
+            seen_now[m] = seen + 1
             if len(recent) >= r_["lookback"] and sum(
                     1 for a in recent[-r_["lookback"]:] if a is not None and a < r_["small"]) \
                     >= r_["small_min"]:
@@ -351,6 +355,8 @@ class AnomalyProcessor(_Processor):
             tot += amt or 0.0
             n += 1
             lc, lt = c, t
+        for m, c in seen_now.items():
+            self.merchants.updateValue((m,), (c,))
         self.st.update((n, tot, lc, lt))
         self.recent.put([(a,) for a in recent])
         return iter(out)
@@ -399,12 +405,15 @@ class PatternCountProcessor(_Processor):
 
     def handleInputRows(self, key, rows, timerValues):
         n = self.count.get()[0] if self.count.exists() else 0
+        known = set()
         out = []
         for r in sorted(rows, key=lambda r: r["_ord"]):
-            k = (r["_sig"],)
-            if not self.seen.containsKey(k):
-                self.seen.updateValue(k, (True,))
-                n += 1
+            sig = r["_sig"]
+            if sig not in known:
+                known.add(sig)
+                if not self.seen.containsKey((sig,)):
+                    self.seen.updateValue((sig,), (True,))
+                    n += 1
             out.append(self._row(*key, r["formatted_row"], r["schema_info"], n))
         self.count.update((n,))
         return iter(out)
