@@ -27,8 +27,12 @@ def hybrid_window(df: DataFrame, size, count_threshold: int, *, key: str,
                                 key, watermark)
     d = d.select(key, price, T_MS, SEQ).withColumn("_win", window_start(F.col(T_MS), size_ms))
     k = keyed(d, [key], [T_MS, SEQ], rows_per_chunk)
-    k = scan(k, by=["_win"], rn="_r")
-    b = k.result().withColumn("_b", F.floor((F.col("_r") - 1) / F.lit(n)))
+    # windows are contiguous runs in event order: the row number inside the
+    # window is the key's row number minus that of the window's first row
+    k = scan(k, rn="_rn", lags={"_pw": F.col("_win")})
+    first = F.when(~F.col("_pw").eqNullSafe(F.col("_win")), F.col("_rn"))
+    k = scan(k, lasts={"_w0": first})
+    b = k.result().withColumn("_b", F.floor((F.col("_rn") - F.col("_w0")) / F.lit(n)))
     g = b.groupBy(key, "_win", "_b").agg(
         F.count(F.lit(1)).cast("int").alias("num_orders"),
         F.sum(F.coalesce(F.col(price).cast("double"), F.lit(0.0))).alias("total_price"))
