@@ -49,3 +49,21 @@ def test_write_stream_changelog(spark):
                            checkpoint=os.path.join(d, "ck"), trigger={"availableNow": True})
     q.awaitTermination()
     assert spark.read.parquet(os.path.join(d, "out")).count() == 50
+
+
+def test_generator_stream_rate_source(spark):
+    import time
+    s = datagen.generate_stream(spark, "currency_rates", rows_per_second=50)
+    assert s.isStreaming and "currency" in s.columns
+    d = tempfile.mkdtemp(prefix="eventide-rate-")
+    q = (s.writeStream.format("memory").queryName("rate_gen").outputMode("append")
+         .option("checkpointLocation", os.path.join(d, "ck")).start())
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and spark.table("rate_gen").count() == 0:
+            time.sleep(1)
+    finally:
+        q.stop()
+    got = spark.table("rate_gen")
+    assert got.count() > 0
+    assert got.filter(~F.col("currency").isin("EUR", "USD", "GBP", "JPY", "CHF")).count() == 0
