@@ -17,7 +17,8 @@ def sessions(df: DataFrame, timeout_s: int, *, user: str = "userId",
              event_type: str = "eventType", time: str = "ts", seq: str | None = None,
              end_event: str = "LOGOUT", on_timeout: str = "continue",
              rows_per_chunk: int | None = None,
-             watermark: str | None = WATERMARK) -> DataFrame:
+             watermark: str | None = WATERMARK,
+             stream_order: str = "arrival") -> DataFrame:
     """Output: user, status, sessionDuration BIGINT (ms), eventCount INT,
     firstEventType, lastEventType.
 
@@ -34,7 +35,7 @@ def sessions(df: DataFrame, timeout_s: int, *, user: str = "userId",
     if d.isStreaming:
         from eventide.streaming import ops as st
         return st.sessions(d.withColumn("_type", F.col(event_type)), tmo, user, end_event,
-                           on_timeout == "close", watermark)
+                           on_timeout == "close", watermark, stream_order)
     d = d.select(user, event_type, T_MS, SEQ)
     et, t = F.col(event_type), F.col(T_MS)
     k = keyed(d, [user], [T_MS, SEQ], rows_per_chunk)

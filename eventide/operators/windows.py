@@ -14,7 +14,8 @@ from eventide.streaming.ops import WATERMARK
 def hybrid_window(df: DataFrame, size, count_threshold: int, *, key: str,
                   price: str = "price", time: str = "ts", seq: str | None = None,
                   rows_per_chunk: int | None = None,
-                  watermark: str | None = WATERMARK) -> DataFrame:
+                  watermark: str | None = WATERMARK,
+                  stream_order: str = "arrival") -> DataFrame:
     """Epoch-aligned tumbling window per key that also fires every
     ``count_threshold`` rows.  Output: key, window_start, window_end
     (TIMESTAMP_NTZ, UTC), num_orders INT, total_price DOUBLE (null price as 0)."""
@@ -24,7 +25,7 @@ def hybrid_window(df: DataFrame, size, count_threshold: int, *, key: str,
     if d.isStreaming:
         from eventide.streaming import ops as st
         return st.hybrid_window(d.withColumn("_price", F.col(price).cast("double")), size_ms, n,
-                                key, watermark)
+                                key, watermark, stream_order)
     d = d.select(key, price, T_MS, SEQ).withColumn("_win", window_start(F.col(T_MS), size_ms))
     k = keyed(d, [key], [T_MS, SEQ], rows_per_chunk)
     # windows are contiguous runs in event order: the row number inside the

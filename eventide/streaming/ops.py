@@ -71,24 +71,26 @@ def early_fire_window(d: DataFrame, size_ms, key, seq_name, watermark=WATERMARK,
     return out.select(*cols)
 
 
-def hybrid_window(d: DataFrame, size_ms, threshold, key, watermark=WATERMARK):
+def hybrid_window(d: DataFrame, size_ms, threshold, key, watermark=WATERMARK,
+                  order="arrival"):
     from eventide.streaming.processors import HybridWindowProcessor
     d = d.select(key, "_price", T_MS, "_q")
     schema = f"{key} {_ktype(d, key)}, _ws long, _we long, num_orders int, total_price double"
     out = _tws(d, key, HybridWindowProcessor(size_ms, threshold), schema, "EventTime",
-               watermark)
+               watermark, order)
     return out.select(key, ms_to_ntz(F.col("_ws")).alias("window_start"),
                       ms_to_ntz(F.col("_we")).alias("window_end"), "num_orders",
                       "total_price")
 
 
-def sessions(d: DataFrame, timeout_ms, key, end_event, close, watermark=WATERMARK):
+def sessions(d: DataFrame, timeout_ms, key, end_event, close, watermark=WATERMARK,
+             order="arrival"):
     from eventide.streaming.processors import SessionProcessor
     d = d.select(key, "_type", T_MS, "_q")
     schema = (f"{key} {_ktype(d, key)}, status string, sessionDuration long, "
               "eventCount int, firstEventType string, lastEventType string")
     return _tws(d, key, SessionProcessor(timeout_ms, end_event, close), schema, "EventTime",
-                watermark)
+                watermark, order)
 
 
 def changelog_audit(d: DataFrame, key, time_type, rate_type, watermark=WATERMARK,

@@ -182,58 +182,74 @@ class HybridWindowProcessor(_Processor):
     def __init__(self, size_ms, threshold):
         self.size, self.n = int(size_ms), int(threshold)
 
-    def init(self, handle):
-        self.h = handle
+    def setup(self, handle):
         self.st = handle.getValueState("win", "start long, n int, total double")
 
     def _emit(self, key, start, n, total):
         return self._row(key[0], start, start + self.size, n, total)
 
-    def handleInputRows(self, key, rows, timerValues):
-        start, n, total = self.st.get() if self.st.exists() else (None, 0, 0.0)
-        out = []
-        for r in _sorted(rows):
-            w = r[T] - r[T] % self.size
-            if start is not None and w != start:
-                out.append(self._emit(key, start, n, total))
-                self.h.deleteTimer(start + self.size)
-                start = None
-            if start is None:
-                start, n, total = w, 0, 0.0
-                self.h.registerTimer(start + self.size)
-            n += 1
-            total += r["_price"] or 0.0
-            if n >= self.n:
-                out.append(self._emit(key, start, n, total))
-                self.h.deleteTimer(start + self.size)
-                start, n, total = None, 0, 0.0
-        if start is None:
+    def _load(self):
+        return list(self.st.get()) if self.st.exists() else [None, 0, 0.0]
+
+    def _save(self, w):
+        if w[0] is None:
             self.st.clear()
         else:
-            self.st.update((start, n, total))
+            self.st.update(tuple(w))
+
+    def fold(self, key, rows):
+        w = self._load()
+        out = []
+        for r in _sorted(rows):
+            win = r[T] - r[T] % self.size
+            if w[0] is not None and win != w[0]:
+                out.append(self._emit(key, *w))
+                self.h.deleteTimer(w[0] + self.size)
+                w = [None, 0, 0.0]
+            if w[0] is None:
+                w = [win, 0, 0.0]
+                self.h.registerTimer(win + self.size)
+            w[1] += 1
+            w[2] += r["_price"] or 0.0
+            if w[1] >= self.n:
+                out.append(self._emit(key, *w))
+                self.h.deleteTimer(w[0] + self.size)
+                w = [None, 0, 0.0]
+        self._save(w)
         return iter(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.st.exists():
-            start, n, total = self.st.get()
-            self.st.clear()
-            if start is not None and n > 0:
-                yield self._emit(key, start, n, total)
+        out = list(self._drain(key, timerValues))
+        w = self._load()
+        if w[0] is not None and w[0] + self.size <= timerValues.getCurrentWatermarkInMs():
+            if w[1] > 0:
+                out.append(self._emit(key, *w))
+            self._save([None, 0, 0.0])
+        return iter(out)
+
 
 class SessionProcessor(_Processor):
     def __init__(self, timeout_ms, end_event, close_on_timeout):
         self.tmo, self.end, self.close_tmo = int(timeout_ms), end_event, close_on_timeout
 
-    def init(self, handle):
-        self.h = handle
+    def setup(self, handle):
         self.st = handle.getValueState(
             "session", "start long, first string, last string, n int, timer long")
 
     def _timeout(self, key, s, at):
         return self._row(key[0], "TIMEOUT", at - s[0], s[3], s[1], s[2])
 
-    def handleInputRows(self, key, rows, timerValues):
-        s = list(self.st.get()) if self.st.exists() else None
+    def _load(self):
+        return list(self.st.get()) if self.st.exists() else None
+
+    def _save(self, s):
+        if s is None:
+            self.st.clear()
+        else:
+            self.st.update(tuple(s))
+
+    def fold(self, key, rows):
+        s = self._load()
         out = []
         for r in _sorted(rows):
             t, et = r[T], r["_type"]
@@ -256,25 +272,21 @@ class SessionProcessor(_Processor):
                 continue
             s[4] = t + self.tmo
             self.h.registerTimer(s[4])
-        if s is None:
-            self.st.clear()
-        else:
-            self.st.update(tuple(s))
+        self._save(s)
         return iter(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if not self.st.exists():
-            return
-        s = list(self.st.get())
-        at = expiredTimerInfo.getExpiryTimeInMs()
-        if s[4] != at:
-            return
-        yield self._timeout(key, s, at)
-        if self.close_tmo:
-            self.st.clear()
-        else:
-            s[4] = None
-            self.st.update(tuple(s))
+        out = list(self._drain(key, timerValues))
+        s = self._load()
+        if s is not None and s[4] is not None and s[4] <= timerValues.getCurrentWatermarkInMs():
+            out.append(self._timeout(key, s, s[4]))
+            if self.close_tmo:
+                s = None
+            else:
+                s[4] = None
+            self._save(s)
+        return iter(out)
+
 
 class AuditProcessor(_Processor):
     """Rates travel as strings so DECIMAL values stay exact in state."""

@@ -223,3 +223,21 @@ def test_stream_cdc_json_source(spark):
     batch = ops.cdc_changelog(read_cdc(spark, path, "kv_changes")).drop("event_time")
     s = ops.cdc_changelog(read_cdc_stream(spark, path, "kv_changes")).drop("event_time")
     _same(_run(spark, s, tempfile.mkdtemp(prefix="eventide-stream-")), batch)
+
+
+@pytest.mark.parametrize("mode", ["continue", "close"])
+def test_stream_event_order_timers_with_late_files(spark, mode):
+    ev = tb.events(spark, SF)
+    sent = _sentinel(spark, ev, user_id=SENTINEL, event_id=10**9, ts=dt.datetime(2030, 1, 1))
+    s, d = _shuffled_stream(spark, ev, "event_id", sent)
+    kw = dict(user="user_id", event_type="event_type", time="ts", seq="event_id",
+              end_event="purchase", on_timeout=mode)
+    got = _run(spark, ops.sessions(s, 6 * 3600, watermark="60 days", stream_order="event",
+                                   **kw), d)
+    _same(got.filter(F.col("user_id") != SENTINEL), ops.sessions(ev, 6 * 3600, **kw))
+    s2, d2 = _shuffled_stream(spark, ev, "event_id", sent)
+    kw = dict(key="user_id", price="value", time="ts", seq="event_id")
+    got = _run(spark, ops.hybrid_window(s2, 6 * 3_600_000, 3, watermark="60 days",
+                                        stream_order="event", **kw), d2)
+    _same(got.filter(F.col("user_id") != SENTINEL),
+          ops.hybrid_window(ev, 6 * 3_600_000, 3, **kw))
