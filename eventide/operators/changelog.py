@@ -89,8 +89,8 @@ def latest_changelog(df: DataFrame, keys, *, time: str, seq: str,
     k = scan(k, maxes_before={"_mx": F.col(T_MS)})
     # Dropping superseded rows keeps the partitioning (and slices): the second
     # scan needs no new exchange or key statistics.
-    kept = k.df.filter(F.col("_mx").isNull() | (F.col(T_MS) >= F.col("_mx"))).drop("_mx")
-    k2 = scan(k.with_df(kept), lags={"_old": F.col("_row")})
+    k2 = scan(k.map(lambda d: d.filter(F.col("_mx").isNull() | (F.col(T_MS) >= F.col("_mx")))
+                    .drop("_mx")), lags={"_old": F.col("_row")})
     r = k2.result()
     ch = F.when(F.col("_old").isNull(),
                 F.array(F.struct(F.lit("+I").alias("op"), F.lit(0).alias("change_seq"),

@@ -74,7 +74,7 @@ def early_fire_window(df: DataFrame, size, *, key: str, price: str = "price",
         # arrival order: a row whose window differs from the previous row's
         # (also a late row) restarts the totals
         k = scan(k, lags={"_pw": F.col("_win")})
-        k = k.with_df(k.df.withColumn(
+        k = k.map(lambda d: d.withColumn(
             "_new", (~F.col("_pw").eqNullSafe(F.col("_win"))).cast("int")))
         k = scan(k, sums={"_isl": F.col("_new")})
         k = scan(k, by=["_isl"], rn="_cnt", sums={"_tot": price_0})

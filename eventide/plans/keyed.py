@@ -42,7 +42,9 @@ _UNF = Window.unboundedFollowing
 
 @dataclass(frozen=True)
 class Keyed:
-    """A DataFrame plus the key / order it is scanned by."""
+    """The rows to scan, by key and order: ``df`` holds the keys that take
+    the plain single-window plan; ``hot`` (split path only) holds the rows of
+    the hot keys, with their slice number and normalised key columns."""
 
     df: DataFrame
     keys: tuple[str, ...]
@@ -50,27 +52,27 @@ class Keyed:
     chunked: bool = False
     hot_keys: int = 0
     extra: dict = field(default_factory=dict)
-
-    def window(self, by=()) -> Window:
-        parts = [*self.keys, *by] + ([CHUNK] if self.chunked else [])
-        return Window.partitionBy(*parts).orderBy(*self.order)
+    hot: DataFrame | None = None
 
     def plain_window(self, by=()) -> Window:
         return Window.partitionBy(*self.keys, *by).orderBy(*self.order)
 
-    def with_df(self, df: DataFrame) -> "Keyed":
-        return Keyed(df, self.keys, self.order, self.chunked, self.hot_keys, self.extra)
+    def map(self, fn) -> "Keyed":
+        """Apply a row-wise DataFrame transformation to both parts."""
+        return Keyed(fn(self.df), self.keys, self.order, self.chunked, self.hot_keys,
+                     self.extra, None if self.hot is None else fn(self.hot))
 
     def cluster(self) -> "Keyed":
-        """Hash-partition by the key once, so that scans with different
-        ``by`` columns (all containing the key) share that one exchange."""
-        parts = ([*self.extra["part"], CHUNK] if self.chunked else [*self.keys])
-        return self.with_df(self.df.repartition(*parts))
+        """Hash-partition the plain part by the key once, so that scans with
+        different ``by`` columns (all containing the key) share that one
+        exchange.  Split scans place their own exchange."""
+        return Keyed(self.df.repartition(*self.keys), self.keys, self.order, self.chunked,
+                     self.hot_keys, self.extra, self.hot)
 
     def result(self) -> DataFrame:
-        if not self.chunked:
+        if self.hot is None:
             return self.df
-        return self.df.drop(CHUNK, *self.extra.get("part", []))
+        return self.df.unionByName(self.hot.drop(CHUNK, *self.extra.get("part", [])))
 
 
 def _rows_per_chunk(df: DataFrame, rows_per_chunk: int | None) -> int:
@@ -139,29 +141,31 @@ def keyed(df: DataFrame, keys, order, rows_per_chunk: int | None = None) -> Keye
                    (F.floor((F.col("_hi") - F.col("_lo"))
                             / F.ceil(F.col("_n") / F.lit(limit))) + 1)
                    .cast("long").alias("_w")))
-    n_hot = hot.count()
-    if n_hot == 0:
-        return Keyed(df, keys, order, False)
     # Materialise the (small) hot-key table once in the shared checkpoint
-    # folder, so the main job does not recompute the key statistics and a
-    # lost executor does not send it back to the input scan.
+    # folder: the key statistics are computed in one pass, the main job does
+    # not recompute them, and a lost executor does not send it back to the
+    # input scan.
     from eventide.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     hot = hot.checkpoint(eager=True)
+    n_hot = hot.count()
+    if n_hot == 0:
+        return Keyed(df, keys, order, False)
     side = F.broadcast(hot) if n_hot <= BROADCAST_ROW_LIMIT else hot
     on = _null_safe_on(df, side, [(k, f"_hk{i}") for i, k in enumerate(keys)])
-    chunk = (F.when(F.col("_w").isNull(), F.lit(0))
-             .when(t.isNull(), F.lit(-1))
+    # rows of ordinary keys keep the plain plan; only hot keys are sliced
+    cold = df.join(side, on, "left_anti")
+    chunk = (F.when(t.isNull(), F.lit(-1))
              .otherwise(F.floor((t.cast("long") - F.col("_lo")) / F.col("_w")))
              .cast("long"))
-    out = (df.join(side, on, "left")
+    out = (df.join(side, on, "inner")
            .withColumn(CHUNK, chunk)
            .drop("_lo", "_w", *[f"_hk{i}" for i in range(len(keys))]))
     norm = {}
     for i, kc in enumerate(keys):
         norm.update(_normalized(out, kc, f"_nk{i}"))
     out = out.withColumns(norm)
-    return Keyed(out, keys, order, True, n_hot, {"part": list(norm)})
+    return Keyed(cold, keys, order, True, n_hot, {"part": list(norm)}, out)
 
 
 def ttl_epochs(k: Keyed, ttl_ms: int | None) -> Keyed:
@@ -173,15 +177,16 @@ def ttl_epochs(k: Keyed, ttl_ms: int | None) -> Keyed:
         return k
     t = F.col(k.order[0])
     k = scan(k, lags={"_ttl_prev": t})
-    k = k.with_df(k.df.withColumn("_ttl_new", (F.col("_ttl_prev").isNull()
-                                               | (t - F.col("_ttl_prev") > int(ttl_ms)))
-                                  .cast("int")))
+    k = k.map(lambda d: d.withColumn("_ttl_new", (F.col("_ttl_prev").isNull()
+                                                  | (t - F.col("_ttl_prev") > int(ttl_ms)))
+                                     .cast("int")))
     k = scan(k, sums={"_epoch": F.col("_ttl_new")})
+    k = k.map(lambda d: d.drop("_ttl_prev", "_ttl_new"))
     extra = dict(k.extra)
-    if k.chunked:
+    if k.hot is not None:
         extra["part"] = list(extra["part"]) + ["_epoch"]
-    return Keyed(k.df.drop("_ttl_prev", "_ttl_new"), k.keys + ("_epoch",), k.order,
-                 k.chunked, k.hot_keys, extra)
+        extra["partitioned_by"] = None
+    return Keyed(k.df, k.keys + ("_epoch",), k.order, k.chunked, k.hot_keys, extra, k.hot)
 
 
 def scan(k: Keyed, *, by=(), rn: str | None = None, sums=None, sums_before=None,
@@ -206,42 +211,55 @@ def scan(k: Keyed, *, by=(), rn: str | None = None, sums=None, sums_before=None,
     lags, leads, firsts = lags or {}, leads or {}, firsts or {}
     maxes_before, recent = maxes_before or {}, recent or {}
     by = tuple(by)
-    if not k.chunked:
-        w = k.plain_window(by)
-        cols = {}
-        if rn:
-            cols[rn] = F.row_number().over(w)
-        for n, e in sums.items():
-            cols[n] = F.coalesce(F.sum(e).over(w.rowsBetween(_UNB, 0)), F.lit(0))
-        for n, e in sums_before.items():
-            cols[n] = F.coalesce(F.sum(e).over(w.rowsBetween(_UNB, -1)), F.lit(0))
-        for n, e in lasts.items():
-            cols[n] = F.last(e, True).over(w.rowsBetween(_UNB, 0))
-        for n, e in lasts_before.items():
-            cols[n] = F.last(e, True).over(w.rowsBetween(_UNB, -1))
-        for n, e in lags.items():
-            cols[n] = F.lag(e).over(w)
-        for n, e in leads.items():
-            cols[n] = F.lead(e).over(w)
-        for n, e in firsts.items():
-            cols[n] = F.first(e).over(w.rowsBetween(_UNB, 0))
-        for n, e in maxes_before.items():
-            cols[n] = F.max(e).over(w.rowsBetween(_UNB, -1))
-        for n, (p, kk) in recent.items():
-            cols[n] = F.count(F.when(p, 1)).over(w.rowsBetween(-kk, -1))
-        return k.with_df(k.df.withColumns(cols))
-    return _scan_chunked(k, by, rn, sums, sums_before, lasts, lasts_before, lags,
-                         leads, firsts, maxes_before, recent)
+    plain = _scan_plain(k, by, rn, sums, sums_before, lasts, lasts_before, lags, leads, firsts,
+                        maxes_before, recent)
+    if k.hot is None:
+        return plain
+    return _scan_chunked(plain, by, rn, sums, sums_before, lasts, lasts_before, lags, leads,
+                         firsts, maxes_before, recent)
+
+
+def _scan_plain(k, by, rn, sums, sums_before, lasts, lasts_before, lags, leads, firsts,
+                maxes_before, recent) -> Keyed:
+    w = k.plain_window(by)
+    cols = {}
+    if rn:
+        cols[rn] = F.row_number().over(w)
+    for n, e in sums.items():
+        cols[n] = F.coalesce(F.sum(e).over(w.rowsBetween(_UNB, 0)), F.lit(0))
+    for n, e in sums_before.items():
+        cols[n] = F.coalesce(F.sum(e).over(w.rowsBetween(_UNB, -1)), F.lit(0))
+    for n, e in lasts.items():
+        cols[n] = F.last(e, True).over(w.rowsBetween(_UNB, 0))
+    for n, e in lasts_before.items():
+        cols[n] = F.last(e, True).over(w.rowsBetween(_UNB, -1))
+    for n, e in lags.items():
+        cols[n] = F.lag(e).over(w)
+    for n, e in leads.items():
+        cols[n] = F.lead(e).over(w)
+    for n, e in firsts.items():
+        cols[n] = F.first(e).over(w.rowsBetween(_UNB, 0))
+    for n, e in maxes_before.items():
+        cols[n] = F.max(e).over(w.rowsBetween(_UNB, -1))
+    for n, (p, kk) in recent.items():
+        cols[n] = F.count(F.when(p, 1)).over(w.rowsBetween(-kk, -1))
+    return Keyed(k.df.withColumns(cols), k.keys, k.order, k.chunked, k.hot_keys, k.extra,
+                 k.hot)
 
 
 def _scan_chunked(k, by, rn, sums, sums_before, lasts, lasts_before, lags, leads,
                   firsts, maxes_before, recent) -> Keyed:
     bnorm = {}
     for j, b in enumerate(by):
-        bnorm.update(_normalized(k.df, b, f"_nb{j}"))
-    base = k.df.withColumns(bnorm) if bnorm else k.df
+        bnorm.update(_normalized(k.hot, b, f"_nb{j}"))
+    base = k.hot.withColumns(bnorm) if bnorm else k.hot
     grp = [*k.extra["part"], *bnorm]
     part = [*grp, CHUNK]
+    if k.extra.get("partitioned_by") != tuple(part):
+        # one explicit exchange that the windows, the per-slice summary and
+        # the carry join all reuse (the summary then reads shuffle output
+        # instead of recomputing the input)
+        base = base.repartition(*part)
     wc = Window.partitionBy(*part).orderBy(*k.order)
     ostruct = F.struct(*[F.col(c) for c in k.order])
     local = {"_l__rn": F.row_number().over(wc),
@@ -335,4 +353,6 @@ def _scan_chunked(k, by, rn, sums, sums_before, lasts, lasts_before, lags, leads
         out[n] = F.col(f"_l_{n}") + F.when(lrn <= kk, F.coalesce(from_prev, F.lit(0))) \
             .otherwise(F.lit(0))
     drop = [c for c in joined.columns if c.startswith(("_l_", "_t_", "_c_", "_j"))] + list(bnorm)
-    return k.with_df(joined.withColumns(out).drop(*drop))
+    extra = dict(k.extra, partitioned_by=tuple(part) if not bnorm else None)
+    return Keyed(k.df, k.keys, k.order, k.chunked, k.hot_keys, extra,
+                 joined.withColumns(out).drop(*drop))
