@@ -141,16 +141,20 @@ def keyed(df: DataFrame, keys, order, rows_per_chunk: int | None = None) -> Keye
                    (F.floor((F.col("_hi") - F.col("_lo"))
                             / F.ceil(F.col("_n") / F.lit(limit))) + 1)
                    .cast("long").alias("_w")))
-    # Materialise the (small) hot-key table once in the shared checkpoint
-    # folder: the key statistics are computed in one pass, the main job does
-    # not recompute them, and a lost executor does not send it back to the
-    # input scan.
-    from eventide.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    hot = hot.checkpoint(eager=True)
-    n_hot = hot.count()
+    # The key statistics are computed in one pass: the (small) hot-key table
+    # is cached for the count and, only when it is not empty, written once
+    # to the shared checkpoint folder so the main job neither recomputes it
+    # nor depends on the cache (a lost executor does not send it back to the
+    # input scan).
+    cached = hot.persist()
+    n_hot = cached.count()
     if n_hot == 0:
+        cached.unpersist()
         return Keyed(df, keys, order, False)
+    from eventide.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    hot = cached.checkpoint(eager=True)
+    cached.unpersist()
     side = F.broadcast(hot) if n_hot <= BROADCAST_ROW_LIMIT else hot
     on = _null_safe_on(df, side, [(k, f"_hk{i}") for i, k in enumerate(keys)])
     # rows of ordinary keys keep the plain plan; only hot keys are sliced
