@@ -1,0 +1,47 @@
+"""Small helpers and the call shapes shown in the README."""
+
+from pyspark.sql import functions as F
+
+from eventide import operators as ops
+from eventide.functions.columns import interval_ms
+from eventide.plans.keyed import keyed, scan
+from eventide.session import scale_conf
+from eventide.sources import datagen
+from eventide.streaming.processors import field_names
+
+
+def test_interval_ms():
+    assert interval_ms(5000) == 5000
+    assert interval_ms("5 seconds") == 5000
+    assert interval_ms("1 day") == 86_400_000
+    assert interval_ms("2 hours") == 7_200_000
+
+
+def test_field_names_nested():
+    ddl = "a string, b array<struct<x:int,y:double>>, c map<string,struct<S:string>>, d long"
+    assert field_names(ddl) == ["a", "b", "c", "d"]
+
+
+def test_scale_conf():
+    c = scale_conf(100 * 2**40)
+    assert int(c["spark.sql.shuffle.partitions"]) > 100_000
+    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(scale_conf(10)["spark.sql.shuffle.partitions"]) == 200
+
+
+def test_string_order_column_keeps_keys_whole(spark):
+    df = spark.createDataFrame([("k", "a"), ("k", "b"), ("k", "c")], "key string, o string")
+    k = keyed(df, ["key"], ["o"], rows_per_chunk=1)
+    assert not k.chunked
+    assert [r.rn for r in scan(k, rn="rn").result().orderBy("o").collect()] == [1, 2, 3]
+
+
+def test_readme_call_shapes(spark):
+    tx = datagen.generate(spark, "transactions", 2000)
+    assert ops.anomaly_alerts(tx, user="userId", time="ts", seq="ts").count() >= 0
+    orders = datagen.generate(spark, "orders", 2000)
+    first = ops.spend_threshold(orders, 500.0, key="customerId", price="totalAmount",
+                                order_id="orderId", seq="ts")
+    assert first.filter(F.col("total_spend") < 500.0).count() == 0
+    wins = ops.hybrid_window(orders, "5 seconds", 5000, key="customerId", price="totalAmount")
+    assert wins.agg(F.sum("num_orders")).first()[0] == 2000
