@@ -33,7 +33,12 @@ def anomaly_alerts(df: DataFrame, *, user: str = "userId", amount: str = "amount
 
     Each row is scored against the rows of the same user before it (in
     event-time order, ``seq`` breaking ties); an alert is emitted when the
-    score reaches ``threshold``."""
+    score reaches ``threshold``.
+
+    On a streaming DataFrame the same call runs a transformWithState
+    processor; ``watermark`` bounds lateness and ``stream_order`` is
+    'arrival' (fold each micro-batch as it comes) or 'event' (buffer until
+    the watermark passes, then fold in event-time order)."""
     require_time(time, "anomaly_alerts")
     d = with_time_seq(df, time, seq, "anomaly_alerts",
                       need=(user, amount, country, merchant, *keep))

@@ -28,7 +28,12 @@ def changelog_audit(df: DataFrame, *, key: str = "currency", rate: str = "rate",
     INSERT -> (null, rate); UPDATE_AFTER -> (remembered, rate); UPDATE_BEFORE
     ignored; DELETE -> (remembered, null) and forgets the rate.
     ``state_ttl`` (the reference keeps 7 days): after a longer silence the
-    remembered rate is gone."""
+    remembered rate is gone.
+
+    On a streaming DataFrame the same call runs a transformWithState
+    processor; ``watermark`` bounds lateness and ``stream_order`` is
+    'arrival' (fold each micro-batch as it comes) or 'event' (buffer until
+    the watermark passes, then fold in event-time order)."""
     d = with_time_seq(df, time, seq, "changelog_audit", need=(key, rate, op))
     opc = F.col(op)
     d = d.filter(opc.isin("+I", "+U", "-D")).select(

@@ -29,7 +29,12 @@ def first_match_join(orders: DataFrame, customers: DataFrame, *,
     each side up to that row.
 
     ``state_ttl`` (ms or '1 hour'; the reference keeps state 1 hour):
-    after a silence longer than that a key starts over and may match again."""
+    after a silence longer than that a key starts over and may match again.
+
+    On a streaming DataFrame the same call runs a transformWithState
+    processor; ``watermark`` bounds lateness and ``stream_order`` is
+    'arrival' (fold each micro-batch as it comes) or 'event' (buffer until
+    the watermark passes, then fold in event-time order)."""
     o = with_time_seq(orders, time, order_seq, "first_match_join(orders)",
                       need=(key, order_id, total))
     c = with_time_seq(customers, time, customer_seq, "first_match_join(customers)",

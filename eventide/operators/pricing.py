@@ -116,7 +116,12 @@ def dynamic_pricing(inventory: DataFrame, competitor: DataFrame | None = None, *
     competitor price more than 5 % away sets 98 % of it; a change above
     ``min_change`` is emitted and becomes the price.  At equal times
     inventory rows go before competitor rows.  ``state_ttl`` (the reference
-    keeps 7 days): after a longer silence a SKU starts from a fresh state."""
+    keeps 7 days): after a longer silence a SKU starts from a fresh state.
+
+    On a streaming DataFrame the same call runs a transformWithState
+    processor; ``watermark`` bounds lateness and ``stream_order`` is
+    'arrival' (fold each micro-batch as it comes) or 'event' (buffer until
+    the watermark passes, then fold in event-time order)."""
     ttl = interval_ms(state_ttl) if state_ttl else None
     inv = with_time_seq(inventory, time, inventory_seq, "dynamic_pricing(inventory)",
                         need=(key, quantity, base_price))

@@ -26,7 +26,12 @@ def sessions(df: DataFrame, timeout_s: int, *, user: str = "userId",
     followed by more than ``timeout_s`` of silence emits TIMEOUT with duration
     ``t + timeout - start``.  ``on_timeout='continue'`` (the reference code)
     keeps the session open after a timeout, so counts keep accumulating;
-    ``'close'`` starts a new session after it (the documented intent)."""
+    ``'close'`` starts a new session after it (the documented intent).
+
+    On a streaming DataFrame the same call runs a transformWithState
+    processor; ``watermark`` bounds lateness and ``stream_order`` is
+    'arrival' (fold each micro-batch as it comes) or 'event' (buffer until
+    the watermark passes, then fold in event-time order)."""
     require_time(time, "sessions")
     if on_timeout not in ("continue", "close"):
         raise ValueError("on_timeout must be 'continue' or 'close'")

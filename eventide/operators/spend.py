@@ -22,7 +22,12 @@ def spend_threshold(df: DataFrame, threshold: float, *, key: str = "customer_id"
 
     The crossing test is inclusive (``>=``); a null price counts as 0.  With
     negative prices a key may cross, fall back and cross again: only the first
-    crossing is reported."""
+    crossing is reported.
+
+    On a streaming DataFrame the same call runs a transformWithState
+    processor; ``watermark`` bounds lateness and ``stream_order`` is
+    'arrival' (fold each micro-batch as it comes) or 'event' (buffer until
+    the watermark passes, then fold in event-time order)."""
     d = with_time_seq(df, time, seq, "spend_threshold", need=(key, price, order_id))
     order = [T_MS, SEQ] if time is not None else [SEQ]
     if d.isStreaming:

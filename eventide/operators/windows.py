@@ -18,7 +18,12 @@ def hybrid_window(df: DataFrame, size, count_threshold: int, *, key: str,
                   stream_order: str = "arrival") -> DataFrame:
     """Epoch-aligned tumbling window per key that also fires every
     ``count_threshold`` rows.  Output: key, window_start, window_end
-    (TIMESTAMP_NTZ, UTC), num_orders INT, total_price DOUBLE (null price as 0)."""
+    (TIMESTAMP_NTZ, UTC), num_orders INT, total_price DOUBLE (null price as 0).
+
+    On a streaming DataFrame the same call runs a transformWithState
+    processor; ``watermark`` bounds lateness and ``stream_order`` is
+    'arrival' (fold each micro-batch as it comes) or 'event' (buffer until
+    the watermark passes, then fold in event-time order)."""
     require_time(time, "hybrid_window")
     size_ms, n = interval_ms(size), int(count_threshold)
     d = with_time_seq(df, time, seq, "hybrid_window", need=(key, price))
@@ -50,7 +55,12 @@ def early_fire_window(df: DataFrame, size, *, key: str, price: str = "price",
     """Running window aggregate emitted on every row.  The running totals
     restart whenever a row's window differs from the previous row's (also for
     late rows).  ``order_by``: 'event' (time, seq) or 'arrival' (seq).
-    Output: key, window_start, window_end, num_orders, total_price (+ keep)."""
+    Output: key, window_start, window_end, num_orders, total_price (+ keep).
+
+    On a streaming DataFrame the same call runs a transformWithState
+    processor; ``watermark`` bounds lateness and ``stream_order`` is
+    'arrival' (fold each micro-batch as it comes) or 'event' (buffer until
+    the watermark passes, then fold in event-time order)."""
     require_time(time, "early_fire_window")
     size_ms = interval_ms(size)
     d = with_time_seq(df, time, seq, "early_fire_window", need=(key, price, *keep))
