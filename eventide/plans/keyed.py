@@ -260,9 +260,9 @@ def _scan_chunked(k, by, rn, sums, sums_before, lasts, lasts_before, lags, leads
     grp = [*k.extra["part"], *bnorm]
     part = [*grp, CHUNK]
     if k.extra.get("partitioned_by") != tuple(part):
-        # one explicit exchange that the windows, the per-slice summary and
-        # the carry join all reuse (the summary then reads shuffle output
-        # instead of recomputing the input)
+        # one explicit exchange on the slice keys: the windows and the carry
+        # join share it (the per-slice summary, which needs fewer columns, is
+        # pruned by Catalyst into its own narrower exchange of the hot rows)
         base = base.repartition(*part)
     wc = Window.partitionBy(*part).orderBy(*k.order)
     ostruct = F.struct(*[F.col(c) for c in k.order])
