@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import langid, simhash
+from eventide.llm import langid, simhash, winnow
 from eventide.llm.common import id_hash_mod
 
 
@@ -13,6 +13,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnow.contamination(_table(spark, sf_dir, "documents"),
+                                 _table(spark, sf_dir, "benchmark"), span=10, gram=5)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op7_language_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = id_hash_mod(F.col("doc_id"), 4) == 2
@@ -28,6 +36,7 @@ def op10_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_winnowing": op2_winnowing,
     "op7_language_bitmask": op7_language_bitmask,
     "op10_simhash_multi_index": op10_simhash_multi_index,
 }
