@@ -5,14 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import langid, simhash, winnow
-from eventide.llm.common import id_hash_mod
+from eventide.llm import (langid, license_scan, packing, secret_scan, simhash, topk, url_filter, warc,
+                          winnow)
+from eventide.llm.common import id_hash_mod, shared_path
+
+# The rules that op9 judges by.
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
+             ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_json() -> str:
+    """The public byte-level BPE tokenizer, read on the driver."""
+    import public_tokenizers
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return f.read()
+
+
 def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnow.contamination(_table(spark, sf_dir, "documents"),
                                  _table(spark, sf_dir, "benchmark"), span=10, gram=5)
@@ -21,6 +33,48 @@ def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path, min_revisit=0)
+    return warc.read_archives(spark, path, with_payload=False) \
+        .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op4_license_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
+    base = F.array_distinct(F.transform("base_places", lambda p: p["label"]))
+    more = F.array_distinct(F.transform("spans", lambda s: s["label"]))
+    best = F.array_max(F.transform("spans", lambda s: s["score"]))
+    return found.select(
+        "doc_id", "n_words", F.size("base_places").cast("long").alias("n_base"),
+        F.array_min(F.transform("base_places", lambda p: p["word"])).alias("first_word"),
+        F.array_max(F.transform("base_places", lambda p: p["word"])).alias("last_word"),
+        F.array_join(F.array_sort(base), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, more)), ",").alias("labels"),
+        F.coalesce(best, F.lit(0.0)).alias("score"))
+
+
+def op5_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(_table(spark, sf_dir, "documents"))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["first"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["kind"] != "novel")
+    return found.select(
+        "doc_id", *[F.size(_of_kind(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+def _of_kind(kind: str):
+    return F.filter("spans", lambda s: s["kind"] == kind)
+
+
+def op6_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_json(), capacity=2048,
+                        with_ids=False)
+
+
 def op7_language_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = id_hash_mod(F.col("doc_id"), 4) == 2
@@ -29,6 +83,16 @@ def op7_language_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op8_topk_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256) \
+        .select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+def op9_url_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
+    return url_filter.judge(_table(spark, sf_dir, "pages"), rules)
+
+
 def op10_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -37,8 +101,74 @@ def op10_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_winnowing": op2_winnowing,
+    "op3_warc_zstd": op3_warc_zstd,
+    "op4_license_fuzzy": op4_license_fuzzy,
+    "op5_secret_novelty": op5_secret_novelty,
+    "op6_bounded_packing": op6_bounded_packing,
     "op7_language_bitmask": op7_language_bitmask,
+    "op8_topk_postings": op8_topk_postings,
+    "op9_url_bloom": op9_url_bloom,
     "op10_simhash_multi_index": op10_simhash_multi_index,
 }
 
-ORACLE: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+# Queries without an entry here have no SQL form (learned models, XXH64
+# votes, BPE ids, fuzzy and compressor spans); tests/llm holds them against
+# brute-force versions, round trips or held-out accuracy.
+ORACLE: dict[str, str] = {
+    "op2_winnowing": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+     i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+     lens AS (SELECT DISTINCT least(10, len(w)) AS n FROM i WHERE len(w) > 0),
+     iw AS (SELECT DISTINCT item_id, n, list_slice(w, p, p + n - 1) AS g
+            FROM (SELECT item_id, w, least(10, len(w)) AS n,
+                         unnest(range(1, len(w) - least(10, len(w)) + 2)) AS p FROM i WHERE len(w) > 0)),
+     dw AS (SELECT doc_id, n, p, list_slice(w, p, p + n - 1) AS g
+            FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p
+                  FROM d, lens WHERE len(w) >= n)),
+     m AS (SELECT dw.doc_id, dw.p, dw.n, iw.item_id FROM dw JOIN iw USING (n, g)),
+     h AS (SELECT doc_id, count(DISTINCT q) AS n_hit
+           FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM m) GROUP BY doc_id),
+     t AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids
+           FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM m) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""",
+    "op3_warc_zstd": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS b FROM pages),
+     x AS (SELECT page_id, strlen(b) AS payload_bytes, sha1(b) AS h, max(page_id) OVER (PARTITION BY b) AS top FROM p),
+     bits AS (SELECT *, array_to_string(list_transform(range(1, 41), k -> ['0000','0001','0010','0011','0100','0101',
+                '0110','0111','1000','1001','1010','1011','1100','1101','1110','1111'][strpos('0123456789abcdef', h[k])]),
+                '') AS z FROM x)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), k -> 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + list_sum(
+           list_transform(range(1, 6), j -> CAST(z[5 * k + j] AS BIGINT) * CAST(power(2, 5 - j) AS BIGINT)))::BIGINT]), '')
+           AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to
+FROM bits""",
+    "op8_topk_postings": """
+WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT q.vec_id AS query_id, c.vec_id,
+                  CAST(list_sum(list_transform(list_zip(q.w, c.w), z -> z[1] * z[2])) AS BIGINT) AS score
+           FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op9_url_bloom": f"""
+WITH rules(rule_host, rule_path, v) AS (VALUES {', '.join(str(r) for r in URL_RULES)}),
+     u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+           FROM pages),
+     s AS (SELECT row_number() OVER () AS i, page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
+                  regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM u),
+     m AS (SELECT s.i, rule_host || rule_path AS rule, v,
+                  row_number() OVER (PARTITION BY s.i ORDER BY length(rule_host || rule_path) DESC) AS k
+           FROM s JOIN rules ON starts_with(path, rule_path)
+                AND (host = rule_host OR ends_with(host, '.' || rule_host)))
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM s LEFT JOIN m ON s.i = m.i AND m.k = 1""",
+}
