@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import (langid, license_scan, packing, secret_scan, simhash, topk, url_filter, warc,
-                          winnow)
+from eventide.llm import (langid, license_scan, packing, quality, secret_scan, simhash, topk, url_filter,
+                          warc, winnow)
 from eventide.llm.common import id_hash_mod, shared_path
 
 # The rules that op9 judges by.
@@ -25,6 +25,16 @@ def tokenizer_json() -> str:
         return f.read()
 
 
+def op1_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = id_hash_mod(F.col("doc_id"), 3) == 1
+    known = _table(spark, sf_dir, "labels").filter(~held_out)
+    model = quality.train(docs, known, label_col="quality")
+    return quality.score(docs, model) \
+        .select("doc_id", held_out.alias("held_out"), "score",
+                (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnow.contamination(_table(spark, sf_dir, "documents"),
                                  _table(spark, sf_dir, "benchmark"), span=10, gram=5)
@@ -100,6 +110,7 @@ def op10_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_attention": op1_quality_attention,
     "op2_winnowing": op2_winnowing,
     "op3_warc_zstd": op3_warc_zstd,
     "op4_license_fuzzy": op4_license_fuzzy,
@@ -140,23 +151,23 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""",
     "op3_warc_zstd": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS b FROM pages),
      x AS (SELECT page_id, strlen(b) AS payload_bytes, sha1(b) AS h, max(page_id) OVER (PARTITION BY b) AS top FROM p),
-     bits AS (SELECT *, array_to_string(list_transform(range(1, 41), k -> ['0000','0001','0010','0011','0100','0101',
+     bits AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda k: ['0000','0001','0010','0011','0100','0101',
                 '0110','0111','1000','1001','1010','1011','1100','1101','1110','1111'][strpos('0123456789abcdef', h[k])]),
                 '') AS z FROM x)
 SELECT page_id, payload_bytes,
-       array_to_string(list_transform(range(0, 32), k -> 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + list_sum(
-           list_transform(range(1, 6), j -> CAST(z[5 * k + j] AS BIGINT) * CAST(power(2, 5 - j) AS BIGINT)))::BIGINT]), '')
+       array_to_string(list_transform(range(0, 32), lambda k: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + list_sum(
+           list_transform(range(1, 6), lambda j: CAST(z[5 * k + j] AS BIGINT) * CAST(power(2, 5 - j) AS BIGINT)))::BIGINT]), '')
            AS payload_digest,
        CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> top THEN top END AS refers_to
 FROM bits""",
     "op8_topk_postings": """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
            FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
      s AS (SELECT q.vec_id AS query_id, c.vec_id,
-                  CAST(list_sum(list_transform(list_zip(q.w, c.w), z -> z[1] * z[2])) AS BIGINT) AS score
+                  CAST(list_sum(list_transform(list_zip(q.w, c.w), lambda z: z[1] * z[2])) AS BIGINT) AS score
            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
      r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
