@@ -48,16 +48,14 @@ def _grams(texts: list, n: int, letters: np.ndarray):
     A key packs the n code points, 21 bits each, and is exact for n <= 3;
     longer ones are hashed."""
     low = [(t or "").lower() for t in texts]
-    cps = np.frombuffer("\n".join(low).encode("utf-32-le", "surrogatepass"), np.uint32)
-    owner = np.repeat(np.arange(len(low), dtype=np.int32), [len(t) + 1 for t in low])[:len(cps)]
+    cps = np.frombuffer("\n".join(["", *low, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    owner = np.repeat(np.arange(len(low) + 1, dtype=np.int32), [len(t) + 1 for t in low] + [1])
     is_letter = letters[cps]
     cps = np.where(is_letter, cps, 32).astype(np.uint64)
     keep = is_letter.copy()
     keep[1:] |= is_letter[:-1]          # the one space after a word
-    if len(keep):
-        keep[0] = True
-        keep[:-1] |= is_letter[1:]      # and the one before it
-    cps, owner, inner = cps[keep], owner[keep], is_letter[keep]
+    keep[:-1] |= is_letter[1:]          # and the one before it
+    cps, own, inner = cps[keep], owner[keep], is_letter[keep]
     m = len(cps) - n + 1
     if m <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int32)
@@ -66,8 +64,9 @@ def _grams(texts: list, n: int, letters: np.ndarray):
         key = (key << np.uint64(21) | cps[i:i + m]) if n <= 3 else mix64(key) + cps[i:i + m]
         if 0 < i < n - 1:
             whole &= inner[i:i + m]     # no word boundary inside
-    whole &= inner[:m] | inner[n - 1:]
-    return key[whole], owner[n // 2:n // 2 + m][whole]
+    if n < 3:
+        whole &= inner[:m] | inner[n - 1:]
+    return key[whole], own[(n - 1) // 2:(n - 1) // 2 + m][whole]
 
 
 @dataclass(frozen=True)
