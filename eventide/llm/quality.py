@@ -78,8 +78,9 @@ def _word_features(a, cls, pid, text_of, n):
     """Per passage: words, mean and spread of their lengths, shares of words
     that equal one of the 1, 2, 3 or 4 words before, share of capitalized ones."""
     is_word = (cls != 3) & (cls != 4)
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], is_word.view(np.int8), [0]])))
-    s, e = edge[0::2], edge[1::2]
+    joined = is_word[1:] & is_word[:-1] & (text_of[1:] == text_of[:-1])     # with the byte before
+    s = np.flatnonzero(is_word & ~np.concatenate([[False], joined]))
+    e = np.flatnonzero(is_word & ~np.concatenate([joined, [False]])) + 1
     out = np.zeros((n, N_WORD))
     if not len(s):
         return out
@@ -126,7 +127,8 @@ class GatedAttention:
         """Scores of bags; ``first`` has each bag's first row in ``x``."""
         if self.p is None:
             return np.full(len(first), self.prior)
-        return self._forward((x - self.mean) / self.scale, first)[-1].astype(np.float64)
+        # rounded, so that the size of a batch cannot show in the last digits
+        return self._forward((x - self.mean) / self.scale, first)[-1].round(9)
 
     @classmethod
     def fit(cls, bags: list, labels: np.ndarray, *, hidden: int = 32, attention: int = 16, epochs: int = 60,
