@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import langid, simhash
+from eventide.llm import langid, packing, secret_scan, simhash, winnow
 from eventide.llm.common import shared_path
+from eventide.llm.queries import tokenizer_json
 
 # A document is rejected if its language cannot be told: no letter at all, or
 # less than this share of its n-grams known in the best language.
@@ -32,7 +33,24 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs, shingle=3, max_bits=3)
 
 
-STAGES = [("language_id", language_id), ("near_dedup", near_dedup)]
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops every document that holds ten consecutive words of a benchmark item."""
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return winnow.drop_contaminated(docs, items, span=10, gram=5)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces secrets in the texts; every document stays."""
+    return secret_scan.redact(docs, length_col="n_chars")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2048 tokens: one row per piece, with its ids."""
+    return packing.pack(docs, tokenizer_json(), capacity=2048)
+
+
+STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontaminate", decontaminate),
+          ("redact_secrets", redact_secrets), ("pack", pack)]
 
 # Majority-vote fingerprints, connected components and BPE packing have no
 # DuckDB form; tests/llm holds the stages against brute-force versions.
