@@ -36,6 +36,12 @@ def window_start(ms: Column, size_ms: int) -> Column:
     return ms - F.pmod(ms, F.lit(int(size_ms)))
 
 
+def exact(c: Column) -> Column:
+    """A money amount for summing: DECIMAL(27,10) (below 1e17), so that a sum
+    does not depend on the order or grouping in which it is made."""
+    return c.cast("double").cast("decimal(27,10)")
+
+
 def not_blank(c: Column) -> Column:
     """Java ``!s.trim().isEmpty()``: trim strips every char <= U+0020."""
     return c.rlike("[^\\x00-\\x20]")
@@ -56,7 +62,9 @@ def interval_ms(v) -> int:
     if isinstance(v, (int, float)):
         return int(v)
     num, unit = str(v).strip().split()
-    unit = unit.lower().rstrip("s")
+    unit = "ms" if unit.lower() == "ms" else unit.lower().rstrip("s")
     scale = {"millisecond": 1, "ms": 1, "second": 1000, "minute": 60_000,
-             "hour": 3_600_000, "day": 86_400_000}[unit]
+             "hour": 3_600_000, "day": 86_400_000}.get(unit)
+    if scale is None:
+        raise ValueError(f"interval {v!r}: unit not known")
     return int(float(num) * scale)

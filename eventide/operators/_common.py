@@ -11,11 +11,17 @@ SEQ = "_q"  # internal unique tie-break within a key
 
 
 def with_time_seq(df: DataFrame, time: str | None, seq: str | None, what: str,
-                  need=()) -> DataFrame:
+                  need=(), null_time: bool = False) -> DataFrame:
     """Add ``_t`` (epoch ms) and ``_q`` (tie-break).  Without ``seq`` the
     tie-break is a hash of the whole row: deterministic under recomputation,
-    and equal only for identical rows."""
+    and equal only for identical rows.
+
+    A row without an event time has no place in the order: it takes no part,
+    in batch and on streams alike.  ``null_time`` keeps it, as the earliest,
+    for the relational operators."""
     require_columns(df, [c for c in (time, seq, *need) if c], what)
+    if time is None and seq is None:
+        raise ValueError(f"{what}: without a time column, seq is the order and must be given")
     cols = {}
     if time is not None:
         cols[T_MS] = epoch_ms(df, time)
@@ -23,7 +29,8 @@ def with_time_seq(df: DataFrame, time: str | None, seq: str | None, what: str,
         cols[SEQ] = F.col(seq)
     else:
         cols[SEQ] = F.xxhash64(*[F.col(c) for c in df.columns])
-    return df.withColumns(cols)
+    df = df.withColumns(cols)
+    return df.filter(F.col(T_MS).isNotNull()) if time is not None and not null_time else df
 
 
 def require_time(time, what):

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.columns import T_MS
+from eventide.functions.columns import T_MS, exact, interval_ms
 from eventide.operators._common import SEQ, require_time, with_time_seq
-from eventide.plans.keyed import keyed, scan
+from eventide.plans.keyed import HotKeys, keyed, scan, ttl_epochs
 from eventide.streaming.ops import WATERMARK
 
 # Fixed values that must equal the reference's (weights, windows, threshold).
@@ -27,13 +27,15 @@ def anomaly_alerts(df: DataFrame, *, user: str = "userId", amount: str = "amount
                    time: str = "ts", seq: str | None = None,
                    threshold: float = RISK_THRESHOLD, keep=(),
                    rows_per_chunk: int | None = None,
-                   watermark: str | None = WATERMARK,
-                   stream_order: str = "arrival") -> DataFrame:
+                   watermark: str | None = WATERMARK, state_ttl=None,
+                   stream_order: str = "arrival", hot: HotKeys | None = None) -> DataFrame:
     """Output: user, alertType, riskScore, reason, transactionCount (+ keep).
 
     Each row is scored against the rows of the same user before it (in
     event-time order, ``seq`` breaking ties); an alert is emitted when the
-    score reaches ``threshold``.
+    score reaches ``threshold``.  ``state_ttl`` (the reference keeps parts of
+    the history for 24 hours to 30 days): after a longer silence a user
+    starts without history.
 
     On a streaming DataFrame the same call runs a transformWithState
     processor; ``watermark`` bounds lateness and ``stream_order`` is
@@ -44,7 +46,7 @@ def anomaly_alerts(df: DataFrame, *, user: str = "userId", amount: str = "amount
                       need=(user, amount, country, merchant, *keep))
     d = d.select(user, amount, country, merchant, T_MS, SEQ, *[c for c in keep
                                                               if c not in (user, amount, country, merchant)])
-    amt = F.col(amount)
+    amt, ttl = F.col(amount), interval_ms(state_ttl) if state_ttl else None
     if d.isStreaming:
         from eventide.streaming import ops as st
         extra = [c for c in keep if c != user]
@@ -59,10 +61,10 @@ def anomaly_alerts(df: DataFrame, *, user: str = "userId", amount: str = "amount
                      F.col(country).alias("_country"), F.col(merchant).alias("_merchant"),
                      T_MS, SEQ)
         return st.anomaly_alerts(s, user, rules, seq if extra else None, watermark,
-                                 stream_order)
-    k = keyed(d, [user], [T_MS, SEQ], rows_per_chunk)
+                                 stream_order, ttl)
+    k = ttl_epochs(keyed(d, [user], [T_MS, SEQ], rows_per_chunk, hot), ttl)
     k = scan(k, rn="_rn", lags={"_lt": F.col(T_MS), "_lc": F.col(country)},
-             sums_before={"_tot": amt},
+             sums_before={"_tot": exact(amt)},
              recent={"_small": (amt < F.lit(SMALL_AMOUNT), SMALL_LOOKBACK)})
     k = scan(k, by=[merchant], rn="_mrn")
     t, lt, n = F.col(T_MS), F.col("_lt"), F.col("_rn") - 1
@@ -71,7 +73,7 @@ def anomaly_alerts(df: DataFrame, *, user: str = "userId", amount: str = "amount
          W_VELOCITY, "HIGH_VELOCITY"),
         (F.col("_lc").isNotNull() & ~F.col("_lc").eqNullSafe(F.col(country))
          & lt.isNotNull() & (t - lt < GEO_WINDOW_MS), W_GEO, "GEO_IMPOSSIBLE"),
-        ((n > 0) & (amt > F.col("_tot") / n * F.lit(AMOUNT_FACTOR)),
+        ((n > 0) & (amt > F.col("_tot").cast("double") / n * F.lit(AMOUNT_FACTOR)),
          W_AMOUNT, "AMOUNT_ANOMALY"),
         (F.col("_mrn") - 1 > MERCHANT_MIN_PRIOR, W_MERCHANT, "MERCHANT_FREQUENCY"),
         ((n >= SMALL_LOOKBACK) & (F.col("_small") >= SMALL_MIN), W_SMALL, "SMALL_TXN_PATTERN"),

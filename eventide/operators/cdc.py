@@ -52,7 +52,8 @@ def cdc_transactions(orders_cdc: DataFrame, items_cdc: DataFrame,
         F.lit(None).cast("bigint").alias("_ord"), F.col("ts_ms").alias("_ts"),
         F.lit(None).cast(orders_cdc.schema["after"].dataType).alias("_hdr"),
         F.lit(None).cast(ITEM).alias("_item"), F.col("event_count").alias("_expected"))
-    u = o.unionByName(it).unionByName(t)
+    # rows without a transaction id (snapshots) can never complete one
+    u = o.unionByName(it).unionByName(t).filter(F.col("_txn").isNotNull())
     if u.isStreaming:
         if items != "array":
             raise NotImplementedError("streams emit line items as an array")
@@ -68,7 +69,10 @@ def cdc_transactions(orders_cdc: DataFrame, items_cdc: DataFrame,
         grp = ["_txn", "_epoch"]
     counts = [F.count(F.when(F.col("_side") < 2, 1)).alias("_received"),
               F.max(F.col("_side") == 2).alias("_ended"),
-              F.max_by("_expected", F.when(F.col("_side") == 2, F.col("_ts"))).alias("_exp")]
+              # the last END by time; one without a time counts as the earliest
+              F.max_by("_expected", F.when(F.col("_side") == 2, F.struct(
+                  F.coalesce("_ts", F.lit(-(1 << 63)).cast("bigint")),
+                  F.coalesce("_expected", F.lit(-1).cast("bigint"))))).alias("_exp")]
     done = (F.coalesce(F.col("_ended"), F.lit(False)) & F.col("_exp").isNotNull()
             & (F.col("_received") == F.col("_exp")))
 
@@ -95,12 +99,13 @@ def cdc_transactions(orders_cdc: DataFrame, items_cdc: DataFrame,
     if items != "rows":
         raise ValueError("items must be 'array' or 'rows'")
     hdr = F.max_by("_hdr", F.when(F.col("_hdr").isNotNull(), F.struct("_ord", "_ts")))
+    # the epoch tells the attempts of one transaction apart
+    attempt = [F.col("_txn").alias("transaction_id"), *[F.col(c) for c in grp[1:]]]
     g = u.groupBy(*grp).agg(hdr.alias("_h"), *counts).filter(done) \
-        .select(*header(F.col("_h")))
-    lines = it.filter(F.col("_item").isNotNull()).select(
-        F.col("_txn").alias("transaction_id"), "_ord", "_ts", "_item")
-    return (g.join(lines, "transaction_id", "left")
-            .select(*[F.col(c) for c in g.columns],
+        .select(*header(F.col("_h")), *grp[1:])
+    lines = u.filter(F.col("_item").isNotNull()).select(*attempt, "_ord", "_ts", "_item")
+    return (g.join(lines, ["transaction_id", *grp[1:]], "left")
+            .select(*[F.col(c) for c in g.columns if c not in grp[1:]],
                     F.col("_ord").alias("line_no"), F.col("_item.*")))
 
 

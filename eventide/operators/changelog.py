@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from eventide.functions.columns import T_MS
 from eventide.operators._common import SEQ, with_time_seq
 from eventide.functions.columns import interval_ms
-from eventide.plans.keyed import keyed, scan, ttl_epochs
+from eventide.plans.keyed import HotKeys, keyed, scan, ttl_epochs
 from eventide.streaming.ops import WATERMARK
 
 OPS = ("+I", "-U", "+U", "-D")
@@ -20,7 +20,7 @@ OPS = ("+I", "-U", "+U", "-D")
 def changelog_audit(df: DataFrame, *, key: str = "currency", rate: str = "rate",
                     time: str = "update_time", op: str = "op", seq: str | None = None,
                     rate_type: str = "decimal(10,4)",
-                    rows_per_chunk: int | None = None,
+                    rows_per_chunk: int | None = None, hot: HotKeys | None = None,
                     watermark: str | None = WATERMARK,
                     state_ttl=None, stream_order: str = "arrival") -> DataFrame:
     """Output: currency(key), change_type, old_rate, new_rate, change_time.
@@ -45,7 +45,7 @@ def changelog_audit(df: DataFrame, *, key: str = "currency", rate: str = "rate",
                                   df.schema[time].dataType.simpleString(), rate_type, watermark,
                                   interval_ms(state_ttl) if state_ttl else None,
                                   stream_order)
-    k = keyed(d, [key], [T_MS, SEQ], rows_per_chunk)
+    k = keyed(d, [key], [T_MS, SEQ], rows_per_chunk, hot)
     k = ttl_epochs(k, interval_ms(state_ttl) if state_ttl else None)
     k = scan(k, lags={"_prev": F.when(opc != "-D", F.col("_rate"))})
     return k.result().select(
@@ -65,14 +65,15 @@ def latest_by_key(df: DataFrame, keys, *, time: str, seq: str | None = None) ->
     key costs one row per map task instead of one huge sort."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     cols = df.columns
-    d = with_time_seq(df, time, seq, "latest_by_key", need=keys)
+    d = with_time_seq(df, time, seq, "latest_by_key", need=keys, null_time=True)
     row = F.struct(*[F.col(c) for c in cols])
     agg = d.groupBy(*keys).agg(F.max_by(row, F.struct(T_MS, SEQ)).alias("_row"))
     return agg.select("_row.*")
 
 
 def latest_changelog(df: DataFrame, keys, *, time: str, seq: str,
-                     rows_per_chunk: int | None = None) -> DataFrame:
+                     rows_per_chunk: int | None = None,
+                        hot: HotKeys | None = None) -> DataFrame:
     """Changes of the latest-row-per-key view as rows arrive in ``seq`` order:
     a row replaces the current one when its time is >= the newest time seen
     for the key (ties: the later row wins).  The first row is ``+I``, each
@@ -80,7 +81,7 @@ def latest_changelog(df: DataFrame, keys, *, time: str, seq: str,
     Output: op, change_seq (0, 1 within one replacement), then the row."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     cols = df.columns
-    d = with_time_seq(df, time, seq, "latest_changelog", need=keys)
+    d = with_time_seq(df, time, seq, "latest_changelog", need=keys, null_time=True)
     if d.isStreaming:
         from eventide.streaming import ops as st
         s = d.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], T_MS, SEQ,
@@ -90,7 +91,7 @@ def latest_changelog(df: DataFrame, keys, *, time: str, seq: str,
     d = d.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], row.alias("_row"),
                  T_MS, SEQ)
     kk = [f"_k{i}" for i in range(len(keys))]
-    k = keyed(d, kk, [SEQ], rows_per_chunk)
+    k = keyed(d, kk, [SEQ], rows_per_chunk, hot)
     k = scan(k, maxes_before={"_mx": F.col(T_MS)})
     # Dropping superseded rows keeps the partitioning (and slices): the second
     # scan needs no new exchange or key statistics.
@@ -120,15 +121,16 @@ def materialize_changelog(df: DataFrame, keys, *, op: str = "op", time: str,
 
 def scd2_from_changelog(df: DataFrame, keys, *, op: str = "op", time: str,
                         seq: str | None = None,
-                        rows_per_chunk: int | None = None) -> DataFrame:
+                        rows_per_chunk: int | None = None,
+                        hot: HotKeys | None = None) -> DataFrame:
     """Slowly-changing-dimension type 2 rows from a changelog: every +I / +U
     image becomes a version valid from its time until the next change of the
     key (``valid_to`` null for the current version)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     cols = [c for c in df.columns if c != op]
     d = with_time_seq(df.filter(F.col(op) != "-U"), time, seq, "scd2_from_changelog",
-                      need=keys)
-    k = keyed(d, keys, [T_MS, SEQ], rows_per_chunk)
+                      need=keys, null_time=True)
+    k = keyed(d, keys, [T_MS, SEQ], rows_per_chunk, hot)
     k = scan(k, leads={"_valid_to": F.col(time)})
     r = k.result().filter(F.col(op).isin("+I", "+U"))
     return r.select(*cols, F.col(time).alias("valid_from"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from eventide.functions.columns import T_MS
 from eventide.operators._common import SEQ, with_time_seq
 from eventide.functions.columns import interval_ms
-from eventide.plans.keyed import keyed, scan, ttl_epochs
+from eventide.plans.keyed import HotKeys, keyed, scan, ttl_epochs
 from eventide.streaming.ops import WATERMARK
 
 
@@ -17,7 +17,7 @@ def first_match_join(orders: DataFrame, customers: DataFrame, *,
                      order_seq: str | None = None, customer_seq: str | None = None,
                      order_id: str = "orderId", total: str = "totalAmount",
                      name: str = "name", email: str = "email", tier: str = "tier",
-                     rows_per_chunk: int | None = None,
+                     rows_per_chunk: int | None = None, hot: HotKeys | None = None,
                      watermark: str | None = WATERMARK,
                      state_ttl=None, stream_order: str = "arrival") -> DataFrame:
     """Output: orderId, customerId, totalAmount, customerName, customerEmail,
@@ -57,7 +57,7 @@ def first_match_join(orders: DataFrame, customers: DataFrame, *,
         return st.first_match_join(s, key, watermark,
                                    interval_ms(state_ttl) if state_ttl else None,
                                    stream_order)
-    k = keyed(u, [key], order, rows_per_chunk)
+    k = keyed(u, [key], order, rows_per_chunk, hot)
     k = ttl_epochs(k, interval_ms(state_ttl) if state_ttl else None)
     k = scan(k, lasts={"_lo": F.col("_o"), "_lc": F.col("_c")},
              firsts={"_fs": F.col("_side")})

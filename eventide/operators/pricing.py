@@ -3,7 +3,7 @@
 The new price depends on the previous price through thresholds, so there is
 no window-function form.  The plan is a keyed fold: one hash exchange on the
 SKU, a sort by (sku, time, seq) inside each partition (Spark's external sort,
-spills as needed), then ``mapInPandas`` walks the sorted rows carrying the
+spills as needed), then ``mapInArrow`` walks the sorted rows carrying the
 state of the current SKU across Arrow batches.  Memory is bounded by the
 batch size, not by the key size.  A key's rows must be folded in order by
 one task: this dependency is inherent to the recurrence.
@@ -26,7 +26,7 @@ HIGH_DEMAND_CAP, HIGH_DEMAND_RAISE = 1.1, 1.08
 COMPETITOR_TOLERANCE, COMPETITOR_UNDERCUT = 0.05, 0.98
 
 OUT_SCHEMA = ("sku string, newPrice double, oldPrice double, reason string, "
-              "timestamp bigint, seq bigint")
+              "timestamp bigint, seq {seq}")
 
 
 def price_step(state, side, qty, base, cprice, inventory_threshold, demand_threshold,
@@ -62,39 +62,27 @@ def price_step(state, side, qty, base, cprice, inventory_threshold, demand_thres
 
 
 def _fold(inventory_threshold, demand_threshold, min_change, ttl_ms=None):
+    names = ["sku", "newPrice", "oldPrice", "reason", "timestamp", "seq"]
+
     def run(batches):
-        import numpy as np
-        import pandas as pd
-        cur = object()
-        state = None
-        last_t = None
-        for pdf in batches:
-            out = {"sku": [], "newPrice": [], "oldPrice": [], "reason": [], "timestamp": [],
-                   "seq": []}
-            cols = zip(pdf["_sku"].tolist(), pdf["_side"].tolist(), pdf["_qty"].tolist(),
-                       pdf["_base"].tolist(), pdf["_cprice"].tolist(), pdf["_t"].tolist(),
-                       pdf["_seqo"].tolist())
-            for sku, side, qty, base, cprice, t, seq in cols:
-                if sku != cur or (ttl_ms and last_t is not None and t - last_t > ttl_ms):
+        import pyarrow as pa
+        cur, state, last_t = object(), None, None
+        for b in batches:
+            out = [[] for _ in names]
+            cols = [b.column(c).to_pylist() for c in ("_sku", "_side", "_qty", "_base", "_cprice", "_t", "_q")]
+            for sku, side, qty, base, cprice, t, seq in zip(*cols):
+                if sku != cur or (ttl_ms and t - last_t > ttl_ms):
                     cur, state = sku, [None, 0, None, 0]
                 last_t = t
-                if qty is not None and qty != qty:
-                    qty = None
-                hit = price_step(state, side, None if qty is None else int(qty), base, cprice,
-                                 inventory_threshold, demand_threshold, min_change)
+                hit = price_step(state, side, qty, base, cprice, inventory_threshold,
+                                 demand_threshold, min_change)
                 if hit is not None:
-                    out["sku"].append(sku)
-                    out["newPrice"].append(hit[0])
-                    out["oldPrice"].append(hit[1])
-                    out["reason"].append(hit[2])
-                    out["timestamp"].append(t)
-                    out["seq"].append(seq)
-            if out["sku"]:
-                yield pd.DataFrame({
-                    "sku": out["sku"], "newPrice": np.array(out["newPrice"], "float64"),
-                    "oldPrice": np.array(out["oldPrice"], "float64"), "reason": out["reason"],
-                    "timestamp": np.array(out["timestamp"], "int64"),
-                    "seq": np.array(out["seq"], "int64")})
+                    for column, v in zip(out, (sku, *hit, t, seq)):
+                        column.append(v)
+            if out[0]:
+                types = [pa.string(), pa.float64(), pa.float64(), pa.string(), pa.int64(),
+                         b.schema.field("_q").type]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
     return run
 
 
@@ -129,7 +117,7 @@ def dynamic_pricing(inventory: DataFrame, competitor: DataFrame | None = None, *
                         F.col(quantity).cast("int").alias("_qty"),
                         F.col(base_price).cast("double").alias("_base"),
                         F.lit(None).cast("double").alias("_cprice"),
-                        F.col(T_MS).alias("_t"), F.col(SEQ).cast("long").alias("_seqo"))]
+                        F.col(T_MS).alias("_t"), F.col(SEQ).alias("_q"))]
     if competitor is not None:
         comp = with_time_seq(competitor, time, competitor_seq,
                              "dynamic_pricing(competitor)", need=(key, price))
@@ -138,7 +126,7 @@ def dynamic_pricing(inventory: DataFrame, competitor: DataFrame | None = None, *
                                  F.lit(None).cast("double").alias("_base"),
                                  F.col(price).cast("double").alias("_cprice"),
                                  F.col(T_MS).alias("_t"),
-                                 F.col(SEQ).cast("long").alias("_seqo")))
+                                 F.col(SEQ).alias("_q")))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
@@ -146,6 +134,6 @@ def dynamic_pricing(inventory: DataFrame, competitor: DataFrame | None = None, *
         from eventide.streaming import ops as st
         return st.dynamic_pricing(u, (int(inventory_threshold), int(demand_threshold),
                                       float(min_change)), order=stream_order, ttl_ms=ttl)
-    u = u.repartition("_sku").sortWithinPartitions("_sku", "_t", "_side", "_seqo")
-    return u.mapInPandas(_fold(int(inventory_threshold), int(demand_threshold),
-                               float(min_change), ttl), OUT_SCHEMA)
+    u = u.repartition("_sku").sortWithinPartitions("_sku", "_t", "_side", "_q")
+    return u.mapInArrow(_fold(int(inventory_threshold), int(demand_threshold), float(min_change), ttl),
+                        OUT_SCHEMA.format(seq=u.schema["_q"].dataType.simpleString()))

@@ -7,17 +7,15 @@ from pyspark.sql import functions as F
 
 from eventide.functions.render import (java_text, runtime_type_name, sql_type_name,
                                         truncate_text)
-from eventide.plans.keyed import keyed, scan
 
 
-def row_formatter(df: DataFrame, keys, *, order: str, type_names: str = "runtime",
-                  rows_per_chunk: int | None = None) -> DataFrame:
+def row_formatter(df: DataFrame, keys, *, order: str, type_names: str = "runtime") -> DataFrame:
     """Output: keys ++ formatted_row, schema_info, distinct_patterns BIGINT.
 
     formatted_row = ``[k=v, ...] => {c=v, ...}`` in schema order, null as
     ``null``, texts longer than 50 cut to 47 chars + ``...``.  schema_info
     names each column's runtime type (``NULL`` for a null value), or its SQL
-    type with ``type_names='sql'``.  distinct_patterns counts the null/set
+    type with ``type_names='sql'``; nested values are rendered as JSON.  distinct_patterns counts the null/set
     patterns seen so far for the key (row included), in ``order``."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     if order not in df.columns:
@@ -56,14 +54,20 @@ def row_formatter(df: DataFrame, keys, *, order: str, type_names: str = "runtime
         s = df.select(*keys, F.col(order).alias("_ord"), formatted.alias("formatted_row"),
                       schema_info.alias("schema_info"), sig.alias("_sig"))
         return st.pattern_count(s, keys)
-    # Texts are rendered after the shuffle and the sorts: only the input
-    # columns and the masks travel through them.
-    d = df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                  F.col(order).alias("_ord"), *[F.col(c) for c in names], *masks)
+    # A pattern counts from its first row on.  First rows per (key, pattern) are
+    # a partial aggregate of at most 2^columns rows per key; a row's count is
+    # the number of its key's first rows up to its own place in the order.
+    # Texts are rendered after the join: only input columns travel through it.
+    place = F.struct(F.col(order).alias("o"))
     kk = [f"_k{i}" for i in range(len(keys))]
-    k = keyed(d, kk, ["_ord"], rows_per_chunk).cluster()
-    k = scan(k, by=mcols, rn="_srn")
-    k = scan(k, sums={"_pat": (F.col("_srn") == 1).cast("long")})
-    return k.result().select(*[F.col(f"_k{i}").alias(key) for i, key in enumerate(keys)],
-                             formatted.alias("formatted_row"), schema_info.alias("schema_info"),
-                             F.col("_pat").cast("long").alias("distinct_patterns"))
+    firsts = (df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], place.alias("_at"), *masks)
+              .groupBy(*kk, *mcols).agg(F.min("_at").alias("_at"))
+              .groupBy(*kk).agg(F.collect_list("_at").alias("_firsts")))
+    on = None
+    for i, k in enumerate(keys):
+        e = df[k].eqNullSafe(firsts[f"_k{i}"])
+        on = e if on is None else on & e
+    count = F.size(F.filter("_firsts", lambda x: x <= place)).cast("long")
+    return df.join(firsts, on).select(
+        *[F.col(k) for k in keys], formatted.alias("formatted_row"),
+        schema_info.alias("schema_info"), count.alias("distinct_patterns"))

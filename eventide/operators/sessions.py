@@ -7,26 +7,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.functions.columns import T_MS
+from eventide.functions.columns import T_MS, exact, interval_ms
 from eventide.operators._common import SEQ, require_time, with_time_seq
-from eventide.plans.keyed import keyed, scan
+from eventide.plans.keyed import HotKeys, keyed, scan, ttl_epochs
 from eventide.streaming.ops import WATERMARK
 
 
-def sessions(df: DataFrame, timeout_s: int, *, user: str = "userId",
+def sessions(df: DataFrame, timeout_s, *, user: str = "userId",
              event_type: str = "eventType", time: str = "ts", seq: str | None = None,
              end_event: str = "LOGOUT", on_timeout: str = "continue",
              rows_per_chunk: int | None = None,
-             watermark: str | None = WATERMARK,
-             stream_order: str = "arrival") -> DataFrame:
+             watermark: str | None = WATERMARK, state_ttl=None,
+             stream_order: str = "arrival", hot: HotKeys | None = None) -> DataFrame:
     """Output: user, status, sessionDuration BIGINT (ms), eventCount INT,
     firstEventType, lastEventType.
 
-    A session opens at a key's first row or after an end event.  A row
+    ``timeout_s``: seconds, or an interval such as '30 minutes'.  A session
+    opens at a key's first row or after an end event, and opens again at each
+    row while only null types came.  A row
     followed by more than ``timeout_s`` of silence emits TIMEOUT with duration
     ``t + timeout - start``.  ``on_timeout='continue'`` (the reference code)
     keeps the session open after a timeout, so counts keep accumulating;
     ``'close'`` starts a new session after it (the documented intent).
+    ``state_ttl`` (the reference keeps 2 hours; not below the timeout): after
+    a longer silence a user starts over.
 
     On a streaming DataFrame the same call runs a transformWithState
     processor; ``watermark`` bounds lateness and ``stream_order`` is
@@ -35,19 +39,27 @@ def sessions(df: DataFrame, timeout_s: int, *, user: str = "userId",
     require_time(time, "sessions")
     if on_timeout not in ("continue", "close"):
         raise ValueError("on_timeout must be 'continue' or 'close'")
-    tmo = int(timeout_s) * 1000
+    tmo = interval_ms(timeout_s) if isinstance(timeout_s, str) else int(timeout_s * 1000)
+    ttl = interval_ms(state_ttl) if state_ttl else None
+    if ttl and ttl < tmo:
+        raise ValueError("state_ttl must not be below the session timeout")
     d = with_time_seq(df, time, seq, "sessions", need=(user, event_type))
     if d.isStreaming:
         from eventide.streaming import ops as st
         return st.sessions(d.withColumn("_type", F.col(event_type)), tmo, user, end_event,
-                           on_timeout == "close", watermark, stream_order)
+                           on_timeout == "close", watermark, stream_order, ttl)
     d = d.select(user, event_type, T_MS, SEQ)
     et, t = F.col(event_type), F.col(T_MS)
-    k = keyed(d, [user], [T_MS, SEQ], rows_per_chunk)
+    k = ttl_epochs(keyed(d, [user], [T_MS, SEQ], rows_per_chunk, hot), ttl)
     k = scan(k, rn="_rn", lags={"_pt": t, "_pe": et}, leads={"_nt": t})
     start = F.col("_pt").isNull() | F.col("_pe").eqNullSafe(F.lit(end_event))
     if on_timeout == "close":
         start = start | (t - F.col("_pt") > tmo)
+    # a session whose rows so far all had a null type is not open yet: its next
+    # row opens it again
+    k = scan(k, lasts={"_s0": F.when(start, F.col("_rn"))},
+             lasts_before={"_typed": F.when(et.isNotNull(), F.col("_rn"))})
+    start = F.col("_typed").isNull() | (F.col("_typed") < F.col("_s0"))
     # the session's opening row = the last start row so far (row number,
     # time and type travel together); no session id or grouped scan needed
     opening = F.when(start, F.struct(F.col("_rn").alias("n"), t.alias("t"), et.alias("e")))
@@ -70,24 +82,41 @@ def sessions(df: DataFrame, timeout_s: int, *, user: str = "userId",
 def session_summary(df: DataFrame, gap: str, *, user: str = "userId",
                     time: str = "ts", value: str = "eventValue",
                     event_type: str = "eventType",
-                    watermark: str | None = None) -> DataFrame:
+                    watermark: str | None = None, rows_per_chunk: int | None = None,
+                    hot: HotKeys | None = None) -> DataFrame:
     """Plain inactivity sessions (documented variant): one row per session with
     sessionStart, sessionEnd (last event + gap), eventCount, totalValue and the
-    sorted distinct eventTypes.  Native ``session_window``: partial session
-    merging happens before the shuffle."""
+    sorted distinct eventTypes.  Rows without a time belong to no session.
+
+    Batch: a row opens a session when the row before it is ``gap`` or more
+    earlier; the running number of openings is the session's number, and
+    sessions are aggregated by (user, number), so a user with very many rows
+    is spread like in every keyed scan.  Streams use ``session_window``."""
     ntz = isinstance(df.schema[time].dataType, T.TimestampNTZType)
+    totals = [F.count(F.lit(1)).cast("int").alias("eventCount"),
+              F.sum(exact(F.col(value))).cast("double").alias("totalValue"),
+              F.array_sort(F.collect_set(event_type)).alias("eventTypes")]
     if df.isStreaming:  # sessions close when the watermark passes their end
         if ntz:  # watermarks need TIMESTAMP; UTC wall clock either way
             df = df.withColumn(time, F.col(time).cast("timestamp"))
         df = df.withWatermark(time, watermark or WATERMARK)
-    else:
-        ntz = False
-    w = F.session_window(F.col(time), gap)
-    bound = (lambda c: c.cast("timestamp_ntz")) if ntz else (lambda c: c)
-    return (df.groupBy(user, w.alias("s"))
-            .agg(F.count(F.lit(1)).cast("int").alias("eventCount"),
-                 F.sum(value).alias("totalValue"),
-                 F.array_sort(F.collect_set(event_type)).alias("eventTypes"))
-            .select(user, bound(F.col("s.start")).alias("sessionStart"),
-                    bound(F.col("s.end")).alias("sessionEnd"), "eventCount", "totalValue",
-                    "eventTypes"))
+        bound = (lambda c: c.cast("timestamp_ntz")) if ntz else (lambda c: c)
+        return (df.groupBy(user, F.session_window(F.col(time), gap).alias("s")).agg(*totals)
+                .select(user, bound(F.col("s.start")).alias("sessionStart"),
+                        bound(F.col("s.end")).alias("sessionEnd"), "eventCount", "totalValue",
+                        "eventTypes"))
+    us = interval_ms(gap) * 1000
+    d = df.filter(F.col(time).isNotNull()).select(
+        user, F.col(value), F.col(event_type), F.col(time).alias("_at"),
+        F.unix_micros(F.col(time).cast("timestamp")).alias(T_MS))
+    d = d.withColumn(SEQ, F.xxhash64(*d.columns))
+    k = keyed(d, [user], [T_MS, SEQ], rows_per_chunk, hot)
+    k = scan(k, lags={"_pt": F.col(T_MS)})
+    k = k.map(lambda d: d.withColumn("_new", F.coalesce(
+        F.col(T_MS) - F.col("_pt") >= us, F.lit(True)).cast("int")))
+    k = scan(k, sums={"_session": F.col("_new")})
+    return (k.result().groupBy(user, "_session")
+            .agg(F.min("_at").alias("sessionStart"), F.max("_at").alias("_last"), *totals)
+            .select(user, "sessionStart",
+                    (F.col("_last") + F.make_dt_interval(secs=F.lit(us / 1e6).cast("decimal(18,6)")))
+                    .alias("sessionEnd"), "eventCount", "totalValue", "eventTypes"))

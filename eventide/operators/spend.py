@@ -6,21 +6,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.columns import T_MS
+from eventide.functions.columns import T_MS, exact
 from eventide.operators._common import SEQ, require_time, with_time_seq
 from eventide.streaming.ops import WATERMARK
-from eventide.plans.keyed import keyed, scan
+from eventide.plans.keyed import HotKeys, keyed, scan
 
 
 def spend_threshold(df: DataFrame, threshold: float, *, key: str = "customer_id",
                     price: str = "price", order_id: str = "order_id",
                     time: str | None = "ts", seq: str | None = None,
-                    rows_per_chunk: int | None = None,
+                    rows_per_chunk: int | None = None, hot: HotKeys | None = None,
                     watermark: str | None = WATERMARK,
                     stream_order: str = "arrival") -> DataFrame:
     """Output: key, total_spend DOUBLE, crossing_order_id STRING, order_count INT.
 
-    The crossing test is inclusive (``>=``); a null price counts as 0.  With
+    Prices are summed exactly (DECIMAL(27,10)), so the crossing row does not
+    depend on how a key's rows are grouped.  The crossing test is inclusive (``>=``); a null price counts as 0.  With
     negative prices a key may cross, fall back and cross again: only the first
     crossing is reported.
 
@@ -37,9 +38,9 @@ def spend_threshold(df: DataFrame, threshold: float, *, key: str = "customer_id"
             d.withColumn("_price", F.col(price).cast("double")), threshold, key, order_id,
             watermark, stream_order)
     d = d.select(key, price, order_id, *order)
-    k = keyed(d, [key], order, rows_per_chunk)
-    k = scan(k, rn="_n", sums={"_s": F.coalesce(F.col(price).cast("double"), F.lit(0.0))})
-    hits = k.result().filter(F.col("_s") >= F.lit(float(threshold)))
+    k = keyed(d, [key], order, rows_per_chunk, hot)
+    k = scan(k, rn="_n", sums={"_s": exact(F.coalesce(F.col(price).cast("double"), F.lit(0.0)))})
+    hits = k.result().withColumn("_s", F.col("_s").cast("double")).filter(F.col("_s") >= F.lit(float(threshold)))
     first = hits.groupBy(key).agg(
         F.min_by(F.struct("_s", order_id, "_n"), F.struct(*order)).alias("m"))
     return first.select(

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.columns import T_MS, interval_ms, ms_to_ntz, window_start
+from eventide.functions.columns import T_MS, exact, interval_ms, ms_to_ntz, window_start
 from eventide.operators._common import SEQ, require_time, with_time_seq
-from eventide.plans.keyed import keyed, scan
+from eventide.plans.keyed import HotKeys, keyed, scan
 from eventide.streaming.ops import WATERMARK
 
 
 def hybrid_window(df: DataFrame, size, count_threshold: int, *, key: str,
                   price: str = "price", time: str = "ts", seq: str | None = None,
-                  rows_per_chunk: int | None = None,
+                  rows_per_chunk: int | None = None, hot: HotKeys | None = None,
                   watermark: str | None = WATERMARK,
                   stream_order: str = "arrival") -> DataFrame:
     """Epoch-aligned tumbling window per key that also fires every
@@ -32,7 +32,7 @@ def hybrid_window(df: DataFrame, size, count_threshold: int, *, key: str,
         return st.hybrid_window(d.withColumn("_price", F.col(price).cast("double")), size_ms, n,
                                 key, watermark, stream_order)
     d = d.select(key, price, T_MS, SEQ).withColumn("_win", window_start(F.col(T_MS), size_ms))
-    k = keyed(d, [key], [T_MS, SEQ], rows_per_chunk)
+    k = keyed(d, [key], [T_MS, SEQ], rows_per_chunk, hot)
     # windows are contiguous runs in event order: the row number inside the
     # window is the key's row number minus that of the window's first row
     k = scan(k, rn="_rn", lags={"_pw": F.col("_win")})
@@ -41,7 +41,8 @@ def hybrid_window(df: DataFrame, size, count_threshold: int, *, key: str,
     b = k.result().withColumn("_b", F.floor((F.col("_rn") - F.col("_w0")) / F.lit(n)))
     g = b.groupBy(key, "_win", "_b").agg(
         F.count(F.lit(1)).cast("int").alias("num_orders"),
-        F.sum(F.coalesce(F.col(price).cast("double"), F.lit(0.0))).alias("total_price"))
+        F.sum(exact(F.coalesce(F.col(price).cast("double"), F.lit(0.0)))).cast("double")
+        .alias("total_price"))
     return g.select(key, ms_to_ntz(F.col("_win")).alias("window_start"),
                     ms_to_ntz(F.col("_win") + size_ms).alias("window_end"),
                     "num_orders", "total_price")
@@ -49,7 +50,8 @@ def hybrid_window(df: DataFrame, size, count_threshold: int, *, key: str,
 
 def early_fire_window(df: DataFrame, size, *, key: str, price: str = "price",
                       time: str = "ts", seq: str | None = None, order_by: str = "event",
-                      keep=(), rows_per_chunk: int | None = None,
+                      keep=(),
+                      rows_per_chunk: int | None = None, hot: HotKeys | None = None,
                       watermark: str | None = WATERMARK,
                       stream_order: str = "arrival") -> DataFrame:
     """Running window aggregate emitted on every row.  The running totals
@@ -63,20 +65,26 @@ def early_fire_window(df: DataFrame, size, *, key: str, price: str = "price",
     the watermark passes, then fold in event-time order)."""
     require_time(time, "early_fire_window")
     size_ms = interval_ms(size)
+    if order_by not in ("event", "arrival"):
+        raise ValueError("order_by must be 'event' or 'arrival'")
+    if order_by == "arrival" and seq is None:
+        raise ValueError("early_fire_window: in arrival order seq is the order and must be given")
     d = with_time_seq(df, time, seq, "early_fire_window", need=(key, price, *keep))
     if d.isStreaming:
         from eventide.streaming import ops as st
+        if order_by == "arrival" and stream_order == "event":
+            raise ValueError("order_by='arrival' and stream_order='event' exclude each other")
         extra = [c for c in keep if c != key]
         if extra and extra != [seq]:
             raise NotImplementedError("streams keep only the seq column")
         return st.early_fire_window(d.withColumn("_price", F.col(price).cast("double")),
                                     size_ms, key, seq if extra else None, watermark,
-                                    stream_order)
+                                    stream_order, order_by == "arrival")
     d = d.select(key, price, T_MS, SEQ, *[c for c in keep if c not in (key, price)]) \
         .withColumn("_win", window_start(F.col(T_MS), size_ms))
     order = [T_MS, SEQ] if order_by == "event" else [SEQ]
-    k = keyed(d, [key], order, rows_per_chunk)
-    price_0 = F.coalesce(F.col(price).cast("double"), F.lit(0.0))
+    k = keyed(d, [key], order, rows_per_chunk, hot)
+    price_0 = exact(F.coalesce(F.col(price).cast("double"), F.lit(0.0)))
     if order_by == "event":
         # window start is monotone in event time: each window is one run
         k = scan(k, by=["_win"], rn="_cnt", sums={"_tot": price_0})

@@ -7,17 +7,22 @@ over the last K rows).  A plain ``Window.partitionBy(key)`` puts a whole key
 into one task, which is fine for ordinary keys but not for a key holding a
 third of all rows.
 
-``keyed()`` therefore measures the keys first (one partial aggregation,
-output one row per key) and cuts every key with more than ``rows_per_chunk``
-rows into contiguous time slices ("chunks").  ``scan()`` then evaluates the
-window functions per ``(key, chunk)`` and repairs the chunk borders with a
-carry computed on a per-chunk summary table (one row per chunk): prefix sums
-of chunk totals, the last value of the previous chunk, the first value of the
-next one, the tail rows of the previous chunks.  Results are exact and equal
-to the single-window form; only the work distribution changes.
-
-When no key is hot (the common case) the chunk machinery is skipped and the
-plan is the plain one: one hash exchange on the key, one sort, windows.
+``hot_keys()`` measures the keys (a count of the key columns alone, combined
+before its shuffle).  Keys of more than ``rows_per_chunk`` rows are hot:
+``keyed()`` range-partitions their rows by (key, whole order) into slices of
+about equal depth, whatever the order values look like (outliers, many equal
+times, nulls), and writes them to the shared checkpoint folder once, so that
+no later scan goes back to the input.  ``scan()`` then evaluates the window
+functions per ``(key, slice)`` and repairs the slice borders with a carry
+computed on a per-slice summary table (one row per slice): prefix sums of
+slice totals, the last value of the previous slice, the first value of the
+next one, the tail rows of the previous slices.
+
+Results do not depend on the slicing as long as summed expressions are
+integers or decimals; operators sum money as DECIMAL (``functions.columns.exact``)
+and cast at the end.  Ordinary keys keep the plain plan: one hash exchange on
+the key, one sort, windows.  Operators stacked on the same key take the
+measurement of the first one (``hot=``) instead of measuring again.
 """
 
 from __future__ import annotations
@@ -29,11 +34,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK = "_chunk"
-# A key with more rows than this is split into time slices of about this size.
+# A key with more rows than this is split into slices of at most about this size.
 DEFAULT_ROWS_PER_CHUNK = 4_000_000
-# The hot-key table has at most total_rows / rows_per_chunk rows; it is
-# broadcast only below this many rows, else joined with a shuffle.
-BROADCAST_ROW_LIMIT = 500_000
+# Slices are cut for this share of the bound: their borders come from samples.
+FILL = 0.8
+SAMPLES_PER_SLICE = "1000"
+SAMPLE_CONF = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
 ROWS_PER_CHUNK_CONF = "spark.eventide.rowsPerChunk"
 
 _UNB = Window.unboundedPreceding
@@ -54,6 +60,10 @@ class Keyed:
     extra: dict = field(default_factory=dict)
     hot: DataFrame | None = None
 
+    def drop_columns(self) -> list:
+        """Columns of the hot part that are not the caller's."""
+        return [CHUNK, *self.extra.get("norm", [])]
+
     def plain_window(self, by=()) -> Window:
         return Window.partitionBy(*self.keys, *by).orderBy(*self.order)
 
@@ -72,7 +82,7 @@ class Keyed:
     def result(self) -> DataFrame:
         if self.hot is None:
             return self.df
-        return self.df.unionByName(self.hot.drop(CHUNK, *self.extra.get("part", [])))
+        return self.df.unionByName(self.hot.drop(*self.drop_columns()))
 
 
 def _rows_per_chunk(df: DataFrame, rows_per_chunk: int | None) -> int:
@@ -111,85 +121,84 @@ def _null_safe_on(left: DataFrame, right: DataFrame, pairs) -> Column:
     return cond
 
 
-def keyed(df: DataFrame, keys, order, rows_per_chunk: int | None = None) -> Keyed:
-    """Prepare ``df`` for ordered scans per ``keys`` in ``order``.
+@dataclass(frozen=True)
+class HotKeys:
+    """The keys of more than ``limit`` rows: ``table`` (columns ``_hk0``, ...)
+    is None if there is none; ``slices`` is how many all of them need."""
 
-    ``order[0]`` must be a numeric column (epoch ms or a sequence number);
-    chunks are ranges of it, so they follow the scan order.  ``order`` as a
-    whole must be unique within a key.
-    """
-    keys, order = tuple(keys), tuple(order)
-    if df.isStreaming:
-        raise ValueError("batch form only; use eventide.streaming for streams")
+    limit: int
+    table: DataFrame | None = None
+    count: int = 0
+    slices: int = 0
+
+
+def hot_keys(df: DataFrame, keys, rows_per_chunk: int | None = None) -> HotKeys:
+    """Measure the keys of ``df``.  Only the key columns are read, counts are
+    combined before the shuffle, and the hot ones are checkpointed."""
     limit = _rows_per_chunk(df, rows_per_chunk)
-    dt = df.schema[order[0]].dataType
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        t = F.unix_micros(F.col(order[0]).cast("timestamp"))
-    elif isinstance(dt, T.DateType):
-        t = F.unix_date(F.col(order[0])).cast("long")
-    elif isinstance(dt, T.NumericType):
-        t = F.col(order[0])
-    else:  # no arithmetic on this order column: keys stay whole
-        limit = 0
     if limit <= 0:
-        return Keyed(df, keys, order, False)
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                  F.min(t).alias("_lo"), F.max(t).alias("_hi"))
-    hot = (stats.filter(F.col("_n") > limit)
+        return HotKeys(0)
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
            .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
-                   F.col("_lo").cast("long").alias("_lo"),
-                   (F.floor((F.col("_hi") - F.col("_lo"))
-                            / F.ceil(F.col("_n") / F.lit(limit))) + 1)
-                   .cast("long").alias("_w")))
-    # The key statistics are computed in one pass: the (small) hot-key table
-    # is cached for the count and, only when it is not empty, written once
-    # to the shared checkpoint folder so the main job neither recomputes it
-    # nor depends on the cache (a lost executor does not send it back to the
-    # input scan).
-    cached = hot.persist()
-    n_hot = cached.count()
-    if n_hot == 0:
-        cached.unpersist()
-        return Keyed(df, keys, order, False)
+                   F.ceil(F.col("_n") / F.lit(limit * FILL)).alias("_slices")))
     from eventide.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
-    hot = cached.checkpoint(eager=True)
-    cached.unpersist()
-    side = F.broadcast(hot) if n_hot <= BROADCAST_ROW_LIMIT else hot
-    on = _null_safe_on(df, side, [(k, f"_hk{i}") for i, k in enumerate(keys)])
+    hot = hot.checkpoint(eager=True)
+    n, slices = hot.agg(F.count(F.lit(1)), F.sum("_slices")).first()
+    if not n:
+        return HotKeys(limit)
+    return HotKeys(limit, hot.drop("_slices"), n, int(slices))
+
+
+def keyed(df: DataFrame, keys, order, rows_per_chunk: int | None = None,
+          hot: HotKeys | None = None) -> Keyed:
+    """Prepare ``df`` for ordered scans per ``keys`` in ``order``; ``order``
+    as a whole must be unique within a key.  ``hot`` is the measurement of
+    the same keys by an operator below; without it the keys are measured."""
+    keys, order = tuple(keys), tuple(order)
+    if df.isStreaming:
+        raise ValueError("batch form only; use eventide.streaming for streams")
+    hot = hot or hot_keys(df, keys, rows_per_chunk)
+    if hot.table is None:
+        return Keyed(df, keys, order, False)
+    on = _null_safe_on(df, hot.table, [(k, f"_hk{i}") for i, k in enumerate(keys)])
     # rows of ordinary keys keep the plain plan; only hot keys are sliced
-    cold = df.join(side, on, "left_anti")
-    chunk = (F.when(t.isNull(), F.lit(-1))
-             .otherwise(F.floor((t.cast("long") - F.col("_lo")) / F.col("_w")))
-             .cast("long"))
-    out = (df.join(side, on, "inner")
-           .withColumn(CHUNK, chunk)
-           .drop("_lo", "_w", *[f"_hk{i}" for i in range(len(keys))]))
+    cold = df.join(hot.table, on, "left_anti")
+    rows = df.join(hot.table, on, "left_semi")
     norm = {}
     for i, kc in enumerate(keys):
-        norm.update(_normalized(out, kc, f"_nk{i}"))
-    out = out.withColumns(norm)
-    return Keyed(cold, keys, order, True, n_hot, {"part": list(norm)}, out)
+        norm.update(_normalized(rows, kc, f"_nk{i}"))
+    conf = df.sparkSession.conf
+    before = conf.get(SAMPLE_CONF, None)
+    conf.set(SAMPLE_CONF, SAMPLES_PER_SLICE)
+    try:
+        # an explicit number of partitions: adaptive execution must not merge slices
+        out = (rows.repartitionByRange(max(2, hot.slices), *keys, *order)
+               .withColumn(CHUNK, F.spark_partition_id().cast("long")).withColumns(norm)
+               .checkpoint(eager=True))
+    finally:
+        conf.unset(SAMPLE_CONF) if before is None else conf.set(SAMPLE_CONF, before)
+    return Keyed(cold, keys, order, True, hot.count, {"part": list(norm), "norm": list(norm)}, out)
 
 
 def ttl_epochs(k: Keyed, ttl_ms: int | None) -> Keyed:
-    """Event-time state expiry: when consecutive rows of a key are more than
-    ``ttl_ms`` apart, the state written by the earlier row has expired and
-    the later row starts from a fresh state.  Returns the scan keyed by
-    ``keys + (_epoch,)``, one epoch per stretch of live state."""
+    """Event-time state expiry: when a row comes more than ``ttl_ms`` after
+    the last row (with a time) of its key, the state has expired and the row
+    starts from a fresh one.  Returns the scan keyed by ``keys + (_epoch,)``,
+    one epoch per stretch of live state; ``order[0]`` is the event time."""
     if not ttl_ms:
         return k
     t = F.col(k.order[0])
-    k = scan(k, lags={"_ttl_prev": t})
-    k = k.map(lambda d: d.withColumn("_ttl_new", (F.col("_ttl_prev").isNull()
-                                                  | (t - F.col("_ttl_prev") > int(ttl_ms)))
-                                     .cast("int")))
+    k = scan(k, lasts_before={"_ttl_prev": t})
+    k = k.map(lambda d: d.withColumn("_ttl_new", F.coalesce(
+        t - F.col("_ttl_prev") > int(ttl_ms), F.lit(False)).cast("int")))
     k = scan(k, sums={"_epoch": F.col("_ttl_new")})
     k = k.map(lambda d: d.drop("_ttl_prev", "_ttl_new"))
     extra = dict(k.extra)
     if k.hot is not None:
-        extra["part"] = list(extra["part"]) + ["_epoch"]
-        extra["partitioned_by"] = None
+        # slices stay those of the key; the epoch only separates the scans
+        extra.update(part=[*extra["part"], "_epoch"], partitioned_by=None)
     return Keyed(k.df, k.keys + ("_epoch",), k.order, k.chunked, k.hot_keys, extra, k.hot)
 
 

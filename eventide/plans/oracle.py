@@ -10,7 +10,7 @@ ORACLE["spend_threshold"] = """
 WITH r AS (
   SELECT o_custkey AS customer_id, CAST(o_orderkey AS VARCHAR) AS crossing_order_id,
          o_orderdate, o_orderkey,
-         SUM(o_totalprice) OVER w AS s, ROW_NUMBER() OVER w AS n
+         CAST(SUM(CAST(o_totalprice AS DECIMAL(27, 10))) OVER w AS DOUBLE) AS s, ROW_NUMBER() OVER w AS n
   FROM orders
   WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
@@ -22,18 +22,23 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id
 WHERE first_hit = 1
 """
 
-ORACLE["anomaly_alerts"] = f"""
+def _anomaly_sql(threshold: float, ttl_ms: int | None = None) -> str:
+    expired = f"t - pt > {ttl_ms}" if ttl_ms else "false"
+    return f"""
 WITH e AS (
   SELECT user_id AS userId, value AS amount, CAST({_K} % 20 AS VARCHAR) AS country,
          event_type AS merchant, (epoch_us(ts) // 1000) AS t, event_id
   FROM events),
+p AS (SELECT *, LAG(t) OVER (PARTITION BY userId ORDER BY t, event_id) AS pt FROM e),
+x AS (SELECT *, SUM(CASE WHEN {expired} THEN 1 ELSE 0 END)
+             OVER (PARTITION BY userId ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS ep FROM p),
 f AS (
   SELECT *, LAG(t) OVER w AS lt, LAG(country) OVER w AS lc, ROW_NUMBER() OVER w - 1 AS n,
-         SUM(amount) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS tot,
+         CAST(SUM(CAST(amount AS DECIMAL(27, 10))) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DOUBLE) AS tot,
          COUNT(*) FILTER (WHERE amount < 10.0::DOUBLE)
            OVER (w ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS sm,
-         ROW_NUMBER() OVER (PARTITION BY userId, merchant ORDER BY t, event_id) - 1 AS mc
-  FROM e WINDOW w AS (PARTITION BY userId ORDER BY t, event_id)),
+         ROW_NUMBER() OVER (PARTITION BY userId, ep, merchant ORDER BY t, event_id) - 1 AS mc
+  FROM x WINDOW w AS (PARTITION BY userId, ep ORDER BY t, event_id)),
 g AS (
   SELECT *,
     COALESCE(lt IS NOT NULL AND t - lt < 3600000 AND n > 10, false) AS r1,
@@ -56,9 +61,13 @@ h AS (
   FROM g)
 SELECT userId, 'HIGH_RISK' AS alertType, riskScore, reason,
        CAST(n + 1 AS INTEGER) AS transactionCount, event_id
-FROM h WHERE riskScore >= 0.7::DOUBLE
+FROM h WHERE riskScore >= {threshold}::DOUBLE
 """
 
+
+ORACLE["anomaly_alerts"] = _anomaly_sql(0.7)
+ORACLE["anomaly_alerts_ttl"] = _anomaly_sql(0.5, 43_200_000)
+
 ORACLE["dynamic_pricing"] = f"""
 WITH RECURSIVE e AS (
   SELECT CAST(user_id AS VARCHAR) AS sku, (epoch_us(ts) // 1000) AS t, event_id AS seq,
@@ -140,13 +149,13 @@ WITH u AS (
   SELECT user_id AS customerId, (epoch_us(ts) // 1000) AS t, 0 AS side, event_id AS seq,
          CAST(event_id AS VARCHAR) AS orderId, value AS totalAmount,
          NULL::VARCHAR AS name, NULL::VARCHAR AS email, NULL::VARCHAR AS tier
-  FROM events WHERE event_type = 'purchase'
+  FROM events WHERE event_type IN ('purchase', 'click', 'view')
   UNION ALL
   SELECT e.user_id, (epoch_us(e.ts) // 1000), 1, e.event_id, NULL, NULL,
          CASE WHEN {_K} % 7 = 0 THEN NULL ELSE c.c_name END,
          lower(replace(c.c_name, '#', '')) || '@example.com', c.c_mktsegment
   FROM events e JOIN customer c ON c.c_custkey = e.user_id
-  WHERE e.event_type = 'signup'),
+  WHERE e.event_type NOT IN ('purchase', 'click', 'view')),
 r AS (
   SELECT *,
     LAST_VALUE(CASE WHEN side = 0 THEN struct_pack(orderId := orderId,
@@ -167,7 +176,8 @@ SELECT lo.orderId AS orderId, customerId, lo.totalAmount AS totalAmount,
 FROM c WHERE first_hit = 1
 """
 
-ORACLE["changelog_audit"] = """
+def _audit_sql(expired: str = "false") -> str:
+    return f"""
 WITH c AS (
   SELECT CASE user_id % 6 WHEN 0 THEN 'EUR' WHEN 1 THEN 'USD' WHEN 2 THEN 'GBP'
                           WHEN 3 THEN 'JPY' WHEN 4 THEN 'CHF' ELSE 'UNK' END AS currency,
@@ -175,10 +185,12 @@ WITH c AS (
                          WHEN 'error' THEN '-U' WHEN 'purchase' THEN '-D' END AS op,
          CAST(value AS DECIMAL(10, 4)) AS rate, ts AS update_time, (epoch_us(ts) // 1000) AS t, event_id
   FROM events),
+p AS (SELECT *, LAG(t) OVER (PARTITION BY currency ORDER BY t, event_id) AS pt
+      FROM c WHERE op IN ('+I', '+U', '-D')),
 d AS (
-  SELECT *, LAG(CASE WHEN op <> '-D' THEN rate END)
-              OVER (PARTITION BY currency ORDER BY t, event_id) AS prev
-  FROM c WHERE op IN ('+I', '+U', '-D'))
+  SELECT *, CASE WHEN {expired} THEN NULL ELSE LAG(CASE WHEN op <> '-D' THEN rate END)
+              OVER (PARTITION BY currency ORDER BY t, event_id) END AS prev
+  FROM p)
 SELECT currency,
        CASE op WHEN '+I' THEN 'INSERT' WHEN '+U' THEN 'UPDATE' ELSE 'DELETE' END AS change_type,
        CASE WHEN op = '+I' THEN NULL ELSE prev END AS old_rate,
@@ -187,6 +199,10 @@ SELECT currency,
 FROM d
 """
 
+
+ORACLE["changelog_audit"] = _audit_sql()
+ORACLE["changelog_audit_ttl"] = _audit_sql("t - pt > 60000")
+
 ORACLE["latest_by_key"] = """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey
@@ -222,7 +238,7 @@ k AS (SELECT * EXCLUDE (mx) FROM a WHERE mx IS NULL OR o_orderdate >= mx),
 l AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn,
              LAG(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS prev
       FROM k)
-SELECT CAST(o_custkey AS VARCHAR) AS currency,
+SELECT o_custkey AS currency,
        CASE WHEN rn = 1 THEN 'INSERT' ELSE 'UPDATE' END AS change_type,
        CAST(CASE WHEN rn = 1 THEN NULL ELSE prev END AS DECIMAL(10, 4)) AS old_rate,
        CAST(o_totalprice AS DECIMAL(10, 4)) AS new_rate, o_orderdate AS change_time
@@ -243,7 +259,8 @@ SELECT {", ".join(_OCOLS)}, o_orderdate AS valid_from,
 FROM k
 """
 
-ORACLE["quality_score"] = f"""
+def _quality_sql(amount_ok: str) -> str:
+    return f"""
 WITH q AS (
   SELECT e.event_id, CAST(e.user_id AS VARCHAR) AS userId,
          CASE WHEN {_K} % 17 = 0 THEN NULL WHEN {_K} % 19 = 0 THEN -e.value
@@ -254,7 +271,7 @@ WITH q AS (
   FROM events e LEFT JOIN nation n ON n.n_nationkey = e.user_id % 25),
 c AS (
   SELECT *,
-    COALESCE(amount IS NOT NULL AND amount >= 0.0::DOUBLE AND amount <= 10000.0::DOUBLE, false) AS ok_a,
+    COALESCE({amount_ok}, false) AS ok_a,
     COALESCE(userId IS NOT NULL AND length(userId) >= 3, false) AS ok_u,
     COALESCE(country IS NOT NULL AND length(country) BETWEEN 2 AND 3, false) AS ok_c,
     COALESCE(merchant IS NOT NULL AND regexp_matches(merchant, '[^\\x00-\\x20]'), false) AS ok_m
@@ -274,6 +291,10 @@ FROM c
 """
 
 
+ORACLE["quality_score"] = _quality_sql("amount >= 0.0::DOUBLE AND amount <= 10000.0::DOUBLE")
+ORACLE["quality_score_readme"] = _quality_sql("amount > 0.0::DOUBLE AND amount < 1000000.0::DOUBLE")
+
+
 def _fmt(col: str) -> str:
     v = f"CAST({col} AS VARCHAR)"
     return (f"'{col}=' || CASE WHEN {col} IS NULL THEN 'null' WHEN length({v}) > 50 "
@@ -298,7 +319,8 @@ def _sig(col: str) -> str:
     return f"'{col}:' || CASE WHEN {col} IS NULL THEN 'NULL' ELSE 'SET' END"
 
 
-def _formatter_sql(src: str, key: str, order: str, cols: list[tuple[str, str, str]]) -> str:
+def _formatter_sql(src: str, key: str, order: str, cols: list[tuple[str, str, str]],
+                   schema_info: str | None = None) -> str:
     """cols: (name, runtime type name, text expression or '')"""
     def part(c, expr):
         if not expr:
@@ -307,7 +329,7 @@ def _formatter_sql(src: str, key: str, order: str, cols: list[tuple[str, str, st
                 f"THEN substr({expr}, 1, 47) || '...' ELSE {expr} END")
     keyp = " || ', ' || ".join(part(c, x) for c, _, x in cols if c == key)
     rest = " || ', ' || ".join(part(c, x) for c, _, x in cols if c != key)
-    info = " || ', ' || ".join(_info(c, t) for c, t, _ in cols)
+    info = f"'{schema_info}'" if schema_info else " || ', ' || ".join(_info(c, t) for c, t, _ in cols)
     sig = " || '|' || ".join(_sig(c) for c, _, _ in cols)
     return f"""
 WITH s AS ({src}),
@@ -328,13 +350,15 @@ ORACLE["row_formatter_nation"] = _formatter_sql(
     "SELECT * FROM nation", "n_regionkey", "n_nationkey",
     [("n_nationkey", "Integer", ""), ("n_name", "String", ""), ("n_regionkey", "Integer", "")])
 
-ORACLE["row_formatter_events"] = _formatter_sql(
-    f"""SELECT event_id, CASE WHEN {_K} % 13 = 0 THEN NULL ELSE user_id END AS user_id,
+_EVENTS_NULLED = f"""SELECT event_id, CASE WHEN {_K} % 13 = 0 THEN NULL ELSE user_id END AS user_id,
                event_type, CASE WHEN {_K} % 9 = 0 THEN NULL ELSE value END AS value,
-               CASE WHEN {_K} % 5 = 0 THEN NULL ELSE ts END AS ts FROM events""",
-    "event_type", "event_id",
-    [("event_id", "Long", ""), ("user_id", "Long", ""), ("event_type", "String", ""),
-     ("value", "Double", ""), ("ts", "LocalDateTime", _iso("ts"))])
+               CASE WHEN {_K} % 5 = 0 THEN NULL ELSE ts END AS ts FROM events"""
+_EVENTS_TEXT = [("event_id", "Long", ""), ("user_id", "Long", ""), ("event_type", "String", ""),
+     ("value", "Double", ""), ("ts", "LocalDateTime", _iso("ts"))]
+ORACLE["row_formatter_events"] = _formatter_sql(_EVENTS_NULLED, "event_type", "event_id", _EVENTS_TEXT)
+ORACLE["row_formatter_sql_types"] = _formatter_sql(
+    _EVENTS_NULLED, "event_type", "event_id", _EVENTS_TEXT,
+    "event_id:BIGINT, user_id:BIGINT, event_type:STRING, value:DOUBLE, ts:TIMESTAMP(6)")
 
 ORACLE["cdc_transactions"] = """
 WITH items AS (
@@ -383,6 +407,33 @@ SELECT '-D', 0, pk, 'profile', CASE WHEN k % 3 <> 0 THEN old_j ELSE '{{}}' END,
 FROM j WHERE name = 'REMOVE'
 """
 
+ORACLE["cdc_changelog_upsert"] = f"""
+WITH e AS (SELECT *, {_K} AS k, CAST(event_id AS VARCHAR) AS sequence_number,
+                  'user#' || CAST(user_id AS VARCHAR) AS pk FROM events),
+j AS (SELECT *,
+        '{{"k":"' || CAST(k AS VARCHAR) || '","note":'
+          || CASE WHEN k % 4 = 0 THEN '"say \\"hi\\""' ELSE 'null' END
+          || ',"type":"' || event_type || '","value":"' || CAST(value AS VARCHAR) || '"}}' AS new_j,
+        '{{"k":"' || CAST(k - 1 AS VARCHAR) || '"}}' AS old_j FROM e)
+SELECT CASE event_type WHEN 'signup' THEN '+I' WHEN 'click' THEN '+U' ELSE '-D' END AS op,
+       CASE event_type WHEN 'click' THEN 1 ELSE 0 END AS change_seq, pk, 'profile' AS sk,
+       CASE WHEN event_type <> 'purchase' THEN new_j WHEN k % 3 <> 0 THEN old_j ELSE '{{}}' END
+         AS attributes_json,
+       sequence_number, date_trunc('milliseconds', ts) AS event_time
+FROM j WHERE event_type IN ('signup', 'click', 'purchase')
+"""
+
+ORACLE["cdc_transactions_rows"] = """
+SELECT CAST(o.o_orderkey AS VARCHAR) AS transaction_id, o.o_orderkey AS order_id,
+       o.o_custkey AS customer_id, o.o_orderstatus AS status, o.o_totalprice AS total_amount,
+       l.l_linenumber + 1 AS line_no, l.l_partkey AS product_id,
+       CAST(l.l_quantity AS INTEGER) AS quantity, l.l_extendedprice AS unit_price
+FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE o.o_orderkey % 10 <> 0
+"""
+
+ORACLE["events_by_type_view"] = \
+    "SELECT event_type, COUNT(*) AS n, MAX(ts) AS last_ts FROM events GROUP BY event_type"
+
 ORACLE["hybrid_window"] = """
 WITH a AS (SELECT user_id, value, (epoch_us(ts) // 1000) AS t, event_id,
                   (epoch_us(ts) // 1000) - ((epoch_us(ts) // 1000) % 86400000) AS win FROM events),
@@ -394,17 +445,22 @@ SELECT user_id, make_timestamp(win * 1000) AS window_start,
 FROM b GROUP BY user_id, win, bkt
 """
 
-ORACLE["early_fire_window"] = """
-WITH a AS (SELECT user_id, value, (epoch_us(ts) // 1000) AS t, event_id,
+def _early_fire_sql(order: str) -> str:
+    return f"""
+WITH a AS (SELECT user_id, value, (epoch_us(ts) // 1000) AS t, event_id, {_K} * 10000000 + event_id AS arrival,
                   (epoch_us(ts) // 1000) - ((epoch_us(ts) // 1000) % 86400000) AS win FROM events),
 b AS (SELECT *, CASE WHEN LAG(win) OVER w IS NOT DISTINCT FROM win THEN 0 ELSE 1 END AS nw
-      FROM a WINDOW w AS (PARTITION BY user_id ORDER BY t, event_id)),
-c AS (SELECT *, SUM(nw) OVER (PARTITION BY user_id ORDER BY t, event_id
+      FROM a WINDOW w AS (PARTITION BY user_id ORDER BY {order})),
+c AS (SELECT *, SUM(nw) OVER (PARTITION BY user_id ORDER BY {order}
                               ROWS UNBOUNDED PRECEDING) AS isl FROM b)
 SELECT user_id, make_timestamp(win * 1000) AS window_start,
        make_timestamp((win + 86400000) * 1000) AS window_end,
        CAST(ROW_NUMBER() OVER s AS INTEGER) AS num_orders,
        ROUND(SUM(COALESCE(value, 0)) OVER (s ROWS UNBOUNDED PRECEDING), 2) AS total_price,
        event_id
-FROM c WINDOW s AS (PARTITION BY user_id, isl ORDER BY t, event_id)
+FROM c WINDOW s AS (PARTITION BY user_id, isl ORDER BY {order})
 """
+
+
+ORACLE["early_fire_window"] = _early_fire_sql("t, event_id")
+ORACLE["early_fire_window_arrival"] = _early_fire_sql("arrival")

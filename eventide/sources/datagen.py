@@ -67,13 +67,18 @@ def _finish(df: DataFrame, table: str) -> DataFrame:
     return df
 
 
+def _sequence_length(fields) -> int | None:
+    """Rows after which a table's sequences end, None without a sequence."""
+    return min((f[3] - f[2] + 1 for f in fields if f[1] == "seq"), default=None)
+
+
 def generate(spark: SparkSession, table: str, rows: int, seed: int = 42,
              partitions: int | None = None) -> DataFrame:
-    """``rows`` rows of a demo table (sequence fields bound the count)."""
+    """``rows`` rows of a demo table; more than its sequences have is an error."""
     _, fields = SPECS[table]
-    seqs = [f for f in fields if f[1] == "seq"]
-    if seqs:
-        rows = min(rows, min(f[3] - f[2] + 1 for f in seqs))
+    most = _sequence_length(fields)
+    if most is not None and rows > most:
+        raise ValueError(f"{table}: its sequences end after {most} rows, {rows} asked for")
     base = spark.range(0, rows, numPartitions=partitions) if partitions else spark.range(0, rows)
     i = F.col("id")
     df = base.select(*[_field(i, seed, f).alias(f[0]) for f in fields])
@@ -82,11 +87,14 @@ def generate(spark: SparkSession, table: str, rows: int, seed: int = 42,
 
 def generate_stream(spark: SparkSession, table: str, rows_per_second: int | None = None,
                     seed: int = 42) -> DataFrame:
-    """Unbounded demo table at the reference's rate (or ``rows_per_second``)."""
+    """Demo table at the reference's rate (or ``rows_per_second``); no more
+    rows come once its sequences have ended."""
     rate, fields = SPECS[table]
     s = (spark.readStream.format("rate")
          .option("rowsPerSecond", rows_per_second or rate).load())
-    i = F.col("value")
+    i, most = F.col("value"), _sequence_length(fields)
+    if most is not None:
+        s = s.filter(i < most)
     df = s.select(*[_field(i, seed, f).alias(f[0]) for f in fields],
                   F.col("timestamp").alias("proc_time"))
     if table == "currency_rates":

@@ -12,8 +12,9 @@ from eventide.session import ensure_checkpoint_dir
 
 
 def write_table(df: DataFrame, *, path: str | None = None, table: str | None = None,
-                mode: str = "overwrite", fmt: str = "parquet", partition_by=None) -> None:
-    """``CREATE TABLE ... AS SELECT``: to a path or to a catalog table."""
+                mode: str = "errorifexists", fmt: str = "parquet", partition_by=None) -> None:
+    """``CREATE TABLE ... AS SELECT``: to a path or to a catalog table, which
+    must not exist unless another ``mode`` says so."""
     w = df.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))

@@ -58,12 +58,12 @@ def spend_threshold(d: DataFrame, threshold, key, order_id, watermark=WATERMARK,
 
 
 def early_fire_window(d: DataFrame, size_ms, key, seq_name, watermark=WATERMARK,
-                      order="arrival"):
+                      order="arrival", by_seq=False):
     from eventide.streaming.processors import EarlyFireProcessor
     d = d.select(key, "_price", T_MS, "_q")
     schema = (f"{key} {_ktype(d, key)}, _ws long, _we long, num_orders int, "
-              "total_price double, _q long")
-    out = _tws(d, key, EarlyFireProcessor(size_ms), schema, "None", watermark, order)
+              f"total_price double, _q {_ktype(d, '_q')}")
+    out = _tws(d, key, EarlyFireProcessor(size_ms, by_seq), schema, "None", watermark, order)
     cols = [key, ms_to_ntz(F.col("_ws")).alias("window_start"),
             ms_to_ntz(F.col("_we")).alias("window_end"), "num_orders", "total_price"]
     if seq_name:
@@ -84,12 +84,12 @@ def hybrid_window(d: DataFrame, size_ms, threshold, key, watermark=WATERMARK,
 
 
 def sessions(d: DataFrame, timeout_ms, key, end_event, close, watermark=WATERMARK,
-             order="arrival"):
+             order="arrival", ttl_ms=None):
     from eventide.streaming.processors import SessionProcessor
     d = d.select(key, "_type", T_MS, "_q")
     schema = (f"{key} {_ktype(d, key)}, status string, sessionDuration long, "
               "eventCount int, firstEventType string, lastEventType string")
-    return _tws(d, key, SessionProcessor(timeout_ms, end_event, close), schema, "EventTime",
+    return _tws(d, key, SessionProcessor(timeout_ms, end_event, close, ttl_ms), schema, "EventTime",
                 watermark, order)
 
 
@@ -105,12 +105,12 @@ def changelog_audit(d: DataFrame, key, time_type, rate_type, watermark=WATERMARK
 
 
 def anomaly_alerts(d: DataFrame, key, rules, seq_name, watermark=WATERMARK,
-                   order="arrival"):
+                   order="arrival", ttl_ms=None):
     from eventide.streaming.processors import AnomalyProcessor
     d = d.select(key, "_amount", "_country", "_merchant", T_MS, "_q")
     schema = (f"{key} {_ktype(d, key)}, alertType string, riskScore double, reason string, "
-              "transactionCount int, _q long")
-    out = _tws(d, key, AnomalyProcessor(rules), schema, "None", watermark, order)
+              f"transactionCount int, _q {_ktype(d, '_q')}")
+    out = _tws(d, key, AnomalyProcessor(rules, ttl_ms), schema, "None", watermark, order)
     return out.withColumnRenamed("_q", seq_name) if seq_name else out.drop("_q")
 
 
@@ -150,9 +150,8 @@ def cdc_transactions(u: DataFrame, watermark=WATERMARK, ttl_ms=None):
 def dynamic_pricing(u: DataFrame, args, watermark=WATERMARK, order="arrival", ttl_ms=None):
     from eventide.operators.pricing import price_step
     from eventide.streaming.processors import PricingProcessor
-    u = u.withColumnRenamed("_seqo", "_q")
     schema = ("sku string, newPrice double, oldPrice double, reason string, "
-              "timestamp long, seq long")
+              f"timestamp long, seq {_ktype(u, '_q')}")
     return _tws(u, "_sku", PricingProcessor(*args, fold_row=price_step, ttl_ms=ttl_ms), schema,
                 "None", watermark, order)
 

@@ -11,6 +11,8 @@ timer would have emitted, so results do not depend on trigger timing.
 
 from __future__ import annotations
 
+from decimal import ROUND_HALF_UP, Decimal
+
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.stateful_processor import ListState, MapState, ValueState
@@ -22,6 +24,11 @@ def _sorted(rows):
     return sorted(rows, key=lambda r: (r[T], r[Q]))
 
 
+def _exact(x) -> Decimal:
+    """A money amount with the ten decimals that batch sums use; null is 0."""
+    return Decimal(repr(float(x or 0.0))).quantize(Decimal("1e-10"), ROUND_HALF_UP)
+
+
 def field_names(ddl: str) -> list[str]:
     """Top-level field names of a DDL schema string."""
     names, depth, cur = [], 0, ""
@@ -44,8 +51,8 @@ class _Processor(StatefulProcessor):
 
     arrival (default): each micro-batch's rows of a key are folded at once,
     sorted by (time, seq).  event (``buffer_fields`` set): rows wait in list
-    state, one event-time timer per distinct time; when the watermark passes
-    them they are folded in (time, seq) order, so rows arriving in another
+    state with one event-time timer per key, at the earliest of them; when the
+    watermark passes rows they are folded in (time, seq) order, so rows arriving in another
     order than their times (within the watermark delay) give the batch
     result."""
 
@@ -62,6 +69,7 @@ class _Processor(StatefulProcessor):
         self.setup(handle)
         if self.buffer_fields:
             self.buf = handle.getListState("pending", self.buffer_schema)
+            self.due = handle.getValueState("due", "at long")
         if self.cleanup_ms:
             self.cleanup = handle.getValueState("cleanup", "at long")
 
@@ -100,32 +108,46 @@ class _Processor(StatefulProcessor):
         if not self.buffer_fields:
             return self.fold(key, rows)
         new = [tuple(r[f] for f in self.buffer_fields) for r in rows]
-        ti = self.buffer_fields.index(T)
-        for t in sorted({x[ti] for x in new}):
-            self.h.registerTimer(t)
         if new:
             self.buf.appendList(new)
+            self._wake_at(min(x[self.buffer_fields.index(T)] for x in new))
         return iter([])
 
+    def _wake_at(self, t):
+        """One timer per key, at the earliest pending time."""
+        if self.due.exists():
+            old = self.due.get()[0]
+            if old <= t:
+                return
+            self.h.deleteTimer(old)
+        self.h.registerTimer(t)
+        self.due.update((t,))
+
+    def on_timer(self, key, timerValues):
+        """Rows that the passing of time alone emits."""
+        return []
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        out = list(self._drain(key, timerValues))
+        out = [*self._drain(key, timerValues), *self.on_timer(key, timerValues)]
         if self.cleanup_ms and self.cleanup.exists() \
                 and self.cleanup.get()[0] == expiredTimerInfo.getExpiryTimeInMs():
             self._clear_all()
         return iter(out)
 
     def _drain(self, key, timerValues):
-        if not self.buffer_fields or not self.buf.exists():
-            return iter([])
+        """Fold the pending rows that the watermark has passed: one read of
+        the list per key and watermark, whatever number of times it holds."""
         wm = timerValues.getCurrentWatermarkInMs()
+        if not self.buffer_fields or not self.due.exists() or self.due.get()[0] > wm:
+            return iter([])
         ti = self.buffer_fields.index(T)
         pending = [tuple(x) for x in self.buf.get()]
         ready = [x for x in pending if x[ti] <= wm]
-        if not ready:
-            return iter([])
         rest = [x for x in pending if x[ti] > wm]
+        self.due.clear()
         if rest:
             self.buf.put(rest)
+            self._wake_at(min(x[ti] for x in rest))
         else:
             self.buf.clear()
         return self.fold(key, [Row(**dict(zip(self.buffer_fields, x))) for x in ready])
@@ -141,61 +163,64 @@ class SpendThresholdProcessor(_Processor):
         self.threshold, self.key, self.order_id = float(threshold), key, order_id
 
     def setup(self, handle):
-        self.st = handle.getValueState("spend", "total double, n int, done boolean")
+        self.st = handle.getValueState("spend", "total string, n int, done boolean")
 
     def fold(self, key, rows):
-        total, n, done = self.st.get() if self.st.exists() else (0.0, 0, False)
-        out = []
+        total, n, done = self.st.get() if self.st.exists() else ("0", 0, False)
+        total, out = Decimal(total), []
         if not done:
             for r in _sorted(rows):
-                total += r["_price"] or 0.0
+                total += _exact(r["_price"])
                 n += 1
-                if total >= self.threshold:
+                if float(total) >= self.threshold:
                     done = True
-                    out.append(self._row(key[0], total, None if r[self.order_id] is None
+                    out.append(self._row(key[0], float(total), None if r[self.order_id] is None
                                    else str(r[self.order_id]), n))
                     break
-        self.st.update((total, n, done))
+        self.st.update((str(total), n, done))
         return iter(out)
 
+
 class EarlyFireProcessor(_Processor):
-    def __init__(self, size_ms):
-        self.size = int(size_ms)
+    def __init__(self, size_ms, by_seq=False):
+        self.size, self.by_seq = int(size_ms), by_seq
 
     def setup(self, handle):
-        self.st = handle.getValueState("win", "start long, n int, total double")
+        self.st = handle.getValueState("win", "start long, n int, total string")
 
     def fold(self, key, rows):
-        start, n, total = self.st.get() if self.st.exists() else (None, 0, 0.0)
-        out = []
-        for r in _sorted(rows):
+        start, n, total = self.st.get() if self.st.exists() else (None, 0, "0")
+        total, out = Decimal(total), []
+        for r in sorted(rows, key=lambda r: r[Q]) if self.by_seq else _sorted(rows):
             w = r[T] - r[T] % self.size
             if w != start:
-                start, n, total = w, 0, 0.0
+                start, n, total = w, 0, Decimal(0)
             n += 1
-            total += r["_price"] or 0.0
-            out.append(self._row(key[0], start, start + self.size, n, total, r[Q]))
-        self.st.update((start, n, total))
+            total += _exact(r["_price"])
+            out.append(self._row(key[0], start, start + self.size, n, float(total), r[Q]))
+        self.st.update((start, n, str(total)))
         return iter(out)
 
+
 class HybridWindowProcessor(_Processor):
     def __init__(self, size_ms, threshold):
         self.size, self.n = int(size_ms), int(threshold)
 
     def setup(self, handle):
-        self.st = handle.getValueState("win", "start long, n int, total double")
+        self.st = handle.getValueState("win", "start long, n int, total string")
 
     def _emit(self, key, start, n, total):
-        return self._row(key[0], start, start + self.size, n, total)
+        return self._row(key[0], start, start + self.size, n, float(total))
 
     def _load(self):
-        return list(self.st.get()) if self.st.exists() else [None, 0, 0.0]
+        start, n, total = self.st.get() if self.st.exists() else (None, 0, "0")
+        return [start, n, Decimal(total)]
 
     def _save(self, w):
         if w[0] is None:
             self.st.clear()
         else:
-            self.st.update(tuple(w))
+            self.st.update((w[0], w[1], str(w[2])))
 
     def fold(self, key, rows):
         w = self._load()
@@ -205,36 +230,36 @@ class HybridWindowProcessor(_Processor):
             if w[0] is not None and win != w[0]:
                 out.append(self._emit(key, *w))
                 self.h.deleteTimer(w[0] + self.size)
-                w = [None, 0, 0.0]
+                w = [None, 0, Decimal(0)]
             if w[0] is None:
-                w = [win, 0, 0.0]
+                w = [win, 0, Decimal(0)]
                 self.h.registerTimer(win + self.size)
             w[1] += 1
-            w[2] += r["_price"] or 0.0
+            w[2] += _exact(r["_price"])
             if w[1] >= self.n:
                 out.append(self._emit(key, *w))
                 self.h.deleteTimer(w[0] + self.size)
-                w = [None, 0, 0.0]
+                w = [None, 0, Decimal(0)]
         self._save(w)
         return iter(out)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        out = list(self._drain(key, timerValues))
-        w = self._load()
+    def on_timer(self, key, timerValues):
+        out, w = [], self._load()
         if w[0] is not None and w[0] + self.size <= timerValues.getCurrentWatermarkInMs():
             if w[1] > 0:
                 out.append(self._emit(key, *w))
-            self._save([None, 0, 0.0])
-        return iter(out)
+            self._save([None, 0, Decimal(0)])
+        return out
 
 
 class SessionProcessor(_Processor):
-    def __init__(self, timeout_ms, end_event, close_on_timeout):
+    def __init__(self, timeout_ms, end_event, close_on_timeout, ttl_ms=None):
         self.tmo, self.end, self.close_tmo = int(timeout_ms), end_event, close_on_timeout
+        self.ttl = ttl_ms
 
     def setup(self, handle):
         self.st = handle.getValueState(
-            "session", "start long, first string, last string, n int, timer long")
+            "session", "start long, first string, last string, n int, timer long, seen long")
 
     def _timeout(self, key, s, at):
         return self._row(key[0], "TIMEOUT", at - s[0], s[3], s[1], s[2])
@@ -259,8 +284,10 @@ class SessionProcessor(_Processor):
                 s[4] = None
                 if self.close_tmo:
                     s = None
-            if s is None:
-                s = [t, et, et, 1, None]
+            if self.ttl and s is not None and t - s[5] > self.ttl:
+                s = None
+            if s is None or s[1] is None:   # also while only null types came
+                s = [t, et, et, 1, None if s is None else s[4], t]
             else:
                 s[3] += 1
                 s[2] = et
@@ -270,14 +297,13 @@ class SessionProcessor(_Processor):
                 out.append(self._row(key[0], "COMPLETED", t - s[0], s[3], s[1], et))
                 s = None
                 continue
-            s[4] = t + self.tmo
+            s[4], s[5] = t + self.tmo, t
             self.h.registerTimer(s[4])
         self._save(s)
         return iter(out)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        out = list(self._drain(key, timerValues))
-        s = self._load()
+    def on_timer(self, key, timerValues):
+        out, s = [], self._load()
         if s is not None and s[4] is not None and s[4] <= timerValues.getCurrentWatermarkInMs():
             out.append(self._timeout(key, s, s[4]))
             if self.close_tmo:
@@ -285,7 +311,7 @@ class SessionProcessor(_Processor):
             else:
                 s[4] = None
             self._save(s)
-        return iter(out)
+        return out
 
 
 class AuditProcessor(_Processor):
@@ -321,22 +347,27 @@ class AnomalyProcessor(_Processor):
     """Value state for totals and the last row, map state for merchant
     visits, list state for the amounts of the last five rows."""
 
-    def __init__(self, rules):
-        self.r = rules
+    def __init__(self, rules, ttl_ms=None):
+        self.r, self.ttl = rules, ttl_ms
 
     def setup(self, handle):
-        self.st = handle.getValueState("user", "n int, tot double, country string, t long")
+        self.st = handle.getValueState("user", "n int, tot string, country string, t long")
         self.merchants = handle.getMapState("merchants", "merchant string", "n int")
         self.recent = handle.getListState("recent", "amount double")
 
     def fold(self, key, rows):
         r_ = self.r
-        n, tot, lc, lt = self.st.get() if self.st.exists() else (0, 0.0, None, None)
+        n, tot, lc, lt = self.st.get() if self.st.exists() else (0, "0", None, None)
+        tot = Decimal(tot)
         recent = [x[0] for x in self.recent.get()] if self.recent.exists() else []
         seen_now = {}  # merchant visits read/written once per micro-batch
         out = []
         for r in _sorted(rows):
             t, amt, c, m = r[T], r["_amount"], r["_country"], r["_merchant"]
+            if self.ttl and lt is not None and t - lt > self.ttl:
+                n, tot, lc, lt, recent = 0, Decimal(0), None, None, []
+                seen_now = {}
+                self.merchants.clear()
             score, why = 0.0, []
             if lt is not None and t - lt < r_["velocity_ms"] and n > r_["velocity_min"]:
                 score += r_["w"][0]
@@ -344,7 +375,7 @@ class AnomalyProcessor(_Processor):
             if lc is not None and lc != c and lt is not None and t - lt < r_["geo_ms"]:
                 score += r_["w"][1]
                 why.append("GEO_IMPOSSIBLE")
-            if n > 0 and amt is not None and amt > tot / n * r_["factor"]:
+            if n > 0 and amt is not None and amt > float(tot) / n * r_["factor"]:
                 score += r_["w"][2]
                 why.append("AMOUNT_ANOMALY")
             if m not in seen_now:
@@ -364,12 +395,12 @@ class AnomalyProcessor(_Processor):
             recent = (recent + [amt])[-r_["lookback"]:]
             if score >= r_["threshold"]:
                 out.append(self._row(key[0], "HIGH_RISK", score, ",".join(why), n + 1, r[Q]))
-            tot += amt or 0.0
+            tot += _exact(amt)
             n += 1
             lc, lt = c, t
         for m, c in seen_now.items():
             self.merchants.updateValue((m,), (c,))
-        self.st.update((n, tot, lc, lt))
+        self.st.update((n, str(tot), lc, lt))
         self.recent.put([(a,) for a in recent])
         return iter(out)
 
@@ -473,9 +504,13 @@ class TransactionProcessor(_Processor):
                 s = [None, None, None, None, None, None, 0, None, False]
         if new_items:
             self.items.appendList(new_items)
-        self.st.update(tuple(s))
+        if s[6] or s[8]:
+            self.st.update(tuple(s))
+        elif self.st.exists():
+            self.st.clear()             # an emitted transaction keeps no state
         return iter(out)
 
+
 class PricingProcessor(_Processor):
     def __init__(self, inventory_threshold, demand_threshold, min_change, fold_row,
                  ttl_ms=None):

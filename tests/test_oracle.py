@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as E
 from oracle_check import digest, duck
 
-NAMES = list(E.queries())
-SQL = E.oracle_sql()
+NAMES = list(E.QUERIES)
+SQL = E.ORACLE
 
 
 def _compare(spark, name, sf):

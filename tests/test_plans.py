@@ -17,11 +17,11 @@ ONE_EXCHANGE = ["anomaly_alerts", "sessions_continue", "sessions_close", "change
 @pytest.fixture(scope="module")
 def static_plans(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    yield {n: facts(q(spark, SF)) for n, q in E.queries().items()}
+    yield {n: facts(q(spark, SF)) for n, q in E.QUERIES.items()}
     spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-@pytest.mark.parametrize("name", list(E.queries()))
+@pytest.mark.parametrize("name", list(E.QUERIES))
 def test_no_python_in_native_operators(static_plans, name):
     f = static_plans[name]
     if name in PYTHON_ALLOWED:
