@@ -44,8 +44,7 @@ def anomaly_alerts(df: DataFrame, *, user: str = "userId", amount: str = "amount
     require_time(time, "anomaly_alerts")
     d = with_time_seq(df, time, seq, "anomaly_alerts",
                       need=(user, amount, country, merchant, *keep))
-    d = d.select(user, amount, country, merchant, T_MS, SEQ, *[c for c in keep
-                                                              if c not in (user, amount, country, merchant)])
+    d = d.select(*dict.fromkeys([user, amount, country, merchant, T_MS, SEQ, *keep]))
     amt, ttl = F.col(amount), interval_ms(state_ttl) if state_ttl else None
     if d.isStreaming:
         from eventide.streaming import ops as st

@@ -1,11 +1,12 @@
 """Small helpers and the call shapes shown in the README."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from eventide import operators as ops
 from eventide.functions.columns import interval_ms
 from eventide.plans.keyed import keyed, scan
-from eventide.session import scale_conf
+from eventide.session import ensure_checkpoint_dir, scale_conf
 from eventide.sources import datagen
 from eventide.streaming.processors import field_names
 
@@ -29,11 +30,47 @@ def test_scale_conf():
     assert int(scale_conf(10)["spark.sql.shuffle.partitions"]) == 200
 
 
-def test_string_order_column_keeps_keys_whole(spark):
-    df = spark.createDataFrame([("k", "a"), ("k", "b"), ("k", "c")], "key string, o string")
+def test_string_order_column_is_sliced_too(spark):
+    df = spark.createDataFrame([("k", "a"), ("k", "b"), ("k", "c"), ("x", "a")], "key string, o string")
     k = keyed(df, ["key"], ["o"], rows_per_chunk=1)
-    assert not k.chunked
-    assert [r.rn for r in scan(k, rn="rn").result().orderBy("o").collect()] == [1, 2, 3]
+    assert k.chunked and k.hot_keys == 1
+    assert [r.rn for r in scan(k, rn="rn").result().orderBy("key", "o").collect()] == [1, 2, 3, 1]
+
+
+def test_interval_of_unknown_unit_is_refused():
+    with pytest.raises(ValueError):
+        interval_ms("3 fortnights")
+
+
+def test_missing_order_is_refused(spark):
+    df = spark.createDataFrame([("k", 1.0, "o", 5)], "customer_id string, price double, order_id string, ts long")
+    with pytest.raises(ValueError, match="seq"):
+        ops.spend_threshold(df, 1.0, time=None)
+    with pytest.raises(ValueError, match="seq"):
+        ops.early_fire_window(df, 1000, key="customer_id", order_by="arrival")
+
+
+def test_generate_refuses_more_rows_than_its_sequences_have(spark):
+    with pytest.raises(ValueError, match="100000"):
+        datagen.generate(spark, "competitor_prices", 100_001)
+
+
+def test_checkpoint_folder_must_be_named_off_a_local_master(spark):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+    assert ensure_checkpoint_dir(spark)
 
 
 def test_readme_call_shapes(spark):

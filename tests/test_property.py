@@ -93,7 +93,7 @@ def fold_sessions(rows, tmo, close):
     for user, rs in _by_key(rows).items():
         open_, start, first, cnt = False, None, None, 0
         for i, r in enumerate(rs):
-            if not open_:
+            if not open_ or first is None:  # only null types so far: not open yet
                 open_, start, first, cnt = True, r["t"], r["etype"], 1
             else:
                 cnt += 1
@@ -237,11 +237,10 @@ def test_first_match_vs_fold(spark, seed, chunk):
     assert got == fold_first_match(rows)
 
 
-@pytest.mark.parametrize("chunk", CHUNKS)
-def test_row_formatter_patterns_vs_fold(spark, chunk):
+def test_row_formatter_patterns_vs_fold(spark):
     rows = _events(3)
     df = _df(spark, rows).select("user", "seq", "country", "merchant")
-    got = ops.row_formatter(df, ["user"], order="seq", rows_per_chunk=chunk).collect()
+    got = ops.row_formatter(df, ["user"], order="seq").collect()
     got = sorted(((r.user, r.formatted_row, r.distinct_patterns) for r in got), key=str)
     exp = []
     for user, rs in _by_key(rows, order=("seq",)).items():

@@ -3,8 +3,10 @@ results as the single-window plan."""
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from eventide import operators as ops
-from eventide.plans.keyed import keyed, scan
+from eventide.plans.keyed import hot_keys, keyed, scan
 
 
 def _skewed(spark, n=20000):
@@ -30,7 +32,7 @@ def test_hot_key_spreads_over_tasks(spark):
         assert k.df.filter(F.col("customer_id") == "hot").count() == 0
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    # the hot key's 10 000 rows become ~1 000-row slices hashed over the tasks
+    # the hot key's 10 000 rows become slices of about 800 rows hashed over the tasks
     assert len(slices) >= 9 and max(r["count"] for r in slices) <= 1100
     assert len(parts) > 1 and max(r["count"] for r in parts) < 10000
 
@@ -46,3 +48,79 @@ def test_hot_key_results_equal_plain_plan(spark):
     b = ops.early_fire_window(df, 60_000, key="customer_id", time="ts", seq="seq",
                               keep=("seq",), rows_per_chunk=0)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+# one far outlier; all times equal; mostly null; bursts at a few times
+SHAPES = {"outlier": "if(id = 7, 1000000000000000, id)", "equal": "5L", "null": "if(id % 2000 = 0, id, null)",
+          "bursts": "id div 5000 * 86400000"}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_slices_are_equally_deep_whatever_the_times(spark, shape):
+    df = spark.range(20000).selectExpr("'hot' AS key", f"CAST({SHAPES[shape]} AS BIGINT) AS t", "id AS seq",
+                                       "CAST(id % 7 AS BIGINT) AS v")
+    k = keyed(df, ["key"], ["t", "seq"], rows_per_chunk=1000)
+    sizes = [r["count"] for r in k.hot.groupBy("_chunk").count().collect()]
+    assert sum(sizes) == 20000 and max(sizes) <= 1100
+    split = scan(k, rn="rn", sums={"s": F.col("v")}, lags={"l": F.col("v")}, leads={"n": F.col("seq")}).result()
+    plain = scan(keyed(df, ["key"], ["t", "seq"], rows_per_chunk=0), rn="rn", sums={"s": F.col("v")},
+                 lags={"l": F.col("v")}, leads={"n": F.col("seq")}).result()
+    assert split.exceptAll(plain).count() == 0 and split.count() == 20000
+
+
+def _tenths(spark, n=1000):
+    return spark.range(n).selectExpr("'k' AS customer_id", "id AS ts", "id AS seq", "0.1D AS price",
+                                     "CAST(id AS STRING) AS order_id")
+
+
+@pytest.mark.parametrize("threshold", [20.000000000000014, 45.00000000000037, 20.0])
+def test_sums_do_not_depend_on_the_slices(spark, threshold):
+    kw = dict(key="customer_id", time="ts", seq="seq")
+    rows = {tuple(ops.spend_threshold(_tenths(spark), threshold, rows_per_chunk=c, **kw).first())
+            for c in (0, 7, 100)}
+    assert len(rows) == 1
+    assert rows.pop()[3] == (200 if threshold == 20.0 else 201 if threshold < 21 else 451)
+
+
+def _pair_input(spark):
+    o = spark.createDataFrame([("a", f"o{i}", float(i), i * 1000 + (i // 10) * 10_000_000, i) for i in range(60)],
+                              "customerId string, orderId string, totalAmount double, ts long, seq long")
+    c = spark.createDataFrame([("a", "n", "e", "t", i * 1000 + 500 + (i // 10) * 10_000_000, i) for i in range(60)],
+                              "customerId string, name string, email string, tier string, ts long, seq long")
+    return o, c
+
+
+def test_state_ttl_gives_the_same_rows_on_split_keys(spark):
+    ch = spark.createDataFrame([("EUR", ["+I", "+U", "-D"][i % 3], float(i), i * 1000 + (i // 7) * 3_600_000, i)
+                                for i in range(60)], "currency string, op string, rate double, update_time long, q long")
+    o, c = _pair_input(spark)
+    tx = spark.createDataFrame([("u", float(i % 9), "DE" if i % 4 else "US", "m", i * 60_000 + (i // 20) * 90_000_000, i)
+                                for i in range(80)],
+                               "userId string, amount double, country string, merchant string, ts long, q long")
+    ev = tx.selectExpr("userId", "if(q % 11 = 0, null, 'x') AS eventType", "ts", "q")
+    for run in (lambda n: ops.changelog_audit(ch, seq="q", state_ttl="1 hour", rows_per_chunk=n),
+                lambda n: ops.first_match_join(o, c, order_seq="seq", customer_seq="seq", state_ttl="1 hour",
+                                               rows_per_chunk=n),
+                lambda n: ops.anomaly_alerts(tx, seq="q", state_ttl="12 hours", threshold=0.2, rows_per_chunk=n),
+                lambda n: ops.sessions(ev, "30 minutes", seq="q", state_ttl="2 hours", rows_per_chunk=n)):
+        plain = sorted(map(tuple, run(0).collect()), key=str)
+        assert plain and plain == sorted(map(tuple, run(5).collect()), key=str)
+
+
+def test_stacked_operators_take_one_measurement(spark):
+    df = _skewed(spark).withColumnRenamed("customer_id", "k")
+    hot = hot_keys(df, "k", rows_per_chunk=1000)
+    assert hot.count == 1 and hot.slices >= 10
+    a = ops.latest_changelog(df, "k", time="ts", seq="seq", hot=hot)
+    b = ops.scd2_from_changelog(a.drop("change_seq"), "k", time="ts", seq="seq", hot=hot)
+    want = ops.scd2_from_changelog(ops.latest_changelog(df, "k", time="ts", seq="seq", rows_per_chunk=0)
+                                   .drop("change_seq"), "k", time="ts", seq="seq", rows_per_chunk=0)
+    assert b.exceptAll(want).count() == 0 and b.count() == want.count()
+
+
+def test_session_summary_of_a_hot_user(spark):
+    df = spark.range(5000).selectExpr("if(id % 2 = 0, 'hot', 'cold') AS userId", "'e' AS eventType",
+                                      "1.5D AS eventValue", "timestamp_millis(id * 1000 + (id div 100) * 7200000) AS ts")
+    plain = ops.session_summary(df, "1 hour", rows_per_chunk=0)
+    split = ops.session_summary(df, "1 hour", rows_per_chunk=300)
+    assert plain.count() == 100 and split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
