@@ -12,13 +12,13 @@ from eventide.streaming.ops import WATERMARK
 from eventide.plans.keyed import HotKeys, keyed, scan
 
 
-def spend_threshold(df: DataFrame, threshold: float, *, key: str = "customer_id",
+def spend_threshold(df: DataFrame, threshold: float, *, key="customer_id",
                     price: str = "price", order_id: str = "order_id",
                     time: str | None = "ts", seq: str | None = None,
                     rows_per_chunk: int | None = None, hot: HotKeys | None = None,
                     watermark: str | None = WATERMARK,
                     stream_order: str = "arrival") -> DataFrame:
-    """Output: key, total_spend DOUBLE, crossing_order_id STRING, order_count INT.
+    """Output: key (one column or several), total_spend DOUBLE, crossing_order_id STRING, order_count INT.
 
     Prices are summed exactly (DECIMAL(27,10)), so the crossing row does not
     depend on how a key's rows are grouped.  The crossing test is inclusive (``>=``); a null price counts as 0.  With
@@ -29,7 +29,8 @@ def spend_threshold(df: DataFrame, threshold: float, *, key: str = "customer_id"
     processor; ``watermark`` bounds lateness and ``stream_order`` is
     'arrival' (fold each micro-batch as it comes) or 'event' (buffer until
     the watermark passes, then fold in event-time order)."""
-    d = with_time_seq(df, time, seq, "spend_threshold", need=(key, price, order_id))
+    keys = [key] if isinstance(key, str) else list(key)
+    d = with_time_seq(df, time, seq, "spend_threshold", need=(*keys, price, order_id))
     order = [T_MS, SEQ] if time is not None else [SEQ]
     if d.isStreaming:
         from eventide.streaming import ops as st
@@ -37,14 +38,14 @@ def spend_threshold(df: DataFrame, threshold: float, *, key: str = "customer_id"
         return st.spend_threshold(
             d.withColumn("_price", F.col(price).cast("double")), threshold, key, order_id,
             watermark, stream_order)
-    d = d.select(key, price, order_id, *order)
-    k = keyed(d, [key], order, rows_per_chunk, hot)
+    d = d.select(*keys, price, order_id, *order)
+    k = keyed(d, keys, order, rows_per_chunk, hot)
     k = scan(k, rn="_n", sums={"_s": exact(F.coalesce(F.col(price).cast("double"), F.lit(0.0)))})
     hits = k.result().withColumn("_s", F.col("_s").cast("double")).filter(F.col("_s") >= F.lit(float(threshold)))
-    first = hits.groupBy(key).agg(
+    first = hits.groupBy(*keys).agg(
         F.min_by(F.struct("_s", order_id, "_n"), F.struct(*order)).alias("m"))
     return first.select(
-        key,
+        *keys,
         F.col("m._s").alias("total_spend"),
         F.col(f"m.{order_id}").cast("string").alias("crossing_order_id"),
         F.col("m._n").cast("int").alias("order_count"))

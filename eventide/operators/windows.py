@@ -11,13 +11,13 @@ from eventide.plans.keyed import HotKeys, keyed, scan
 from eventide.streaming.ops import WATERMARK
 
 
-def hybrid_window(df: DataFrame, size, count_threshold: int, *, key: str,
+def hybrid_window(df: DataFrame, size, count_threshold: int, *, key,
                   price: str = "price", time: str = "ts", seq: str | None = None,
                   rows_per_chunk: int | None = None, hot: HotKeys | None = None,
                   watermark: str | None = WATERMARK,
                   stream_order: str = "arrival") -> DataFrame:
     """Epoch-aligned tumbling window per key that also fires every
-    ``count_threshold`` rows.  Output: key, window_start, window_end
+    ``count_threshold`` rows.  Output: key (one column or several), window_start, window_end
     (TIMESTAMP_NTZ, UTC), num_orders INT, total_price DOUBLE (null price as 0).
 
     On a streaming DataFrame the same call runs a transformWithState
@@ -26,29 +26,30 @@ def hybrid_window(df: DataFrame, size, count_threshold: int, *, key: str,
     the watermark passes, then fold in event-time order)."""
     require_time(time, "hybrid_window")
     size_ms, n = interval_ms(size), int(count_threshold)
-    d = with_time_seq(df, time, seq, "hybrid_window", need=(key, price))
+    keys = [key] if isinstance(key, str) else list(key)
+    d = with_time_seq(df, time, seq, "hybrid_window", need=(*keys, price))
     if d.isStreaming:
         from eventide.streaming import ops as st
         return st.hybrid_window(d.withColumn("_price", F.col(price).cast("double")), size_ms, n,
                                 key, watermark, stream_order)
-    d = d.select(key, price, T_MS, SEQ).withColumn("_win", window_start(F.col(T_MS), size_ms))
-    k = keyed(d, [key], [T_MS, SEQ], rows_per_chunk, hot)
+    d = d.select(*keys, price, T_MS, SEQ).withColumn("_win", window_start(F.col(T_MS), size_ms))
+    k = keyed(d, keys, [T_MS, SEQ], rows_per_chunk, hot)
     # windows are contiguous runs in event order: the row number inside the
     # window is the key's row number minus that of the window's first row
     k = scan(k, rn="_rn", lags={"_pw": F.col("_win")})
     first = F.when(~F.col("_pw").eqNullSafe(F.col("_win")), F.col("_rn"))
     k = scan(k, lasts={"_w0": first})
     b = k.result().withColumn("_b", F.floor((F.col("_rn") - F.col("_w0")) / F.lit(n)))
-    g = b.groupBy(key, "_win", "_b").agg(
+    g = b.groupBy(*keys, "_win", "_b").agg(
         F.count(F.lit(1)).cast("int").alias("num_orders"),
         F.sum(exact(F.coalesce(F.col(price).cast("double"), F.lit(0.0)))).cast("double")
         .alias("total_price"))
-    return g.select(key, ms_to_ntz(F.col("_win")).alias("window_start"),
+    return g.select(*keys, ms_to_ntz(F.col("_win")).alias("window_start"),
                     ms_to_ntz(F.col("_win") + size_ms).alias("window_end"),
                     "num_orders", "total_price")
 
 
-def early_fire_window(df: DataFrame, size, *, key: str, price: str = "price",
+def early_fire_window(df: DataFrame, size, *, key, price: str = "price",
                       time: str = "ts", seq: str | None = None, order_by: str = "event",
                       keep=(),
                       rows_per_chunk: int | None = None, hot: HotKeys | None = None,
@@ -57,7 +58,7 @@ def early_fire_window(df: DataFrame, size, *, key: str, price: str = "price",
     """Running window aggregate emitted on every row.  The running totals
     restart whenever a row's window differs from the previous row's (also for
     late rows).  ``order_by``: 'event' (time, seq) or 'arrival' (seq).
-    Output: key, window_start, window_end, num_orders, total_price (+ keep).
+    Output: key (one column or several), window_start, window_end, num_orders, total_price (+ keep).
 
     On a streaming DataFrame the same call runs a transformWithState
     processor; ``watermark`` bounds lateness and ``stream_order`` is
@@ -69,21 +70,22 @@ def early_fire_window(df: DataFrame, size, *, key: str, price: str = "price",
         raise ValueError("order_by must be 'event' or 'arrival'")
     if order_by == "arrival" and seq is None:
         raise ValueError("early_fire_window: in arrival order seq is the order and must be given")
-    d = with_time_seq(df, time, seq, "early_fire_window", need=(key, price, *keep))
+    keys = [key] if isinstance(key, str) else list(key)
+    d = with_time_seq(df, time, seq, "early_fire_window", need=(*keys, price, *keep))
     if d.isStreaming:
         from eventide.streaming import ops as st
         if order_by == "arrival" and stream_order == "event":
             raise ValueError("order_by='arrival' and stream_order='event' exclude each other")
-        extra = [c for c in keep if c != key]
+        extra = [c for c in keep if c not in keys]
         if extra and extra != [seq]:
             raise NotImplementedError("streams keep only the seq column")
         return st.early_fire_window(d.withColumn("_price", F.col(price).cast("double")),
                                     size_ms, key, seq if extra else None, watermark,
                                     stream_order, order_by == "arrival")
-    d = d.select(key, price, T_MS, SEQ, *[c for c in keep if c not in (key, price)]) \
+    d = d.select(*keys, price, T_MS, SEQ, *[c for c in keep if c not in (*keys, price)]) \
         .withColumn("_win", window_start(F.col(T_MS), size_ms))
     order = [T_MS, SEQ] if order_by == "event" else [SEQ]
-    k = keyed(d, [key], order, rows_per_chunk, hot)
+    k = keyed(d, keys, order, rows_per_chunk, hot)
     price_0 = exact(F.coalesce(F.col(price).cast("double"), F.lit(0.0)))
     if order_by == "event":
         # window start is monotone in event time: each window is one run
@@ -97,8 +99,8 @@ def early_fire_window(df: DataFrame, size, *, key: str, price: str = "price",
         k = scan(k, sums={"_isl": F.col("_new")})
         k = scan(k, by=["_isl"], rn="_cnt", sums={"_tot": price_0})
     return k.result().select(
-        key, ms_to_ntz(F.col("_win")).alias("window_start"),
+        *keys, ms_to_ntz(F.col("_win")).alias("window_start"),
         ms_to_ntz(F.col("_win") + size_ms).alias("window_end"),
         F.col("_cnt").cast("int").alias("num_orders"),
         F.col("_tot").cast("double").alias("total_price"),
-        *[c for c in keep if c != key])
+        *[c for c in keep if c not in keys])

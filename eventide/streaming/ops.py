@@ -19,7 +19,7 @@ def _named(proc, schema: str):
     return proc
 
 
-def _tws(d: DataFrame, key: str, proc, schema: str, time_mode: str,
+def _tws(d: DataFrame, key, proc, schema: str, time_mode: str,
          watermark: str | None, order: str = "arrival") -> DataFrame:
     proc = _named(proc, schema)
     ttl = getattr(proc, "ttl", None)
@@ -31,7 +31,7 @@ def _tws(d: DataFrame, key: str, proc, schema: str, time_mode: str,
     if order == "event":
         if not watermark:
             raise ValueError("stream order 'event' needs a watermark")
-        fields = [f for f in d.schema.fields if f.name not in (key, "_evt")]
+        fields = [f for f in d.schema.fields if f.name not in (*_keys(key), "_evt")]
         proc.buffer_fields = [f.name for f in fields]
         proc.buffer_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
         time_mode = "EventTime"
@@ -40,7 +40,15 @@ def _tws(d: DataFrame, key: str, proc, schema: str, time_mode: str,
     d = d.withColumn("_evt", F.timestamp_millis(F.col(T_MS)))
     if watermark:
         d = d.withWatermark("_evt", watermark)
-    return d.groupBy(key).transformWithState(proc, schema, "Append", time_mode)
+    return d.groupBy(*_keys(key)).transformWithState(proc, schema, "Append", time_mode)
+
+
+def _keys(key) -> list:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _kddl(df: DataFrame, key) -> str:
+    return ", ".join(f"{k} {_ktype(df, k)}" for k in _keys(key))
 
 
 def _ktype(df: DataFrame, key: str) -> str:
@@ -50,8 +58,8 @@ def _ktype(df: DataFrame, key: str) -> str:
 def spend_threshold(d: DataFrame, threshold, key, order_id, watermark=WATERMARK,
                     order="arrival"):
     from eventide.streaming.processors import SpendThresholdProcessor
-    d = d.select(key, F.col(order_id), F.col("_price"), T_MS, "_q")
-    schema = (f"{key} {_ktype(d, key)}, total_spend double, crossing_order_id string, "
+    d = d.select(*_keys(key), F.col(order_id), F.col("_price"), T_MS, "_q")
+    schema = (f"{_kddl(d, key)}, total_spend double, crossing_order_id string, "
               "order_count int")
     return _tws(d, key, SpendThresholdProcessor(threshold, key, order_id), schema, "None",
                 watermark, order)
@@ -60,11 +68,11 @@ def spend_threshold(d: DataFrame, threshold, key, order_id, watermark=WATERMARK,
 def early_fire_window(d: DataFrame, size_ms, key, seq_name, watermark=WATERMARK,
                       order="arrival", by_seq=False):
     from eventide.streaming.processors import EarlyFireProcessor
-    d = d.select(key, "_price", T_MS, "_q")
-    schema = (f"{key} {_ktype(d, key)}, _ws long, _we long, num_orders int, "
+    d = d.select(*_keys(key), "_price", T_MS, "_q")
+    schema = (f"{_kddl(d, key)}, _ws long, _we long, num_orders int, "
               f"total_price double, _q {_ktype(d, '_q')}")
     out = _tws(d, key, EarlyFireProcessor(size_ms, by_seq), schema, "None", watermark, order)
-    cols = [key, ms_to_ntz(F.col("_ws")).alias("window_start"),
+    cols = [*_keys(key), ms_to_ntz(F.col("_ws")).alias("window_start"),
             ms_to_ntz(F.col("_we")).alias("window_end"), "num_orders", "total_price"]
     if seq_name:
         cols.append(F.col("_q").alias(seq_name))
@@ -74,11 +82,11 @@ def early_fire_window(d: DataFrame, size_ms, key, seq_name, watermark=WATERMARK,
 def hybrid_window(d: DataFrame, size_ms, threshold, key, watermark=WATERMARK,
                   order="arrival"):
     from eventide.streaming.processors import HybridWindowProcessor
-    d = d.select(key, "_price", T_MS, "_q")
-    schema = f"{key} {_ktype(d, key)}, _ws long, _we long, num_orders int, total_price double"
+    d = d.select(*_keys(key), "_price", T_MS, "_q")
+    schema = f"{_kddl(d, key)}, _ws long, _we long, num_orders int, total_price double"
     out = _tws(d, key, HybridWindowProcessor(size_ms, threshold), schema, "EventTime",
                watermark, order)
-    return out.select(key, ms_to_ntz(F.col("_ws")).alias("window_start"),
+    return out.select(*_keys(key), ms_to_ntz(F.col("_ws")).alias("window_start"),
                       ms_to_ntz(F.col("_we")).alias("window_end"), "num_orders",
                       "total_price")
 

@@ -174,7 +174,7 @@ class SpendThresholdProcessor(_Processor):
                 n += 1
                 if float(total) >= self.threshold:
                     done = True
-                    out.append(self._row(key[0], float(total), None if r[self.order_id] is None
+                    out.append(self._row(*key, float(total), None if r[self.order_id] is None
                                    else str(r[self.order_id]), n))
                     break
         self.st.update((str(total), n, done))
@@ -197,7 +197,7 @@ class EarlyFireProcessor(_Processor):
                 start, n, total = w, 0, Decimal(0)
             n += 1
             total += _exact(r["_price"])
-            out.append(self._row(key[0], start, start + self.size, n, float(total), r[Q]))
+            out.append(self._row(*key, start, start + self.size, n, float(total), r[Q]))
         self.st.update((start, n, str(total)))
         return iter(out)
 
@@ -210,7 +210,7 @@ class HybridWindowProcessor(_Processor):
         self.st = handle.getValueState("win", "start long, n int, total string")
 
     def _emit(self, key, start, n, total):
-        return self._row(key[0], start, start + self.size, n, float(total))
+        return self._row(*key, start, start + self.size, n, float(total))
 
     def _load(self):
         start, n, total = self.st.get() if self.st.exists() else (None, 0, "0")

@@ -156,3 +156,18 @@ def test_event_order_reads_pending_rows_once_per_watermark():
             out += list(p.handleExpiredTimer(("k",), _Expired(watermark), _Expired(watermark)))
     assert out == sorted(times) and h.reads == 20000 + 10000 and not h.timers
     assert time.time() - started < 20
+
+
+def test_composite_keys_in_batch_and_stream(spark):
+    data = [(r[0] + str(i % 2), "x" if i % 3 else "y", *r[2:]) for i, r in enumerate(rows())]
+    df = spark.createDataFrame(data, EVENTS)
+    kw = dict(key=["userId", "eventType"], price="price", seq="q")
+    for run_on in (lambda d: ops.early_fire_window(d, "1 minute", keep=("q",), **kw),
+                   lambda d: ops.spend_threshold(d, 12.5, order_id="q", **kw)):
+        want = batch(run_on(df))
+        assert want == batch(run_on(df.withColumnRenamed("userId", "u").withColumnRenamed("u", "userId")))
+        s, d = stream(spark, data, EVENTS)
+        assert run(spark, run_on(s), d) == want
+    windows = ops.hybrid_window(df, "1 minute", 2, **kw)
+    assert windows.columns[:2] == ["userId", "eventType"]
+    assert batch(windows) == batch(ops.hybrid_window(df, "1 minute", 2, rows_per_chunk=3, **kw))
