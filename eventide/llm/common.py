@@ -5,6 +5,8 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +55,18 @@ def text_slices(texts: list, size: int = 4 * SECTION):
         yield start, len(texts)
 
 
+def slices_of(column: pa.Array, size: int):
+    """Ranges of consecutive texts of about ``size`` bytes each, without
+    making Python strings of the whole column."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(column):
+        done = ends[at - 1] if at else 0
+        hi = min(len(column), int(np.searchsorted(ends, done + size)) + 1)
+        yield at, hi
+        at = hi
+
+
 def mix64(h: np.ndarray) -> np.ndarray:
     """Finalizer that spreads every input bit over the 64 output bits."""
     h = h ^ (h >> np.uint64(33))

@@ -29,7 +29,6 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import collections
 import re
 import sys
 import types
@@ -40,11 +39,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import reliable, text_slices
+from eventide.llm.common import SECTION, reliable, slices_of
 
 _CUT = re.compile(r"(?= \S)")
 # White space beside the space and the line feed.
 _OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+_MARKS = ".,;:!?"
 _RUNS = ("  ", " \n", "\n ", "\n\n")
 PIECES = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 _SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -60,6 +60,7 @@ class Encoder:
         self.tok = Tokenizer.from_str(tokenizer_json)
         self.limit = cache_words
         self.newline = self._whole("\n")
+        self.marks = {c: self._whole(c) for c in _MARKS}
         # ids by word after a space; a word that begins with a line feed has
         # no space before it, and first words of texts are kept that way too
         self.words: dict[str, bytes] = {}
@@ -67,15 +68,26 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: list, into: dict) -> None:
+    def _learn(self, words: set) -> tuple[dict, list]:
+        """Ids of new words: (those to keep, those of this slice only).  One
+        punctuation mark after a letter or digit is a piece of its own, so such
+        a word is the one without it and the mark, and is not kept."""
+        marked = [w for w in words if w[-1] in _MARKS and len(w) > 1 and w[-2].isalnum()]
+        plain = words.difference(marked)
+        plain.update(w[:-1] for w in marked if w[:-1] not in self.words)
+        found: dict = {}
+        self._encode_words(sorted(plain), found)
+        return found, marked
+
+    def _encode_words(self, words: list, into: dict) -> None:
         """Encode words together, one to a line: a line feed between
         non-spaces is always a token of its own."""
         for head, own in (("", [w[1:] for w in words if w[0] == "\n"]),
                           (" ", [w for w in words if w[0] != "\n"])):
             for at in range(0, len(own), 4096):
                 part = own[at:at + 4096]
-                ids = np.array(self.tok.encode(head + f"\n{head}".join(part),
-                                               add_special_tokens=False).ids, "<u4")
+                ids = np.array(self.tok.encode_batch_fast([head + f"\n{head}".join(part)],
+                                                          add_special_tokens=False)[0].ids, "<u4")
                 cuts = np.flatnonzero(ids == np.frombuffer(self.newline, "<u4")[0])
                 if len(self.newline) != 4 or len(cuts) != len(part) - 1 or any("<|" in w for w in part):
                     for w in part:
@@ -95,27 +107,26 @@ class Encoder:
         return f"\n{text}".replace("\n", " \n").split(" ")[1:]
 
     def encode(self, texts: list) -> list[bytes]:
-        out = []
-        for lo, hi in text_slices(texts):
-            part = [t or "" for t in texts[lo:hi]]
-            cut = [self._cut(t) if t else None for t in part]
-            new: set = set()
-            for words in cut:
-                new.update(words or ())
-            new.difference_update(self.words)
-            known, extra = self.words, {}
-            if new:
-                self._learn(sorted(new), extra)
-                if len(self.words) + len(extra) <= self.limit:
-                    self.words.update(extra)
-                else:
-                    known = collections.ChainMap(extra, self.words)
-            get, skip = known.__getitem__, len(self.newline)
-            for t, words in zip(part, cut):
-                if words is None:
-                    out.append(b"".join(map(self._whole, _CUT.split(t))))
-                else:       # without the line feed put before the first word
-                    out.append(b"".join(map(get, words))[skip:])
+        part = [t or "" for t in texts]
+        cut = [self._cut(t) if t else None for t in part]
+        new: set = set()
+        for words in cut:
+            new.update(words or ())
+        new.difference_update(self.words)
+        found, marked = self._learn(new)
+        keep = len(self.words) + len(found) <= self.limit
+        known = self.words
+        known.update(found)
+        for w in marked:
+            known[w] = known[w[:-1]] + self.marks[w[-1]]
+        get, skip, out = known.__getitem__, len(self.newline), []
+        for t, words in zip(part, cut):
+            if words is None:
+                out.append(b"".join(map(self._whole, _CUT.split(t))))
+            else:       # without the line feed put before the first word
+                out.append(b"".join(map(get, words))[skip:])
+        for w in marked if keep else [*marked, *found]:
+            known.pop(w, None)
         return out
 
 
@@ -212,7 +223,7 @@ def _batch(windows: list, first_sequence: int, with_ids: bool) -> pa.RecordBatch
 
 def pack(docs: DataFrame, tokenizer_json: str, *, id_col: str = "doc_id", text_col: str = "text",
          capacity: int = 2048, open_windows: int = 16, end_id: int = 1, with_ids: bool = True,
-         cache_words: int = 800_000, tasks_per_group: int = 64) -> DataFrame:
+         cache_words: int = 600_000, tasks_per_group: int = 64) -> DataFrame:
     """One row per piece: doc_id, start (ids of its document before it),
     length, ids_crc32, doc_tokens, sequence_id, offset (in its sequence) and,
     ``with_ids``, the ids.  ``tokenizer_json`` is the text of a byte-level BPE
@@ -225,12 +236,14 @@ def pack(docs: DataFrame, tokenizer_json: str, *, id_col: str = "doc_id", text_c
         encoder, packer = _encoder(tokenizer_json, cache_words), Packer(capacity, open_windows)
         sequence = (TaskContext.get().partitionId() + 1) << 32
         for b in batches:
-            for doc, ids in zip(b.column("doc_id").to_pylist(), encoder.encode(b.column("text").to_pylist())):
-                ids += end
-                packer.place(doc, 0, len(ids) // 4, ids)
-                if len(packer.done) >= 512:
-                    yield _batch(packer.done, sequence, with_ids)
-                    sequence, packer.done = sequence + len(packer.done), []
+            docs = b.column("doc_id").to_pylist()
+            for lo, hi in slices_of(b.column("text"), SECTION * 4):
+                for doc, ids in zip(docs[lo:hi], encoder.encode(b.column("text")[lo:hi].to_pylist())):
+                    ids += end
+                    packer.place(doc, 0, len(ids) // 4, ids)
+                    if len(packer.done) >= 512:
+                        yield _batch(packer.done, sequence, with_ids)
+                        sequence, packer.done = sequence + len(packer.done), []
         left = packer.merge_open()
         yield _batch(packer.done, sequence, with_ids)
         yield _batch([left], None, True)
