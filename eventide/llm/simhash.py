@@ -106,7 +106,7 @@ def _ball(val, width: int, radius: int):
 
 
 def near_links(fps: DataFrame, *, max_bits: int = 3, segments: int = 2,
-               bucket_limit: int = 4096) -> DataFrame:
+               bucket_limit: int = 512) -> DataFrame:
     """Links (a, b) among the distinct fingerprints of ``fps`` (column fp)
     that have the same components as all pairs within ``max_bits`` bits."""
     if segments < 2:
@@ -207,7 +207,7 @@ def components(links: DataFrame, max_rounds: int = 64) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 3, max_bits: int = 3, segments: int = 2,
-                    bucket_limit: int = 4096) -> DataFrame:
+                    bucket_limit: int = 512) -> DataFrame:
     """One row per document: doc_id, text_hash, fp, root (smallest
     fingerprint of the component) and component_id (smallest doc_id in it)."""
     fps = reliable(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle))

@@ -61,18 +61,40 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))][:k]
 
 
-def accumulate(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
-    """Scores (queries x candidates), one term at a time over its postings."""
-    scores = np.zeros((len(queries), len(candidates)), np.int64)
-    for term in range(min(queries.shape[1], candidates.shape[1])):
-        rows, asked = np.flatnonzero(candidates[:, term]), np.flatnonzero(queries[:, term])
-        if not len(rows) or not len(asked):
-            continue
-        part = queries[asked, term][:, None] * candidates[rows, term]
-        if len(rows) == len(candidates) and len(asked) == len(queries):
-            scores += part
-        else:
-            scores[np.ix_(asked, rows)] += part
+def postings(candidates: np.ndarray) -> list:
+    """(term, rows or None for all, weights): the posting list of each term
+    that some row has; lists of more than half of the rows are kept dense."""
+    out = []
+    for term in range(candidates.shape[1]):
+        column = np.ascontiguousarray(candidates[:, term])
+        rows = np.flatnonzero(column)
+        if 2 * len(rows) > len(column):
+            out.append((term, None, column))
+        elif len(rows):
+            out.append((term, rows, column[rows]))
+    return out
+
+
+def accumulate(queries: np.ndarray, lists: list, n: int, tile: int = 64) -> np.ndarray:
+    """Scores (queries x ``n`` candidates): for a tile of queries, one term
+    after the other scatters query weight x posting weights into the scores."""
+    scores = np.zeros((len(queries), n), np.int64)
+    buffer = np.empty((tile, n), np.int64)
+    for lo in range(0, len(queries), tile):
+        part, asking = scores[lo:lo + tile], queries[lo:lo + tile]
+        for term, rows, w in lists:
+            if term >= asking.shape[1]:
+                continue
+            asked = np.flatnonzero(asking[:, term])
+            weight = asking[asked, term][:, None]
+            if not len(asked):
+                continue
+            if rows is None and len(asked) == len(part):
+                part += np.multiply(weight, w, out=buffer[:len(part)])
+            elif rows is None:
+                part[asked] += weight * w
+            else:
+                part[np.ix_(asked, rows)] += weight * w
     return scores
 
 
@@ -107,9 +129,9 @@ def _search(rows: DataFrame, queries: pa.Table, k: int, block: int) -> DataFrame
             for at in range(0, b.num_rows, SLICE):
                 part = b.slice(at, SLICE)
                 ids = part.column("id").to_numpy()
-                cand = _matrix(part.column("w"))
+                lists = postings(_matrix(part.column("w")))
                 for lo in range(0, len(query_ids), 512):
-                    scores = accumulate(query_w[lo:lo + 512], cand)
+                    scores = accumulate(query_w[lo:lo + 512], lists, len(ids))
                     for q, row in enumerate(scores, lo):
                         pick = best(row, ids, k + 1)
                         pick = pick[ids[pick] != query_ids[q]]
