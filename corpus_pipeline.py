@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.llm import langid, packing, secret_scan, simhash, winnow
-from eventide.llm.common import shared_path
+from eventide.llm.common import shared_path, small_batches
 from eventide.llm.queries import tokenizer_json
 
 # A document is rejected if its language cannot be told: no letter at all, or
@@ -22,6 +22,7 @@ MIN_LANGUAGE_SCORE = 0.2
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in one of the languages that the corpus names."""
+    small_batches(spark)
     model = langid.train(docs)
     found = langid.identify(docs, model, lang_out="_language", score_out="_language_score")
     return found.filter((F.col("_language") != langid.UNDETERMINED)
@@ -30,22 +31,26 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays."""
+    small_batches(spark)
     return simhash.keep_one(docs, shingle=3, max_bits=3)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops every document that holds ten consecutive words of a benchmark item."""
+    small_batches(spark)
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     return winnow.drop_contaminated(docs, items, span=10, gram=5)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets in the texts; every document stays."""
+    small_batches(spark)
     return secret_scan.redact(docs, length_col="n_chars")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens: one row per piece, with its ids."""
+    small_batches(spark)
     return packing.pack(docs, tokenizer_json(), capacity=2048)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 
 import numpy as np
@@ -86,6 +88,34 @@ def id_hash_mod(c: Column, n: int) -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % n, F.lit(0))
 
 
+# Rows of an Arrow batch; the default of 10,000 is for narrow rows, not texts.
+BATCH_ROWS = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_WORKER_CACHE = "_eventide_worker_cache"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let tasks see ``BATCH_ROWS`` texts at a time, unless the session has
+    a setting of its own."""
+    if spark.conf.get(_BATCH_CONF, "10000") == "10000":
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+
+
+def worker_cache(key, make):
+    """An object that outlives a task in its Python worker, made anew for
+    another ``key``.  Shipped code cannot keep it in a module of its own."""
+    store = sys.modules.setdefault(_WORKER_CACHE, types.ModuleType(_WORKER_CACHE))
+    if getattr(store, "key", None) != key:
+        store.value = None
+        store.key, store.value = key, make()
+    return store.value
+
+
+def release_worker_cache() -> None:
+    """Give back what tasks of another operator have left in this worker."""
+    sys.modules.pop(_WORKER_CACHE, None)
+
+
 def reliable(df: DataFrame) -> DataFrame:
     """Cut lineage with files in the shared checkpoint folder, which survive
     the loss of any executor."""

@@ -30,10 +30,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import mix64, reliable, text_slices
+from eventide.llm.common import (SECTION, mix64, release_worker_cache, reliable, slices_of,
+                                 text_slices)
 
 UNDETERMINED = "und"
 
@@ -96,7 +98,7 @@ class LanguageFilter:
     def predict(self, texts: list, letters: np.ndarray):
         """Languages and scores of a list of texts."""
         langs, scores, rates = [], [], self.false_rates()
-        for lo, hi in text_slices(texts):
+        for lo, hi in text_slices(texts, SECTION):
             part = texts[lo:hi]
             keys, owner = _grams(part, self.n, letters)
             total = np.bincount(owner, minlength=len(part)).astype(float)
@@ -125,19 +127,31 @@ def gram_counts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lan
     bits = _letter_bits()
 
     def run(batches):
+        release_worker_cache()
         letters = np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool)
+        held: dict = {}     # language: (n-grams, counts) met by this task
+
+        def emit(lang):
+            keys, count = held.pop(lang)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64), pa.int64()),
+                 pa.array(count, pa.int64())], ["lang", "gram", "count"])
+
         for b in batches:
-            texts, langs = b.column("text").to_pylist(), b.column("lang").to_pylist()
-            by_lang = {}
-            for t, lang in zip(texts, langs):
-                by_lang.setdefault(lang, []).append(t)
-            for lang, own in by_lang.items():
-                for lo, hi in text_slices(own):
-                    keys, count = np.unique(_grams(own[lo:hi], n, letters)[0], return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(keys), pa.string()),
-                         pa.array(keys.view(np.int64), pa.int64()),
-                         pa.array(count, pa.int64())], ["lang", "gram", "count"])
+            names = b.column("lang")
+            for lang in names.unique().to_pylist():
+                own = b.column("text").filter(pc.equal(names, lang))
+                for lo, hi in slices_of(own, SECTION):
+                    keys, count = np.unique(_grams(own[lo:hi].to_pylist(), n, letters)[0], return_counts=True)
+                    if lang in held:
+                        both = np.concatenate([held[lang][0], keys])
+                        keys, at = np.unique(both, return_inverse=True)
+                        count = np.bincount(at, np.concatenate([held[lang][1], count]), len(keys)).astype(np.int64)
+                    held[lang] = keys, count
+                    if len(keys) > 1 << 18:
+                        yield emit(lang)
+        for lang in list(held):
+            yield emit(lang)
 
     return rows.mapInArrow(run, "lang string, gram long, count long") \
         .groupBy("lang", "gram").agg(F.sum("count").alias("count"))
@@ -181,6 +195,7 @@ def identify(docs: DataFrame, model: LanguageFilter, *, text_col: str = "text",
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
 
     def run(batches):
+        release_worker_cache()
         letters = np.unpackbits(np.frombuffer(model.letters, np.uint8)).astype(bool)
         for b in batches:
             langs, scores = model.predict(b.column(text_col).to_pylist(), letters)

@@ -30,8 +30,6 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import re
-import sys
-import types
 import zlib
 
 import numpy as np
@@ -39,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import SECTION, reliable, slices_of
+from eventide.llm.common import SECTION, reliable, slices_of, worker_cache
 
 _CUT = re.compile(r"(?= \S)")
 # White space beside the space and the line feed.
@@ -132,11 +130,8 @@ class Encoder:
 
 def _encoder(tokenizer_json: str, cache_words: int) -> Encoder:
     """The Python worker's encoder; workers outlive tasks, and their words with them."""
-    store = sys.modules.setdefault("_eventide_encoders", types.ModuleType("_eventide_encoders"))
     key = (zlib.crc32(tokenizer_json.encode()), len(tokenizer_json), cache_words)
-    if getattr(store, "key", None) != key:
-        store.key, store.encoder = key, Encoder(tokenizer_json, cache_words)
-    return store.encoder
+    return worker_cache(key, lambda: Encoder(tokenizer_json, cache_words))
 
 
 class Packer:
@@ -223,7 +218,7 @@ def _batch(windows: list, first_sequence: int, with_ids: bool) -> pa.RecordBatch
 
 def pack(docs: DataFrame, tokenizer_json: str, *, id_col: str = "doc_id", text_col: str = "text",
          capacity: int = 2048, open_windows: int = 16, end_id: int = 1, with_ids: bool = True,
-         cache_words: int = 600_000, tasks_per_group: int = 64) -> DataFrame:
+         cache_words: int = 400_000, tasks_per_group: int = 64) -> DataFrame:
     """One row per piece: doc_id, start (ids of its document before it),
     length, ids_crc32, doc_tokens, sequence_id, offset (in its sequence) and,
     ``with_ids``, the ids.  ``tokenizer_json`` is the text of a byte-level BPE

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eventide.llm import (langid, license_scan, packing, quality, secret_scan, simhash, topk, url_filter,
                           warc, winnow)
-from eventide.llm.common import id_hash_mod, shared_path
+from eventide.llm.common import id_hash_mod, shared_path, small_batches
 
 # The rules that op9 judges by.
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
@@ -15,6 +15,7 @@ URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
