@@ -51,7 +51,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens: one row per piece, with its ids."""
     small_batches(spark)
-    return packing.pack(docs, tokenizer_json(), capacity=2048)
+    # the other stages' Python workers are still there: a smaller word cache
+    return packing.pack(docs, tokenizer_json(), capacity=2048, cache_words=150_000)
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontaminate", decontaminate),
