@@ -16,7 +16,8 @@ from eventide.llm.common import shared_path, small_batches
 from eventide.llm.queries import tokenizer_json
 
 # A document is rejected if its language cannot be told: no letter at all, or
-# less than this share of its n-grams known in the best language.
+# less than this share of what is usual in the best language (its coverage: the
+# share of its training n-grams that the model keeps) is known in it.
 MIN_LANGUAGE_SCORE = 0.2
 
 
@@ -24,9 +25,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in one of the languages that the corpus names."""
     small_batches(spark)
     model = langid.train(docs)
-    found = langid.identify(docs, model, lang_out="_language", score_out="_language_score")
+    found = langid.identify(docs, model, lang_out="_language", score_out="_language_score",
+                            coverage_out="_language_coverage")
     return found.filter((F.col("_language") != langid.UNDETERMINED)
-                        & (F.col("_language_score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+                        & (F.col("_language_score") > 0)
+                        & (F.col("_language_score") >= MIN_LANGUAGE_SCORE * F.col("_language_coverage"))) \
+        .select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,18 +6,25 @@ language's n-grams is at least ``min_share`` and at least ``min_ratio`` of its
 largest share in any language.  At most ``1 / min_share`` n-grams can belong
 to a language, so the model has a proven size however large the corpus is.
 
+In scripts with thousands of letters most n-grams are rarer than ``min_share``.
+A language whose kept n-grams make up less than ``min_coverage`` of its training
+n-grams is therefore learned from shorter ones, down to single letters, until
+they do.  The share that the kept ones reach is the language's coverage: what
+the score of an ordinary text of that language is near to.
+
 The model is one bit-sliced Bloom filter: a slot holds one bit per language,
 and the AND of an n-gram's slots is the bitmask of all languages that contain
 it.  A text's n-grams are looked up, their masks are counted per language
 (popcount per bit slice), each count is corrected for the false positives its
-filter must give, ``(hits - n f) / (1 - f)``, and the largest one decides.
+filter must give, ``(hits - n f) / (1 - f)``, and the largest share of the
+text's n-grams (of the length that the language was learned with) decides.
 
 n-grams are taken inside words (runs of letters, lower-cased, one space on
 either side); everything that is not a letter separates words.
 
 Defined results: a null text or one without a letter is ``und`` with score 0;
 the score is the corrected share of n-grams found in the predicted
-language, 0 to 1; equal counts go to the language with more training n-grams,
+language, 0 to 1; equal shares go to the language with more training n-grams,
 then the smaller name, and so does a text none of whose n-grams is known; with
 no training text every text is ``und``; repeated rows are repeated; an empty
 table gives an empty result; other columns pass through untouched, and one
@@ -73,13 +80,16 @@ def _grams(texts: list, n: int, letters: np.ndarray):
 
 @dataclass(frozen=True)
 class LanguageFilter:
-    """languages by bit, n-gram length, slots (n_slots, words of 64 bits), probes per n-gram."""
+    """languages by bit, longest n-gram, slots (n_slots, words of 64 bits), probes per n-gram;
+    by language the length of its n-grams and its coverage."""
 
     languages: tuple
     n: int
     slots: np.ndarray
     probes: int
     letters: bytes
+    orders: tuple
+    coverage: tuple
 
     def masks(self, keys: np.ndarray) -> np.ndarray:
         """Per n-gram the bitmask of all languages that contain it."""
@@ -100,14 +110,16 @@ class LanguageFilter:
         langs, scores, rates = [], [], self.false_rates()
         for lo, hi in text_slices(texts, SECTION):
             part = texts[lo:hi]
-            keys, owner = _grams(part, self.n, letters)
-            total = np.bincount(owner, minlength=len(part)).astype(float)
-            masks = self.masks(keys) if len(keys) else np.zeros((0, self.slots.shape[1]), np.uint64)
             fixed = np.zeros((len(self.languages), len(part)))
-            for b, f in enumerate(rates):
-                bit = (masks[:, b // 64] >> np.uint64(b % 64)) & np.uint64(1)
-                hits = np.bincount(owner, weights=bit, minlength=len(part))
-                fixed[b] = (hits - total * f) / (1 - f)
+            for order in sorted(set(self.orders)):
+                keys, owner = _grams(part, order, letters)
+                total = np.bincount(owner, minlength=len(part)).astype(float)
+                masks = self.masks(keys) if len(keys) else np.zeros((0, self.slots.shape[1]), np.uint64)
+                for b, f in enumerate(rates):
+                    if self.orders[b] == order:
+                        bit = (masks[:, b // 64] >> np.uint64(b % 64)) & np.uint64(1)
+                        hits = np.bincount(owner, weights=bit, minlength=len(part))
+                        fixed[b] = (hits - total * f) / (1 - f) / np.maximum(total, 1.0)
             for i, text in enumerate(part):
                 if not text or not any(ch.isalpha() for ch in text) or not self.languages:
                     langs.append(UNDETERMINED)
@@ -115,7 +127,7 @@ class LanguageFilter:
                 else:
                     best = int(fixed[:, i].argmax())
                     langs.append(self.languages[best])
-                    scores.append(float(min(1.0, max(0.0, fixed[best, i] / max(total[i], 1.0)))))
+                    scores.append(float(min(1.0, max(0.0, fixed[best, i]))))
         return langs, scores
 
 
@@ -157,23 +169,42 @@ def gram_counts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lan
         .groupBy("lang", "gram").agg(F.sum("count").alias("count"))
 
 
-def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", n: int = 3,
-          min_share: float = 2e-5, min_ratio: float = 0.1, slots_per_gram: int = 12,
-          probes: int = 4) -> LanguageFilter:
-    """Learn a filter from rows with a text and a language.  What reaches the
-    driver is bounded by languages / min_share rows."""
+def _kept(docs: DataFrame, text_col: str, lang_col: str, n: int, min_share: float, min_ratio: float):
+    """(training n-grams by language; table of the kept n-grams and their shares)."""
     counts = reliable(gram_counts(docs, text_col=text_col, lang_col=lang_col, n=n))
     totals = counts.groupBy("lang").agg(F.sum("count").alias("total"))
     share = counts.join(F.broadcast(totals), "lang") \
         .withColumn("share", F.col("count") / F.col("total")).filter(F.col("share") >= min_share)
     top = share.groupBy("gram").agg(F.max("share").alias("top"))
     kept = share.join(top, "gram").filter(F.col("share") >= F.col("top") * min_ratio) \
-        .select("lang", "gram").toArrow()
-    order = sorted(((-r["total"], r["lang"]) for r in totals.collect()))
-    languages = tuple(lang for _, lang in order)
-    index = {lang: i for i, lang in enumerate(languages)}
-    gram = kept.column("gram").to_numpy().view(np.uint64)
-    bit = np.array([index[x] for x in kept.column("lang").to_pylist()], np.int64)
+        .select("lang", "gram", "share").toArrow()
+    return {r["lang"]: r["total"] for r in totals.collect()}, kept
+
+
+def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", n: int = 3,
+          min_share: float = 2e-5, min_ratio: float = 0.1, min_coverage: float = 0.9,
+          slots_per_gram: int = 12, probes: int = 4) -> LanguageFilter:
+    """Learn a filter from rows with a text and a language.  What reaches the
+    driver is bounded by languages / min_share rows for each n-gram length;
+    shorter n-grams are only counted if a language needs them."""
+    grams, bits, index, order, coverage = [], [], {}, {}, {}
+    for length in range(n, 0, -1):
+        totals, kept = _kept(docs, text_col, lang_col, length, min_share, min_ratio)
+        if length == n:
+            languages = tuple(lang for _, lang in sorted((-total, lang) for lang, total in totals.items()))
+            index = {lang: i for i, lang in enumerate(languages)}
+        gram = kept.column("gram").to_numpy().view(np.uint64)
+        bit = np.array([index.get(x, -1) for x in kept.column("lang").to_pylist()], np.int64)
+        share = np.bincount(bit[bit >= 0], kept.column("share").to_numpy()[bit >= 0], len(index))
+        done = [i for i in range(len(index)) if i not in order and (share[i] >= min_coverage or length == 1)]
+        for i in done:
+            order[i], coverage[i] = length, min(1.0, float(share[i]))
+        own = np.isin(bit, done)
+        grams.append(gram[own])
+        bits.append(bit[own])
+        if len(order) == len(index):
+            break
+    gram, bit = np.concatenate(grams), np.concatenate(bits)
     n_slots = max(1024, slots_per_gram * len(np.unique(gram)))
     slots = np.zeros((n_slots, max(1, -(-len(languages) // 64))), np.uint64)
     h = mix64(gram)
@@ -181,15 +212,20 @@ def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", n:
     for i in range(probes):
         at = ((h + np.uint64(i) * step) % np.uint64(n_slots)).astype(np.int64)
         np.bitwise_or.at(slots, (at, bit // 64), np.uint64(1) << (bit % 64).astype(np.uint64))
-    return LanguageFilter(languages, n, slots, probes, _letter_bits())
+    by_bit = range(len(languages))
+    return LanguageFilter(languages, n, slots, probes, _letter_bits(), tuple(order[i] for i in by_bit),
+                          tuple(coverage[i] for i in by_bit))
 
 
 def identify(docs: DataFrame, model: LanguageFilter, *, text_col: str = "text",
-             lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
-    """``docs`` with the predicted language and its score added; one map over
-    whole texts, no shuffle."""
-    rest = [c for c in docs.columns if c not in (lang_out, score_out) or c == text_col]
-    if text_col in (lang_out, score_out):
+             lang_out: str = "lang_pred", score_out: str = "score",
+             coverage_out: str | None = None) -> DataFrame:
+    """``docs`` with the predicted language and its score added, and with the
+    language's coverage (0 for ``und``) if it has a name; one map over whole
+    texts, no shuffle."""
+    added = (lang_out, score_out) if coverage_out is None else (lang_out, score_out, coverage_out)
+    rest = [c for c in docs.columns if c not in added or c == text_col]
+    if text_col in added:
         raise ValueError(f"output column {text_col!r} would replace the text")
     rows = docs.select(*[F.col(f"`{c}`") for c in rest])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
@@ -197,10 +233,12 @@ def identify(docs: DataFrame, model: LanguageFilter, *, text_col: str = "text",
     def run(batches):
         release_worker_cache()
         letters = np.unpackbits(np.frombuffer(model.letters, np.uint8)).astype(bool)
+        reached = dict(zip(model.languages, model.coverage))
         for b in batches:
             langs, scores = model.predict(b.column(text_col).to_pylist(), letters)
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                [*b.schema.names, lang_out, score_out])
+            new = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
+                   pa.array([reached.get(x, 0.0) for x in langs], pa.float64())]
+            yield pa.RecordBatch.from_arrays([*b.columns, *new[:len(added)]], [*b.schema.names, *added])
 
-    return rows.mapInArrow(run, f"{fields}, `{lang_out}` string, `{score_out}` double")
+    types = ", ".join(f"`{c}` {t}" for c, t in zip(added, ("string", "double", "double")))
+    return rows.mapInArrow(run, f"{fields}, {types}")

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 
+import corpus_pipeline as cp
 from eventide.llm import langid
 
 ALPHABETS = {"aa": "abcdefg", "bb": "hijklmn", "cc": "defghij"}
@@ -86,3 +87,32 @@ def test_more_languages_than_a_word_has_bits(spark, docs_of):
     model = langid.train(docs)
     assert model.slots.shape[1] == 2
     assert all(r.lang_pred == f"l{r.doc_id:02}" for r in langid.identify(docs, model).collect())
+
+
+def large_alphabet(words, seed=5):
+    """Words of one or two of 3,500 letters, Zipf."""
+    rng = np.random.default_rng(seed)
+    p = 1 / np.arange(1, 3501)
+    letters = [chr(0x4E00 + i) for i in rng.choice(3500, (words, 2), p=p / p.sum()).ravel()]
+    two = rng.random(words) < 0.5
+    return [letters[2 * i] + (letters[2 * i + 1] if two[i] else "") for i in range(words)]
+
+
+def test_no_document_of_a_large_alphabet_is_lost(spark, docs_of):
+    """Over 1 M n-grams of a language, most of them below ``min_share``."""
+    words = large_alphabet(760_000)
+    sizes = [400] * 1800 + [5] * 8000
+    ends = np.cumsum(sizes)
+    pairs = [(i, " ".join(words[e - n:e])) for i, (e, n) in enumerate(zip(ends, sizes))]
+    rng = random.Random(3)
+    pairs += [(100_000 + i, text(rng, "aa", 400)) for i in range(200)]
+    langs = ["zz" if i < 100_000 else "aa" for i, _ in pairs]
+    docs = docs_of(pairs, langs).repartition(4)
+    assert langid.gram_counts(docs.filter("lang = 'zz'")).agg({"count": "sum"}).first()[0] > 1_000_000
+    odd = docs_of([(-1, "ωψχ φυτ " * 9), (-2, "шщъ ыьэ")], [None, None])
+    kept = {r.doc_id for r in cp.language_id(spark, docs.unionByName(odd), "").select("doc_id").collect()}
+    assert kept == {i for i, _ in pairs}
+    model = langid.train(docs)
+    assert model.languages == ("zz", "aa") and model.orders[1] == 3 and min(model.coverage) > 0.9
+    found = langid.identify(docs, model)
+    assert found.filter("lang_pred <> lang").count() == 0
