@@ -6,8 +6,10 @@ password, secret, token or key shortly before them) that do not compress.
 A candidate's novelty is the number of bytes that it adds to the zstandard
 frame of its surroundings, the compressor being primed with a dictionary of
 identifiers: what the code around it or common identifiers already contain
-costs almost nothing, a random string costs close to its entropy.  Reported
-are candidates of at least ``min_ratio`` marginal bytes per character.
+costs almost nothing, a random string costs close to its entropy.  Copies of
+the candidate itself are blanked out of the surroundings first, so a secret
+that is repeated nearby is found at each of its places.  Reported are
+candidates of at least ``min_ratio`` marginal bytes per character.
 
 One map over whole texts, no shuffle.  Offsets are code points, end exclusive.
 
@@ -37,7 +39,8 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 SENSITIVE = re.compile(r"passw(?:or)?d|passphrase|secret|token|credential|bearer|authorization"
                        r"|api[_ -]?key|access[_ -]?key|private[_ -]?key|client[_ -]?id", re.IGNORECASE | re.ASCII)
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}", re.ASCII)
+MIN_CANDIDATE = 16
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_CANDIDATE, re.ASCII)
 
 # Identifiers that code around secrets is made of; primes the compressor.
 IDENTIFIERS = (
@@ -83,6 +86,18 @@ class Novelty:
         return (len(self.zstd.compress(base + b"\n" + own)) - len(self.zstd.compress(base))) / len(own)
 
 
+def surroundings(text: str, start: int, end: int, context: int) -> str:
+    """``context`` characters on either side of text[start:end], its own other
+    occurrences blanked (also those without the signs around it, and of its
+    long parts between "=" signs)."""
+    own, reach = text[start:end], context + end - start     # copies across the border count too
+    before, after = text[max(0, start - reach):start], text[end:end + reach]
+    for copy in [own, *(p for p in own.strip("+/_=-").split("=") if len(p) >= MIN_CANDIDATE)]:
+        blank = " " * len(copy)
+        before, after = before.replace(copy, blank), after.replace(copy, blank)
+    return before[max(0, len(before) - context):] + after[:context]
+
+
 def novel_spans(text: str, taken: list, novelty: Novelty, *, context: int, reach: int,
                 min_ratio: float) -> list[tuple[int, int, int, int, int]]:
     found, tried = [], set()
@@ -99,8 +114,7 @@ def novel_spans(text: str, taken: list, novelty: Novelty, *, context: int, reach
             tried.add((s, e))
             if not (any(c.isdigit() for c in own) and any(c.isalpha() for c in own)):
                 continue
-            around = text[max(0, s - context):s] + text[e:e + context]
-            if novelty.ratio(around, own) >= min_ratio:
+            if novelty.ratio(surroundings(text, s, e, context), own) >= min_ratio:
                 found.append((s, e, 3, s, e))
     return found
 
