@@ -13,8 +13,9 @@ candidates of at least ``min_ratio`` marginal bytes per character.
 
 One map over whole texts, no shuffle.  Offsets are code points, end exclusive.
 
-Defined results: null and empty texts have no spans; a novel span that
-touches a base span is dropped, base spans always stay; repeated rows are
+Defined results: null and empty texts have no spans; a candidate that one base
+span covers wholly is not measured, one that reaches beyond it is, and its novel
+span then overlaps the base span, which always stays; repeated rows are
 repeated; an empty table gives an empty result; ``redact`` passes all columns
 through, null text stays null.
 """
@@ -109,7 +110,7 @@ def novel_spans(text: str, taken: list, novelty: Novelty, *, context: int, reach
                 break
             s, e = m.span()
             own = m.group()
-            if (s, e) in tried or any(s < b[1] and b[0] < e for b in taken):
+            if (s, e) in tried or any(b[0] <= s and e <= b[1] for b in taken):
                 continue
             tried.add((s, e))
             if not (any(c.isdigit() for c in own) and any(c.isalpha() for c in own)):
