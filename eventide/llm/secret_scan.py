@@ -113,8 +113,6 @@ def novel_spans(text: str, taken: list, novelty: Novelty, *, context: int, reach
             if (s, e) in tried or any(b[0] <= s and e <= b[1] for b in taken):
                 continue
             tried.add((s, e))
-            if not (any(c.isdigit() for c in own) and any(c.isalpha() for c in own)):
-                continue
             if novelty.ratio(surroundings(text, s, e, context), own) >= min_ratio:
                 found.append((s, e, 3, s, e))
     return found
