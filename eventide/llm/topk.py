@@ -1,8 +1,10 @@
 """Exact top-k search by term-at-a-time accumulation.
 
 Vectors are sparse rows of (term, weight); the score of a candidate is the
-integer inner product.  Queries are taken in blocks of bounded size, which go
-to every task; a task turns a slice of candidates into posting lists (term ->
+integer inner product.  Distinct (id, vector) queries are taken in blocks of
+bounded size, one after the other: only one block is on the driver, from where
+it goes to every task, and its lists are in the shared checkpoint folder before
+the next one is collected.  A task turns a slice of candidates into posting lists (term ->
 rows and weights), and for each term of a query adds query weight x posting
 weights to a dense array of scores.  Each slice's best k of each query are
 selected, a task keeps k of its slices, and the tasks' lists meet in a window
@@ -27,7 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from eventide.llm.common import reliable, shared_path
+
 SLICE = 4096
+REPEATS = 1000
 
 
 def weights(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -104,22 +109,34 @@ def top_k(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embe
     id is divisible by ``every``."""
     rows = weights(vectors, id_col=id_col, vector_col=vector_col, scale=scale)
     spark = vectors.sparkSession
-    asked = rows.filter(F.col("id") % every == 0).select("id", "w", F.hash("id").alias("h"))
+    asked = reliable(rows.filter(F.col("id") % every == 0).groupBy("id", "w").agg(F.count("*").alias("times")))
     n = asked.count()
     blocks = max(1, -(-n // (block // 2)))
-    found = None
+    root = shared_path(spark, "topk")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     for b in range(blocks):
-        # a hash range of the queries: about half a block, never collected whole
-        part = asked.filter(F.pmod("h", F.lit(blocks)) == b).select("id", "w").toArrow()
-        one = _search(rows, part, k, b)
-        found = one if found is None else found.unionByName(one)
-    order = Window.partitionBy("block", "query").orderBy(F.desc("score"), "id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
-        .select("query_id", "rank", "id", "score")
-
-
-def _search(rows: DataFrame, queries: pa.Table, k: int, block: int) -> DataFrame:
-    query_ids = queries.column("id").to_numpy()
+        # about half a block: rows are dealt by id and vector, and no two are alike
+        part = asked.filter(F.pmod(F.hash("id", "w"), F.lit(blocks)) == b).toArrow()
+        _search(rows, part, k).withColumn("rank", F.row_number().over(order)) \
+            .filter(F.col("rank") <= k).drop("query").write.parquet(f"{root}/{b}")
+    found = spark.read.schema("query_id long, times long, id long, score long, rank int") \
+        .parquet(*[f"{root}/{b}" for b in range(blocks)])
+    return _repeated(found).select("query_id", "rank", "id", "score")
+
+
+def _repeated(found: DataFrame) -> DataFrame:
+    """Each row ``times`` times: first as rows of at most REPEATS, which are
+    dealt out anew, so that no task has all of a very common query."""
+    dealt = found.withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.col("times") - 1) / REPEATS)))) \
+        .withColumn("left", F.least(F.lit(REPEATS), F.col("times") - F.col("part") * REPEATS).cast("int"))
+    once, more = dealt.filter("times = 1"), dealt.filter("times > 1").repartition(
+        max(1, int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return once.unionByName(more.withColumn("left", F.explode(F.array_repeat(F.lit(1), F.col("left")))))
+
+
+def _search(rows: DataFrame, queries: pa.Table, k: int) -> DataFrame:
+    """The best k candidates of each query in each task."""
+    query_ids, times = queries.column("id").to_numpy(), queries.column("times").to_numpy()
     query_w = _matrix(queries.column("w").combine_chunks()) if queries.num_rows \
         else np.zeros((0, 0), np.int64)
 
@@ -146,9 +163,9 @@ def _search(rows: DataFrame, queries: pa.Table, k: int, block: int) -> DataFrame
         if sum(sizes):
             query = np.repeat(np.arange(len(query_ids)), sizes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(query), block)), pa.array(query), pa.array(query_ids[query]),
+                [pa.array(query), pa.array(query_ids[query]), pa.array(times[query]),
                  pa.array(np.concatenate([i for i, _ in kept])),
                  pa.array(np.concatenate([s for _, s in kept]))],
-                ["block", "query", "query_id", "id", "score"])
+                ["query", "query_id", "times", "id", "score"])
 
-    return rows.mapInArrow(run, "block long, query long, query_id long, id long, score long")
+    return rows.mapInArrow(run, "query long, query_id long, times long, id long, score long")

@@ -60,6 +60,24 @@ def test_repeated_rows_take_ranks(spark):
     assert got == sorted([(0, 1, 7, 2 * 65536), (0, 2, 7, 2 * 65536), (0, 3, 9, 65536)] * 2)
 
 
+def test_only_one_block_of_distinct_queries_reaches_the_driver(spark, monkeypatch):
+    """A third of all rows have one id, with few and with very many vectors."""
+    rng = np.random.default_rng(7)
+    same = [(50, [float(x) for x in rng.integers(-3, 4, 3)]) for _ in range(30)]
+    rows = vectors(120, seed=4, width=3) + same + [(100, [1.0, 2.0, 3.0])] * 40
+    seen, search = [], topk._search
+
+    def one(candidates, queries, k):
+        seen.append(queries.num_rows)
+        return search(candidates, queries, k)
+
+    monkeypatch.setattr(topk, "_search", one)
+    monkeypatch.setattr(topk, "REPEATS", 7)
+    assert top(spark, rows, k=3, every=50, block=8) == brute_top(rows, 3, 50)
+    distinct = {(i, tuple(v)) for i, v in rows if i % 50 == 0}
+    assert sum(seen) == len(distinct) and len(seen) == -(-len(distinct) // 4) and max(seen) <= 12
+
+
 def test_selection_prefers_small_ids():
     for scores in itertools.product(range(3), repeat=5):
         ids = np.array([9, 2, 7, 4, 5])
