@@ -12,8 +12,9 @@ per query.  Candidates are never shuffled or collected, and all of them are
 scored, for whatever blocks of queries there are.
 
 Defined results: vectors that are null, or hold a null or a non-finite
-component, or one whose scaled value is beyond 2**31, take no part, as query
-or candidate, nor do rows with a null id; an empty vector scores 0 with all;
+component, take no part, as query or candidate, nor do rows with a null id;
+scores are exact whatever the weights, and a weight or score that does not fit
+a long is an error; an empty vector scores 0 with all;
 of vectors of different lengths the missing terms count as 0; a query's own
 row is every candidate with its id; repeated candidate rows each take a rank
 and repeated query rows each give a list; ties go to the smaller id; fewer
@@ -38,9 +39,14 @@ REPEATS = 1000
 def weights(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding",
             scale: int = 256) -> DataFrame:
     """(id, w): w holds floor(scale * component), components as doubles."""
-    scaled = F.transform(F.col(vector_col), lambda x: F.floor(x.cast("double") * scale))
+    def weight(x):
+        wide = x.cast("double") * scale
+        return F.when((wide >= -2.0 ** 63) & (wide < 2.0 ** 63), F.floor(wide)) \
+            .otherwise(F.raise_error(F.concat(F.lit("weight does not fit a long: "), wide.cast("string"))).cast("long"))
+
+    scaled = F.transform(F.col(vector_col), weight)
     good = F.forall(F.col(vector_col), lambda x: x.isNotNull() & ~F.isnan(x.cast("double"))
-                    & (F.abs(x.cast("double") * scale) < 2.0 ** 31))
+                    & (F.abs(x.cast("double")) < float("inf")))
     return vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & good) \
         .select(F.col(id_col).cast("long").alias("id"), scaled.alias("w"))
 
@@ -103,6 +109,23 @@ def accumulate(queries: np.ndarray, lists: list, n: int, tile: int = 64) -> np.n
     return scores
 
 
+def check_wide(scores: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, candidates: np.ndarray,
+               ids: np.ndarray) -> None:
+    """Puts right the scores of candidates whose products or sums may not have fitted a long."""
+    width = min(queries.shape[1], candidates.shape[1])
+    q, c = queries[:, :width], candidates[:, :width]
+    qa, ca = np.abs(q.astype(float)), np.abs(c.astype(float))
+    if not qa.size or not ca.size or qa.sum(axis=1).max() * ca.max() < 2.0 ** 62:
+        return
+    for i, j in zip(*np.nonzero(qa @ ca.T >= 2.0 ** 62)):
+        if query_ids[i] == ids[j]:
+            continue
+        score = sum(int(x) * int(y) for x, y in zip(q[i], c[j]))
+        if not -2 ** 63 <= score < 2 ** 63:
+            raise OverflowError(f"score {score} does not fit a long")
+        scores[i, j] = score
+
+
 def top_k(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5,
           every: int = 50, scale: int = 256, block: int = 4096) -> DataFrame:
     """(query_id, rank, id, score): the k best candidates of every row whose
@@ -146,9 +169,11 @@ def _search(rows: DataFrame, queries: pa.Table, k: int) -> DataFrame:
             for at in range(0, b.num_rows, SLICE):
                 part = b.slice(at, SLICE)
                 ids = part.column("id").to_numpy()
-                lists = postings(_matrix(part.column("w")))
+                candidates = _matrix(part.column("w"))
+                lists = postings(candidates)
                 for lo in range(0, len(query_ids), 512):
                     scores = accumulate(query_w[lo:lo + 512], lists, len(ids))
+                    check_wide(scores, query_w[lo:lo + 512], query_ids[lo:lo + 512], candidates, ids)
                     for q, row in enumerate(scores, lo):
                         pick = best(row, ids, k + 1)
                         pick = pick[ids[pick] != query_ids[q]]

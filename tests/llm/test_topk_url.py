@@ -78,6 +78,16 @@ def test_only_one_block_of_distinct_queries_reaches_the_driver(spark, monkeypatc
     assert sum(seen) == len(distinct) and len(seen) == -(-len(distinct) // 4) and max(seen) <= 12
 
 
+def test_large_components_take_part(spark):
+    big, huge = 9e6, 2.0 ** 24
+    rows = vectors(60, seed=6, width=2) + [(100, [big, 1.0]), (101, [-big, 0.0]), (150, [0.0, 0.0, huge, -huge]),
+                                           (151, [1.0, 0.0, huge, huge]), (152, [0.0, 0.0, 0.0, 2.0 ** 20])]
+    assert top(spark, rows, k=70, every=50) == brute_top(rows, 70, 50)
+    for bad in ([(50, [2.0 ** 30]), (1, [2.0 ** 30])], [(50, [1e30]), (1, [1.0])]):
+        with pytest.raises(Exception, match="does not fit a long"):
+            top(spark, bad, k=5, every=50)
+
+
 def test_selection_prefers_small_ids():
     for scores in itertools.product(range(3), repeat=5):
         ids = np.array([9, 2, 7, 4, 5])
