@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import (langid, license_scan, packing, quality, secret_scan, simhash, topk, url_filter,
-                          warc, winnow)
+from eventide.llm import (align, langid, license_scan, packing, prefix_trie, quality, secret_scan, sharding,
+                          simhash, topk, url_filter, warc, winnow)
 from eventide.llm.common import id_hash_mod, shared_path, small_batches
 
 # The rules that op9 judges by.
@@ -26,6 +26,13 @@ def tokenizer_json() -> str:
         return f.read()
 
 
+def piece_model() -> bytes:
+    """The public sentence-piece model, read on the driver."""
+    import public_tokenizers
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        return f.read()
+
+
 def op1_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = id_hash_mod(F.col("doc_id"), 3) == 1
@@ -110,6 +117,20 @@ def op10_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+def op11_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(_table(spark, sf_dir, "documents"), shards=16)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.ordered_turns(_table(spark, sf_dir, "conversations"))
+    rebuilt, convs = prefix_trie.share_openings(turns, every=20, longest=4)
+    return prefix_trie.prefix_trie(rebuilt, convs)
+
+
+def op13_shared_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(_table(spark, sf_dir, "documents"), tokenizer_json(), piece_model())
+
+
 QUERIES = {
     "op1_quality_attention": op1_quality_attention,
     "op2_winnowing": op2_winnowing,
@@ -121,6 +142,9 @@ QUERIES = {
     "op8_topk_postings": op8_topk_postings,
     "op9_url_bloom": op9_url_bloom,
     "op10_simhash_multi_index": op10_simhash_multi_index,
+    "op11_label_propagation": op11_label_propagation,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_shared_cuts": op13_shared_cuts,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -128,7 +152,7 @@ _WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWE
           r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
 # Queries without an entry here have no SQL form (learned models, XXH64
-# votes, BPE ids, fuzzy and compressor spans); tests/llm holds them against
+# votes, BPE ids, fuzzy and compressor spans, label propagation); tests/llm holds them against
 # brute-force versions, round trips or held-out accuracy.
 ORACLE: dict[str, str] = {
     "op2_winnowing": f"""
@@ -183,4 +207,33 @@ WITH rules(rule_host, rule_path, v) AS (VALUES {', '.join(str(r) for r in URL_RU
            FROM s JOIN rules ON starts_with(path, rule_path)
                 AND (host = rule_host OR ends_with(host, '.' || rule_host)))
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM s LEFT JOIN m ON s.i = m.i AND m.k = 1""",
+    "op12_prefix_trie": r"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, '')) AS p
+           FROM conversations WHERE conv_id IS NOT NULL),
+     convs AS (SELECT c, c - c % 20 AS b, xor(list_reduce(list_prepend(4294967295::BIGINT,
+                        list_transform(range(1, length(s) + 1), lambda i: ord(s[i])::BIGINT)),
+                        lambda crc, o: list_reduce([xor(crc, o), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+                            lambda x, z: xor(x >> 1, (x & 1) * 3988292384::BIGINT))), 4294967295::BIGINT) % 4 AS h
+               FROM (SELECT DISTINCT c, CAST(c AS VARCHAR) AS s FROM t)),
+     r AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY side, p) AS d, role, text
+           FROM (SELECT convs.c, 0 AS side, p, role, text FROM convs JOIN t ON t.c = convs.b AND p <= h
+                 UNION ALL SELECT t.c, 1, p, role, text FROM t JOIN convs USING (c) WHERE p > h)),
+     k AS (SELECT c, d, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+                  md5(string_agg(length(role) || ':' || role || length(text) || ':' || text, '')
+                      OVER (PARTITION BY c ORDER BY d)) AS k FROM r),
+     path AS (SELECT c, d, words, k, coalesce(lag(k) OVER (PARTITION BY c ORDER BY d), '') AS up FROM k
+              UNION ALL SELECT c, 0, 0, '', NULL FROM convs),
+     node AS (SELECT k, d AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+                     any_value(up) AS up FROM path GROUP BY k, d),
+     kids AS (SELECT up AS k, count(*) AS n FROM node WHERE up IS NOT NULL GROUP BY up),
+     sub AS (SELECT p.k, sum((n_convs - 1) * node.words) AS saved, sum(CASE WHEN kids.n IS NULL THEN 1 ELSE 0 END) AS leaves
+             FROM node LEFT JOIN kids USING (k) JOIN path p ON p.c = node.conv_id AND p.d <= node.depth GROUP BY p.k),
+     ends AS (SELECT k, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids
+              FROM (SELECT c, arg_max(k, d) AS k FROM path GROUP BY c) GROUP BY k)
+SELECT node.conv_id, CAST(node.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, node.n_convs,
+       CAST(coalesce(kids.n, 0) AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM node LEFT JOIN node up ON up.k = node.up LEFT JOIN kids ON kids.k = node.k JOIN sub ON sub.k = node.k
+     LEFT JOIN ends ON ends.k = node.k""",
 }
