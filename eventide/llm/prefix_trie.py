@@ -240,7 +240,8 @@ def _fragments(rows: DataFrame, light: DataFrame, top: DataFrame) -> DataFrame:
     first = rows.join(marks, ["high", "low"], "left").filter("heavy is null").groupBy("conv_id") \
         .agg(F.min(F.struct("depth", "high", "low")).alias("f")) \
         .select("conv_id", F.col("f.high").alias("root_high"), F.col("f.low").alias("root_low"))
-    return reliable(light.join(first, "conv_id"))
+    # written first, so that the join can split a conversation with very many nodes
+    return reliable(light.join(reliable(first), "conv_id"))
 
 
 def _top(top: DataFrame, below: DataFrame) -> DataFrame:

@@ -141,8 +141,9 @@ def _requests(members: DataFrame, shards: int, round_no: int, closed: list[int])
     """(node, grp, from, own, to, gain) of every linked document: the smallest
     group it is in, its neighbours in its own shard and, if it gains by moving,
     where to and how much."""
-    count = members.groupBy("grp").agg(*[F.sum((F.col("shard") == s).cast("long")).alias(f"c{s}")
-                                         for s in range(shards)])
+    # written first: a join side that is an aggregate of its own task cannot be split
+    count = reliable(members.groupBy("grp").agg(*[F.sum((F.col("shard") == s).cast("long")).alias(f"c{s}")
+                                                  for s in range(shards)]))
     seen = members.join(count, "grp").groupBy("node", "shard").agg(
         F.min("grp").alias("grp"), F.count(F.lit(1)).alias("groups"),
         *[F.sum(f"c{s}").alias(f"c{s}") for s in range(shards)])
@@ -225,8 +226,8 @@ def propagate(members: DataFrame, cap: list[int], *, rounds: int = 16) -> DataFr
 
 def text_groups(nodes: DataFrame) -> DataFrame:
     """(node, grp): the documents with equal texts, where there are several."""
-    many = nodes.groupBy("text_hash", "size", "text_crc32").agg(
-        F.count(F.lit(1)).alias("n"), F.min("node").alias("grp")).filter("n > 1").drop("n")
+    many = reliable(nodes.groupBy("text_hash", "size", "text_crc32").agg(
+        F.count(F.lit(1)).alias("n"), F.min("node").alias("grp")).filter("n > 1").drop("n"))
     return nodes.join(many, ["text_hash", "size", "text_crc32"]).select("node", "grp")
 
 
