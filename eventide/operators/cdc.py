@@ -13,7 +13,7 @@ ITEM = "struct<product_id:bigint,quantity:int,unit_price:double>"
 
 def cdc_transactions(orders_cdc: DataFrame, items_cdc: DataFrame,
                      txn_events: DataFrame, *, items: str = "array", state_ttl=None,
-                     watermark: str | None = "1 second") -> DataFrame:
+                     watermark="1 second") -> DataFrame:
     """Join the order-header and order-item change events of one database
     transaction once the transaction's END event has arrived and exactly the
     announced number of change events is present.
@@ -30,7 +30,8 @@ def cdc_transactions(orders_cdc: DataFrame, items_cdc: DataFrame,
 
     ``state_ttl`` (the reference keeps 1 hour): events of a transaction more
     than that apart (by ``ts_ms``) belong to separate attempts, and a stream
-    clears a transaction's state once it has been silent that long, so
+    clears a transaction's state once it has been silent that long (by the
+    watermark, of which each input has its own), so
     transactions that never complete do not keep state forever."""
     ttl = interval_ms(state_ttl) if state_ttl else None
     o = orders_cdc.select(
@@ -52,13 +53,18 @@ def cdc_transactions(orders_cdc: DataFrame, items_cdc: DataFrame,
         F.lit(None).cast("bigint").alias("_ord"), F.col("ts_ms").alias("_ts"),
         F.lit(None).cast(orders_cdc.schema["after"].dataType).alias("_hdr"),
         F.lit(None).cast(ITEM).alias("_item"), F.col("event_count").alias("_expected"))
+    if any(d.isStreaming for d in (o, it, t)) and ttl:
+        from eventide.streaming import ops as st
+        from eventide.functions.columns import T_MS
+        o, it, t = (st.watermarked(d.withColumn(T_MS, F.col("_ts")), w)
+                    for d, w in zip((o, it, t), st.delays(watermark, 3)))
     # rows without a transaction id (snapshots) can never complete one
     u = o.unionByName(it).unionByName(t).filter(F.col("_txn").isNotNull())
     if u.isStreaming:
         if items != "array":
             raise NotImplementedError("streams emit line items as an array")
         from eventide.streaming import ops as st
-        return st.cdc_transactions(u, watermark, ttl)
+        return st.cdc_transactions(u, st.delays(watermark, 3)[0], ttl)
     grp = ["_txn"]
     if ttl:
         from eventide.functions.columns import T_MS

@@ -18,7 +18,7 @@ def first_match_join(orders: DataFrame, customers: DataFrame, *,
                      order_id: str = "orderId", total: str = "totalAmount",
                      name: str = "name", email: str = "email", tier: str = "tier",
                      rows_per_chunk: int | None = None, hot: HotKeys | None = None,
-                     watermark: str | None = WATERMARK,
+                     watermark=WATERMARK,
                      state_ttl=None, stream_order: str = "arrival") -> DataFrame:
     """Output: orderId, customerId, totalAmount, customerName, customerEmail,
     customerTier, firstArrival ('ORDER'|'CUSTOMER'), joinTimestamp (ms).
@@ -32,7 +32,8 @@ def first_match_join(orders: DataFrame, customers: DataFrame, *,
     after a silence longer than that a key starts over and may match again.
 
     On a streaming DataFrame the same call runs a transformWithState
-    processor; ``watermark`` bounds lateness and ``stream_order`` is
+    processor; ``watermark`` bounds lateness (one delay, or one for each
+    input; an input that lags behind the other holds it back) and ``stream_order`` is
     'arrival' (fold each micro-batch as it comes) or 'event' (buffer until
     the watermark passes, then fold in event-time order)."""
     o = with_time_seq(orders, time, order_seq, "first_match_join(orders)",
@@ -43,18 +44,22 @@ def first_match_join(orders: DataFrame, customers: DataFrame, *,
                        F.col(total).cast("double").alias("totalAmount"))
     cstruct = F.struct(F.col(name).alias("name"), F.col(email).alias("email"),
                        F.col(tier).alias("tier"))
+    evt = []
+    if orders.isStreaming or customers.isStreaming:
+        from eventide.streaming import ops as st
+        late = st.delays(watermark, 2)
+        o, c, evt = st.watermarked(o, late[0]), st.watermarked(c, late[1]), ["_evt"]
     u = (o.select(key, T_MS, SEQ, F.lit(0).alias("_side"), ostruct.alias("_o"),
-                  F.lit(None).cast(cstruct_type()).alias("_c"))
+                  F.lit(None).cast(cstruct_type()).alias("_c"), *evt)
          .unionByName(c.select(key, T_MS, SEQ, F.lit(1).alias("_side"),
                                F.lit(None).cast(ostruct_type()).alias("_o"),
-                               cstruct.alias("_c"))))
+                               cstruct.alias("_c"), *evt)))
     order = [T_MS, "_side", SEQ]
     if u.isStreaming:
-        from eventide.streaming import ops as st
         s = u.select(key, T_MS, SEQ, "_side", F.col("_o.orderId").alias("_oid"),
                      F.col("_o.totalAmount").alias("_total"), F.col("_c.name").alias("_name"),
-                     F.col("_c.email").alias("_email"), F.col("_c.tier").alias("_tier"))
-        return st.first_match_join(s, key, watermark,
+                     F.col("_c.email").alias("_email"), F.col("_c.tier").alias("_tier"), *evt)
+        return st.first_match_join(s, key, late[0],
                                    interval_ms(state_ttl) if state_ttl else None,
                                    stream_order)
     k = keyed(u, [key], order, rows_per_chunk, hot)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.columns import T_MS, interval_ms
 from eventide.operators._common import SEQ, with_time_seq
+from eventide.streaming.ops import WATERMARK, delays, watermarked
 
 # Fixed values that must equal the reference's defaults.
 MIN_PRICE_CHANGE = 0.02
@@ -94,7 +95,7 @@ def dynamic_pricing(inventory: DataFrame, competitor: DataFrame | None = None, *
                     inventory_threshold: int = INVENTORY_THRESHOLD,
                     demand_threshold: int = DEMAND_THRESHOLD,
                     min_change: float = MIN_PRICE_CHANGE,
-                    stream_order: str = "arrival", state_ttl=None) -> DataFrame:
+                    stream_order: str = "arrival", state_ttl=None, watermark=WATERMARK) -> DataFrame:
     """Output: sku, newPrice, oldPrice, reason, timestamp (event ms), seq.
 
     Inventory rows set the stock level, count one demand signal and give the
@@ -107,33 +108,39 @@ def dynamic_pricing(inventory: DataFrame, competitor: DataFrame | None = None, *
     keeps 7 days): after a longer silence a SKU starts from a fresh state.
 
     On a streaming DataFrame the same call runs a transformWithState
-    processor; ``watermark`` bounds lateness and ``stream_order`` is
+    processor; ``watermark`` bounds lateness (one delay, or one for each
+    input; an input that lags behind the other holds it back) and ``stream_order`` is
     'arrival' (fold each micro-batch as it comes) or 'event' (buffer until
     the watermark passes, then fold in event-time order)."""
     ttl = interval_ms(state_ttl) if state_ttl else None
     inv = with_time_seq(inventory, time, inventory_seq, "dynamic_pricing(inventory)",
                         need=(key, quantity, base_price))
+    late = delays(watermark, 1 if competitor is None else 2)
+    evt = []
+    if inv.isStreaming or competitor is not None and competitor.isStreaming:
+        inv, evt = watermarked(inv, late[0]), ["_evt"]
     parts = [inv.select(F.col(key).cast("string").alias("_sku"), F.lit(0).alias("_side"),
                         F.col(quantity).cast("int").alias("_qty"),
                         F.col(base_price).cast("double").alias("_base"),
                         F.lit(None).cast("double").alias("_cprice"),
-                        F.col(T_MS).alias("_t"), F.col(SEQ).alias("_q"))]
+                        F.col(T_MS).alias("_t"), F.col(SEQ).alias("_q"), *evt)]
     if competitor is not None:
         comp = with_time_seq(competitor, time, competitor_seq,
                              "dynamic_pricing(competitor)", need=(key, price))
+        comp = watermarked(comp, late[1]) if evt else comp
         parts.append(comp.select(F.col(key).cast("string").alias("_sku"),
                                  F.lit(1).alias("_side"), F.lit(None).cast("int").alias("_qty"),
                                  F.lit(None).cast("double").alias("_base"),
                                  F.col(price).cast("double").alias("_cprice"),
                                  F.col(T_MS).alias("_t"),
-                                 F.col(SEQ).alias("_q")))
+                                 F.col(SEQ).alias("_q"), *evt))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
     if u.isStreaming:
         from eventide.streaming import ops as st
         return st.dynamic_pricing(u, (int(inventory_threshold), int(demand_threshold),
-                                      float(min_change)), order=stream_order, ttl_ms=ttl)
+                                      float(min_change)), late[0], order=stream_order, ttl_ms=ttl)
     u = u.repartition("_sku").sortWithinPartitions("_sku", "_t", "_side", "_q")
     return u.mapInArrow(_fold(int(inventory_threshold), int(demand_threshold), float(min_change), ttl),
                         OUT_SCHEMA.format(seq=u.schema["_q"].dataType.simpleString()))

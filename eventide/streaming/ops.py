@@ -19,6 +19,23 @@ def _named(proc, schema: str):
     return proc
 
 
+def watermarked(d: DataFrame, watermark: str | None) -> DataFrame:
+    """One input with a watermark of its own.  Set before inputs are united:
+    Spark then takes the smallest of them, so an input that lags behind the
+    others is not late."""
+    d = d.withColumn("_evt", F.timestamp_millis(F.col(T_MS)))
+    return d.withWatermark("_evt", watermark) if watermark else d
+
+
+def delays(watermark, inputs: int) -> list:
+    """The watermark delay of each input: one for all, or a list of them."""
+    if watermark is None or isinstance(watermark, str):
+        return [watermark] * inputs
+    if len(watermark) != inputs:
+        raise ValueError(f"{inputs} watermarks expected, one for each input")
+    return list(watermark)
+
+
 def _tws(d: DataFrame, key, proc, schema: str, time_mode: str,
          watermark: str | None, order: str = "arrival") -> DataFrame:
     proc = _named(proc, schema)
@@ -37,9 +54,8 @@ def _tws(d: DataFrame, key, proc, schema: str, time_mode: str,
         time_mode = "EventTime"
     elif order != "arrival":
         raise ValueError("stream order must be 'arrival' or 'event'")
-    d = d.withColumn("_evt", F.timestamp_millis(F.col(T_MS)))
-    if watermark:
-        d = d.withWatermark("_evt", watermark)
+    if "_evt" not in d.columns:
+        d = watermarked(d, watermark)
     return d.groupBy(*_keys(key)).transformWithState(proc, schema, "Append", time_mode)
 
 
@@ -151,7 +167,7 @@ def cdc_transactions(u: DataFrame, watermark=WATERMARK, ttl_ms=None):
         return u.groupBy("_txn").transformWithState(_named(proc, schema), schema, "Append",
                                                     "None")
     proc.ttl = ttl_ms
-    u = u.withColumn(T_MS, F.col("_ts")).withColumn("_q", F.lit(0).cast("long"))
+    u = u.withColumn("_q", F.lit(0).cast("long"))
     return _tws(u, "_txn", proc, schema, "EventTime", watermark)
 
 

@@ -45,21 +45,35 @@ def field_names(ddl: str) -> list[str]:
     return names
 
 
+# What a timer is for.  Spark keeps one timer for each time of a key.
+ROWS, END, CLEAN = 1, 2, 4
+# Pending rows are kept by buckets of this many milliseconds.
+BUCKET_MS = 1000
+
+
 class _Processor(StatefulProcessor):
-    """Base: named output rows (``names`` is set from the output schema) and
-    the two row orders.
+    """Base: named output rows (``names`` is set from the output schema), the
+    two row orders and timers by purpose.
 
     arrival (default): each micro-batch's rows of a key are folded at once,
-    sorted by (time, seq).  event (``buffer_fields`` set): rows wait in list
-    state with one event-time timer per key, at the earliest of them; when the
-    watermark passes rows they are folded in (time, seq) order, so rows arriving in another
-    order than their times (within the watermark delay) give the batch
-    result."""
+    sorted by (time, seq).  event (``buffer_fields`` set): rows wait in map
+    state, by time bucket, with one event-time timer per bucket at the earliest
+    of its rows; when the watermark passes it the bucket's due rows are folded
+    in (time, seq) order, so rows arriving in another order than their times
+    (within the watermark delay) give the batch result.  A firing reads and
+    writes its own bucket only.
+
+    Pending rows, the end of a session or window (``ends``) and the clean-up
+    may want the same time.  ``_arm`` and ``_disarm`` keep the purposes of each
+    time in map state; Spark's timer goes only when no purpose is left.  A
+    firing folds due rows first, then reports what ended by then, then cleans
+    up."""
 
     names: list[str] = []
     buffer_fields: list[str] | None = None
     buffer_schema: str | None = None
     cleanup_ms: int | None = None  # clear a key's state after this much silence
+    ends = False                   # sets timers of its own
 
     def _row(self, *values):
         return Row(**dict(zip(self.names, values)))
@@ -68,14 +82,48 @@ class _Processor(StatefulProcessor):
         self.h = handle
         self.setup(handle)
         if self.buffer_fields:
-            self.buf = handle.getListState("pending", self.buffer_schema)
-            self.due = handle.getValueState("due", "at long")
+            self.buf = handle.getMapState("pending", "bucket long",
+                                          f"rows array<struct<{self.buffer_schema}>>")
+            self.top = handle.getValueState("top", "bucket long")   # the latest pending bucket
         if self.cleanup_ms:
             self.cleanup = handle.getValueState("cleanup", "at long")
+        used = [p for p, on in ((ROWS, self.buffer_fields), (END, self.ends), (CLEAN, self.cleanup_ms)) if on]
+        self.only = used[0] if len(used) == 1 else None
+        if len(used) > 1:
+            self.timers = handle.getMapState("timers", "at long", "purposes int")
+
+    def _arm(self, purpose, t):
+        if self.only:
+            self.h.registerTimer(t)
+            return
+        m = self.timers.getValue((t,))[0] if self.timers.containsKey((t,)) else 0
+        if not m:
+            self.h.registerTimer(t)
+        if not m & purpose:
+            self.timers.updateValue((t,), (m | purpose,))
+
+    def _disarm(self, purpose, t):
+        if self.only:
+            self.h.deleteTimer(t)
+        elif self.timers.containsKey((t,)):
+            m = self.timers.getValue((t,))[0] & ~purpose
+            if m:
+                self.timers.updateValue((t,), (m,))
+            else:
+                self.timers.removeKey((t,))
+                self.h.deleteTimer(t)
+
+    def _move(self, purpose, old, new):
+        """The purpose's timer goes from one time to another; None is none."""
+        if old != new:
+            if old is not None:
+                self._disarm(purpose, old)
+            if new is not None:
+                self._arm(purpose, new)
 
     def _schedule_cleanup(self, rows):
-        """One event-time timer per key at (newest row time + TTL); a newer
-        row moves it.  When it fires the key's state is cleared, so keys
+        """One clean-up time per key at (newest row time + TTL); a newer
+        row moves it.  When it comes the key's state is cleared, so keys
         that fall silent do not keep state forever."""
         if not self.cleanup_ms:
             return
@@ -83,15 +131,15 @@ class _Processor(StatefulProcessor):
         if not ts:
             return
         at = max(ts) + self.cleanup_ms
-        if self.cleanup.exists():
-            old = self.cleanup.get()[0]
-            if old >= at:
-                return
-            self.h.deleteTimer(old)
-        self.h.registerTimer(at)
-        self.cleanup.update((at,))
+        old = self.cleanup.get()[0] if self.cleanup.exists() else None
+        if old is None or old < at:
+            self._move(CLEAN, old, at)
+            self.cleanup.update((at,))
 
     def _clear_all(self):
+        if not self.only:
+            for (t,) in list(self.timers.keys()):
+                self.h.deleteTimer(t)
         for v in list(vars(self).values()):
             if isinstance(v, (ValueState, ListState, MapState)):
                 v.clear()
@@ -107,57 +155,67 @@ class _Processor(StatefulProcessor):
         self._schedule_cleanup(rows)
         if not self.buffer_fields:
             return self.fold(key, rows)
-        new = [tuple(r[f] for f in self.buffer_fields) for r in rows]
-        if new:
-            self.buf.appendList(new)
-            self._wake_at(min(x[self.buffer_fields.index(T)] for x in new))
+        new = {}
+        for r in rows:
+            new.setdefault(r[T] // BUCKET_MS, []).append(tuple(r[f] for f in self.buffer_fields))
+        for bucket, some in new.items():
+            self._keep(bucket, self._pending(bucket), some)
         return iter([])
 
-    def _wake_at(self, t):
-        """One timer per key, at the earliest pending time."""
-        if self.due.exists():
-            old = self.due.get()[0]
-            if old <= t:
-                return
-            self.h.deleteTimer(old)
-        self.h.registerTimer(t)
-        self.due.update((t,))
-
-    def on_timer(self, key, timerValues):
-        """Rows that the passing of time alone emits."""
+    def _pending(self, bucket):
+        if not self.buf.containsKey((bucket,)):
+            return []
+        return [tuple(x) for x in self.buf.getValue((bucket,))[0]]
+
+    def _keep(self, bucket, old, new):
+        """Add rows to a bucket, whose timer is at its earliest row."""
+        ti = self.buffer_fields.index(T)
+        first = min((x[ti] for x in old), default=None)
+        self._move(ROWS, first, min(x[ti] for x in old + new))
+        self.buf.updateValue((bucket,), (old + new,))
+        if not self.top.exists() or self.top.get()[0] < bucket:
+            self.top.update((bucket,))
+
+    def on_timer(self, key, now):
+        """Rows that the passing of time alone emits, up to ``now``."""
         return []
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        out = [*self._drain(key, timerValues), *self.on_timer(key, timerValues)]
-        if self.cleanup_ms and self.cleanup.exists() \
-                and self.cleanup.get()[0] == expiredTimerInfo.getExpiryTimeInMs():
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        why = self.only
+        if not why:
+            why = self.timers.getValue((now,))[0] if self.timers.containsKey((now,)) else 0
+            if why:
+                self.timers.removeKey((now,))
+        out, upto = [], now if why & END else None
+        if why & ROWS:
+            watermark = timerValues.getCurrentWatermarkInMs()
+            if self.top.get()[0] == now // BUCKET_MS:
+                upto = watermark        # all rows before it are folded then
+            out += self._drain(key, now, watermark)
+        if upto is not None:
+            out += self.on_timer(key, upto)
+        if why & CLEAN and self.cleanup.exists() and self.cleanup.get()[0] == now:
             self._clear_all()
         return iter(out)
 
-    def _drain(self, key, timerValues):
-        """Fold the pending rows that the watermark has passed: one read of
-        the list per key and watermark, whatever number of times it holds."""
-        wm = timerValues.getCurrentWatermarkInMs()
-        if not self.buffer_fields or not self.due.exists() or self.due.get()[0] > wm:
-            return iter([])
-        ti = self.buffer_fields.index(T)
-        pending = [tuple(x) for x in self.buf.get()]
-        ready = [x for x in pending if x[ti] <= wm]
-        rest = [x for x in pending if x[ti] > wm]
-        self.due.clear()
+    def _drain(self, key, now, watermark):
+        """Fold the rows of the bucket at ``now`` that the watermark has passed."""
+        bucket, ti = now // BUCKET_MS, self.buffer_fields.index(T)
+        pending = self._pending(bucket)
+        rest = [x for x in pending if x[ti] > watermark]
+        self.buf.removeKey((bucket,))
         if rest:
-            self.buf.put(rest)
-            self._wake_at(min(x[ti] for x in rest))
-        else:
-            self.buf.clear()
-        return self.fold(key, [Row(**dict(zip(self.buffer_fields, x))) for x in ready])
+            self._keep(bucket, [], rest)
+        elif self.top.get()[0] == bucket:
+            self.top.clear()
+        ready = [Row(**dict(zip(self.buffer_fields, x))) for x in pending if x[ti] <= watermark]
+        return self.fold(key, ready) if ready else []
 
     def close(self):
         pass
 
 
-
-
 class SpendThresholdProcessor(_Processor):
     def __init__(self, threshold, key, order_id):
         self.threshold, self.key, self.order_id = float(threshold), key, order_id
@@ -203,6 +261,8 @@ class EarlyFireProcessor(_Processor):
 
 
 class HybridWindowProcessor(_Processor):
+    ends = True
+
     def __init__(self, size_ms, threshold):
         self.size, self.n = int(size_ms), int(threshold)
 
@@ -216,7 +276,8 @@ class HybridWindowProcessor(_Processor):
         start, n, total = self.st.get() if self.st.exists() else (None, 0, "0")
         return [start, n, Decimal(total)]
 
-    def _save(self, w):
+    def _save(self, old, w):
+        self._move(END, *(None if x is None else x + self.size for x in (old, w[0])))
         if w[0] is None:
             self.st.clear()
         else:
@@ -224,35 +285,34 @@ class HybridWindowProcessor(_Processor):
 
     def fold(self, key, rows):
         w = self._load()
-        out = []
+        old, out = w[0], []
         for r in _sorted(rows):
             win = r[T] - r[T] % self.size
             if w[0] is not None and win != w[0]:
                 out.append(self._emit(key, *w))
-                self.h.deleteTimer(w[0] + self.size)
                 w = [None, 0, Decimal(0)]
             if w[0] is None:
                 w = [win, 0, Decimal(0)]
-                self.h.registerTimer(win + self.size)
             w[1] += 1
             w[2] += _exact(r["_price"])
             if w[1] >= self.n:
                 out.append(self._emit(key, *w))
-                self.h.deleteTimer(w[0] + self.size)
                 w = [None, 0, Decimal(0)]
-        self._save(w)
+        self._save(old, w)
         return iter(out)
 
-    def on_timer(self, key, timerValues):
-        out, w = [], self._load()
-        if w[0] is not None and w[0] + self.size <= timerValues.getCurrentWatermarkInMs():
-            if w[1] > 0:
-                out.append(self._emit(key, *w))
-            self._save([None, 0, Decimal(0)])
-        return out
+    def on_timer(self, key, now):
+        w = self._load()
+        if w[0] is None or w[0] + self.size > now:
+            return []
+        self._disarm(END, w[0] + self.size)
+        self.st.clear()
+        return [self._emit(key, *w)] if w[1] else []
 
 
 class SessionProcessor(_Processor):
+    ends = True
+
     def __init__(self, timeout_ms, end_event, close_on_timeout, ttl_ms=None):
         self.tmo, self.end, self.close_tmo = int(timeout_ms), end_event, close_on_timeout
         self.ttl = ttl_ms
@@ -275,42 +335,38 @@ class SessionProcessor(_Processor):
 
     def fold(self, key, rows):
         s = self._load()
-        out = []
+        old, out = None if s is None else s[4], []
         for r in _sorted(rows):
             t, et = r[T], r["_type"]
             if s is not None and s[4] is not None and t > s[4]:
                 out.append(self._timeout(key, s, s[4]))
-                self.h.deleteTimer(s[4])
                 s[4] = None
                 if self.close_tmo:
                     s = None
             if self.ttl and s is not None and t - s[5] > self.ttl:
                 s = None
             if s is None or s[1] is None:   # also while only null types came
-                s = [t, et, et, 1, None if s is None else s[4], t]
+                s = [t, et, et, 1, None, t]
             else:
                 s[3] += 1
                 s[2] = et
-            if s[4] is not None:
-                self.h.deleteTimer(s[4])
             if et == self.end:
                 out.append(self._row(key[0], "COMPLETED", t - s[0], s[3], s[1], et))
                 s = None
                 continue
             s[4], s[5] = t + self.tmo, t
-            self.h.registerTimer(s[4])
+        self._move(END, old, None if s is None else s[4])
         self._save(s)
         return iter(out)
 
-    def on_timer(self, key, timerValues):
-        out, s = [], self._load()
-        if s is not None and s[4] is not None and s[4] <= timerValues.getCurrentWatermarkInMs():
-            out.append(self._timeout(key, s, s[4]))
-            if self.close_tmo:
-                s = None
-            else:
-                s[4] = None
-            self._save(s)
+    def on_timer(self, key, now):
+        s = self._load()
+        if s is None or s[4] is None or s[4] > now:
+            return []
+        out = [self._timeout(key, s, s[4])]
+        self._disarm(END, s[4])
+        s[4] = None
+        self._save(None if self.close_tmo else s)
         return out
 
 
