@@ -320,8 +320,9 @@ def _sig(col: str) -> str:
 
 
 def _formatter_sql(src: str, key: str, order: str, cols: list[tuple[str, str, str]],
-                   schema_info: str | None = None) -> str:
-    """cols: (name, runtime type name, text expression or '')"""
+                   schema_info: str | None = None, alive: tuple | None = None) -> str:
+    """cols: (name, runtime type name, text expression or ''); alive: count
+    and window over the columns of ``src``, for patterns that expire"""
     def part(c, expr):
         if not expr:
             return _fmt(c)
@@ -331,6 +332,13 @@ def _formatter_sql(src: str, key: str, order: str, cols: list[tuple[str, str, st
     rest = " || ', ' || ".join(part(c, x) for c, _, x in cols if c != key)
     info = f"'{schema_info}'" if schema_info else " || ', ' || ".join(_info(c, t) for c, t, _ in cols)
     sig = " || '|' || ".join(_sig(c) for c, _, _ in cols)
+    if alive:
+        return f"""
+WITH s AS ({src})
+SELECT {key}, '[' || {keyp} || '] => {{' || {rest} || '}}' AS formatted_row, {info} AS schema_info,
+       CAST({alive[0]} AS BIGINT) AS distinct_patterns
+FROM s WINDOW w AS {alive[1]}
+"""
     return f"""
 WITH s AS ({src}),
 f AS (
@@ -360,6 +368,19 @@ ORACLE["row_formatter_sql_types"] = _formatter_sql(
     _EVENTS_NULLED, "event_type", "event_id", _EVENTS_TEXT,
     "event_id:BIGINT, user_id:BIGINT, event_type:STRING, value:DOUBLE, ts:TIMESTAMP(6)")
 
+# the patterns of a key: which of user_id and value are null; each is alive
+# while its last use lies at most the TTL back
+_alive = " + ".join(
+    f"CASE WHEN ts_ms - max(CASE WHEN p = {p} THEN ts_ms END) OVER w <= 6 * 3600000 THEN 1 ELSE 0 END" for p in range(4))
+ORACLE["row_formatter_ttl"] = _formatter_sql(
+    f"""SELECT *, CASE WHEN user_id IS NULL THEN 1 ELSE 0 END + CASE WHEN value IS NULL THEN 2 ELSE 0 END AS p,
+               epoch_ms(ts) AS ts_ms
+        FROM (SELECT event_id, CASE WHEN {_K} % 13 = 0 THEN NULL ELSE user_id END AS user_id, event_type,
+                     CASE WHEN {_K} % 9 = 0 THEN NULL ELSE value END AS value, ts FROM events)""",
+    "event_type", "event_id", [("event_id", "Long", ""), ("user_id", "Long", ""), ("event_type", "String", ""),
+                               ("value", "Double", ""), ("ts", "LocalDateTime", _iso("ts"))],
+    alive=(_alive, "(PARTITION BY event_type ORDER BY ts_ms, event_id ROWS UNBOUNDED PRECEDING)"))
+
 ORACLE["cdc_transactions"] = """
 WITH items AS (
   SELECT l_orderkey AS txn, l_linenumber + 1 AS total_order, (epoch_us(l_shipdate) // 1000) AS ts_ms,

@@ -310,6 +310,11 @@ def q_row_formatter_sql_types(spark, d):
                              type_names="sql")
 
 
+def q_row_formatter_ttl(spark, d):
+    ev = user_events_nulled(spark, d).drop("ts").join(events(spark, d).select("event_id", "ts"), "event_id")
+    return ops.row_formatter(ev, ["event_type"], order="event_id", time="ts", state_ttl="6 hours")
+
+
 def q_row_formatter_events(spark, d):
     return ops.row_formatter(user_events_nulled(spark, d), ["event_type"], order="event_id")
 
@@ -389,6 +394,7 @@ QUERIES = {
     "anomaly_alerts_ttl": q_anomaly_alerts_ttl,
     "changelog_audit_ttl": q_changelog_audit_ttl,
     "quality_score_readme": q_quality_score_readme,
+    "row_formatter_ttl": q_row_formatter_ttl,
     "row_formatter_sql_types": q_row_formatter_sql_types,
     "cdc_transactions_rows": q_cdc_transactions_rows,
     "cdc_changelog_upsert": q_cdc_changelog_upsert,

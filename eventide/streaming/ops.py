@@ -148,13 +148,14 @@ def first_match_join(u: DataFrame, key, watermark=WATERMARK, ttl_ms=None,
     return out.withColumnRenamed(key, "customerId")
 
 
-def pattern_count(d: DataFrame, keys, watermark=None):
+def pattern_count(d: DataFrame, keys, ttl_ms=None, watermark=WATERMARK, order="arrival"):
     from eventide.streaming.processors import PatternCountProcessor
     schema = ", ".join(f"{k} {_ktype(d, k)}" for k in keys) + \
         ", formatted_row string, schema_info string, distinct_patterns long"
-    d = d.withColumn(T_MS, F.col("_ord").cast("long"))
-    return (d.groupBy(*keys)
-            .transformWithState(_named(PatternCountProcessor(), schema), schema, "Append", "None"))
+    if not ttl_ms:
+        return (d.groupBy(*keys)
+                .transformWithState(_named(PatternCountProcessor(), schema), schema, "Append", "None"))
+    return _tws(d, keys, PatternCountProcessor(ttl_ms), schema, "EventTime", watermark, order)
 
 
 def cdc_transactions(u: DataFrame, watermark=WATERMARK, ttl_ms=None):

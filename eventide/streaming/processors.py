@@ -11,6 +11,7 @@ timer would have emitted, so results do not depend on trigger timing.
 
 from __future__ import annotations
 
+import heapq
 from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import Row
@@ -496,22 +497,44 @@ class FirstMatchProcessor(_Processor):
         return iter(out)
 
 class PatternCountProcessor(_Processor):
-    """Distinct null patterns per key: map state of seen signatures."""
+    """Distinct null patterns per key: map state of signatures with the time
+    of their last use, and how many there are.  With a TTL a pattern expires
+    that long after its last use."""
 
-    def init(self, handle):
-        self.seen = handle.getMapState("seen", "sig string", "flag boolean")
+    def __init__(self, ttl_ms=None):
+        self.ttl = ttl_ms
+
+    def setup(self, handle):
+        self.seen = handle.getMapState("seen", "sig string", "last long")
         self.count = handle.getValueState("count", "n long")
 
-    def handleInputRows(self, key, rows, timerValues):
+    def fold(self, key, rows):
+        out = []
+        rows = sorted(rows, key=lambda r: (r[T] if self.ttl else 0, r["_ord"] is not None, r["_ord"]))
+        if self.ttl:
+            alive = {k[0]: v[0] for k, v in self.seen.iterator()}
+            due = sorted((t, s) for s, t in alive.items())
+            heapq.heapify(due)
+            for r in rows:
+                while due and r[T] - due[0][0] > self.ttl:
+                    t, s = heapq.heappop(due)
+                    if alive.get(s) == t:
+                        del alive[s]
+                        self.seen.removeKey((s,))
+                alive[r["_sig"]] = r[T]
+                heapq.heappush(due, (r[T], r["_sig"]))
+                out.append(self._row(*key, r["formatted_row"], r["schema_info"], len(alive)))
+            for s in {r["_sig"] for r in rows} & alive.keys():
+                self.seen.updateValue((s,), (alive[s],))
+            return iter(out)
         n = self.count.get()[0] if self.count.exists() else 0
         known = set()
-        out = []
-        for r in sorted(rows, key=lambda r: r["_ord"]):
+        for r in rows:
             sig = r["_sig"]
             if sig not in known:
                 known.add(sig)
                 if not self.seen.containsKey((sig,)):
-                    self.seen.updateValue((sig,), (True,))
+                    self.seen.updateValue((sig,), (0,))
                     n += 1
             out.append(self._row(*key, r["formatted_row"], r["schema_info"], n))
         self.count.update((n,))
