@@ -9,13 +9,19 @@ counts, and the score is that of the attention-weighted sum of the passages'
 representations.
 
 Fitting uses a bounded sample of labelled documents: ``sample_per_class`` of
-each label, the first by a hash of their ids, and of each at most
-``sample_passages`` evenly spaced passages.  Scoring is one map over whole
+each label, the first by a hash of their ids, copies of a document as one, and
+all their passages.  Their features are written to the shared folder in
+mini-batches; batches of ``memory_bytes`` altogether are read once, more are
+read again in every epoch, with the same result.  Scoring is one map over whole
 texts and all their passages.
 
+A text is worked on in sections of ``SECTION`` bytes, so that the arrays of a
+very long one stay small: words end at a section's border, and the attention
+over the sections of a text is added up as they come.
+
 Defined results: null and empty texts are one empty passage; a document
 labelled several times has the smallest of its labels, null and other labels
-are ignored; without labelled documents, or with one label only, the score is
+are ignored; a labelled id with several texts is a document for each; without labelled documents, or with one label only, the score is
 the prior (0.5 without any); repeated rows are repeated; an empty table gives
 an empty result; other columns are ignored.
 """
@@ -27,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import mix64, text_slices, utf8
+from eventide.llm.common import SECTION, mix64, shared_path, utf8
 
 # Character classes of bytes: lower case, upper case, digit, space, line
 # feed, beyond ASCII, control, and one class for each punctuation mark.
@@ -46,7 +52,27 @@ N_FEATURES = N_CLASS + N_PAIR + N_HASH + N_WORD
 
 def passages(texts: list, passage_bytes: int):
     """Features of all passages of some texts, and the text of each passage."""
-    data = [utf8(t) for t in texts]
+    return _features([utf8(t) for t in texts], passage_bytes)
+
+
+def section_groups(texts: list, passage_bytes: int, size: int = 2 * SECTION):
+    """Lists of (text, section) of about ``size`` bytes altogether; sections
+    begin where passages do."""
+    step = max(1, SECTION // passage_bytes) * passage_bytes
+    group, total = [], 0
+    for i, t in enumerate(texts):
+        data = utf8(t)
+        for at in range(0, max(1, len(data)), step):
+            group.append((i, data[at:at + step]))
+            total += len(group[-1][1]) + 64
+            if total >= size:
+                yield group
+                group, total = [], 0
+    if group:
+        yield group
+
+
+def _features(data: list, passage_bytes: int):
     sizes = np.array([len(b) for b in data], np.int64)
     counts = np.maximum(1, -(-sizes // passage_bytes))
     owner = np.repeat(np.arange(len(data)), counts)
@@ -111,51 +137,101 @@ class GatedAttention:
     def __init__(self, prior: float, mean=None, scale=None, weights: dict | None = None):
         self.prior, self.mean, self.scale, self.p = prior, mean, scale, weights
 
-    def _forward(self, x, first):
+    def _attend(self, x, first):
+        """Representations, both branches, attention logits and each passage's bag."""
         p = self.p
         h = np.tanh(x @ p["W"] + p["B"])
         t, g = np.tanh(h @ p["V"]), _sigmoid(h @ p["U"])
-        e = (t * g) @ p["w"]
-        sizes = np.diff(np.append(first, len(x)))
-        bag = np.repeat(np.arange(len(first)), sizes)
+        bag = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(x))))
+        return h, t, g, (t * g) @ p["w"], bag
+
+    def _forward(self, x, first):
+        h, t, g, e, bag = self._attend(x, first)
         a = np.exp(e - np.maximum.reduceat(e, first)[bag])
         a /= np.add.reduceat(a, first)[bag]
         z = np.add.reduceat(a[:, None] * h, first, axis=0)
-        return h, t, g, a, bag, z, _sigmoid(z @ p["c"] + p["b"])
+        return h, t, g, a, bag, z, _sigmoid(z @ self.p["c"] + self.p["b"])
 
     def score(self, x: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Scores of bags; ``first`` has each bag's first row in ``x``."""
+        return self.finish(*self.partial(x, first))
+
+    def partial(self, x: np.ndarray, first: np.ndarray):
+        """Per bag or part of one: the largest attention logit, the sum of
+        exp(logit - largest) and of the representations weighted by it."""
+        if self.p is None:
+            return np.zeros(len(first)), np.ones(len(first)), np.zeros((len(first), 1))
+        h, _, _, e, bag = self._attend((x - self.mean) / self.scale, first)
+        top = np.maximum.reduceat(e, first)
+        w = np.exp(e - top[bag])
+        return top, np.add.reduceat(w, first), np.add.reduceat(w[:, None] * h, first, axis=0)
+
+    def finish(self, top, total, z) -> np.ndarray:
+        """Scores, rounded so that the size of a batch cannot show in the last digits."""
         if self.p is None:
-            return np.full(len(first), self.prior)
-        # rounded, so that the size of a batch cannot show in the last digits
-        return self._forward((x - self.mean) / self.scale, first)[-1].round(9)
+            return np.full(len(top), self.prior)
+        return _sigmoid((z / total[:, None]) @ self.p["c"] + self.p["b"]).round(9)
+
+    def score_texts(self, texts: list, passage_bytes: int) -> np.ndarray:
+        """Scores of whole texts, section by section."""
+        top, total, z = np.full(len(texts), -np.inf), np.zeros(len(texts)), None
+        for group in section_groups(texts, passage_bytes):
+            x, owner = _features([d for _, d in group], passage_bytes)
+            parts = self.partial(x, np.searchsorted(owner, np.arange(len(group))))
+            z = np.zeros((len(texts), parts[2].shape[1])) if z is None else z
+            for (i, _), t, s, v in zip(group, *parts):
+                high = max(top[i], t)
+                old, new = np.exp(top[i] - high), np.exp(t - high)
+                top[i], total[i], z[i] = high, total[i] * old + s * new, z[i] * old + v * new
+        return self.finish(top, total, z) if len(texts) else np.zeros(0)
+
+    @classmethod
+    def fit(cls, bags: list, labels: np.ndarray, *, batch: int = 128, seed: int = 7, **kw) -> "GatedAttention":
+        """Fit on bags in memory, dealt into batches by chance."""
+        order = np.random.default_rng(seed).permutation(len(bags))
+        parts = [order[lo:lo + batch] for lo in range(0, len(order), batch)]
+
+        def read(k):
+            pick = parts[k]
+            return (np.concatenate([bags[i] for i in pick]),
+                    np.cumsum([0] + [len(bags[i]) for i in pick[:-1]]), labels[pick])
+        return cls.fit_batches(len(parts), read, seed=seed, **kw)
 
     @classmethod
-    def fit(cls, bags: list, labels: np.ndarray, *, hidden: int = 32, attention: int = 16, epochs: int = 60,
-            rate: float = 0.01, decay: float = 1e-4, batch: int = 128, seed: int = 7) -> "GatedAttention":
-        """Adam on the class-balanced log loss; gradients written out by hand."""
+    def fit_batches(cls, batches: int, read, *, hidden: int = 32, attention: int = 16, epochs: int = 60,
+                    rate: float = 0.01, decay: float = 1e-4, seed: int = 7, keep: bool = True) -> "GatedAttention":
+        """Adam on the class-balanced log loss; gradients written out by hand.
+        ``read(k)`` gives batch k: passages, each bag's first one, labels;
+        batches are kept in memory or read again (``keep``)."""
+        labels, n, total, square = [], 0, 0.0, 0.0
+        for k in range(batches):
+            x, _, y = read(k)
+            x = x.astype(np.float64)
+            labels.append(y)
+            n, total, square = n + len(x), total + x.sum(0), square + (x * x).sum(0)
+        labels = np.concatenate(labels) if labels else np.zeros(0)
         if not len(labels) or labels.min() == labels.max():
             return cls(float(labels.mean()) if len(labels) else 0.5)
-        rng, d = np.random.default_rng(seed), bags[0].shape[1]
-        every = np.concatenate(bags)
-        model = cls(float(labels.mean()), every.mean(0), every.std(0) + 1e-3)
+        mean, d = total / n, len(total)
+        rng = np.random.default_rng(seed)
+        model = cls(float(labels.mean()), mean, np.sqrt(np.maximum(square / n - mean * mean, 0)) + 1e-3)
         model.p = {"W": rng.normal(0, d ** -0.5, (d, hidden)), "B": np.zeros(hidden),
                    "V": rng.normal(0, hidden ** -0.5, (hidden, attention)),
                    "U": rng.normal(0, hidden ** -0.5, (hidden, attention)),
                    "w": rng.normal(0, attention ** -0.5, attention), "c": rng.normal(0, hidden ** -0.5, hidden),
                    "b": np.zeros(())}
-        bags = [(x - model.mean) / model.scale for x in bags]
         share = labels.mean()
-        weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
+
+        def scaled(k):
+            x, first, y = read(k)
+            return (x - model.mean) / model.scale, first, y, np.where(y == 1, 0.5 / share, 0.5 / (1 - share))
+
+        kept = [scaled(k) for k in range(batches)] if keep else None
         m, v, step = ({k: np.zeros_like(x) for k, x in model.p.items()} for _ in range(2)), None, 0
         m, v = list(m)
         for _ in range(epochs):
-            order = rng.permutation(len(bags))
-            for lo in range(0, len(order), batch):
-                pick = order[lo:lo + batch]
-                x = np.concatenate([bags[i] for i in pick])
-                first = np.concatenate([[0], np.cumsum([len(bags[i]) for i in pick])[:-1]])
-                grads = model._gradients(x, first, labels[pick], weight[pick])
+            for k in rng.permutation(batches):
+                grads = model._gradients(*(kept[k] if keep else scaled(k)))
                 step += 1
                 for k, g in grads.items():
                     g = g + decay * model.p[k]
@@ -181,8 +257,10 @@ class GatedAttention:
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", passage_bytes: int = 512, sample_per_class: int = 1500,
-          sample_passages: int = 32, **fit) -> GatedAttention:
-    """Fit on a bounded sample of the labelled documents of ``labels``."""
+          batch: int = 128, memory_bytes: int = 256 << 20, **fit) -> GatedAttention:
+    """Fit on a bounded sample of the labelled documents of ``labels``:
+    ``sample_per_class`` of each label, all their passages."""
+    spark = docs.sparkSession
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()) \
         .groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(label_col).cast("int").alias("y"))
     sample = None
@@ -190,27 +268,48 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         one = known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(sample_per_class)
         sample = one if sample is None else sample.unionByName(one)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")) \
-        .join(F.broadcast(sample), "id").select("y", "text")     # 2 * sample_per_class ids at most
+        .join(F.broadcast(sample), "id") \
+        .withColumn("hash", F.xxhash64("text"))         # 2 * sample_per_class ids at most
+    # copies of a document are one, an id with several texts is several: the
+    # bound holds for each label by itself
+    texts = rows.select("y", "id", "hash").distinct()
+    chosen = [r for y in (0, 1) for r in texts.filter(F.col("y") == y)
+              .orderBy(F.xxhash64("id"), "id", "hash").limit(sample_per_class).collect()]
+    chosen.sort(key=lambda r: r["hash"])                # labels mixed by chance
+    if len({r["y"] for r in chosen}) < 2:
+        return GatedAttention(float(chosen[0]["y"]) if chosen else 0.5)
+    picked = spark.createDataFrame([(r["id"], r["hash"], i) for i, r in enumerate(chosen)],
+                                   "id long, hash long, at int")
+    once = rows.join(F.broadcast(picked), ["id", "hash"]).groupBy("at", "y").agg(F.first("text").alias("text"))
 
     def encode(batches):
         for b in batches:
-            texts, ys = b.column("text").to_pylist(), b.column("y").to_pylist()
-            for lo, hi in text_slices(texts):
-                x, owner = passages(texts[lo:hi], passage_bytes)
-                out = []
-                for i in range(hi - lo):
-                    own = x[np.searchsorted(owner, i):np.searchsorted(owner, i, "right")]
-                    at = np.unique(np.linspace(0, len(own) - 1, min(len(own), sample_passages)).astype(int))
-                    out.append(own[at].tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(ys[lo:hi], pa.int32()), pa.array(out, pa.binary())],
-                                                 ["y", "x"])
-
-    # the same document may come in several rows: the bound holds for ids, so cut rows as well
-    bags = rows.mapInArrow(encode, "y int, x binary").limit(2 * sample_per_class).toArrow()
-    y = bags.column("y").to_numpy().astype(np.float64)
-    x = [np.frombuffer(r.as_py(), np.float32).reshape(-1, N_FEATURES).astype(np.float64)
-         for r in bags.column("x")]
-    return GatedAttention.fit(x, y, **fit)
+            ats, ys = b.column("at").to_pylist(), b.column("y").to_pylist()
+            for group in section_groups(b.column("text").to_pylist(), passage_bytes):
+                x, owner = _features([d for _, d in group], passage_bytes)
+                ends = np.searchsorted(owner, np.arange(len(group) + 1)).tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([ats[i] // batch for i, _ in group], pa.int32()),
+                     pa.array([ats[i] for i, _ in group], pa.int32()), pa.array([ys[i] for i, _ in group], pa.int32()),
+                     pa.array(range(len(group)), pa.int32()),
+                     pa.array([x[lo:hi].tobytes() for lo, hi in zip(ends, ends[1:])], pa.binary())],
+                    ["batch", "at", "y", "part", "x"])
+
+    path = shared_path(spark, "bags")
+    once.mapInArrow(encode, "batch int, at int, y int, part int, x binary") \
+        .repartition("batch").sortWithinPartitions("batch", "at", "part").write.parquet(path)
+    stored = spark.read.parquet(path)
+    size = stored.agg(F.sum(F.octet_length("x"))).first()[0]
+
+    def read(k):
+        rows = stored.filter(F.col("batch") == k).orderBy("at", "part").toArrow()
+        at = rows.column("at").to_numpy()
+        parts = [np.frombuffer(r.as_py(), np.float32).reshape(-1, N_FEATURES) for r in rows.column("x")]
+        new = np.flatnonzero(np.diff(at, prepend=-1))
+        starts = np.cumsum([0] + [len(p) for p in parts])
+        return np.concatenate(parts), starts[new], rows.column("y").to_numpy()[new].astype(np.float64)
+
+    return GatedAttention.fit_batches(-(-len(chosen) // batch), read, keep=size <= memory_bytes, **fit)
 
 
 def score(docs: DataFrame, model: GatedAttention, *, id_col: str = "doc_id", text_col: str = "text",
@@ -221,10 +320,7 @@ def score(docs: DataFrame, model: GatedAttention, *, id_col: str = "doc_id", tex
 
     def run(batches):
         for b in batches:
-            texts, scores = b.column("text").to_pylist(), []
-            for lo, hi in text_slices(texts, 2 << 20):
-                x, owner = passages(texts[lo:hi], passage_bytes)
-                scores += model.score(x, np.searchsorted(owner, np.arange(hi - lo))).tolist()
+            scores = model.score_texts(b.column("text").to_pylist(), passage_bytes)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(scores, pa.float64())],
                                              ["doc_id", "score"])
 
