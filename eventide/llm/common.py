@@ -88,6 +88,21 @@ def id_hash_mod(c: Column, n: int) -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % n, F.lit(0))
 
 
+def plain_names(df: DataFrame) -> tuple[DataFrame, dict]:
+    """(``df`` with columns c0, c1, ..., the new name of each old one), for
+    maps over whole rows: names may hold dots, back quotes or anything else."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), dict(zip(df.columns, names))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 # Rows of an Arrow batch; the default of 10,000 is for narrow rows, not texts.
 BATCH_ROWS = 1000
 _BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
