@@ -95,6 +95,11 @@ def plain_names(df: DataFrame) -> tuple[DataFrame, dict]:
     return df.toDF(*names), dict(zip(df.columns, names))
 
 
+def quoted(name: str) -> str:
+    """A column name for ``F.col``, whatever signs it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name like ``name`` that ``df`` does not have, whatever the case."""
     taken = {c.lower() for c in df.columns}

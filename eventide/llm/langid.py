@@ -40,8 +40,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from eventide.llm.common import (SECTION, mix64, release_worker_cache, reliable, slices_of,
+from eventide.llm.common import (SECTION, mix64, plain_names, quoted, release_worker_cache, reliable, slices_of,
                                  text_slices)
 
 UNDETERMINED = "und"
@@ -227,18 +228,19 @@ def identify(docs: DataFrame, model: LanguageFilter, *, text_col: str = "text",
     rest = [c for c in docs.columns if c not in added or c == text_col]
     if text_col in added:
         raise ValueError(f"output column {text_col!r} would replace the text")
-    rows = docs.select(*[F.col(f"`{c}`") for c in rest])
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    rows, plain = plain_names(docs.select(*[F.col(quoted(c)) for c in rest]))
+    text = plain[text_col]
 
     def run(batches):
         release_worker_cache()
         letters = np.unpackbits(np.frombuffer(model.letters, np.uint8)).astype(bool)
         reached = dict(zip(model.languages, model.coverage))
         for b in batches:
-            langs, scores = model.predict(b.column(text_col).to_pylist(), letters)
+            langs, scores = model.predict(b.column(text).to_pylist(), letters)
             new = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
                    pa.array([reached.get(x, 0.0) for x in langs], pa.float64())]
             yield pa.RecordBatch.from_arrays([*b.columns, *new[:len(added)]], [*b.schema.names, *added])
 
-    types = ", ".join(f"`{c}` {t}" for c, t in zip(added, ("string", "double", "double")))
-    return rows.mapInArrow(run, f"{fields}, {types}")
+    schema = T.StructType([*rows.schema.fields, *(T.StructField(c, t()) for c, t in
+                                                  zip(added, (T.StringType, T.DoubleType, T.DoubleType)))])
+    return rows.mapInArrow(run, schema).toDF(*rest, *added)

@@ -143,12 +143,13 @@ class Packer:
         self.done: list[list] = []          # emitted, full
 
     def place(self, doc, start: int, total: int, ids: bytes) -> None:
-        while ids:
-            n = len(ids) // 4
+        at = 0                              # ``ids`` is not copied: it may be very long
+        while at < len(ids):
+            n = (len(ids) - at) // 4
             if n >= self.capacity:
-                cut = 4 * self.capacity
-                self.done.append([(doc, start, total, ids[:cut])])
-                start, ids = start + self.capacity, ids[cut:]
+                cut = at + 4 * self.capacity
+                self.done.append([(doc, start, total, ids[at:cut])])
+                start, at = start + self.capacity, cut
                 continue
             fits = [w for w in self.open if w[0] >= n]
             if fits:
@@ -159,9 +160,9 @@ class Packer:
             else:
                 best = min(self.open, key=lambda w: w[0])       # the fullest
                 n = best[0]
-            best[1].append((doc, start, total, ids[:4 * n]))
+            best[1].append((doc, start, total, ids[at:at + 4 * n]))
             best[0] -= n
-            start, ids = start + n, ids[4 * n:]
+            start, at = start + n, at + 4 * n
             if not best[0]:
                 self.open.remove(best)
                 self.done.append(best[1])
@@ -187,6 +188,19 @@ class Packer:
 
 
 _NEW = object()
+# Windows that a task gathers before it gives them out.
+_FLUSH = 512
+
+
+def task_sequence(task: int) -> int:
+    """The first sequence id of a task: 2^32 ids each, from 2^32 on."""
+    return (task + 1) << 32
+
+
+def group_sequence(group: int) -> int:
+    """The first sequence id of a group of tasks' leftovers: 2^20 ids each,
+    all below 0, so that they never meet those of a task."""
+    return -((group + 1) << 20)
 
 
 def _at_powers(pieces: list, left: int):
@@ -224,21 +238,22 @@ def pack(docs: DataFrame, tokenizer_json: str, *, id_col: str = "doc_id", text_c
     ``with_ids``, the ids.  ``tokenizer_json`` is the text of a byte-level BPE
     tokenizer file."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    end = np.array([end_id], "<u4").tobytes()
+    end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity * _FLUSH
 
     def fill(batches):
         from pyspark import TaskContext
         encoder, packer = _encoder(tokenizer_json, cache_words), Packer(capacity, open_windows)
-        sequence = (TaskContext.get().partitionId() + 1) << 32
+        sequence = task_sequence(TaskContext.get().partitionId())
         for b in batches:
             docs = b.column("doc_id").to_pylist()
             for lo, hi in slices_of(b.column("text"), SECTION * 4):
                 for doc, ids in zip(docs[lo:hi], encoder.encode(b.column("text")[lo:hi].to_pylist())):
                     ids += end
-                    packer.place(doc, 0, len(ids) // 4, ids)
-                    if len(packer.done) >= 512:
-                        yield _batch(packer.done, sequence, with_ids)
-                        sequence, packer.done = sequence + len(packer.done), []
+                    for at in range(0, len(ids), step):         # whole windows of a long document first
+                        packer.place(doc, at // 4, len(ids) // 4, ids[at:at + step] if len(ids) > step else ids)
+                        if len(packer.done) >= _FLUSH:
+                            yield _batch(packer.done, sequence, with_ids)
+                            sequence, packer.done = sequence + len(packer.done), []
         left = packer.merge_open()
         yield _batch(packer.done, sequence, with_ids)
         yield _batch([left], None, True)
@@ -254,7 +269,7 @@ def pack(docs: DataFrame, tokenizer_json: str, *, id_col: str = "doc_id", text_c
             packer.place(r["doc_id"], r["start"], r["doc_tokens"], r["ids"])
         full, packer.done = packer.done, []
         packer.cut_open()
-        return pa.Table.from_batches([_batch(full + packer.done, key[0].as_py() << 20, with_ids)])
+        return pa.Table.from_batches([_batch(full + packer.done, group_sequence(key[0].as_py()), with_ids)])
 
     rest = first.filter("sequence_id is null").withColumn("group", group)
     merged = rest.groupBy("group").applyInArrow(merge, _SCHEMA)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import reliable, utf8
+from eventide.llm.common import free_name, quoted, reliable, utf8
 
 SEED = 42
 
@@ -226,17 +226,19 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
              shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of every component the
     document with the smallest id (null ids last) stays, once."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, shingle=shingle,
-                            max_bits=max_bits)
+    found = near_duplicates(docs.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text_col)).alias("text")),
+                            shingle=shingle, max_bits=max_bits)
+    kept_id, kept_hash = free_name(docs, "_kept_id"), free_name(docs, "_kept_hash")
     stay = (found.groupBy("root")
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")).alias("k"))
-            .select(F.col("k.doc_id").alias("_kept_id"), F.col("k.text_hash").alias("_kept_hash")))
-    on = (F.col(id_col).cast("long").eqNullSafe(F.col("_kept_id"))
-          & (F.xxhash64(F.col(text_col)) == F.col("_kept_hash")))
+            .select(F.col("k.doc_id").alias(kept_id), F.col("k.text_hash").alias(kept_hash)))
+    ids, text = F.col(quoted(id_col)).cast("long"), F.xxhash64(F.col(quoted(text_col)))
+    on = ids.eqNullSafe(F.col(kept_id)) & (text == F.col(kept_hash))
     kept = docs.join(stay, on, "left_semi")
     if found.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty():
         return kept
-    # repeated rows of a kept document: one of them stays
-    once = kept.groupBy(F.col(id_col).alias("_k0"), F.xxhash64(F.col(text_col)).alias("_k1")) \
-        .agg(F.min(F.struct(*docs.columns)).alias("_row"))
-    return once.select("_row.*")
+    # repeated rows of a kept document: the first of them stays
+    row = free_name(docs, "_row")
+    rows = reliable(kept.withColumn(row, F.monotonically_increasing_id()))
+    once = rows.groupBy(ids.alias(kept_id), text.alias(kept_hash)).agg(F.min(row).alias(row)).select(row)
+    return rows.join(once, row, "left_semi").drop(row)

@@ -5,8 +5,8 @@ Layout of an archive (``.warc.zst``): a leading skippable frame (magic
 Between frames stands an empty skippable frame, which readers skip: it is the
 line separator of Spark's text writer, so that archives are written by
 Spark's own committer to any file system it reaches, and a lost executor
-leaves no half archive behind.  A file holds ``records_per_archive`` records
-at most; the dictionary frame is written again for each file.
+leaves no half archive behind.  Files are bounded by records and bytes; the
+dictionary frame is written again for each file.
 
 Writing: pages are grouped by payload digest and length (map-side partial, so
 a payload that a third of all pages share is no problem); the page with the
@@ -16,10 +16,12 @@ bytes are all responses.
 
 Reading: archives come as binary files; the dictionary is taken from the
 leading frame (plain or itself compressed), the length of each frame from its
-block headers, and exactly one record is decoded from each frame.  The
-version line, the header syntax, the block length, the record's end and the
-block and payload digests are checked; a record that fails raises
-``ValueError`` with the archive's path and offset.
+block headers, and exactly one record is decoded from each frame, whether or
+not the frame states its content's size.  The version line (1.0 or 1.1), the
+header syntax, the block length, the record's end, the HTTP length and the
+block and payload digests (of known algorithms) are checked; a record that
+fails raises ``ValueError`` with the archive's path and offset.  Records of all
+types and with any ids are read.
 
 Defined results: null html is the empty payload; a null url leaves out the
 target URI; a page with a null id is written with an empty id and read back
@@ -46,9 +48,14 @@ FRAME_MAGIC = 0xFD2FB528
 # An empty skippable frame in ASCII: magic 0x184D2A50, length 0.
 SEPARATOR = "P*M\x18\x00\x00\x00\x00"
 VERSION = b"WARC/1.1"
+VERSIONS = (VERSION, b"WARC/1.0")
 PAGE = "urn:page:"
 
 
+# Lines of the text writer in a file.
+PARTS = 16
+
+
 class ArchiveError(ValueError):
     """An archive or a record that is not valid."""
 
@@ -85,54 +92,90 @@ def make_record(page_id, url: str | None, payload: bytes, refers_to, date: str)
     return _header(lines) + block + b"\r\n\r\n"
 
 
-def parse_record(data: bytes) -> dict:
-    """Fields of one record, checked."""
-    end = data.find(b"\r\n\r\n")
-    if not data.startswith(VERSION + b"\r\n") or end < 0:
-        raise ArchiveError("no WARC version line or header end")
-    fields = {}
-    for line in data[len(VERSION) + 2:end].split(b"\r\n"):
+HASHES = {"sha1": hashlib.sha1, "sha256": hashlib.sha256, "sha512": hashlib.sha512, "md5": hashlib.md5}
+
+
+def check_digest(stated: str | None, data: bytes, what: str) -> None:
+    """Raise if a labelled digest (base32 or hex) of a known algorithm differs."""
+    name, _, value = (stated or "").partition(":")
+    if name.lower() in HASHES:
+        own = HASHES[name.lower()](data).digest()
+        if value.upper().rstrip("=") != base64.b32encode(own).decode().rstrip("=") and value.lower() != own.hex():
+            raise ArchiveError(f"{what} digest differs")
+
+
+def _fields(lines: list[bytes]) -> dict:
+    """Named fields by lower-case name; folded lines are joined, and only
+    WARC-Concurrent-To may come more than once (the first is kept)."""
+    fields: dict = {}
+    last = None
+    for line in lines:
+        if line[:1] in (b" ", b"\t") and last is not None:
+            fields[last] += " " + line.strip().decode("utf-8", "replace")
+            continue
         name, colon, value = line.partition(b":")
         if not colon or not name or name != name.strip():
             raise ArchiveError(f"bad header line {line[:80]!r}")
-        if name.lower() in fields:
+        last = name.lower()
+        if last in fields and last != b"warc-concurrent-to":
             raise ArchiveError(f"repeated header {name!r}")
-        fields[name.lower()] = value.strip().decode()
+        fields.setdefault(last, value.strip().decode("utf-8", "replace"))
+    return fields
+
+
+def parse_record(data: bytes) -> dict:
+    """Fields of one record of any type, checked.  Responses and revisits that
+    hold an HTTP message have its body as payload, other records their block."""
+    end = data.find(b"\r\n\r\n")
+    if not data.startswith(tuple(v + b"\r\n" for v in VERSIONS)) or end < 0:
+        raise ArchiveError("no WARC version line or header end")
+    fields = _fields(data[:end].split(b"\r\n")[1:])
     for name in (b"warc-type", b"warc-record-id", b"warc-date", b"content-length"):
         if name not in fields:
             raise ArchiveError(f"no header {name.decode()}")
     length = fields[b"content-length"]
-    if not length.isdecimal():
+    if not (length.isascii() and length.isdecimal()):
         raise ArchiveError(f"bad length {length!r}")
     block, tail = data[end + 4:end + 4 + int(length)], data[end + 4 + int(length):]
     if len(block) != int(length) or tail != b"\r\n\r\n":
         raise ArchiveError(f"block of {length} bytes does not end the record")
-    if fields.get(b"warc-block-digest", "sha1:" + digest(block)) != "sha1:" + digest(block):
-        raise ArchiveError("block digest differs")
-    kind, http = fields[b"warc-type"], block.find(b"\r\n\r\n")
-    if kind not in ("response", "revisit") or http < 0:
-        raise ArchiveError(f"type {kind!r} or HTTP header not known")
-    declared = [x.partition(b":")[2].strip() for x in block[:http].split(b"\r\n")
-                if x.lower().startswith(b"content-length:")]
-    if len(declared) != 1 or not declared[0].isdigit():
-        raise ArchiveError("no payload length")
-    payload, size = block[http + 4:], int(declared[0])
-    stated = fields.get(b"warc-payload-digest", "")
-    if kind == "response" and (len(payload) != size or stated != "sha1:" + digest(payload)):
-        raise ArchiveError("payload length or digest differs")
-    if kind == "revisit" and (payload or b"warc-refers-to" not in fields):
-        raise ArchiveError("revisit with a payload or without its response")
-    return {"page_id": _page(fields[b"warc-record-id"]), "url": fields.get(b"warc-target-uri"),
-            "payload_bytes": size, "payload_digest": stated.removeprefix("sha1:"), "record_type": kind,
-            "refers_to": _page(fields[b"warc-refers-to"]) if kind == "revisit" else None,
-            "payload": payload if kind == "response" else None}
+    check_digest(fields.get(b"warc-block-digest"), block, "block")
+    kind, payload, size = fields[b"warc-type"].lower(), block, len(block)
+    http = kind in ("response", "revisit") and \
+        fields.get(b"content-type", "application/http").lower().startswith("application/http")
+    if http and (kind == "response" or block):
+        at = block.find(b"\r\n\r\n")
+        if at < 0:
+            raise ArchiveError("no end of the HTTP header")
+        payload = block[at + 4:]
+        declared = {x.partition(b":")[2].strip() for x in block[:at].split(b"\r\n")
+                    if x.lower().startswith(b"content-length:")}
+        if len(declared) > 1 or any(not d.isdigit() for d in declared):
+            raise ArchiveError("bad payload length")
+        size = int(declared.pop()) if declared else None if kind == "revisit" else len(payload)
+        if kind == "response" and size != len(payload) and b"warc-truncated" not in fields:
+            raise ArchiveError("payload length differs")
+    refers = fields.get(b"warc-refers-to")
+    stated = fields.get(b"warc-payload-digest")
+    if kind == "revisit":
+        if http and block and payload or not refers and b"warc-refers-to-target-uri" not in fields:
+            raise ArchiveError("revisit with a payload or without its response")
+    elif b"warc-truncated" not in fields:
+        check_digest(stated, payload, "payload")
+    if stated is None and kind == "response":
+        stated = "sha1:" + digest(payload)
+    number, other = (_page(x) if x else None for x in (fields[b"warc-record-id"], refers))
+    return {"page_id": number, "url": fields.get(b"warc-target-uri"), "payload_bytes": size,
+            "payload_digest": None if stated is None else stated.removeprefix("sha1:"), "record_type": kind,
+            "refers_to": other if kind == "revisit" else None,
+            "record_id": fields[b"warc-record-id"].strip("<>"), "refers_to_id": refers and refers.strip("<>"),
+            "content_type": fields.get(b"content-type"), "payload": None if kind == "revisit" else payload}
 
 
 def _page(uri: str):
-    if not uri.startswith(f"<{PAGE}") or not uri.endswith(">"):
-        raise ArchiveError(f"record id {uri!r}")
-    number = uri[len(PAGE) + 1:-1]
-    return int(number) if number else None
+    """The page id of a record id that ``make_record`` wrote, else None."""
+    number = uri.strip("<>").removeprefix(PAGE)
+    return int(number) if uri.startswith(f"<{PAGE}") and number.lstrip("-").isdecimal() else None
 
 
 # ------------------------------------------------------------------- frames
@@ -185,7 +228,11 @@ def read_archive(buf: bytes):
             raise ArchiveError(f"no frame at {at}")
         end = frame_end(buf, at)
         try:
-            data = reader.decompress(view[at:end])
+            # a frame need not state its content's size
+            frame = reader.decompressobj()
+            data = frame.decompress(view[at:end])
+            if not frame.eof:
+                raise ArchiveError(f"frame at {at} does not end")
         except zstandard.ZstdError as e:
             raise ArchiveError(f"frame at {at}: {e}") from e
         yield at, data
@@ -225,44 +272,59 @@ def record_types(pages: DataFrame, *, id_col: str, url_col: str, html_col: str,
 
 def write_archives(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url",
                    html_col: str = "html", min_revisit: int = 0, records_per_archive: int = 4096,
-                   level: int = 3, date: str | None = None, dictionary: bytes | None = None) -> None:
-    """Write one record per page to archives below ``path``."""
+                   archive_bytes: int = 64 << 20, level: int = 3, date: str | None = None,
+                   dictionary: bytes | None = None) -> None:
+    """Write one record per page to archives below ``path``, each of at most
+    about ``records_per_archive`` records and ``archive_bytes`` bytes (more by
+    a record for each of its ``PARTS``).
+
+    A line of the text writer holds consecutive frames, cut by number and
+    bytes; a file holds ``PARTS`` lines."""
     date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     data = train_dictionary(pages, html_col=html_col) if dictionary is None else dictionary
     rows = record_types(pages, id_col=id_col, url_col=url_col, html_col=html_col, min_revisit=min_revisit)
-    every = records_per_archive + 1
+    parts = min(PARTS, records_per_archive)
+    most, room = max(1, records_per_archive // parts), max(1, archive_bytes // parts)
 
     def frames(batches):
         prime = zstandard.ZstdCompressionDict(data) if data else None
         write = zstandard.ZstdCompressor(level=level, dict_data=prime, write_checksum=True)
         # without a dictionary the leading frame is an empty skippable one
         lead = dictionary_frame(data) if data else SEPARATOR.encode()
-        n = 0
+        lines, line, held, n = 0, [], 0, 0
+
+        def full():
+            return pa.RecordBatch.from_arrays([pa.array([b"".join(line)], pa.binary())], ["frame"])
+
         for b in batches:
-            out = []
             for page, url, html, refers in zip(*(b.column(c).to_pylist() for c in
                                                  ("page_id", "url", "html", "refers_to"))):
-                if n % every == 0:
-                    out.append(lead)
-                    n += 1
-                out.append(write.compress(make_record(page, url, html.encode("utf-8", "replace"),
-                                                      refers, date)))
-                n += 1
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
+                if not line and lines % parts == 0:
+                    line.append(lead)
+                line.append(write.compress(make_record(page, url, html.encode("utf-8", "replace"), refers, date)))
+                held, n = held + len(line[-1]), n + 1
+                if held >= room or n == most:
+                    yield full()
+                    lines, line, held, n = lines + 1, [], 0, 0
+        if line:
+            yield full()
 
     rows.mapInArrow(frames, "frame binary").select(F.col("frame").cast("string").alias("value")) \
-        .write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", every).text(path)
+        .write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", parts).text(path)
 
 
 _READ = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
-         "refers_to long, payload binary")
+         "refers_to long, record_id string, refers_to_id string, content_type string, payload binary")
 
 
 def read_archives(spark: SparkSession, path: str, *, with_payload: bool = True) -> DataFrame:
-    """Every record of the archives below ``path``, checked."""
+    """Every record of the archives below ``path``, of whatever type, checked:
+    response, revisit, request, resource, metadata, warcinfo and others.  Ids
+    that ``write_archives`` did not give are in record_id and refers_to_id."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-    types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+    names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id",
+             "refers_to_id", "content_type"]
+    types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), *[pa.string()] * 3]
     if with_payload:
         names, types = [*names, "payload"], [*types, pa.binary()]
 

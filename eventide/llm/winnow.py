@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import WORD_BYTES, mix64, reliable, sections, utf8
+from eventide.llm.common import WORD_BYTES, free_name, mix64, quoted, reliable, sections, utf8
 
 PROBES = 4
 _PAD_DOC, _PAD_ITEM = 0, 1
@@ -263,9 +263,10 @@ def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 def drop_contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
                       text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` in which no window of an item occurs."""
-    bad = contamination(docs, items, id_col=id_col, text_col=text_col, **options) \
-        .filter("n_hit > 0").select(F.col("doc_id").alias("_bad_id"),
-                                    F.col("text_hash").alias("_bad_hash"))
-    on = (F.col(id_col).cast("long").eqNullSafe(F.col("_bad_id"))
-          & (F.xxhash64(F.col(text_col)) == F.col("_bad_hash")))
+    bad_id, bad_hash = free_name(docs, "_bad_id"), free_name(docs, "_bad_hash")
+    rows = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text_col)).alias("text"))
+    bad = contamination(rows, items, **options).filter("n_hit > 0") \
+        .select(F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash))
+    on = (F.col(quoted(id_col)).cast("long").eqNullSafe(F.col(bad_id))
+          & (F.xxhash64(F.col(quoted(text_col))) == F.col(bad_hash)))
     return docs.join(bad, on, "left_anti")

@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import numpy as np
@@ -86,3 +87,30 @@ def test_windows_stay_bounded_and_best_fit():
     p.place(5, 0, 5, b"eeee" * 5)            # fits nowhere: tops up the fullest, the rest is placed again
     assert [[(x[0], len(x[3]) // 4) for x in w] for w in p.done][1] == [(4, 9), (5, 1)]
     assert [(x[0], x[1]) for x in p.done[2]] == [(1, 0), (5, 1)] and not p.open
+
+
+def test_sequence_ids_of_many_tasks_and_groups():
+    """Tasks and groups of a petabyte: no two have an id in common."""
+    tasks = [packing.task_sequence(t) for t in (0, 1, 4095, 262_143, 262_144, 300_000, 2 ** 31 - 2)]
+    groups = [packing.group_sequence(g) for g in (0, 1, 4095, 4096, 300_000 // 64, 2 ** 25)]
+    starts = sorted([(s, 1 << 32) for s in tasks] + [(s, 1 << 20) for s in groups])
+    assert all(a + n <= b for (a, n), (b, _) in zip(starts, starts[1:]))
+    assert all(-2 ** 63 <= s and s + n <= 2 ** 63 for s, n in starts)
+
+
+def test_a_very_long_document_is_placed_in_linear_time():
+    ids = np.arange(10_000_000, dtype="<u4").tobytes()
+    packer = packing.Packer(2048, 16)
+    start = time.process_time()
+    packer.place(1, 0, len(ids) // 4, ids)
+    assert time.process_time() - start < 2 and len(packer.done) == 10_000_000 // 2048
+    assert b"".join(p[3] for w in packer.done for p in w) == ids[:4 * 2048 * len(packer.done)]
+
+
+def test_documents_longer_than_a_flush(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(packing, "_FLUSH", 2)
+    rows = packing.pack(docs_of([(1, "word " * 700), (2, "b"), (3, "more " * 300)]), tokenizer_json(), capacity=16).collect()
+    for doc in (1, 2, 3):
+        mine = sorted((r.start, r.length, r.doc_tokens) for r in rows if r.doc_id == doc)
+        assert [s for s, _, _ in mine] == np.cumsum([0] + [n for _, n, _ in mine])[:-1].tolist()
+        assert sum(n for _, n, _ in mine) == mine[0][2]

@@ -109,5 +109,22 @@ def test_run_gives_the_same_rows(spark, stages):
 
 
 def test_every_operator_has_a_query():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert lower("ÄB c") == "Äb c"
+
+
+def test_column_names_and_types_of_a_caller(spark, docs_of):
+    """Helper names that the caller has too, names with signs, maps, repeated rows."""
+    from pyspark.sql import functions as F
+    docs = docs_of([(1, "the quick brown fox jumps over the dog"), (1, "the quick brown fox jumps over the dog"),
+                    (2, "a completely different text about other things"), (3, None)])
+    for c in ("_kept_id", "_kept_hash", "_bad_id", "_bad_hash", "_language", "_language_score",
+              "_language_coverage", "_ROW", "a`b", "x.y z"):
+        docs = docs.withColumn(c, F.lit("mine"))
+    docs = docs.withColumn("m", F.create_map(F.lit("k"), F.lit(1)))
+    sf = "/root/testdata/sf0.001"
+    for name, stage in cp.STAGES[:4]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+        assert {r["_language"] for r in out.collect()} <= {"mine"}, name
+    assert sorted(r.doc_id for r in cp.near_dedup(spark, docs, sf).collect()) == [1, 2, 3]

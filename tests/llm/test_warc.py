@@ -128,3 +128,55 @@ def test_revisits_state_the_whole_payload():
     r = warc.parse_record(record(refers_to=9))
     assert (r["record_type"], r["refers_to"], r["payload_bytes"], r["payload"]) == ("revisit", 9, 8, None)
     assert r["payload_digest"] == sha("<p>x</p>")
+
+
+def foreign(kind, block, rid="<urn:uuid:0f5c-1>", version="WARC/1.0", **fields):
+    lines = {"WARC-Type": kind, "WARC-Record-ID": rid, "WARC-Date": "2024-01-01T00:00:00Z", **fields,
+             "Content-Length": str(len(block))}
+    return (version + "\r\n" + "".join(f"{k.replace('_', '-')}: {v}\r\n" for k, v in lines.items())).encode() \
+        + b"\r\n" + block + b"\r\n\r\n"
+
+
+def test_records_of_other_writers(spark, tmp_path):
+    """Record types, versions, ids, digests and frames that write_archives does not make."""
+    http = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n<p>hello</p>"
+    sha = hashlib.sha256(b"<p>hello</p>").hexdigest()
+    records = [
+        foreign("warcinfo", b"software: x\r\n", Content_Type="application/warc-fields"),
+        foreign("request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", WARC_Concurrent_To="<urn:uuid:1>"),
+        foreign("response", http, rid="<urn:uuid:aa>", WARC_Target_URI="http://a/",
+                Content_Type="application/http; msgtype=response", WARC_Payload_Digest="sha256:" + sha),
+        foreign("response", http, version="WARC/1.1", X="folded\r\n line"),
+        foreign("resource", b"plain", Content_Type="text/plain", WARC_Block_Digest="md5:" + hashlib.md5(b"plain").hexdigest()),
+        foreign("metadata", b"", WARC_Refers_To="<urn:uuid:aa>"),
+        foreign("revisit", b"", WARC_Refers_To_Target_URI="http://a/"),
+        foreign("revisit", http[:-12], WARC_Refers_To="<urn:uuid:aa>"),
+        foreign("response", http[:-3], WARC_Truncated="length", WARC_Payload_Digest="sha256:" + sha),
+    ]
+    plain = zstandard.ZstdCompressor(write_content_size=False)
+    (tmp_path / "f.warc.zst").write_bytes(b"".join(plain.compress(r) for r in records))
+    rows = warc.read_archives(spark, str(tmp_path)).collect()
+    assert [r.record_type for r in rows] == ["warcinfo", "request", "response", "response", "resource", "metadata",
+                                             "revisit", "revisit", "response"]
+    assert rows[2].payload == b"<p>hello</p>" == rows[3].payload and rows[2].payload_digest == "sha256:" + sha
+    assert rows[3].payload_digest == warc.digest(b"<p>hello</p>") and rows[4].payload == b"plain"
+    assert (rows[2].record_id, rows[5].refers_to_id, rows[2].page_id) == ("urn:uuid:aa", "urn:uuid:aa", None)
+    assert rows[8].payload == b"<p>hello<"
+    for bad in (foreign("response", http, WARC_Payload_Digest="sha256:" + sha[::-1]),
+                foreign("resource", b"x", WARC_Block_Digest="sha1:AAAA"), foreign("response", b"no header"),
+                foreign("revisit", b""), foreign("warcinfo", b"", Warc_Type="again")):
+        with pytest.raises(warc.ArchiveError):
+            warc.parse_record(bad)
+    cut = plain.compress(records[0])
+    with pytest.raises(warc.ArchiveError):
+        list(warc.read_archive(cut[:-3]))
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    """Pages that hardly compress: no file much above the bound, and the round trip whole."""
+    df = spark.range(400).selectExpr("id as page_id", "'http://a/' as url",
+                                     "array_join(transform(sequence(1, 300), i -> md5(cast(id * 1000 + i as string))), '') as html")
+    warc.write_archives(df.coalesce(1), str(tmp_path / "b"), archive_bytes=1 << 20, dictionary=b"")
+    sizes = [p.stat().st_size for p in (tmp_path / "b").glob("part-*")]
+    assert len(sizes) >= 2 and max(sizes) < (1 << 20) + warc.PARTS * 10_000
+    assert warc.read_archives(spark, str(tmp_path / "b")).count() == 400
