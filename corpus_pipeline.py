@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.llm import langid, packing, secret_scan, simhash, winnow
-from eventide.llm.common import shared_path, small_batches
+from eventide.llm.common import free_name, shared_path, small_batches
 from eventide.llm.queries import tokenizer_json
 
 # A document is rejected if its language cannot be told: no letter at all, or
@@ -25,12 +25,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in one of the languages that the corpus names."""
     small_batches(spark)
     model = langid.train(docs)
-    found = langid.identify(docs, model, lang_out="_language", score_out="_language_score",
-                            coverage_out="_language_coverage")
-    return found.filter((F.col("_language") != langid.UNDETERMINED)
-                        & (F.col("_language_score") > 0)
-                        & (F.col("_language_score") >= MIN_LANGUAGE_SCORE * F.col("_language_coverage"))) \
-        .select(*docs.columns)
+    lang, score, usual = (free_name(docs, c) for c in ("_language", "_language_score", "_language_coverage"))
+    found = langid.identify(docs, model, lang_out=lang, score_out=score, coverage_out=usual)
+    return found.filter((F.col(lang) != langid.UNDETERMINED) & (F.col(score) > 0)
+                        & (F.col(score) >= MIN_LANGUAGE_SCORE * F.col(usual))).drop(lang, score, usual)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
