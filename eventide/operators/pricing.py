@@ -5,17 +5,25 @@ no window-function form.  The plan is a keyed fold: one hash exchange on the
 SKU, a sort by (sku, time, seq) inside each partition (Spark's external sort,
 spills as needed), then ``mapInArrow`` walks the sorted rows carrying the
 state of the current SKU across Arrow batches.  Memory is bounded by the
-batch size, not by the key size.  A key's rows must be folded in order by
-one task: this dependency is inherent to the recurrence.
+batch size, not by the key size.
+
+A SKU of more than ``rows_per_chunk`` rows is folded slice by slice: its rows
+are range-partitioned in order, each slice is a task of its own, and the five
+values of its state go from one slice to the next through a written table.  The
+slices of one SKU still follow one another, as the recurrence demands.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.functions.columns import T_MS, interval_ms
 from eventide.operators._common import SEQ, with_time_seq
+from eventide.plans.keyed import CHUNK, HotKeys, keyed
+from eventide.session import ensure_checkpoint_dir
 from eventide.streaming.ops import WATERMARK, delays, watermarked
 
 # Fixed values that must equal the reference's defaults.
@@ -62,31 +70,79 @@ def price_step(state, side, qty, base, cprice, inventory_threshold, demand_thres
     return None
 
 
-def _fold(inventory_threshold, demand_threshold, min_change, ttl_ms=None):
-    names = ["sku", "newPrice", "oldPrice", "reason", "timestamp", "seq"]
+# What a SKU's fold hands on from one slice of its rows to the next.
+STATE = "_s_price double, _s_inv int, _s_comp double, _s_dem int, _s_t bigint"
+_STATE = [c.split()[0] for c in STATE.split(", ")]
+
+
+def _fold(inventory_threshold, demand_threshold, min_change, ttl_ms=None, carry=False):
+    """Fold sorted rows.  ``carry``: rows bring the state that their SKU's
+    earlier slices ended with (null at the first), and one more row per SKU,
+    without an emission, takes the state on."""
+    names = ["sku", "newPrice", "oldPrice", "reason", "timestamp", "seq", *(_STATE if carry else [])]
 
     def run(batches):
         import pyarrow as pa
-        cur, state, last_t = object(), None, None
+        cur, state, last_t = None, None, None
+        schema = None
+
+        def end():
+            return (cur, None, None, None, None, None, *state, last_t)
+
         for b in batches:
-            out = [[] for _ in names]
-            cols = [b.column(c).to_pylist() for c in ("_sku", "_side", "_qty", "_base", "_cprice", "_t", "_q")]
-            for sku, side, qty, base, cprice, t, seq in zip(*cols):
-                if sku != cur or (ttl_ms and t - last_t > ttl_ms):
-                    cur, state = sku, [None, 0, None, 0]
+            if schema is None:
+                types = [pa.string(), pa.float64(), pa.float64(), pa.string(), pa.int64(), b.schema.field("_q").type,
+                         pa.float64(), pa.int32(), pa.float64(), pa.int32(), pa.int64()]
+                schema = pa.schema(list(zip(names, types)))
+            out = []
+            cols = ["_sku", "_side", "_qty", "_base", "_cprice", "_t", "_q", *(_STATE if carry else [])]
+            for sku, side, qty, base, cprice, t, seq, *old in zip(*(b.column(c).to_pylist() for c in cols)):
+                if state is None or sku != cur:
+                    if carry and state is not None:
+                        out.append(end())
+                    known = carry and old[4] is not None
+                    cur, state, last_t = sku, old[:4] if known else [None, 0, None, 0], old[4] if known else t
+                if ttl_ms and t - last_t > ttl_ms:
+                    state = [None, 0, None, 0]
                 last_t = t
                 hit = price_step(state, side, qty, base, cprice, inventory_threshold,
                                  demand_threshold, min_change)
                 if hit is not None:
-                    for column, v in zip(out, (sku, *hit, t, seq)):
-                        column.append(v)
-            if out[0]:
-                types = [pa.string(), pa.float64(), pa.float64(), pa.string(), pa.int64(),
-                         b.schema.field("_q").type]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
+                    out.append((sku, *hit, t, seq, *([None] * len(_STATE) if carry else [])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+        if carry and state is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(end(), schema)], schema=schema)
     return run
 
 
+def _fold_slices(k, args, ttl, out_schema: str) -> DataFrame:
+    """The rows of hot SKUs: round n folds the n-th slice of each, all SKUs at
+    once, from the states that the round before has written.  No task holds
+    more than a slice, and a lost one is folded again from its own slice."""
+    spark = k.hot.sparkSession
+    order = Window.partitionBy("_sku").orderBy(CHUNK)
+    turn = k.hot.select("_sku", CHUNK).distinct().withColumn("_turn", F.row_number().over(order)) \
+        .select(F.col("_sku").alias("_of"), F.col(CHUNK).alias("_slice"), "_turn")
+    on = F.col("_sku").eqNullSafe(F.col("_of")) & (F.col(CHUNK) == F.col("_slice"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pricing-{uuid.uuid4().hex}"
+    cols = ["_sku", "_side", "_qty", "_base", "_cprice", "_t", "_q"]
+    k.hot.join(turn, on).select(*cols, "_turn").write.partitionBy("_turn").parquet(f"{path}/rows")
+    rows = spark.read.parquet(f"{path}/rows")
+    last = rows.agg(F.max("_turn")).first()[0]
+    state = spark.createDataFrame([], f"sku string, {STATE}")
+    for n in range(1, last + 1):
+        now = rows.filter(F.col("_turn") == n)
+        one = now.join(state, F.col("_sku").eqNullSafe(F.col("sku")), "left").select(*cols, *_STATE) \
+            .repartition("_sku").sortWithinPartitions("_sku", "_t", "_side", "_q") \
+            .mapInArrow(_fold(*args, ttl, carry=True), f"{out_schema}, {STATE}")
+        one.write.parquet(f"{path}/out/turn={n}")
+        done = spark.read.schema(f"{out_schema}, {STATE}").parquet(f"{path}/out/turn={n}")
+        state = done.filter("_s_t is not null").select("sku", *_STATE)
+    return spark.read.schema(f"{out_schema}, {STATE}").parquet(*[f"{path}/out/turn={n}" for n in range(1, last + 1)]) \
+        .filter("_s_t is null").drop(*_STATE)
+
+
 def dynamic_pricing(inventory: DataFrame, competitor: DataFrame | None = None, *,
                     key: str = "sku", quantity: str = "quantity",
                     base_price: str = "basePrice", price: str = "price",
@@ -95,7 +151,8 @@ def dynamic_pricing(inventory: DataFrame, competitor: DataFrame | None = None, *
                     inventory_threshold: int = INVENTORY_THRESHOLD,
                     demand_threshold: int = DEMAND_THRESHOLD,
                     min_change: float = MIN_PRICE_CHANGE,
-                    stream_order: str = "arrival", state_ttl=None, watermark=WATERMARK) -> DataFrame:
+                    stream_order: str = "arrival", state_ttl=None, watermark=WATERMARK,
+                    rows_per_chunk: int | None = None, hot: HotKeys | None = None) -> DataFrame:
     """Output: sku, newPrice, oldPrice, reason, timestamp (event ms), seq.
 
     Inventory rows set the stock level, count one demand signal and give the
@@ -141,6 +198,9 @@ def dynamic_pricing(inventory: DataFrame, competitor: DataFrame | None = None, *
         from eventide.streaming import ops as st
         return st.dynamic_pricing(u, (int(inventory_threshold), int(demand_threshold),
                                       float(min_change)), late[0], order=stream_order, ttl_ms=ttl)
-    u = u.repartition("_sku").sortWithinPartitions("_sku", "_t", "_side", "_q")
-    return u.mapInArrow(_fold(int(inventory_threshold), int(demand_threshold), float(min_change), ttl),
-                        OUT_SCHEMA.format(seq=u.schema["_q"].dataType.simpleString()))
+    args = (int(inventory_threshold), int(demand_threshold), float(min_change))
+    out_schema = OUT_SCHEMA.format(seq=u.schema["_q"].dataType.simpleString())
+    k = keyed(u, ["_sku"], ["_t", "_side", "_q"], rows_per_chunk, hot)
+    cold = k.df.repartition("_sku").sortWithinPartitions("_sku", "_t", "_side", "_q") \
+        .mapInArrow(_fold(*args, ttl), out_schema)
+    return cold if k.hot is None else cold.unionByName(_fold_slices(k, args, ttl, out_schema))
