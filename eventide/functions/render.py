@@ -34,6 +34,12 @@ def sql_type_name(dt: T.DataType) -> str:
         return "TIMESTAMP_LTZ(6)"
     if isinstance(dt, T.DecimalType):
         return f"DECIMAL({dt.precision}, {dt.scale})"
+    if isinstance(dt, T.ArrayType):
+        return f"ARRAY<{sql_type_name(dt.elementType)}>"
+    if isinstance(dt, T.MapType):
+        return f"MAP<{sql_type_name(dt.keyType)}, {sql_type_name(dt.valueType)}>"
+    if isinstance(dt, T.StructType):
+        return "ROW<" + ", ".join(f"`{f.name}` {sql_type_name(f.dataType)}" for f in dt.fields) + ">"
     return dt.simpleString().upper()
 
 
@@ -55,20 +61,36 @@ def _iso_time(c: Column, instant: bool) -> Column:
 
 
 def java_text(c: Column, dt: T.DataType) -> Column:
-    """``String.valueOf(value)`` of the runtime object behind a column."""
+    """``String.valueOf(value)`` of the runtime object behind a column.  Nested
+    values as the runtime prints them, at any depth: a row ``+I[1, abc]``, an
+    array ``[1, 2]``, a map ``{a=1, b=2}`` (in key order, as a hash map has
+    none), a null inside as ``null``."""
     if isinstance(dt, T.StringType):
         return c
     if isinstance(dt, T.TimestampNTZType):
         return _iso_time(c, instant=False)
     if isinstance(dt, T.TimestampType):
         return _iso_time(c, instant=True)
-    if isinstance(dt, (T.StructType, T.ArrayType, T.MapType)):
-        return F.to_json(c)
+    if isinstance(dt, T.StructType):
+        inner = F.concat_ws(", ", *[_or_null(c.getField(f.name), f.dataType) for f in dt.fields])
+        return F.when(c.isNotNull(), F.concat(F.lit("+I["), inner, F.lit("]")))
+    if isinstance(dt, T.ArrayType):
+        inner = F.transform(c, lambda x: _or_null(x, dt.elementType))
+        return F.concat(F.lit("["), F.array_join(inner, ", "), F.lit("]"))
+    if isinstance(dt, T.MapType):
+        entries = F.array_sort(F.transform(F.map_entries(c), lambda e: F.struct(
+            e["key"].alias("k"), F.concat(_or_null(e["key"], dt.keyType), F.lit("="),
+                                          _or_null(e["value"], dt.valueType)).alias("text"))))
+        return F.concat(F.lit("{"), F.array_join(F.transform(entries, lambda e: e["text"]), ", "), F.lit("}"))
     if isinstance(dt, T.BinaryType):
         return F.hex(c)
     return c.cast("string")
 
 
+def _or_null(c: Column, dt: T.DataType) -> Column:
+    return F.coalesce(java_text(c, dt), F.lit("null"))
+
+
 def truncate_text(s: Column, limit: int = 50, keep: int = 47) -> Column:
     return F.when(F.length(s) > limit, F.concat(F.substring(s, 1, keep), F.lit("..."))) \
         .otherwise(s)

@@ -20,9 +20,21 @@ MERCHANT_MIN_PRIOR = 5              # more than 5 prior visits to the merchant
 SMALL_AMOUNT = 10.0                 # 4 of the last 5 below 10.0
 SMALL_LOOKBACK, SMALL_MIN = 5, 4
 W_VELOCITY, W_GEO, W_AMOUNT, W_MERCHANT, W_SMALL = 0.3, 0.4, 0.3, 0.2, 0.25
+# How long the reference keeps each part of a user's state.
+STATE_TTLS = {"history": "30 days", "merchants": "24 hours", "amounts": "7 days"}
 
 
-def anomaly_alerts(df: DataFrame, *, user: str = "userId", amount: str = "amount",
+def _clocks(state_ttl) -> dict | None:
+    """Milliseconds of each part's own TTL, if ``state_ttl`` is a dict of them."""
+    if not isinstance(state_ttl, dict):
+        return None
+    unknown = set(state_ttl) - set(STATE_TTLS)
+    if unknown:
+        raise ValueError(f"state_ttl: unknown parts {sorted(unknown)}; there are {list(STATE_TTLS)}")
+    return {part: interval_ms(state_ttl[part]) if state_ttl.get(part) else None for part in STATE_TTLS}
+
+
+def anomaly_alerts(df: DataFrame, *, user="userId", amount: str = "amount",
                    country: str = "country", merchant: str = "merchant",
                    time: str = "ts", seq: str | None = None,
                    threshold: float = RISK_THRESHOLD, keep=(),
@@ -33,22 +45,30 @@ def anomaly_alerts(df: DataFrame, *, user: str = "userId", amount: str = "amount
 
     Each row is scored against the rows of the same user before it (in
     event-time order, ``seq`` breaking ties); an alert is emitted when the
-    score reaches ``threshold``.  ``state_ttl`` (the reference keeps parts of
-    the history for 24 hours to 30 days): after a longer silence a user
-    starts without history.
+    score reaches ``threshold``.  ``user`` is one key column or a list.
+
+    ``state_ttl``: an interval is one clock, after a longer silence a user
+    starts without history.  A dict gives each part of the state a clock of its
+    own, as the reference has it (``STATE_TTLS``): 'history' (count, total,
+    last country and time) expires after that much silence of the user,
+    'merchants' lets each merchant's visits expire after that much silence of
+    the user at that merchant, 'amounts' each of the last amounts at that age.
+    A part that the dict does not name never expires.
 
     On a streaming DataFrame the same call runs a transformWithState
     processor; ``watermark`` bounds lateness and ``stream_order`` is
     'arrival' (fold each micro-batch as it comes) or 'event' (buffer until
     the watermark passes, then fold in event-time order)."""
     require_time(time, "anomaly_alerts")
+    users = [user] if isinstance(user, str) else list(user)
     d = with_time_seq(df, time, seq, "anomaly_alerts",
-                      need=(user, amount, country, merchant, *keep))
-    d = d.select(*dict.fromkeys([user, amount, country, merchant, T_MS, SEQ, *keep]))
-    amt, ttl = F.col(amount), interval_ms(state_ttl) if state_ttl else None
+                      need=(*users, amount, country, merchant, *keep))
+    d = d.select(*dict.fromkeys([*users, amount, country, merchant, T_MS, SEQ, *keep]))
+    clocks = _clocks(state_ttl)
+    amt, ttl = F.col(amount), interval_ms(state_ttl) if state_ttl and clocks is None else None
     if d.isStreaming:
         from eventide.streaming import ops as st
-        extra = [c for c in keep if c != user]
+        extra = [c for c in keep if c not in users]
         if extra and extra != [seq]:
             raise NotImplementedError("streams keep only the seq column")
         rules = {"velocity_ms": VELOCITY_WINDOW_MS, "velocity_min": VELOCITY_MIN_PRIOR,
@@ -56,17 +76,25 @@ def anomaly_alerts(df: DataFrame, *, user: str = "userId", amount: str = "amount
                  "merchant_min": MERCHANT_MIN_PRIOR, "small": SMALL_AMOUNT,
                  "lookback": SMALL_LOOKBACK, "small_min": SMALL_MIN, "threshold": threshold,
                  "w": (W_VELOCITY, W_GEO, W_AMOUNT, W_MERCHANT, W_SMALL)}
-        s = d.select(user, amt.cast("double").alias("_amount"),
+        s = d.select(*users, amt.cast("double").alias("_amount"),
                      F.col(country).alias("_country"), F.col(merchant).alias("_merchant"),
                      T_MS, SEQ)
-        return st.anomaly_alerts(s, user, rules, seq if extra else None, watermark,
-                                 stream_order, ttl)
-    k = ttl_epochs(keyed(d, [user], [T_MS, SEQ], rows_per_chunk, hot), ttl)
-    k = scan(k, rn="_rn", lags={"_lt": F.col(T_MS), "_lc": F.col(country)},
+        return st.anomaly_alerts(s, users, rules, seq if extra else None, watermark,
+                                 stream_order, ttl, clocks)
+    k = ttl_epochs(keyed(d, users, [T_MS, SEQ], rows_per_chunk, hot), ttl)
+    t = F.col(T_MS)
+    k = scan(k, rn="_rn", lags={"_lt": t, "_lc": F.col(country)},
              sums_before={"_tot": exact(amt)},
-             recent={"_small": (amt < F.lit(SMALL_AMOUNT), SMALL_LOOKBACK)})
-    k = scan(k, by=[merchant], rn="_mrn")
-    t, lt, n = F.col(T_MS), F.col("_lt"), F.col("_rn") - 1
+             recent={"_small": (amt < F.lit(SMALL_AMOUNT), SMALL_LOOKBACK)},
+             backs={"_t5": (t, SMALL_LOOKBACK)} if clocks and clocks["amounts"] else None)
+    if clocks:
+        k = _kept_history(k, t, clocks)
+    k = scan(k, by=[merchant], rn="_mrn",
+             lags={"_mt": t} if clocks and clocks["merchants"] else None)
+    if clocks and clocks["merchants"]:
+        k = _kept_visits(k, t, merchant, clocks["merchants"])
+    lt, n = F.col("_lt"), F.col("_rn") - 1
+    listed = F.col("_listed") if clocks else n >= SMALL_LOOKBACK
     rules = [
         (lt.isNotNull() & (t - lt < VELOCITY_WINDOW_MS) & (n > VELOCITY_MIN_PRIOR),
          W_VELOCITY, "HIGH_VELOCITY"),
@@ -75,7 +103,7 @@ def anomaly_alerts(df: DataFrame, *, user: str = "userId", amount: str = "amount
         ((n > 0) & (amt > F.col("_tot").cast("double") / n * F.lit(AMOUNT_FACTOR)),
          W_AMOUNT, "AMOUNT_ANOMALY"),
         (F.col("_mrn") - 1 > MERCHANT_MIN_PRIOR, W_MERCHANT, "MERCHANT_FREQUENCY"),
-        ((n >= SMALL_LOOKBACK) & (F.col("_small") >= SMALL_MIN), W_SMALL, "SMALL_TXN_PATTERN"),
+        (listed & (F.col("_small") >= SMALL_MIN), W_SMALL, "SMALL_TXN_PATTERN"),
     ]
     score = F.lit(0.0)
     reasons = []
@@ -85,6 +113,32 @@ def anomaly_alerts(df: DataFrame, *, user: str = "userId", amount: str = "amount
         reasons.append(F.when(hit, F.lit(name)))
     out = k.result().withColumns({"riskScore": score, "reason": F.concat_ws(",", *reasons)})
     return (out.filter(F.col("riskScore") >= F.lit(float(threshold)))
-            .select(user, F.lit("HIGH_RISK").alias("alertType"), "riskScore", "reason",
+            .select(*users, F.lit("HIGH_RISK").alias("alertType"), "riskScore", "reason",
                     F.col("_rn").cast("int").alias("transactionCount"),
-                    *[c for c in keep if c != user]))
+                    *[c for c in keep if c not in users]))
+
+
+def _kept_history(k, t, clocks: dict):
+    """Counts, totals and the last row as far as they are still kept.  A row
+    after too long a silence opens a new stretch; its rows count from that row
+    on: row number and (exact) total less those at the opening row."""
+    listed = F.col("_rn") > SMALL_LOOKBACK
+    if clocks["amounts"]:
+        listed = listed & (t - F.col("_t5") <= clocks["amounts"])
+    k = k.map(lambda d: d.withColumn("_listed", listed))
+    if not clocks["history"]:
+        return k
+    opens = F.coalesce(t - F.col("_lt") > clocks["history"], F.lit(True))
+    k = scan(k.map(lambda d: d.withColumn("_opens", opens)), lasts={"_from": F.when(
+        F.col("_opens"), F.struct((F.col("_rn") - 1).alias("n"), F.col("_tot").alias("tot")))})
+    return k.map(lambda d: d.withColumns({
+        "_lt": F.when(~F.col("_opens"), F.col("_lt")), "_lc": F.when(~F.col("_opens"), F.col("_lc")),
+        "_rn": F.col("_rn") - F.col("_from.n"), "_tot": F.col("_tot") - F.col("_from.tot")}))
+
+
+def _kept_visits(k, t, merchant: str, ttl: int):
+    """The merchant's visits since the last silence of the user there."""
+    again = F.coalesce(t - F.col("_mt") > ttl, F.lit(True))
+    k = k.map(lambda d: d.withColumn("_again", F.when(again, F.col("_mrn") - 1)))
+    k = scan(k, by=[merchant], lasts={"_visits0": F.col("_again")})
+    return k.map(lambda d: d.withColumn("_mrn", F.col("_mrn") - F.col("_visits0")))

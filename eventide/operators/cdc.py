@@ -26,13 +26,16 @@ def cdc_transactions(orders_cdc: DataFrame, items_cdc: DataFrame,
 
     items='rows' returns one row per line item instead of an array (plus
     ``line_no``): completeness is then decided by partial aggregates only and
-    no transaction is ever gathered into one row.
+    no transaction is ever gathered into one row.  On streams the items wait in
+    pages of map state and are emitted page by page.
 
     ``state_ttl`` (the reference keeps 1 hour): events of a transaction more
     than that apart (by ``ts_ms``) belong to separate attempts, and a stream
     clears a transaction's state once it has been silent that long (by the
     watermark, of which each input has its own), so
     transactions that never complete do not keep state forever."""
+    if items not in ("array", "rows"):
+        raise ValueError("items must be 'array' or 'rows'")
     ttl = interval_ms(state_ttl) if state_ttl else None
     o = orders_cdc.select(
         F.col("transaction.id").alias("_txn"), F.lit(0).alias("_side"),
@@ -61,10 +64,8 @@ def cdc_transactions(orders_cdc: DataFrame, items_cdc: DataFrame,
     # rows without a transaction id (snapshots) can never complete one
     u = o.unionByName(it).unionByName(t).filter(F.col("_txn").isNotNull())
     if u.isStreaming:
-        if items != "array":
-            raise NotImplementedError("streams emit line items as an array")
         from eventide.streaming import ops as st
-        return st.cdc_transactions(u, st.delays(watermark, 3)[0], ttl)
+        return st.cdc_transactions(u, st.delays(watermark, 3)[0], ttl, items)
     grp = ["_txn"]
     if ttl:
         from eventide.functions.columns import T_MS
@@ -102,8 +103,6 @@ def cdc_transactions(orders_cdc: DataFrame, items_cdc: DataFrame,
         return g.select(*header(F.col("_h")),
                         F.transform(F.array_sort("_items"), lambda x: x["i"])
                         .alias("line_items"))
-    if items != "rows":
-        raise ValueError("items must be 'array' or 'rows'")
     hdr = F.max_by("_hdr", F.when(F.col("_hdr").isNotNull(), F.struct("_ord", "_ts")))
     # the epoch tells the attempts of one transaction apart
     attempt = [F.col("_txn").alias("transaction_id"), *[F.col(c) for c in grp[1:]]]

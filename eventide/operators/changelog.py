@@ -17,13 +17,14 @@ from eventide.streaming.ops import WATERMARK
 OPS = ("+I", "-U", "+U", "-D")
 
 
-def changelog_audit(df: DataFrame, *, key: str = "currency", rate: str = "rate",
+def changelog_audit(df: DataFrame, *, key="currency", rate: str = "rate",
                     time: str = "update_time", op: str = "op", seq: str | None = None,
                     rate_type: str = "decimal(10,4)",
                     rows_per_chunk: int | None = None, hot: HotKeys | None = None,
                     watermark: str | None = WATERMARK,
                     state_ttl=None, stream_order: str = "arrival") -> DataFrame:
-    """Output: currency(key), change_type, old_rate, new_rate, change_time.
+    """Output: currency (key; one column or a list), change_type, old_rate,
+    new_rate, change_time.
 
     INSERT -> (null, rate); UPDATE_AFTER -> (remembered, rate); UPDATE_BEFORE
     ignored; DELETE -> (remembered, null) and forgets the rate.
@@ -34,22 +35,23 @@ def changelog_audit(df: DataFrame, *, key: str = "currency", rate: str = "rate",
     processor; ``watermark`` bounds lateness and ``stream_order`` is
     'arrival' (fold each micro-batch as it comes) or 'event' (buffer until
     the watermark passes, then fold in event-time order)."""
-    d = with_time_seq(df, time, seq, "changelog_audit", need=(key, rate, op))
+    keys = [key] if isinstance(key, str) else list(key)
+    d = with_time_seq(df, time, seq, "changelog_audit", need=(*keys, rate, op))
     opc = F.col(op)
     d = d.filter(opc.isin("+I", "+U", "-D")).select(
-        key, op, F.col(rate).cast(rate_type).alias("_rate"), F.col(time).alias("_time"),
+        *keys, op, F.col(rate).cast(rate_type).alias("_rate"), F.col(time).alias("_time"),
         T_MS, SEQ)
     if d.isStreaming:
         from eventide.streaming import ops as st
-        return st.changelog_audit(d.withColumn("_op", opc), key,
+        return st.changelog_audit(d.withColumn("_op", opc), keys,
                                   df.schema[time].dataType.simpleString(), rate_type, watermark,
                                   interval_ms(state_ttl) if state_ttl else None,
                                   stream_order)
-    k = keyed(d, [key], [T_MS, SEQ], rows_per_chunk, hot)
+    k = keyed(d, keys, [T_MS, SEQ], rows_per_chunk, hot)
     k = ttl_epochs(k, interval_ms(state_ttl) if state_ttl else None)
     k = scan(k, lags={"_prev": F.when(opc != "-D", F.col("_rate"))})
     return k.result().select(
-        key,
+        *keys,
         F.when(opc == "+I", "INSERT").when(opc == "+U", "UPDATE").otherwise("DELETE")
         .alias("change_type"),
         F.when(opc == "+I", F.lit(None)).otherwise(F.col("_prev")).cast(rate_type)
@@ -122,14 +124,25 @@ def materialize_changelog(df: DataFrame, keys, *, op: str = "op", time: str,
 def scd2_from_changelog(df: DataFrame, keys, *, op: str = "op", time: str,
                         seq: str | None = None,
                         rows_per_chunk: int | None = None,
-                        hot: HotKeys | None = None) -> DataFrame:
+                        hot: HotKeys | None = None, watermark: str | None = WATERMARK,
+                        stream_order: str = "arrival") -> DataFrame:
     """Slowly-changing-dimension type 2 rows from a changelog: every +I / +U
     image becomes a version valid from its time until the next change of the
-    key (``valid_to`` null for the current version)."""
+    key (``valid_to`` null for the current version).
+
+    On a streaming DataFrame the versions come as a changelog: op, change_seq,
+    ``version`` (from 1 per key) and the row; ``+I`` opens a version, ``+U``
+    closes it.  ``sources.materialized`` keeps that as a table by keys and
+    version, which then holds the batch result."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     cols = [c for c in df.columns if c != op]
     d = with_time_seq(df.filter(F.col(op) != "-U"), time, seq, "scd2_from_changelog",
-                      need=keys, null_time=True)
+                      need=keys, null_time=stream_order != "event")
+    if d.isStreaming:
+        from eventide.streaming import ops as st
+        kk = [f"_k{i}" for i in range(len(keys))]
+        s = d.select(*[F.col(c).alias(k) for c, k in zip(keys, kk)], F.col(op).alias("_op"), T_MS, SEQ, *cols)
+        return st.scd2_changes(s, kk, cols, time, watermark, stream_order)
     k = keyed(d, keys, [T_MS, SEQ], rows_per_chunk, hot)
     k = scan(k, leads={"_valid_to": F.col(time)})
     r = k.result().filter(F.col(op).isin("+I", "+U"))

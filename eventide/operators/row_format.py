@@ -29,7 +29,8 @@ def row_formatter(df: DataFrame, keys, *, order: str, type_names: str = "runtime
     formatted_row = ``[k=v, ...] => {c=v, ...}`` in schema order, null as
     ``null``, texts longer than 50 cut to 47 chars + ``...``.  schema_info
     names each column's runtime type (``NULL`` for a null value), or its SQL
-    type with ``type_names='sql'``; nested values are rendered as JSON.  distinct_patterns counts the null/set
+    type with ``type_names='sql'``.  Nested values are rendered at any depth as the
+    runtime prints them (``functions.render.java_text``).  distinct_patterns counts the null/set
     patterns seen so far for the key (row included), in ``order``; rows of equal
     ``order`` follow a hash of the row.
 

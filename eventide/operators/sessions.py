@@ -13,14 +13,14 @@ from eventide.plans.keyed import HotKeys, keyed, scan, ttl_epochs
 from eventide.streaming.ops import WATERMARK
 
 
-def sessions(df: DataFrame, timeout_s, *, user: str = "userId",
+def sessions(df: DataFrame, timeout_s, *, user="userId",
              event_type: str = "eventType", time: str = "ts", seq: str | None = None,
              end_event: str = "LOGOUT", on_timeout: str = "continue",
              rows_per_chunk: int | None = None,
              watermark: str | None = WATERMARK, state_ttl=None,
              stream_order: str = "arrival", hot: HotKeys | None = None) -> DataFrame:
-    """Output: user, status, sessionDuration BIGINT (ms), eventCount INT,
-    firstEventType, lastEventType.
+    """Output: user (one column or a list), status, sessionDuration BIGINT (ms),
+    eventCount INT, firstEventType, lastEventType.
 
     ``timeout_s``: seconds, or an interval such as '30 minutes'.  A session
     opens at a key's first row or after an end event, and opens again at each
@@ -43,14 +43,15 @@ def sessions(df: DataFrame, timeout_s, *, user: str = "userId",
     ttl = interval_ms(state_ttl) if state_ttl else None
     if ttl and ttl < tmo:
         raise ValueError("state_ttl must not be below the session timeout")
-    d = with_time_seq(df, time, seq, "sessions", need=(user, event_type))
+    users = [user] if isinstance(user, str) else list(user)
+    d = with_time_seq(df, time, seq, "sessions", need=(*users, event_type))
     if d.isStreaming:
         from eventide.streaming import ops as st
-        return st.sessions(d.withColumn("_type", F.col(event_type)), tmo, user, end_event,
+        return st.sessions(d.withColumn("_type", F.col(event_type)), tmo, users, end_event,
                            on_timeout == "close", watermark, stream_order, ttl)
-    d = d.select(user, event_type, T_MS, SEQ)
+    d = d.select(*users, event_type, T_MS, SEQ)
     et, t = F.col(event_type), F.col(T_MS)
-    k = ttl_epochs(keyed(d, [user], [T_MS, SEQ], rows_per_chunk, hot), ttl)
+    k = ttl_epochs(keyed(d, users, [T_MS, SEQ], rows_per_chunk, hot), ttl)
     k = scan(k, rn="_rn", lags={"_pt": t, "_pe": et}, leads={"_nt": t})
     start = F.col("_pt").isNull() | F.col("_pe").eqNullSafe(F.lit(end_event))
     if on_timeout == "close":
@@ -70,7 +71,7 @@ def sessions(df: DataFrame, timeout_s, *, user: str = "userId",
         "_cnt": F.col("_rn") - F.col("_open.n") + 1, "_st": F.col("_open.t"),
         "_fe": F.col("_open.e")})
     return out.select(
-        user,
+        *users,
         F.when(is_end, F.lit("COMPLETED")).otherwise(F.lit("TIMEOUT")).alias("status"),
         F.when(is_end, t - F.col("_st")).otherwise(t + tmo - F.col("_st"))
         .cast("long").alias("sessionDuration"),
@@ -81,7 +82,7 @@ def sessions(df: DataFrame, timeout_s, *, user: str = "userId",
 
 def session_summary(df: DataFrame, gap: str, *, user: str = "userId",
                     time: str = "ts", value: str = "eventValue",
-                    event_type: str = "eventType",
+                    event_type: str = "eventType", seq: str | None = None, page_rows: int | None = None,
                     watermark: str | None = None, rows_per_chunk: int | None = None,
                     hot: HotKeys | None = None) -> DataFrame:
     """Plain inactivity sessions (documented variant): one row per session with
@@ -91,32 +92,68 @@ def session_summary(df: DataFrame, gap: str, *, user: str = "userId",
     Batch: a row opens a session when the row before it is ``gap`` or more
     earlier; the running number of openings is the session's number, and
     sessions are aggregated by (user, number), so a user with very many rows
-    is spread like in every keyed scan.  Streams use ``session_window``."""
+    is spread like in every keyed scan.  Streams use ``session_window``.
+
+    ``page_rows``: eventTypes is every event's type, nulls too, in the order
+    (time, ``seq``), in pages of that many: a session of n events has one row
+    for each page, numbered by ``page`` from 1, so a session of any length is
+    never one row.  A stream keeps an open session's events in its state."""
+    if page_rows is not None and page_rows < 1:
+        raise ValueError("page_rows must be 1 or more")
     ntz = isinstance(df.schema[time].dataType, T.TimestampNTZType)
     totals = [F.count(F.lit(1)).cast("int").alias("eventCount"),
-              F.sum(exact(F.col(value))).cast("double").alias("totalValue"),
-              F.array_sort(F.collect_set(event_type)).alias("eventTypes")]
+              F.sum(exact(F.col(value))).cast("double").alias("totalValue")]
+    if not page_rows:
+        totals.append(F.array_sort(F.collect_set(event_type)).alias("eventTypes"))
+    tie = F.col(seq) if seq else F.xxhash64(*[F.col(c) for c in (user, value, event_type, time)])
     if df.isStreaming:  # sessions close when the watermark passes their end
         if ntz:  # watermarks need TIMESTAMP; UTC wall clock either way
             df = df.withColumn(time, F.col(time).cast("timestamp"))
         df = df.withWatermark(time, watermark or WATERMARK)
         bound = (lambda c: c.cast("timestamp_ntz")) if ntz else (lambda c: c)
-        return (df.groupBy(user, F.session_window(F.col(time), gap).alias("s")).agg(*totals)
-                .select(user, bound(F.col("s.start")).alias("sessionStart"),
-                        bound(F.col("s.end")).alias("sessionEnd"), "eventCount", "totalValue",
-                        "eventTypes"))
+        window = F.session_window(F.col(time), gap).alias("s")
+        head = [user, bound(F.col("s.start")).alias("sessionStart"), bound(F.col("s.end")).alias("sessionEnd"),
+                "eventCount", "totalValue"]
+        if not page_rows:
+            return df.groupBy(user, window).agg(*totals).select(*head, "eventTypes")
+        events = F.collect_list(F.struct(F.col(time).alias("t"), tie.alias("q"), F.col(event_type).alias("e")))
+        pages = F.transform(F.sequence(F.lit(0), F.ceil(F.size("_events") / page_rows).cast("int") - 1), lambda i: F.struct(
+            (i + 1).cast("long").alias("page"),
+            F.transform(F.slice("_events", i * page_rows + 1, page_rows), lambda x: x["e"]).alias("eventTypes")))
+        return (df.groupBy(user, window).agg(*totals, F.array_sort(events).alias("_events"))
+                .select("*", F.explode(pages).alias("_p")).select(*head, "_p.*"))
     us = interval_ms(gap) * 1000
     d = df.filter(F.col(time).isNotNull()).select(
         user, F.col(value), F.col(event_type), F.col(time).alias("_at"),
-        F.unix_micros(F.col(time).cast("timestamp")).alias(T_MS))
-    d = d.withColumn(SEQ, F.xxhash64(*d.columns))
+        F.unix_micros(F.col(time).cast("timestamp")).alias(T_MS), tie.alias(SEQ))
     k = keyed(d, [user], [T_MS, SEQ], rows_per_chunk, hot)
     k = scan(k, lags={"_pt": F.col(T_MS)})
     k = k.map(lambda d: d.withColumn("_new", F.coalesce(
         F.col(T_MS) - F.col("_pt") >= us, F.lit(True)).cast("int")))
+    if page_rows:
+        return _event_pages(k, user, event_type, value, us, page_rows)
     k = scan(k, sums={"_session": F.col("_new")})
     return (k.result().groupBy(user, "_session")
             .agg(F.min("_at").alias("sessionStart"), F.max("_at").alias("_last"), *totals)
             .select(user, "sessionStart",
                     (F.col("_last") + F.make_dt_interval(secs=F.lit(us / 1e6).cast("decimal(18,6)")))
                     .alias("sessionEnd"), "eventCount", "totalValue", "eventTypes"))
+
+
+def _event_pages(k, user: str, event_type: str, value: str, gap_us: int, page_rows: int) -> DataFrame:
+    """Sessions of a scan with ``_new`` marks, one row per page of events."""
+    k = scan(k, rn="_rn", sums={"_session": F.col("_new")})
+    k = scan(k, lasts={"_first": F.when(F.col("_new") == 1, F.col("_rn"))})
+    event = F.struct(F.col("_rn").alias("n"), F.col(event_type).alias("e"))
+    pages = (k.result().withColumn("page", F.floor((F.col("_rn") - F.col("_first")) / page_rows) + 1)
+             .groupBy(user, "_session", "page")
+             .agg(F.min("_at").alias("_a"), F.max("_at").alias("_b"), F.count(F.lit(1)).alias("_n"),
+                  F.sum(exact(F.col(value))).alias("_v"), F.array_sort(F.collect_list(event)).alias("_events")))
+    whole = pages.groupBy(F.col(user).alias("_u"), F.col("_session").alias("_s")).agg(
+        F.min("_a").alias("sessionStart"),
+        (F.max("_b") + F.make_dt_interval(secs=F.lit(gap_us / 1e6).cast("decimal(18,6)"))).alias("sessionEnd"),
+        F.sum("_n").cast("int").alias("eventCount"), F.sum("_v").cast("double").alias("totalValue"))
+    on = F.col(user).eqNullSafe(F.col("_u")) & (F.col("_session") == F.col("_s"))
+    return pages.join(whole, on).select(
+        user, "sessionStart", "sessionEnd", "eventCount", "totalValue", "page",
+        F.transform("_events", lambda x: x["e"]).alias("eventTypes"))

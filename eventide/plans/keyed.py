@@ -204,7 +204,7 @@ def ttl_epochs(k: Keyed, ttl_ms: int | None) -> Keyed:
 
 def scan(k: Keyed, *, by=(), rn: str | None = None, sums=None, sums_before=None,
          lasts=None, lasts_before=None, lags=None, leads=None, firsts=None,
-         maxes_before=None, recent=None) -> Keyed:
+         maxes_before=None, recent=None, backs=None) -> Keyed:
     """Add running per-key columns, computed in ``k.order`` within
     ``k.keys + by``:
 
@@ -218,22 +218,23 @@ def scan(k: Keyed, *, by=(), rn: str | None = None, sums=None, sums_before=None,
     maxes_before  {name: expr}  max over the rows before
     recent        {name: (predicate, K)}  rows among the K previous rows
                   for which the predicate is true
+    backs         {name: (expr, K)}  value of the K-th previous row
     """
     sums, sums_before = sums or {}, sums_before or {}
     lasts, lasts_before = lasts or {}, lasts_before or {}
     lags, leads, firsts = lags or {}, leads or {}, firsts or {}
-    maxes_before, recent = maxes_before or {}, recent or {}
+    maxes_before, recent, backs = maxes_before or {}, recent or {}, backs or {}
     by = tuple(by)
     plain = _scan_plain(k, by, rn, sums, sums_before, lasts, lasts_before, lags, leads, firsts,
-                        maxes_before, recent)
+                        maxes_before, recent, backs)
     if k.hot is None:
         return plain
     return _scan_chunked(plain, by, rn, sums, sums_before, lasts, lasts_before, lags, leads,
-                         firsts, maxes_before, recent)
+                         firsts, maxes_before, recent, backs)
 
 
 def _scan_plain(k, by, rn, sums, sums_before, lasts, lasts_before, lags, leads, firsts,
-                maxes_before, recent) -> Keyed:
+                maxes_before, recent, backs) -> Keyed:
     w = k.plain_window(by)
     cols = {}
     if rn:
@@ -256,12 +257,14 @@ def _scan_plain(k, by, rn, sums, sums_before, lasts, lasts_before, lags, leads,
         cols[n] = F.max(e).over(w.rowsBetween(_UNB, -1))
     for n, (p, kk) in recent.items():
         cols[n] = F.count(F.when(p, 1)).over(w.rowsBetween(-kk, -1))
+    for n, (e, kk) in backs.items():
+        cols[n] = F.lag(e, kk).over(w)
     return Keyed(k.df.withColumns(cols), k.keys, k.order, k.chunked, k.hot_keys, k.extra,
                  k.hot)
 
 
 def _scan_chunked(k, by, rn, sums, sums_before, lasts, lasts_before, lags, leads,
-                  firsts, maxes_before, recent) -> Keyed:
+                  firsts, maxes_before, recent, backs) -> Keyed:
     bnorm = {}
     for j, b in enumerate(by):
         bnorm.update(_normalized(k.hot, b, f"_nb{j}"))
@@ -293,6 +296,10 @@ def _scan_chunked(k, by, rn, sums, sums_before, lasts, lasts_before, lags, leads
         local[f"_l_{n}"] = F.max(e).over(wc.rowsBetween(_UNB, -1))
     for n, (p, kk) in recent.items():
         local[f"_l_{n}"] = F.count(F.when(p, 1)).over(wc.rowsBetween(-kk, -1))
+    for n, (e, kk) in backs.items():
+        local[f"_l_{n}"] = F.lag(e, kk).over(wc)
+    tails = {**recent, **backs}
+    for n, (_, kk) in tails.items():
         local[f"_t_{n}"] = F.lead(F.lit(1), kk).over(wc).isNull()
     ldf = base.withColumns(local)
 
@@ -308,7 +315,7 @@ def _scan_chunked(k, by, rn, sums, sums_before, lasts, lasts_before, lags, leads
         aggs.append(F.min_by(e, ostruct).alias(f"_s_{n}"))
     for n, e in maxes_before.items():
         aggs.append(F.max(e).alias(f"_s_{n}"))
-    for n, (p, kk) in recent.items():
+    for n, (p, kk) in tails.items():
         tail = F.collect_list(F.when(F.col(f"_t_{n}"), F.struct(ostruct.alias("o"),
                                                                  p.alias("p"))))
         aggs.append(F.transform(F.array_sort(tail), lambda x: x["p"]).alias(f"_s_{n}"))
@@ -328,7 +335,7 @@ def _scan_chunked(k, by, rn, sums, sums_before, lasts, lasts_before, lags, leads
         carry[f"_c_{n}"] = F.first(f"_s_{n}").over(s.rowsBetween(_UNB, 0))
     for n in maxes_before:
         carry[f"_c_{n}"] = F.max(f"_s_{n}").over(s.rowsBetween(_UNB, -1))
-    for n, (_, kk) in recent.items():
+    for n, (_, kk) in tails.items():
         prev = F.array_sort(F.collect_list(F.struct(F.col(CHUNK).alias("c"),
                                                     F.col(f"_s_{n}").alias("t")))
                             .over(s.rowsBetween(-kk, -1)))
@@ -365,6 +372,9 @@ def _scan_chunked(k, by, rn, sums, sums_before, lasts, lasts_before, lags, leads
         from_prev = F.size(F.filter(c, lambda x, i: x & (i >= F.size(c) - need)))
         out[n] = F.col(f"_l_{n}") + F.when(lrn <= kk, F.coalesce(from_prev, F.lit(0))) \
             .otherwise(F.lit(0))
+    for n, (_, kk) in backs.items():
+        c = F.col(f"_c_{n}")
+        out[n] = F.when(lrn > kk, F.col(f"_l_{n}")).otherwise(F.get(c, F.size(c) - F.lit(kk) + lrn - 1))
     drop = [c for c in joined.columns if c.startswith(("_l_", "_t_", "_c_", "_j"))] + list(bnorm)
     extra = dict(k.extra, partitioned_by=tuple(part) if not bnorm else None)
     return Keyed(k.df, k.keys, k.order, k.chunked, k.hot_keys, extra,

@@ -22,31 +22,16 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id
 WHERE first_hit = 1
 """
 
-def _anomaly_sql(threshold: float, ttl_ms: int | None = None) -> str:
-    expired = f"t - pt > {ttl_ms}" if ttl_ms else "false"
-    return f"""
-WITH e AS (
-  SELECT user_id AS userId, value AS amount, CAST({_K} % 20 AS VARCHAR) AS country,
-         event_type AS merchant, (epoch_us(ts) // 1000) AS t, event_id
-  FROM events),
-p AS (SELECT *, LAG(t) OVER (PARTITION BY userId ORDER BY t, event_id) AS pt FROM e),
-x AS (SELECT *, SUM(CASE WHEN {expired} THEN 1 ELSE 0 END)
-             OVER (PARTITION BY userId ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS ep FROM p),
-f AS (
-  SELECT *, LAG(t) OVER w AS lt, LAG(country) OVER w AS lc, ROW_NUMBER() OVER w - 1 AS n,
-         CAST(SUM(CAST(amount AS DECIMAL(27, 10))) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DOUBLE) AS tot,
-         COUNT(*) FILTER (WHERE amount < 10.0::DOUBLE)
-           OVER (w ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS sm,
-         ROW_NUMBER() OVER (PARTITION BY userId, ep, merchant ORDER BY t, event_id) - 1 AS mc
-  FROM x WINDOW w AS (PARTITION BY userId, ep ORDER BY t, event_id)),
-g AS (
+def _alerts(threshold: float, listed: str) -> str:
+    """Rules over f; ``listed``: five earlier amounts are there."""
+    return f"""g AS (
   SELECT *,
     COALESCE(lt IS NOT NULL AND t - lt < 3600000 AND n > 10, false) AS r1,
     COALESCE(lc IS NOT NULL AND lc IS DISTINCT FROM country AND lt IS NOT NULL
              AND t - lt < 7200000, false) AS r2,
     COALESCE(n > 0 AND amount > tot / n * 5.0::DOUBLE, false) AS r3,
     COALESCE(mc > 5, false) AS r4,
-    COALESCE(n >= 5 AND sm >= 4, false) AS r5
+    COALESCE({listed} AND sm >= 4, false) AS r5
   FROM f),
 h AS (
   SELECT *,
@@ -65,9 +50,52 @@ FROM h WHERE riskScore >= {threshold}::DOUBLE
 """
 
 
+def _anomaly_sql(threshold: float, ttl_ms: int | None = None) -> str:
+    expired = f"t - pt > {ttl_ms}" if ttl_ms else "false"
+    return f"""
+WITH e AS (
+  SELECT user_id AS userId, value AS amount, CAST({_K} % 20 AS VARCHAR) AS country,
+         event_type AS merchant, (epoch_us(ts) // 1000) AS t, event_id
+  FROM events),
+p AS (SELECT *, LAG(t) OVER (PARTITION BY userId ORDER BY t, event_id) AS pt FROM e),
+x AS (SELECT *, SUM(CASE WHEN {expired} THEN 1 ELSE 0 END)
+             OVER (PARTITION BY userId ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS ep FROM p),
+f AS (
+  SELECT *, LAG(t) OVER w AS lt, LAG(country) OVER w AS lc, ROW_NUMBER() OVER w - 1 AS n,
+         CAST(SUM(CAST(amount AS DECIMAL(27, 10))) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DOUBLE) AS tot,
+         COUNT(*) FILTER (WHERE amount < 10.0::DOUBLE)
+           OVER (w ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS sm,
+         ROW_NUMBER() OVER (PARTITION BY userId, ep, merchant ORDER BY t, event_id) - 1 AS mc
+  FROM x WINDOW w AS (PARTITION BY userId, ep ORDER BY t, event_id)),
+{_alerts(threshold, "n >= 5")}"""
+
+
 ORACLE["anomaly_alerts"] = _anomaly_sql(0.7)
 ORACLE["anomaly_alerts_ttl"] = _anomaly_sql(0.5, 43_200_000)
 
+_H = 3_600_000
+ORACLE["anomaly_alerts_clocks"] = f"""
+WITH e AS (
+  SELECT user_id AS userId, value AS amount, CAST({_K} % 20 AS VARCHAR) AS country,
+         event_type AS merchant, (epoch_us(ts) // 1000) AS t, event_id
+  FROM events),
+p AS (SELECT *, LAG(t) OVER w AS pt, LAG(t, 5) OVER w AS t5, LAG(t) OVER m AS mt,
+             COUNT(*) FILTER (WHERE amount < 10.0::DOUBLE)
+               OVER (w ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS sm
+      FROM e WINDOW w AS (PARTITION BY userId ORDER BY t, event_id),
+                    m AS (PARTITION BY userId, merchant ORDER BY t, event_id)),
+x AS (SELECT *, SUM(CASE WHEN t - pt > {12 * _H} THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY userId ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS ep,
+             SUM(CASE WHEN t - mt > {36 * _H} THEN 1 ELSE 0 END)
+               OVER (PARTITION BY userId, merchant ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS mep
+      FROM p),
+f AS (
+  SELECT *, LAG(t) OVER w AS lt, LAG(country) OVER w AS lc, ROW_NUMBER() OVER w - 1 AS n,
+         CAST(SUM(CAST(amount AS DECIMAL(27, 10))) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DOUBLE) AS tot,
+         ROW_NUMBER() OVER (PARTITION BY userId, merchant, mep ORDER BY t, event_id) - 1 AS mc
+  FROM x WINDOW w AS (PARTITION BY userId, ep ORDER BY t, event_id)),
+{_alerts(0.4, f"t - t5 <= {48 * _H}")}"""
+
 ORACLE["dynamic_pricing"] = f"""
 WITH RECURSIVE e AS (
   SELECT CAST(user_id AS VARCHAR) AS sku, (epoch_us(ts) // 1000) AS t, event_id AS seq,
@@ -144,6 +172,23 @@ SELECT user_id AS userId, MIN(ts) AS sessionStart, MAX(ts) + INTERVAL 12 HOUR AS
 FROM b GROUP BY user_id, sid
 """
 
+ORACLE["session_event_pages"] = """
+WITH a AS (SELECT user_id, ts, value, event_type, event_id,
+                  LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pts
+           FROM events),
+b AS (SELECT *, SUM(CASE WHEN pts IS NULL OR ts >= pts + INTERVAL 12 HOUR THEN 1 ELSE 0 END)
+        OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid
+      FROM a),
+c AS (SELECT *, (ROW_NUMBER() OVER w - 1) // 4 + 1 AS page, MIN(ts) OVER s AS sessionStart,
+             MAX(ts) OVER s + INTERVAL 12 HOUR AS sessionEnd, COUNT(*) OVER s AS n,
+             SUM(CAST(value AS DECIMAL(27, 10))) OVER s AS total
+      FROM b WINDOW w AS (PARTITION BY user_id, sid ORDER BY ts, event_id), s AS (PARTITION BY user_id, sid))
+SELECT user_id AS userId, sessionStart, sessionEnd, CAST(n AS INTEGER) AS eventCount,
+       ROUND(CAST(total AS DOUBLE), 2) AS totalValue, page,
+       string_agg(event_type, ',' ORDER BY ts, event_id) AS eventTypes
+FROM c GROUP BY user_id, sid, sessionStart, sessionEnd, n, total, page
+"""
+
 ORACLE["first_match_join"] = f"""
 WITH u AS (
   SELECT user_id AS customerId, (epoch_us(ts) // 1000) AS t, 0 AS side, event_id AS seq,
@@ -381,6 +426,19 @@ ORACLE["row_formatter_ttl"] = _formatter_sql(
                                ("value", "Double", ""), ("ts", "LocalDateTime", _iso("ts"))],
     alive=(_alive, "(PARTITION BY event_type ORDER BY ts_ms, event_id ROWS UNBOUNDED PRECEDING)"))
 
+_NESTED = f"""SELECT event_id, event_type,
+    CASE WHEN {_K} % 7 = 0 THEN NULL ELSE '+I[' || CAST(user_id AS VARCHAR) || ', '
+      || COALESCE(CASE WHEN {_K} % 9 <> 0 THEN CAST(value AS VARCHAR) END, 'null')
+      || ', ' || {_iso("ts")} || ']' END AS detail,
+    CASE WHEN {_K} % 11 = 0 THEN '[]' ELSE '[' || CAST({_K} AS VARCHAR) || ', null, '
+      || CAST(user_id AS VARCHAR) || ']' END AS numbers,
+    '{{' || 'k=[+I[' || CAST({_K} AS VARCHAR) || ']], u=[+I[' || CAST(user_id AS VARCHAR) || '], null]' || '}}' AS lookup
+    FROM events"""
+ORACLE["row_formatter_nested"] = _formatter_sql(
+    _NESTED, "event_type", "event_id",
+    [("event_id", "Long", ""), ("event_type", "String", ""), ("detail", "Row", ""), ("numbers", "Long[]", ""),
+     ("lookup", "HashMap", "")])
+
 ORACLE["cdc_transactions"] = """
 WITH items AS (
   SELECT l_orderkey AS txn, l_linenumber + 1 AS total_order, (epoch_us(l_shipdate) // 1000) AS ts_ms,

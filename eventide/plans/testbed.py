@@ -189,6 +189,12 @@ def q_anomaly_alerts_ttl(spark, d):
     return q_anomaly_alerts(spark, d, threshold=0.5, state_ttl="12 hours")
 
 
+def q_anomaly_alerts_clocks(spark, d):
+    """Each part of a user's state expires by a clock of its own."""
+    return q_anomaly_alerts(spark, d, threshold=0.4, state_ttl={
+        "history": "12 hours", "merchants": "36 hours", "amounts": "48 hours"})
+
+
 def _pricing_inputs(spark, d):
     e = events(spark, d)
     inv = e.filter(F.col("event_type") != "purchase").select(
@@ -223,6 +229,15 @@ def q_session_summary(spark, d):
                     F.array_join("eventTypes", ",").alias("eventTypes"))
 
 
+def q_session_event_pages(spark, d):
+    """Every event of every session in order, four to a page."""
+    r = ops.session_summary(events(spark, d), "12 hours", user="user_id", time="ts", value="value",
+                            event_type="event_type", seq="event_id", page_rows=4)
+    return r.select(F.col("user_id").alias("userId"), "sessionStart", "sessionEnd", "eventCount",
+                    F.round("totalValue", 2).alias("totalValue"), "page",
+                    F.array_join("eventTypes", ",").alias("eventTypes"))
+
+
 def q_first_match_join(spark, d):
     e = events(spark, d)
     c = table(spark, d, "customer")
@@ -310,6 +325,19 @@ def q_row_formatter_sql_types(spark, d):
                              type_names="sql")
 
 
+def q_row_formatter_nested(spark, d):
+    """Rows, arrays and maps inside one another, as the runtime prints them."""
+    k, user = F.col("k").cast("long"), F.col("user_id")
+    one = lambda c: F.struct(c.alias("n"))
+    lookup = F.create_map(F.lit("u"), F.array(one(user), F.lit(None)), F.lit("k"), F.array(one(k)))
+    rows = events(spark, d).select(
+        "event_id", "event_type",
+        F.when(k % 7 != 0, F.struct(user, F.when(k % 9 != 0, F.col("value")).alias("value"), "ts")).alias("detail"),
+        F.when(k % 11 == 0, F.array().cast("array<bigint>")).otherwise(F.array(k, F.lit(None), user)).alias("numbers"),
+        lookup.alias("lookup"))
+    return ops.row_formatter(rows, ["event_type"], order="event_id")
+
+
 def q_row_formatter_ttl(spark, d):
     ev = user_events_nulled(spark, d).drop("ts").join(events(spark, d).select("event_id", "ts"), "event_id")
     return ops.row_formatter(ev, ["event_type"], order="event_id", time="ts", state_ttl="6 hours")
@@ -392,6 +420,9 @@ QUERIES = {
     "early_fire_window": q_early_fire_window,
     "spend_threshold": q_spend_threshold,
     "anomaly_alerts_ttl": q_anomaly_alerts_ttl,
+    "anomaly_alerts_clocks": q_anomaly_alerts_clocks,
+    "row_formatter_nested": q_row_formatter_nested,
+    "session_event_pages": q_session_event_pages,
     "changelog_audit_ttl": q_changelog_audit_ttl,
     "quality_score_readme": q_quality_score_readme,
     "row_formatter_ttl": q_row_formatter_ttl,

@@ -39,7 +39,7 @@ def delays(watermark, inputs: int) -> list:
 def _tws(d: DataFrame, key, proc, schema: str, time_mode: str,
          watermark: str | None, order: str = "arrival") -> DataFrame:
     proc = _named(proc, schema)
-    ttl = getattr(proc, "ttl", None)
+    ttl = proc.silence()
     if ttl:
         proc.cleanup_ms = int(ttl)
         time_mode = "EventTime"
@@ -110,8 +110,8 @@ def hybrid_window(d: DataFrame, size_ms, threshold, key, watermark=WATERMARK,
 def sessions(d: DataFrame, timeout_ms, key, end_event, close, watermark=WATERMARK,
              order="arrival", ttl_ms=None):
     from eventide.streaming.processors import SessionProcessor
-    d = d.select(key, "_type", T_MS, "_q")
-    schema = (f"{key} {_ktype(d, key)}, status string, sessionDuration long, "
+    d = d.select(*_keys(key), "_type", T_MS, "_q")
+    schema = (f"{_kddl(d, key)}, status string, sessionDuration long, "
               "eventCount int, firstEventType string, lastEventType string")
     return _tws(d, key, SessionProcessor(timeout_ms, end_event, close, ttl_ms), schema, "EventTime",
                 watermark, order)
@@ -120,21 +120,21 @@ def sessions(d: DataFrame, timeout_ms, key, end_event, close, watermark=WATERMAR
 def changelog_audit(d: DataFrame, key, time_type, rate_type, watermark=WATERMARK,
                     ttl_ms=None, order="arrival"):
     from eventide.streaming.processors import AuditProcessor
-    d = d.select(key, "_op", F.col("_rate").cast("string").alias("_rate"), "_time", T_MS, "_q")
-    schema = (f"{key} {_ktype(d, key)}, change_type string, old_rate string, "
+    d = d.select(*_keys(key), "_op", F.col("_rate").cast("string").alias("_rate"), "_time", T_MS, "_q")
+    schema = (f"{_kddl(d, key)}, change_type string, old_rate string, "
               f"new_rate string, change_time {time_type}")
     out = _tws(d, key, AuditProcessor(ttl_ms), schema, "None", watermark, order)
-    return out.select(key, "change_type", F.col("old_rate").cast(rate_type).alias("old_rate"),
+    return out.select(*_keys(key), "change_type", F.col("old_rate").cast(rate_type).alias("old_rate"),
                       F.col("new_rate").cast(rate_type).alias("new_rate"), "change_time")
 
 
 def anomaly_alerts(d: DataFrame, key, rules, seq_name, watermark=WATERMARK,
-                   order="arrival", ttl_ms=None):
+                   order="arrival", ttl_ms=None, clocks=None):
     from eventide.streaming.processors import AnomalyProcessor
-    d = d.select(key, "_amount", "_country", "_merchant", T_MS, "_q")
-    schema = (f"{key} {_ktype(d, key)}, alertType string, riskScore double, reason string, "
+    d = d.select(*_keys(key), "_amount", "_country", "_merchant", T_MS, "_q")
+    schema = (f"{_kddl(d, key)}, alertType string, riskScore double, reason string, "
               f"transactionCount int, _q {_ktype(d, '_q')}")
-    out = _tws(d, key, AnomalyProcessor(rules, ttl_ms), schema, "None", watermark, order)
+    out = _tws(d, key, AnomalyProcessor(rules, ttl_ms, clocks), schema, "None", watermark, order)
     return out.withColumnRenamed("_q", seq_name) if seq_name else out.drop("_q")
 
 
@@ -158,12 +158,15 @@ def pattern_count(d: DataFrame, keys, ttl_ms=None, watermark=WATERMARK, order="a
     return _tws(d, keys, PatternCountProcessor(ttl_ms), schema, "EventTime", watermark, order)
 
 
-def cdc_transactions(u: DataFrame, watermark=WATERMARK, ttl_ms=None):
-    from eventide.streaming.processors import TransactionProcessor
-    schema = ("transaction_id string, order_id long, customer_id long, status string, "
-              "total_amount double, line_items array<struct<product_id:bigint,quantity:int,"
-              "unit_price:double>>")
-    proc = TransactionProcessor()
+def cdc_transactions(u: DataFrame, watermark=WATERMARK, ttl_ms=None, items="array"):
+    from eventide.streaming.processors import TransactionProcessor, TransactionRowsProcessor
+    schema = "transaction_id string, order_id long, customer_id long, status string, total_amount double, "
+    if items == "rows":
+        proc = TransactionRowsProcessor()
+        schema += "line_no long, product_id long, quantity int, unit_price double"
+    else:
+        proc = TransactionProcessor()
+        schema += "line_items array<struct<product_id:bigint,quantity:int,unit_price:double>>"
     if not ttl_ms:
         return u.groupBy("_txn").transformWithState(_named(proc, schema), schema, "Append",
                                                     "None")
@@ -189,3 +192,11 @@ def latest_changelog(d: DataFrame, keys, row_cols, watermark=None):
     schema = "op string, change_seq int, " + row_ddl
     proc = _named(LatestChangelogProcessor(list(row_cols), row_ddl), schema)
     return d.groupBy(*keys).transformWithState(proc, schema, "Append", "None")
+
+
+def scd2_changes(d: DataFrame, keys, row_cols, time, watermark=None, order="arrival"):
+    """``d`` has ``_k*`` key columns, ``_t``, ``_q``, ``_op`` and the row columns."""
+    from eventide.streaming.processors import Scd2Processor
+    row_ddl = ", ".join(f"{c} {_ktype(d, c)}" for c in row_cols)
+    schema = f"op string, change_seq int, version long, {row_ddl}, valid_from {_ktype(d, time)}, valid_to {_ktype(d, time)}"
+    return _tws(d, keys, Scd2Processor(list(row_cols), row_ddl, time), schema, "None", watermark, order)

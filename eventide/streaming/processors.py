@@ -74,8 +74,13 @@ class _Processor(StatefulProcessor):
     buffer_fields: list[str] | None = None
     buffer_schema: str | None = None
     cleanup_ms: int | None = None  # clear a key's state after this much silence
+    ttl: int | None = None
     ends = False                   # sets timers of its own
 
+    def silence(self):
+        """Milliseconds after which nothing of a silent key's state counts; None is never."""
+        return self.ttl
+
     def _row(self, *values):
         return Row(**dict(zip(self.names, values)))
 
@@ -323,7 +328,7 @@ class SessionProcessor(_Processor):
             "session", "start long, first string, last string, n int, timer long, seen long")
 
     def _timeout(self, key, s, at):
-        return self._row(key[0], "TIMEOUT", at - s[0], s[3], s[1], s[2])
+        return self._row(*key, "TIMEOUT", at - s[0], s[3], s[1], s[2])
 
     def _load(self):
         return list(self.st.get()) if self.st.exists() else None
@@ -352,7 +357,7 @@ class SessionProcessor(_Processor):
                 s[3] += 1
                 s[2] = et
             if et == self.end:
-                out.append(self._row(key[0], "COMPLETED", t - s[0], s[3], s[1], et))
+                out.append(self._row(*key, "COMPLETED", t - s[0], s[3], s[1], et))
                 s = None
                 continue
             s[4], s[5] = t + self.tmo, t
@@ -389,34 +394,46 @@ class AuditProcessor(_Processor):
                 prev = None
             last = r[T]
             if op == "+I":
-                out.append(self._row(key[0], "INSERT", None, rate, r["_time"]))
+                out.append(self._row(*key, "INSERT", None, rate, r["_time"]))
                 prev = rate
             elif op == "+U":
-                out.append(self._row(key[0], "UPDATE", prev, rate, r["_time"]))
+                out.append(self._row(*key, "UPDATE", prev, rate, r["_time"]))
                 prev = rate
             elif op == "-D":
-                out.append(self._row(key[0], "DELETE", prev, None, r["_time"]))
+                out.append(self._row(*key, "DELETE", prev, None, r["_time"]))
                 prev = None
         self.st.update((prev, last))
         return iter(out)
 
 class AnomalyProcessor(_Processor):
-    """Value state for totals and the last row, map state for merchant
-    visits, list state for the amounts of the last five rows."""
+    """Value state for totals and the last row, map state for merchant visits
+    with the time of the last one, list state for the last five rows' amounts
+    and times.  ``clocks`` lets each of them expire alone; expired visits are
+    swept out once per such period."""
+
+    def __init__(self, rules, ttl_ms=None, clocks=None):
+        self.r, self.ttl, self.clocks = rules, ttl_ms, clocks
 
-    def __init__(self, rules, ttl_ms=None):
-        self.r, self.ttl = rules, ttl_ms
+    def silence(self):
+        if self.clocks and all(self.clocks.values()):
+            return max(self.clocks.values())
+        return self.ttl
 
     def setup(self, handle):
-        self.st = handle.getValueState("user", "n int, tot string, country string, t long")
-        self.merchants = handle.getMapState("merchants", "merchant string", "n int")
-        self.recent = handle.getListState("recent", "amount double")
+        self.st = handle.getValueState("user", "n int, tot string, country string, t long, swept long")
+        self.merchants = handle.getMapState("merchants", "merchant string", "n int, t long")
+        self.recent = handle.getListState("recent", "amount double, t long")
+
+    def _sweep(self, now):
+        for m, (_, t) in list(self.merchants.iterator()):
+            if now - t > self.clocks["merchants"]:
+                self.merchants.removeKey(m)
 
     def fold(self, key, rows):
-        r_ = self.r
-        n, tot, lc, lt = self.st.get() if self.st.exists() else (0, "0", None, None)
+        r_, kept = self.r, self.clocks or {}
+        n, tot, lc, lt, swept = self.st.get() if self.st.exists() else (0, "0", None, None, None)
         tot = Decimal(tot)
-        recent = [x[0] for x in self.recent.get()] if self.recent.exists() else []
+        recent = [tuple(x) for x in self.recent.get()] if self.recent.exists() else []
         seen_now = {}  # merchant visits read/written once per micro-batch
         out = []
         for r in _sorted(rows):
@@ -425,6 +442,10 @@ class AnomalyProcessor(_Processor):
                 n, tot, lc, lt, recent = 0, Decimal(0), None, None, []
                 seen_now = {}
                 self.merchants.clear()
+            if kept.get("history") and lt is not None and t - lt > kept["history"]:
+                n, tot, lc, lt = 0, Decimal(0), None, None
+            if kept.get("amounts"):
+                recent = [x for x in recent if t - x[1] <= kept["amounts"]]
             score, why = 0.0, []
             if lt is not None and t - lt < r_["velocity_ms"] and n > r_["velocity_min"]:
                 score += r_["w"][0]
@@ -437,28 +458,35 @@ class AnomalyProcessor(_Processor):
                 why.append("AMOUNT_ANOMALY")
             if m not in seen_now:
                 mk = (m,)
-                seen_now[m] = self.merchants.getValue(mk)[0] \
-                    if self.merchants.containsKey(mk) else 0
-            seen = seen_now[m]
+                seen_now[m] = tuple(self.merchants.getValue(mk)) \
+                    if self.merchants.containsKey(mk) else (0, t)
+            seen, last = seen_now[m]
+            if kept.get("merchants") and t - last > kept["merchants"]:
+                seen = 0
             if seen > r_["merchant_min"]:
                 score += r_["w"][3]
                 why.append("MERCHANT_FREQUENCY")
-            seen_now[m] = seen + 1
+            seen_now[m] = (seen + 1, t)
             if len(recent) >= r_["lookback"] and sum(
-                    1 for a in recent[-r_["lookback"]:] if a is not None and a < r_["small"]) \
+                    1 for a, _ in recent[-r_["lookback"]:] if a is not None and a < r_["small"]) \
                     >= r_["small_min"]:
                 score += r_["w"][4]
                 why.append("SMALL_TXN_PATTERN")
-            recent = (recent + [amt])[-r_["lookback"]:]
+            recent = (recent + [(amt, t)])[-r_["lookback"]:]
             if score >= r_["threshold"]:
-                out.append(self._row(key[0], "HIGH_RISK", score, ",".join(why), n + 1, r[Q]))
+                out.append(self._row(*key, "HIGH_RISK", score, ",".join(why), n + 1, r[Q]))
             tot += _exact(amt)
             n += 1
             lc, lt = c, t
-        for m, c in seen_now.items():
-            self.merchants.updateValue((m,), (c,))
-        self.st.update((n, str(tot), lc, lt))
-        self.recent.put([(a,) for a in recent])
+        for m, visits in seen_now.items():
+            self.merchants.updateValue((m,), visits)
+        if kept.get("merchants") and lt is not None:
+            if swept is not None and lt - swept > kept["merchants"]:
+                self._sweep(lt)
+                swept = lt
+            swept = lt if swept is None else swept
+        self.st.update((n, str(tot), lc, lt, swept))
+        self.recent.put(recent)
         return iter(out)
 
 class FirstMatchProcessor(_Processor):
@@ -590,6 +618,83 @@ class TransactionProcessor(_Processor):
         return iter(out)
 
 
+class TransactionRowsProcessor(_Processor):
+    """The same transaction, emitted as one row per line item.  Items wait in
+    map state by pages of ``page_rows``; a micro-batch's rows are taken one
+    after the other, and a complete transaction is emitted page by page, so
+    that neither is ever held whole."""
+
+    EMPTY = [None, None, None, None, None, None, 0, None, False, 0]
+
+    def __init__(self, page_rows=1000):
+        self.page_rows = page_rows
+
+    def setup(self, handle):
+        self.st = handle.getValueState(
+            "txn", "hdr_ord long, hdr_ts long, order_id long, customer_id long, status string, "
+                   "total double, received long, expected long, ended boolean, items long")
+        self.pages = handle.getMapState("pages", "page long", "items array<struct<o long,"
+                                        "product_id long,quantity int,unit_price double>>")
+
+    def handleInputRows(self, key, rows, timerValues):
+        s = list(self.st.get()) if self.st.exists() else list(self.EMPTY)
+        tail, ends, newest = None, [], None
+        for r in rows:
+            if self.cleanup_ms and r[T] is not None and (newest is None or r[T] > newest[T]):
+                newest = r
+            if r["_side"] == 2:     # after the rows that came with it
+                ends.append((r["_ord"] or 0, r["_ts"] or 0, r["_expected"]))
+                continue
+            s[6] += 1
+            h, it = r["_hdr"], r["_item"]
+            if r["_side"] == 0 and h is not None and (s[0] is None or (r["_ord"], r["_ts"]) >= (s[0], s[1])):
+                s[:6] = r["_ord"], r["_ts"], h["id"], h["customer_id"], h["status"], h["total_amount"]
+            if r["_side"] == 1 and it is not None:
+                tail = self._add(s, tail, (r["_ord"], it["product_id"], it["quantity"], it["unit_price"]))
+            if self._complete(s):
+                yield from self._emit(key, s, tail)
+                s, tail = list(self.EMPTY), None
+        for _, _, expected in sorted(ends, key=lambda e: e[:2]):
+            s[7], s[8] = expected, True
+            if self._complete(s):
+                yield from self._emit(key, s, tail)
+                s, tail = list(self.EMPTY), None
+        if tail:
+            self.pages.updateValue((s[9] // self.page_rows,), (tail,))
+        if s[6] or s[8]:
+            self.st.update(tuple(s))
+        elif self.st.exists():
+            self.st.clear()
+        if newest is not None:
+            self._schedule_cleanup([newest])
+
+    def _complete(self, s):
+        return s[8] and s[7] is not None and s[6] == s[7]
+
+    def _add(self, s, tail, item):
+        """Append to the last page, which is written when it is full."""
+        page, used = divmod(s[9], self.page_rows)
+        if tail is None:
+            tail = [tuple(x) for x in self.pages.getValue((page,))[0]] if used else []
+        tail.append(item)
+        s[9] += 1
+        if len(tail) == self.page_rows:
+            self.pages.updateValue((page,), (tail,))
+            tail = []
+        return tail
+
+    def _emit(self, key, s, tail):
+        full, used = divmod(s[9], self.page_rows)
+        if not s[9]:
+            yield self._row(key[0], *s[2:6], None, None, None, None)
+        for page in range(full + (used > 0)):
+            last = page == full and tail is not None
+            for x in tail if last else self.pages.getValue((page,))[0]:
+                yield self._row(key[0], *s[2:6], *tuple(x))
+            if self.pages.containsKey((page,)):
+                self.pages.removeKey((page,))
+
+
 class PricingProcessor(_Processor):
     def __init__(self, inventory_threshold, demand_threshold, min_change, fold_row,
                  ttl_ms=None):
@@ -646,3 +751,29 @@ class LatestChangelogProcessor(_Processor):
         if cur is not None:
             self.st.update(cur)
         return iter(out)
+
+
+class Scd2Processor(_Processor):
+    """Versions of a key's rows: value state holds the open one.  A change
+    closes it (+U with valid_to); an image opens the next (+I)."""
+
+    def __init__(self, row_fields, row_ddl, time):
+        self.row_fields, self.row_ddl, self.time = row_fields, row_ddl, time
+
+    def setup(self, handle):
+        self.st = handle.getValueState("current", "_version long, _is_open boolean, " + self.row_ddl)
+
+    def fold(self, key, rows):
+        cur = tuple(self.st.get()) if self.st.exists() else (0, False)
+        at, out = self.row_fields.index(self.time), []
+        for r in sorted(rows, key=lambda r: (r[T] is not None, r[T], r[Q])):
+            vals = tuple(r[f] for f in self.row_fields)
+            if cur[1]:
+                out.append(self._row("+U", 1, cur[0], *cur[2:], cur[2 + at], vals[at]))
+            if r["_op"] in ("+I", "+U"):
+                cur = (cur[0] + 1, True) + vals
+                out.append(self._row("+I", 0, cur[0], *vals, vals[at], None))
+            else:
+                cur = (cur[0], False) + vals
+        self.st.update(cur)
+        return iter(out)
