@@ -63,13 +63,21 @@ def op4_license_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.array_distinct(F.transform("base_places", lambda p: p["label"]))
     more = F.array_distinct(F.transform("spans", lambda s: s["label"]))
     best = F.array_max(F.transform("spans", lambda s: s["score"]))
+    versions = F.transform(F.filter("spans", lambda s: s["version"].isNotNull()),
+                           lambda s: F.concat_ws(" ", s["label"], s["version"]))
     return found.select(
         "doc_id", "n_words", F.size("base_places").cast("long").alias("n_base"),
         F.array_min(F.transform("base_places", lambda p: p["word"])).alias("first_word"),
         F.array_max(F.transform("base_places", lambda p: p["word"])).alias("last_word"),
         F.array_join(F.array_sort(base), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union(base, more)), ",").alias("labels"),
-        F.coalesce(best, F.lit(0.0)).alias("score"))
+        F.coalesce(best, F.lit(0.0)).alias("score"),
+        F.array_join(F.array_sort(F.array_distinct(versions)), ",").alias("versions"))
+
+
+def license_base_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op4 that edits do not touch, which SQL can express."""
+    return op4_license_fuzzy(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
 
 
 def op5_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +92,11 @@ def op5_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+def secret_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op5 that the measure does not touch, which SQL can express."""
+    return op5_secret_novelty(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
 def _of_kind(kind: str):
     return F.filter("spans", lambda s: s["kind"] == kind)
 
@@ -145,6 +158,8 @@ QUERIES = {
     "op11_label_propagation": op11_label_propagation,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_shared_cuts": op13_shared_cuts,
+    "license_base_places": license_base_places,
+    "secret_base_spans": secret_base_spans,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -154,7 +169,50 @@ _WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWE
 # Queries without an entry here have no SQL form (learned models, XXH64
 # votes, BPE ids, fuzzy and compressor spans, label propagation); tests/llm holds them against
 # brute-force versions, round trips or held-out accuracy.
+def _spans_sql(kind: str, pattern: str, least: int, group: int = 0) -> str:
+    """Places of a pattern: the texts between its matches, summed up, give the starts."""
+    return f"""SELECT doc_id, '{kind}' AS kind, first, first + length(m[i]) AS stop, g
+  FROM (SELECT doc_id, i, m, list_sum(list_transform(range(1, i + 1), lambda j: length(s[j])))
+               + coalesce(list_sum(list_transform(range(1, i), lambda j: length(m[j]))), 0) AS first,
+               regexp_extract(m[i], '{pattern}', {group}) AS g
+        FROM (SELECT doc_id, m, s, unnest(range(1, len(m) + 1)) AS i
+              FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS s FROM d)))
+  WHERE length(g) >= {least}"""
+
+
+def _either(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+_ASSIGN = (f"({'|'.join(_either(w) for w in ('password', 'passwd', 'secret', 'token'))}|{_either('api')}_?{_either('key')})"
+           r"""[\x22\x27]?\x20*[:=]\x20*[\x22\x27]?([A-Za-z0-9+/_.=-]+)""")
+
 ORACLE: dict[str, str] = {
+    "license_base_places": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+     p AS (SELECT doc_id, len(w) AS n_words,
+                  list_filter(range(1, len(w)), lambda i: w[i] = 'apache' AND w[i + 1] = 'license') AS a,
+                  list_filter(range(1, len(w) - 1), lambda i: w[i] = 'general' AND w[i + 1] = 'public'
+                                                              AND w[i + 2] = 'license') AS g,
+                  list_filter(range(1, len(w)), lambda i: w[i] = 'mit' AND w[i + 1] = 'license') AS m FROM d)
+SELECT doc_id, n_words, len(a) + len(g) + len(m) AS n_base, list_min(a || g || m) - 1 AS first_word,
+       list_max(a || g || m) - 1 AS last_word,
+       concat_ws(',', CASE WHEN len(a) > 0 THEN 'apache' END, CASE WHEN len(g) > 0 THEN 'gpl' END,
+                 CASE WHEN len(m) > 0 THEN 'mit' END) AS base_labels
+FROM p""",
+    "secret_base_spans": f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+     s AS ({_spans_sql('assign', _ASSIGN, 6, 2)}
+           UNION ALL {_spans_sql('access', 'AKIA[A-Z0-9]+', 20)}
+           UNION ALL {_spans_sql('hex', '[0-9a-f]+', 24)}),
+     k AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign,
+                  count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+                  string_agg(kind || ':' || first || ':' || stop, ','
+                             ORDER BY first, list_position(['assign', 'access', 'hex'], kind)) AS spans
+           FROM s GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256
+FROM d LEFT JOIN k USING (doc_id)""",
     "op2_winnowing": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
      i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),

@@ -93,6 +93,82 @@ def test_license_rows(spark, docs_of):
     assert license_scan.scan_licenses(docs_of([])).count() == 0
 
 
+def versions(text):
+    return [(s[0], s[5]) for s in scan(text)[2] if s[5]]
+
+
+def test_spdx_lines_versions_and_families():
+    for words, (label, version) in license_scan.SPDX.items():
+        for line in (f"# SPDX-License-Identifier: {words.replace(' ', '-')}", f"// spdx licence identifier {words}\nint x"):
+            assert [(s[0], s[5]) for s in scan(line)[2]] == [(label, version)], line
+    assert scan("SPDX-License-Identifier: Proprietary")[2] == []
+    assert versions("SPDX-License-Identifier: GPL-2.0-or-later") == [("gpl", "2.0")]
+    assert versions("Licensed under the Apache License, Version 2.0 (the License)") == [("apache", "2.0")]
+    assert versions("the GNU General Public Licence as published by the Free Software Foundation; either version 3 of it") \
+        == [("gpl", "3.0")]
+    assert versions("GNU Lesser General Public License v2.1") == [("lgpl", "2.1")]
+    assert versions("This program is GPLv3 software") == [("gpl", "3.0")] and versions("xgplv3 gplv4") == []
+    assert versions("Distributed under the Boost Software License, Version 1.0.") == [("boost", "1.0")]
+    zlib = "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held"
+    assert [s[0] for s in scan(zlib)[2]] == ["zlib"]
+    two = "Redistribution and use in source and binary forms, with or without modification, are permitted. "
+    three = "Neither the name of X nor the names of its contributors may be used to endorse or promote products. "
+    assert versions(two) == [("bsd", "2-clause")]
+    assert versions(two + two + three) == [("bsd", "2-clause"), ("bsd", "3-clause"), ("bsd", "3-clause")]
+    assert versions(three + two) == [("bsd", "3-clause"), ("bsd", "2-clause")]
+
+
+def test_recall_on_planted_edits_with_tails():
+    """Every notice that needs a tail, edited as far as allowed, is found with its version."""
+    rng = random.Random(6)
+    for notice, tail, label, version in license_scan.default_tails():
+        most = int(len(notice) * 0.08)
+        for n in range(most + 1):
+            t = list(notice)
+            for at in rng.sample(range(1, len(t) - 1), n):
+                t[at] = rng.choice(["", "q"])
+            changed = "".join(t)
+            if edits(notice, changed) > most or changed.split() != changed.split(" "):
+                continue
+            found = scan(f"words before {changed} {tail} and after", notices={})[2]
+            assert any(s[0] == label and s[5] == version and s[3] <= most for s in found), (changed, tail, found)
+
+
+def test_windows_are_those_of_one_search_per_piece():
+    rng = random.Random(7)
+    scanner = license_scan.Scanner(license_scan.BASE_PHRASES, license_scan.NOTICES, 0.08)
+    bits = [w for n in license_scan.NOTICES for w in n.split()] + ["é", "x"]
+    for _ in range(100):
+        line = (" " + " ".join(rng.choice(bits) for _ in range(200)) + " ").encode()
+        got = scanner._windows(line)
+        for i, notice in enumerate(license_scan.NOTICES):
+            size, most = scanner.fuzzy[i][:2]
+            for offset, seed in license_scan.pieces(notice, most):
+                at = line.find(seed)
+                while at >= 0:
+                    lo, hi = max(0, at - offset - most - 1), min(len(line), at - offset + size + most + 1)
+                    assert any(a <= lo and hi <= b for a, b in got[i])
+                    at = line.find(seed, at + 1)
+        for found in got.values():
+            assert all(a[1] < b[0] for a, b in zip(found, found[1:]))
+
+
+def test_notice_table(spark, docs_of):
+    docs = docs_of([(1, "Licence: Ünïversal  Häppy Lizenz, Version 7!"), (2, "universal happy license"), (3, None)])
+    table = spark.createDataFrame([("Ünïversal Häppy Lizenz", "happy", "7.0", "version 7"), (" , ", "none", None, None),
+                                   ("universal HAPPY license", "happy-en", None, None),
+                                   ("universal HAPPY license", "happy-en", None, None), (None, "x", None, None)],
+                                  "text string, label string, version string, tail string")
+    rows = sorted(license_scan.scan_licenses(docs, notices=table).collect())
+    assert [[(s.label, s.version, s.first_word, s.end_word) for s in r.spans] for r in rows] == [
+        [("happy", "7.0", 1, 6)], [("happy-en", None, 0, 3)], []]
+    short = license_scan.scan_licenses(docs, notices=table.select("label", "text"))
+    assert [len(r.spans) for r in sorted(short.collect())] == [1, 1, 0]
+    assert all(not r.spans for r in license_scan.scan_licenses(docs, notices=table.limit(0)).collect())
+    with pytest.raises(ValueError):
+        license_scan.scan_licenses(docs, notices=table, max_notices=2)
+
+
 # ------------------------------------------------------------------- secrets
 KINDS = {"assign": (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                                re.I | re.A), 2, 6),
