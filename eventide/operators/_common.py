@@ -36,3 +36,17 @@ def with_time_seq(df: DataFrame, time: str | None, seq: str | None, what: str,
 def require_time(time, what):
     if time is None:
         raise ValueError(f"{what} requires an event-time column (on_time)")
+
+
+def only_for_streams(history, what):
+    if history is not None:
+        raise ValueError(f"{what}: history is where a stream starts from; in batch unite the tables")
+
+
+def last_of(k, order, **values) -> DataFrame:
+    """One row per key of a scan: ``values`` at the key's last row by ``order``,
+    and that row's time (``_t``).  With TTL epochs the last row is in the epoch
+    that is alive.  Combined before its shuffle, so a hot key is one row a task."""
+    keys = [c for c in k.keys if c != "_epoch"]
+    last = F.max_by(F.struct(*[v.alias(n) for n, v in values.items()], F.col(T_MS).alias(T_MS)), F.struct(*order))
+    return k.result().groupBy(*keys).agg(last.alias("_last")).select(*keys, "_last.*")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.columns import T_MS, exact, interval_ms
-from eventide.operators._common import SEQ, require_time, with_time_seq
+from eventide.operators._common import SEQ, last_of, only_for_streams, require_time, with_time_seq
 from eventide.plans.keyed import HotKeys, keyed, scan, ttl_epochs
 from eventide.streaming.ops import WATERMARK
 
@@ -40,7 +40,8 @@ def anomaly_alerts(df: DataFrame, *, user="userId", amount: str = "amount",
                    threshold: float = RISK_THRESHOLD, keep=(),
                    rows_per_chunk: int | None = None,
                    watermark: str | None = WATERMARK, state_ttl=None,
-                   stream_order: str = "arrival", hot: HotKeys | None = None) -> DataFrame:
+                   stream_order: str = "arrival", hot: HotKeys | None = None,
+                   history: DataFrame | None = None) -> DataFrame:
     """Output: user, alertType, riskScore, reason, transactionCount (+ keep).
 
     Each row is scored against the rows of the same user before it (in
@@ -58,7 +59,13 @@ def anomaly_alerts(df: DataFrame, *, user="userId", amount: str = "amount",
     On a streaming DataFrame the same call runs a transformWithState
     processor; ``watermark`` bounds lateness and ``stream_order`` is
     'arrival' (fold each micro-batch as it comes) or 'event' (buffer until
-    the watermark passes, then fold in event-time order)."""
+    the watermark passes, then fold in event-time order).
+
+    ``history``: on a stream, a batch DataFrame of the input's columns whose
+    rows come before all of the stream's: each key starts with the state that
+    folding them leaves (computed as a batch job, handed over in the first
+    micro-batch).  Totals, last rows and each merchant's visits
+    are handed over as rows of their own, so no user's state is ever one row."""
     require_time(time, "anomaly_alerts")
     users = [user] if isinstance(user, str) else list(user)
     d = with_time_seq(df, time, seq, "anomaly_alerts",
@@ -79,20 +86,17 @@ def anomaly_alerts(df: DataFrame, *, user="userId", amount: str = "amount",
         s = d.select(*users, amt.cast("double").alias("_amount"),
                      F.col(country).alias("_country"), F.col(merchant).alias("_merchant"),
                      T_MS, SEQ)
+        state = None
+        if history is not None:
+            h = with_time_seq(history, time, seq, "anomaly_alerts (history)", need=(*users, amount, country, merchant))
+            h = h.select(*dict.fromkeys([*users, amount, country, merchant, T_MS, SEQ]))
+            state = _state(_scanned(h, users, amt, country, merchant, ttl, clocks, rows_per_chunk, hot),
+                           users, amt, country, merchant)
         return st.anomaly_alerts(s, users, rules, seq if extra else None, watermark,
-                                 stream_order, ttl, clocks)
-    k = ttl_epochs(keyed(d, users, [T_MS, SEQ], rows_per_chunk, hot), ttl)
+                                 stream_order, ttl, clocks, state)
+    only_for_streams(history, "anomaly_alerts")
+    k = _scanned(d, users, amt, country, merchant, ttl, clocks, rows_per_chunk, hot)
     t = F.col(T_MS)
-    k = scan(k, rn="_rn", lags={"_lt": t, "_lc": F.col(country)},
-             sums_before={"_tot": exact(amt)},
-             recent={"_small": (amt < F.lit(SMALL_AMOUNT), SMALL_LOOKBACK)},
-             backs={"_t5": (t, SMALL_LOOKBACK)} if clocks and clocks["amounts"] else None)
-    if clocks:
-        k = _kept_history(k, t, clocks)
-    k = scan(k, by=[merchant], rn="_mrn",
-             lags={"_mt": t} if clocks and clocks["merchants"] else None)
-    if clocks and clocks["merchants"]:
-        k = _kept_visits(k, t, merchant, clocks["merchants"])
     lt, n = F.col("_lt"), F.col("_rn") - 1
     listed = F.col("_listed") if clocks else n >= SMALL_LOOKBACK
     rules = [
@@ -118,6 +122,47 @@ def anomaly_alerts(df: DataFrame, *, user="userId", amount: str = "amount",
                     *[c for c in keep if c not in users]))
 
 
+def _scanned(d, users, amt, country, merchant, ttl, clocks, rows_per_chunk, hot):
+    """Each row with what the rules compare it to."""
+    k = ttl_epochs(keyed(d, users, [T_MS, SEQ], rows_per_chunk, hot), ttl)
+    t = F.col(T_MS)
+    k = scan(k, rn="_rn", lags={"_lt": t, "_lc": F.col(country)},
+             sums_before={"_tot": exact(amt)},
+             recent={"_small": (amt < F.lit(SMALL_AMOUNT), SMALL_LOOKBACK)},
+             backs={"_t5": (t, SMALL_LOOKBACK)} if clocks and clocks["amounts"] else None)
+    if clocks:
+        k = _kept_history(k, t, clocks)
+    k = scan(k, by=[merchant], rn="_mrn",
+             lags={"_mt": t} if clocks and clocks["merchants"] else None)
+    if clocks and clocks["merchants"]:
+        k = _kept_visits(k, t, merchant, clocks["merchants"])
+    return k
+
+
+def _state(k, users, amt, country, merchant) -> DataFrame:
+    """What a stream starts from: one row per user (``_part`` 0: count, total,
+    last row and last amounts) and one per user and merchant (1: visits)."""
+    t, order = F.col(T_MS), [T_MS, SEQ]
+    back = [f"_b{i}" for i in range(SMALL_LOOKBACK - 1, 0, -1)]
+    entry = F.struct(amt.cast("double").alias("amount"), t.alias("t"))
+    own = scan(k, backs={b: (entry, int(b[2:])) for b in back})
+    epoch = F.col("_epoch") if "_epoch" in k.keys else F.lit(0)
+    user = last_of(own, order, n=F.col("_rn").cast("int"), tot=(
+        F.col("_tot") + F.coalesce(exact(amt), F.lit(0))).cast("string"), country=F.col(country),
+        recent=F.filter(F.array(*[F.col(b) for b in back], entry), lambda x: x.isNotNull()), epoch=epoch)
+    visits = k.result().groupBy(*users, merchant).agg(F.max_by(
+        F.struct(F.col("_mrn").cast("int").alias("visits"), epoch.alias("_in"), t.alias(T_MS)), F.struct(*order))
+        .alias("_last")).select(*users, F.col(merchant).alias("merchant"), "_last.*")
+    if "_epoch" in k.keys:      # visits of epochs that expired are gone
+        of = user.select(*[F.col(u).alias(f"_u{i}") for i, u in enumerate(users)], "epoch")
+        on = F.col("_in") == F.col("epoch")
+        for i, u in enumerate(users):
+            on = on & F.col(u).eqNullSafe(F.col(f"_u{i}"))
+        visits = visits.join(of, on, "left_semi")
+    return user.drop("epoch").withColumn("_part", F.lit(0)).unionByName(
+        visits.drop("_in").withColumn("_part", F.lit(1)), allowMissingColumns=True)
+
+
 def _kept_history(k, t, clocks: dict):
     """Counts, totals and the last row as far as they are still kept.  A row
     after too long a silence opens a new stretch; its rows count from that row

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.columns import T_MS
-from eventide.operators._common import SEQ, with_time_seq
+from eventide.operators._common import SEQ, last_of, only_for_streams, with_time_seq
 from eventide.functions.columns import interval_ms
-from eventide.plans.keyed import HotKeys, keyed, scan, ttl_epochs
+from eventide.plans.keyed import HotKeys, Keyed, keyed, scan, ttl_epochs
 from eventide.streaming.ops import WATERMARK
 
 OPS = ("+I", "-U", "+U", "-D")
@@ -22,7 +22,8 @@ def changelog_audit(df: DataFrame, *, key="currency", rate: str = "rate",
                     rate_type: str = "decimal(10,4)",
                     rows_per_chunk: int | None = None, hot: HotKeys | None = None,
                     watermark: str | None = WATERMARK,
-                    state_ttl=None, stream_order: str = "arrival") -> DataFrame:
+                    state_ttl=None, stream_order: str = "arrival",
+                    history: DataFrame | None = None) -> DataFrame:
     """Output: currency (key; one column or a list), change_type, old_rate,
     new_rate, change_time.
 
@@ -34,19 +35,33 @@ def changelog_audit(df: DataFrame, *, key="currency", rate: str = "rate",
     On a streaming DataFrame the same call runs a transformWithState
     processor; ``watermark`` bounds lateness and ``stream_order`` is
     'arrival' (fold each micro-batch as it comes) or 'event' (buffer until
-    the watermark passes, then fold in event-time order)."""
+    the watermark passes, then fold in event-time order).
+
+    ``history``: on a stream, a batch DataFrame of the input's columns whose
+    rows come before all of the stream's: each key starts with the state that
+    folding them leaves (computed as a batch job, handed over in the first
+    micro-batch).  Each key starts with the rate remembered after it."""
     keys = [key] if isinstance(key, str) else list(key)
-    d = with_time_seq(df, time, seq, "changelog_audit", need=(*keys, rate, op))
     opc = F.col(op)
-    d = d.filter(opc.isin("+I", "+U", "-D")).select(
-        *keys, op, F.col(rate).cast(rate_type).alias("_rate"), F.col(time).alias("_time"),
-        T_MS, SEQ)
+
+    def changes(table):
+        d = with_time_seq(table, time, seq, "changelog_audit", need=(*keys, rate, op))
+        return d.filter(opc.isin("+I", "+U", "-D")).select(
+            *keys, op, F.col(rate).cast(rate_type).alias("_rate"), F.col(time).alias("_time"),
+            T_MS, SEQ)
+
+    d = changes(df)
     if d.isStreaming:
         from eventide.streaming import ops as st
+        state = None
+        if history is not None:     # the last row alone decides, whatever expired before it
+            state = last_of(Keyed(changes(history), tuple(keys), (T_MS, SEQ)), [T_MS, SEQ],
+                            prev=F.when(opc != "-D", F.col("_rate").cast("string")))
         return st.changelog_audit(d.withColumn("_op", opc), keys,
                                   df.schema[time].dataType.simpleString(), rate_type, watermark,
                                   interval_ms(state_ttl) if state_ttl else None,
-                                  stream_order)
+                                  stream_order, state)
+    only_for_streams(history, "changelog_audit")
     k = keyed(d, keys, [T_MS, SEQ], rows_per_chunk, hot)
     k = ttl_epochs(k, interval_ms(state_ttl) if state_ttl else None)
     k = scan(k, lags={"_prev": F.when(opc != "-D", F.col("_rate"))})

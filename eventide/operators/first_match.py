@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.columns import T_MS
-from eventide.operators._common import SEQ, with_time_seq
+from eventide.operators._common import SEQ, last_of, only_for_streams, with_time_seq
 from eventide.functions.columns import interval_ms
 from eventide.plans.keyed import HotKeys, keyed, scan, ttl_epochs
 from eventide.streaming.ops import WATERMARK
@@ -19,7 +19,7 @@ def first_match_join(orders: DataFrame, customers: DataFrame, *,
                      name: str = "name", email: str = "email", tier: str = "tier",
                      rows_per_chunk: int | None = None, hot: HotKeys | None = None,
                      watermark=WATERMARK,
-                     state_ttl=None, stream_order: str = "arrival") -> DataFrame:
+                     state_ttl=None, stream_order: str = "arrival", history=None) -> DataFrame:
     """Output: orderId, customerId, totalAmount, customerName, customerEmail,
     customerTier, firstArrival ('ORDER'|'CUSTOMER'), joinTimestamp (ms).
 
@@ -35,11 +35,16 @@ def first_match_join(orders: DataFrame, customers: DataFrame, *,
     processor; ``watermark`` bounds lateness (one delay, or one for each
     input; an input that lags behind the other holds it back) and ``stream_order`` is
     'arrival' (fold each micro-batch as it comes) or 'event' (buffer until
-    the watermark passes, then fold in event-time order)."""
+    the watermark passes, then fold in event-time order).
+
+    ``history``: on streams, two batch DataFrames (orders, customers) whose
+    rows come before all of the streams': each key starts with the state that
+    folding them leaves.  Keys that matched in it do not match again."""
     o = with_time_seq(orders, time, order_seq, "first_match_join(orders)",
                       need=(key, order_id, total))
     c = with_time_seq(customers, time, customer_seq, "first_match_join(customers)",
                       need=(key, name, email, tier))
+    ttl = interval_ms(state_ttl) if state_ttl else None
     ostruct = F.struct(F.col(order_id).cast("string").alias("orderId"),
                        F.col(total).cast("double").alias("totalAmount"))
     cstruct = F.struct(F.col(name).alias("name"), F.col(email).alias("email"),
@@ -49,26 +54,32 @@ def first_match_join(orders: DataFrame, customers: DataFrame, *,
         from eventide.streaming import ops as st
         late = st.delays(watermark, 2)
         o, c, evt = st.watermarked(o, late[0]), st.watermarked(c, late[1]), ["_evt"]
-    u = (o.select(key, T_MS, SEQ, F.lit(0).alias("_side"), ostruct.alias("_o"),
-                  F.lit(None).cast(cstruct_type()).alias("_c"), *evt)
-         .unionByName(c.select(key, T_MS, SEQ, F.lit(1).alias("_side"),
-                               F.lit(None).cast(ostruct_type()).alias("_o"),
-                               cstruct.alias("_c"), *evt)))
+
+    def tagged(o, c, *more):
+        return (o.select(key, T_MS, SEQ, F.lit(0).alias("_side"), ostruct.alias("_o"),
+                         F.lit(None).cast(cstruct_type()).alias("_c"), *more)
+                .unionByName(c.select(key, T_MS, SEQ, F.lit(1).alias("_side"),
+                                      F.lit(None).cast(ostruct_type()).alias("_o"),
+                                      cstruct.alias("_c"), *more)))
+
+    u = tagged(o, c, *evt)
     order = [T_MS, "_side", SEQ]
     if u.isStreaming:
         s = u.select(key, T_MS, SEQ, "_side", F.col("_o.orderId").alias("_oid"),
                      F.col("_o.totalAmount").alias("_total"), F.col("_c.name").alias("_name"),
                      F.col("_c.email").alias("_email"), F.col("_c.tier").alias("_tier"), *evt)
-        return st.first_match_join(s, key, late[0],
-                                   interval_ms(state_ttl) if state_ttl else None,
-                                   stream_order)
-    k = keyed(u, [key], order, rows_per_chunk, hot)
-    k = ttl_epochs(k, interval_ms(state_ttl) if state_ttl else None)
-    k = scan(k, lasts={"_lo": F.col("_o"), "_lc": F.col("_c")},
-             firsts={"_fs": F.col("_side")})
-    side = F.col("_side")
-    cand = (((side == 0) & F.col("_lc.name").isNotNull())
-            | ((side == 1) & F.col("_lo.orderId").isNotNull()))
+        state = None
+        if history is not None:
+            old = tagged(with_time_seq(history[0], time, order_seq, "first_match_join(history)",
+                                       need=(key, order_id, total)),
+                         with_time_seq(history[1], time, customer_seq, "first_match_join(history)",
+                                       need=(key, name, email, tier)))
+            k, cand = _latest(old, key, order, rows_per_chunk, hot, ttl)
+            k = scan(k, sums={"_hits": F.when(cand, 1)})
+            state = last_of(k, order, o=F.col("_lo"), c=F.col("_lc"), first=F.col("_fs"), done=F.col("_hits") > 0)
+        return st.first_match_join(s, key, late[0], ttl, stream_order, state)
+    only_for_streams(history, "first_match_join")
+    k, cand = _latest(u, key, order, rows_per_chunk, hot, ttl)
     hit = k.result().filter(F.coalesce(cand, F.lit(False)))
     first = hit.groupBy(*k.keys).agg(F.min_by(F.struct("_lo", "_lc", "_fs", T_MS),
                                           F.struct(*order)).alias("m"))
@@ -84,6 +95,16 @@ def first_match_join(orders: DataFrame, customers: DataFrame, *,
         F.col(f"m.{T_MS}").alias("joinTimestamp"))
 
 
+def _latest(u, key, order, rows_per_chunk, hot, ttl):
+    """Each row with both sides' latest values, and whether it can match."""
+    k = ttl_epochs(keyed(u, [key], order, rows_per_chunk, hot), ttl)
+    k = scan(k, lasts={"_lo": F.col("_o"), "_lc": F.col("_c")},
+             firsts={"_fs": F.col("_side")})
+    side = F.col("_side")
+    return k, (((side == 0) & F.col("_lc.name").isNotNull())
+               | ((side == 1) & F.col("_lo.orderId").isNotNull()))
+
+
 def ostruct_type():
     return "struct<orderId:string,totalAmount:double>"
 

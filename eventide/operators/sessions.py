@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventide.functions.columns import T_MS, exact, interval_ms
-from eventide.operators._common import SEQ, require_time, with_time_seq
+from eventide.operators._common import SEQ, last_of, only_for_streams, require_time, with_time_seq
 from eventide.plans.keyed import HotKeys, keyed, scan, ttl_epochs
 from eventide.streaming.ops import WATERMARK
 
@@ -18,7 +18,8 @@ def sessions(df: DataFrame, timeout_s, *, user="userId",
              end_event: str = "LOGOUT", on_timeout: str = "continue",
              rows_per_chunk: int | None = None,
              watermark: str | None = WATERMARK, state_ttl=None,
-             stream_order: str = "arrival", hot: HotKeys | None = None) -> DataFrame:
+             stream_order: str = "arrival", hot: HotKeys | None = None,
+             history: DataFrame | None = None) -> DataFrame:
     """Output: user (one column or a list), status, sessionDuration BIGINT (ms),
     eventCount INT, firstEventType, lastEventType.
 
@@ -35,7 +36,14 @@ def sessions(df: DataFrame, timeout_s, *, user="userId",
     On a streaming DataFrame the same call runs a transformWithState
     processor; ``watermark`` bounds lateness and ``stream_order`` is
     'arrival' (fold each micro-batch as it comes) or 'event' (buffer until
-    the watermark passes, then fold in event-time order)."""
+    the watermark passes, then fold in event-time order).
+
+    ``history``: on a stream, a batch DataFrame of the input's columns whose
+    rows come before all of the stream's: each key starts with the state that
+    folding them leaves (computed as a batch job, handed over in the first
+    micro-batch).  A session still open at its end goes on, its timeout
+    pending: the stream reports it, not a batch over the history (which shows
+    a TIMEOUT after each user's last row)."""
     require_time(time, "sessions")
     if on_timeout not in ("continue", "close"):
         raise ValueError("on_timeout must be 'continue' or 'close'")
@@ -47,8 +55,35 @@ def sessions(df: DataFrame, timeout_s, *, user="userId",
     d = with_time_seq(df, time, seq, "sessions", need=(*users, event_type))
     if d.isStreaming:
         from eventide.streaming import ops as st
+        state = None
+        if history is not None:
+            h = with_time_seq(history, time, seq, "sessions (history)", need=(*users, event_type))
+            k = _opened(h, users, event_type, tmo, end_event, on_timeout, ttl, rows_per_chunk, hot)
+            state = last_of(k, [T_MS, SEQ], start=F.col("_open.t"), first=F.col("_open.e"), last=F.col(event_type),
+                            n=(F.col("_rn") - F.col("_open.n") + 1).cast("int"))
+            state = state.filter(~F.col("last").eqNullSafe(F.lit(end_event)))
         return st.sessions(d.withColumn("_type", F.col(event_type)), tmo, users, end_event,
-                           on_timeout == "close", watermark, stream_order, ttl)
+                           on_timeout == "close", watermark, stream_order, ttl, state)
+    only_for_streams(history, "sessions")
+    et, t = F.col(event_type), F.col(T_MS)
+    k = _opened(d, users, event_type, tmo, end_event, on_timeout, ttl, rows_per_chunk, hot)
+    is_end = et.eqNullSafe(F.lit(end_event))
+    is_tmo = ~is_end & (F.col("_nt").isNull() | (F.col("_nt") - t > tmo))
+    out = k.result().filter(is_end | is_tmo).withColumns({
+        "_cnt": F.col("_rn") - F.col("_open.n") + 1, "_st": F.col("_open.t"),
+        "_fe": F.col("_open.e")})
+    return out.select(
+        *users,
+        F.when(is_end, F.lit("COMPLETED")).otherwise(F.lit("TIMEOUT")).alias("status"),
+        F.when(is_end, t - F.col("_st")).otherwise(t + tmo - F.col("_st"))
+        .cast("long").alias("sessionDuration"),
+        F.col("_cnt").cast("int").alias("eventCount"),
+        F.col("_fe").alias("firstEventType"),
+        et.alias("lastEventType"))
+
+
+def _opened(d, users, event_type, tmo, end_event, on_timeout, ttl, rows_per_chunk, hot):
+    """Each row with its number, the next row's time and its session's opening row."""
     d = d.select(*users, event_type, T_MS, SEQ)
     et, t = F.col(event_type), F.col(T_MS)
     k = ttl_epochs(keyed(d, users, [T_MS, SEQ], rows_per_chunk, hot), ttl)
@@ -64,20 +99,7 @@ def sessions(df: DataFrame, timeout_s, *, user="userId",
     # the session's opening row = the last start row so far (row number,
     # time and type travel together); no session id or grouped scan needed
     opening = F.when(start, F.struct(F.col("_rn").alias("n"), t.alias("t"), et.alias("e")))
-    k = scan(k, lasts={"_open": opening})
-    is_end = et.eqNullSafe(F.lit(end_event))
-    is_tmo = ~is_end & (F.col("_nt").isNull() | (F.col("_nt") - t > tmo))
-    out = k.result().filter(is_end | is_tmo).withColumns({
-        "_cnt": F.col("_rn") - F.col("_open.n") + 1, "_st": F.col("_open.t"),
-        "_fe": F.col("_open.e")})
-    return out.select(
-        *users,
-        F.when(is_end, F.lit("COMPLETED")).otherwise(F.lit("TIMEOUT")).alias("status"),
-        F.when(is_end, t - F.col("_st")).otherwise(t + tmo - F.col("_st"))
-        .cast("long").alias("sessionDuration"),
-        F.col("_cnt").cast("int").alias("eventCount"),
-        F.col("_fe").alias("firstEventType"),
-        et.alias("lastEventType"))
+    return scan(k, lasts={"_open": opening})
 
 
 def session_summary(df: DataFrame, gap: str, *, user: str = "userId",

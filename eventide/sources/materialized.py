@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,12 +108,48 @@ def _fs(spark, path):
     return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole, unless there is one: False then.  A writer
+    that stops midway leaves none."""
+    fs, at = _fs(spark, path), _path(spark, path)
+    if fs.exists(at):
+        return False
+    fs.mkdirs(at.getParent())
+    new = _path(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(new, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        _rename(spark, fs, new, at, [])
+    except Py4JJavaError:
+        if not fs.exists(at):
+            raise
+        fs.delete(new, False)
+        return False
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return "".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+
+
+def _rename(spark, fs, old, new, options: list):
+    jvm = spark._jvm
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, len(options))
+    for i, name in enumerate(options):
+        how[i] = getattr(rename, name)
+    target = fs.makeQualified(new)
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    files.rename(fs.makeQualified(old), target, how)
+
+
 def pointer(spark: SparkSession, path: str) -> dict | None:
     """Which folders are in force; None before the first batch."""
     fs, at = _fs(spark, path), _path(spark, f"{path}/{POINTER}")
     if not fs.exists(at):
         return None
-    return json.loads("".join(r.value for r in spark.read.text(f"{path}/{POINTER}", wholetext=True).collect()))
+    return json.loads(read_text(spark, f"{path}/{POINTER}"))
 
 
 def _swap(spark, path, then: dict):
@@ -119,10 +157,4 @@ def _swap(spark, path, then: dict):
     out = fs.create(new, True)
     out.write(bytearray(json.dumps(then).encode()))
     out.close()
-    jvm = spark._jvm
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    how = spark.sparkContext._gateway.new_array(rename, 1)
-    how[0] = rename.OVERWRITE
-    target = fs.makeQualified(_path(spark, f"{path}/{POINTER}"))
-    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
-    files.rename(fs.makeQualified(new), target, how)
+    _rename(spark, fs, new, _path(spark, f"{path}/{POINTER}"), ["OVERWRITE"])

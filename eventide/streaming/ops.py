@@ -37,7 +37,8 @@ def delays(watermark, inputs: int) -> list:
 
 
 def _tws(d: DataFrame, key, proc, schema: str, time_mode: str,
-         watermark: str | None, order: str = "arrival") -> DataFrame:
+         watermark: str | None, order: str = "arrival", state: DataFrame | None = None) -> DataFrame:
+    """``state``: what keys start from, rows for ``proc.restore``; only the first micro-batch reads it."""
     proc = _named(proc, schema)
     ttl = proc.silence()
     if ttl:
@@ -56,7 +57,8 @@ def _tws(d: DataFrame, key, proc, schema: str, time_mode: str,
         raise ValueError("stream order must be 'arrival' or 'event'")
     if "_evt" not in d.columns:
         d = watermarked(d, watermark)
-    return d.groupBy(*_keys(key)).transformWithState(proc, schema, "Append", time_mode)
+    first = None if state is None else state.groupBy(*_keys(key))
+    return d.groupBy(*_keys(key)).transformWithState(proc, schema, "Append", time_mode, first)
 
 
 def _keys(key) -> list:
@@ -72,22 +74,22 @@ def _ktype(df: DataFrame, key: str) -> str:
 
 
 def spend_threshold(d: DataFrame, threshold, key, order_id, watermark=WATERMARK,
-                    order="arrival"):
+                    order="arrival", state=None):
     from eventide.streaming.processors import SpendThresholdProcessor
     d = d.select(*_keys(key), F.col(order_id), F.col("_price"), T_MS, "_q")
     schema = (f"{_kddl(d, key)}, total_spend double, crossing_order_id string, "
               "order_count int")
     return _tws(d, key, SpendThresholdProcessor(threshold, key, order_id), schema, "None",
-                watermark, order)
+                watermark, order, state)
 
 
 def early_fire_window(d: DataFrame, size_ms, key, seq_name, watermark=WATERMARK,
-                      order="arrival", by_seq=False):
+                      order="arrival", by_seq=False, state=None):
     from eventide.streaming.processors import EarlyFireProcessor
     d = d.select(*_keys(key), "_price", T_MS, "_q")
     schema = (f"{_kddl(d, key)}, _ws long, _we long, num_orders int, "
               f"total_price double, _q {_ktype(d, '_q')}")
-    out = _tws(d, key, EarlyFireProcessor(size_ms, by_seq), schema, "None", watermark, order)
+    out = _tws(d, key, EarlyFireProcessor(size_ms, by_seq), schema, "None", watermark, order, state)
     cols = [*_keys(key), ms_to_ntz(F.col("_ws")).alias("window_start"),
             ms_to_ntz(F.col("_we")).alias("window_end"), "num_orders", "total_price"]
     if seq_name:
@@ -96,55 +98,55 @@ def early_fire_window(d: DataFrame, size_ms, key, seq_name, watermark=WATERMARK,
 
 
 def hybrid_window(d: DataFrame, size_ms, threshold, key, watermark=WATERMARK,
-                  order="arrival"):
+                  order="arrival", state=None):
     from eventide.streaming.processors import HybridWindowProcessor
     d = d.select(*_keys(key), "_price", T_MS, "_q")
     schema = f"{_kddl(d, key)}, _ws long, _we long, num_orders int, total_price double"
     out = _tws(d, key, HybridWindowProcessor(size_ms, threshold), schema, "EventTime",
-               watermark, order)
+               watermark, order, state)
     return out.select(*_keys(key), ms_to_ntz(F.col("_ws")).alias("window_start"),
                       ms_to_ntz(F.col("_we")).alias("window_end"), "num_orders",
                       "total_price")
 
 
 def sessions(d: DataFrame, timeout_ms, key, end_event, close, watermark=WATERMARK,
-             order="arrival", ttl_ms=None):
+             order="arrival", ttl_ms=None, state=None):
     from eventide.streaming.processors import SessionProcessor
     d = d.select(*_keys(key), "_type", T_MS, "_q")
     schema = (f"{_kddl(d, key)}, status string, sessionDuration long, "
               "eventCount int, firstEventType string, lastEventType string")
     return _tws(d, key, SessionProcessor(timeout_ms, end_event, close, ttl_ms), schema, "EventTime",
-                watermark, order)
+                watermark, order, state)
 
 
 def changelog_audit(d: DataFrame, key, time_type, rate_type, watermark=WATERMARK,
-                    ttl_ms=None, order="arrival"):
+                    ttl_ms=None, order="arrival", state=None):
     from eventide.streaming.processors import AuditProcessor
     d = d.select(*_keys(key), "_op", F.col("_rate").cast("string").alias("_rate"), "_time", T_MS, "_q")
     schema = (f"{_kddl(d, key)}, change_type string, old_rate string, "
               f"new_rate string, change_time {time_type}")
-    out = _tws(d, key, AuditProcessor(ttl_ms), schema, "None", watermark, order)
+    out = _tws(d, key, AuditProcessor(ttl_ms), schema, "None", watermark, order, state)
     return out.select(*_keys(key), "change_type", F.col("old_rate").cast(rate_type).alias("old_rate"),
                       F.col("new_rate").cast(rate_type).alias("new_rate"), "change_time")
 
 
 def anomaly_alerts(d: DataFrame, key, rules, seq_name, watermark=WATERMARK,
-                   order="arrival", ttl_ms=None, clocks=None):
+                   order="arrival", ttl_ms=None, clocks=None, state=None):
     from eventide.streaming.processors import AnomalyProcessor
     d = d.select(*_keys(key), "_amount", "_country", "_merchant", T_MS, "_q")
     schema = (f"{_kddl(d, key)}, alertType string, riskScore double, reason string, "
               f"transactionCount int, _q {_ktype(d, '_q')}")
-    out = _tws(d, key, AnomalyProcessor(rules, ttl_ms, clocks), schema, "None", watermark, order)
+    out = _tws(d, key, AnomalyProcessor(rules, ttl_ms, clocks), schema, "None", watermark, order, state)
     return out.withColumnRenamed("_q", seq_name) if seq_name else out.drop("_q")
 
 
 def first_match_join(u: DataFrame, key, watermark=WATERMARK, ttl_ms=None,
-                     order="arrival"):
+                     order="arrival", state=None):
     from eventide.streaming.processors import FirstMatchProcessor
     schema = (f"orderId string, {key} {_ktype(u, key)}, totalAmount double, "
               "customerName string, customerEmail string, customerTier string, "
               "firstArrival string, joinTimestamp long")
-    out = _tws(u, key, FirstMatchProcessor(ttl_ms), schema, "None", watermark, order)
+    out = _tws(u, key, FirstMatchProcessor(ttl_ms), schema, "None", watermark, order, state)
     return out.withColumnRenamed(key, "customerId")
 
 

@@ -156,6 +156,14 @@ class _Processor(StatefulProcessor):
     def fold(self, key, rows):
         raise NotImplementedError
 
+    def handleInitialState(self, key, initialState, timerValues):
+        """A row of the state that a batch job left for the key; nested values come as dicts."""
+        self.restore(key, initialState)
+        self._schedule_cleanup([initialState])
+
+    def restore(self, key, s):
+        raise NotImplementedError
+
     def handleInputRows(self, key, rows, timerValues):
         rows = list(rows)
         self._schedule_cleanup(rows)
@@ -229,6 +237,9 @@ class SpendThresholdProcessor(_Processor):
     def setup(self, handle):
         self.st = handle.getValueState("spend", "total string, n int, done boolean")
 
+    def restore(self, key, s):
+        self.st.update((s["total"], s["n"], s["done"]))
+
     def fold(self, key, rows):
         total, n, done = self.st.get() if self.st.exists() else ("0", 0, False)
         total, out = Decimal(total), []
@@ -252,6 +263,9 @@ class EarlyFireProcessor(_Processor):
     def setup(self, handle):
         self.st = handle.getValueState("win", "start long, n int, total string")
 
+    def restore(self, key, s):
+        self.st.update((s["start"], s["n"], s["total"]))
+
     def fold(self, key, rows):
         start, n, total = self.st.get() if self.st.exists() else (None, 0, "0")
         total, out = Decimal(total), []
@@ -269,6 +283,9 @@ class EarlyFireProcessor(_Processor):
 class HybridWindowProcessor(_Processor):
     ends = True
 
+    def restore(self, key, s):
+        self._save(None, [s["start"], s["n"], s["total"]])
+
     def __init__(self, size_ms, threshold):
         self.size, self.n = int(size_ms), int(threshold)
 
@@ -327,6 +344,11 @@ class SessionProcessor(_Processor):
         self.st = handle.getValueState(
             "session", "start long, first string, last string, n int, timer long, seen long")
 
+    def restore(self, key, s):
+        end = s[T] + self.tmo
+        self._move(END, None, end)
+        self._save([s["start"], s["first"], s["last"], s["n"], end, s[T]])
+
     def _timeout(self, key, s, at):
         return self._row(*key, "TIMEOUT", at - s[0], s[3], s[1], s[2])
 
@@ -385,6 +407,9 @@ class AuditProcessor(_Processor):
     def setup(self, handle):
         self.st = handle.getValueState("rate", "prev string, last long")
 
+    def restore(self, key, s):
+        self.st.update((s["prev"], s[T]))
+
     def fold(self, key, rows):
         prev, last = self.st.get() if self.st.exists() else (None, None)
         out = []
@@ -424,6 +449,13 @@ class AnomalyProcessor(_Processor):
         self.merchants = handle.getMapState("merchants", "merchant string", "n int, t long")
         self.recent = handle.getListState("recent", "amount double, t long")
 
+    def restore(self, key, s):
+        if s["_part"]:
+            self.merchants.updateValue((s["merchant"],), (s["visits"], s[T]))
+        else:
+            self.st.update((s["n"], s["tot"], s["country"], s[T], None))
+            self.recent.put([(x["amount"], x["t"]) for x in s["recent"]])
+
     def _sweep(self, now):
         for m, (_, t) in list(self.merchants.iterator()):
             if now - t > self.clocks["merchants"]:
@@ -500,6 +532,12 @@ class FirstMatchProcessor(_Processor):
             "match", "has_o boolean, oid string, total double, has_c boolean, name string, "
                      "email string, tier string, first int, done boolean, last long")
 
+    def restore(self, key, s):
+        o, c = s["o"], s["c"]
+        self.st.update((o is not None, *((o or {}).get(f) for f in ("orderId", "totalAmount")),
+                        c is not None, *((c or {}).get(f) for f in ("name", "email", "tier")),
+                        s["first"], s["done"], s[T]))
+
     def fold(self, key, rows):
         s = list(self.st.get()) if self.st.exists() else list(self.EMPTY)
         out = []
@@ -739,7 +777,7 @@ class LatestChangelogProcessor(_Processor):
         cur = tuple(self.st.get()) if self.st.exists() else None
         out = []
         for r in sorted(rows, key=lambda r: r[Q]):
-            if cur is not None and (r[T] is None or r[T] < cur[0]):
+            if cur is not None and cur[0] is not None and (r[T] is None or r[T] < cur[0]):
                 continue
             vals = tuple(r[f] for f in self.row_fields)
             if cur is None:
