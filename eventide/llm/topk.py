@@ -8,7 +8,8 @@ the next one is collected.  A task turns a slice of candidates into posting list
 rows and weights), and for each term of a query adds query weight x posting
 weights to a dense array of scores.  Each slice's best k of each query are
 selected, a task keeps k of its slices, and the tasks' lists meet in a window
-per query.  Candidates are never shuffled or collected, and all of them are
+per query.  Queries and posting lists hold non-zero weights only: a very long
+vector among short ones costs its own length.  Candidates are never shuffled or collected, and all of them are
 scored, for whatever blocks of queries there are.
 
 Defined results: vectors that are null, or hold a null or a non-finite
@@ -33,6 +34,7 @@ from pyspark.sql.window import Window
 from eventide.llm.common import reliable, shared_path
 
 SLICE = 4096
+TILE = 64       # queries whose scores are accumulated together
 REPEATS = 1000
 
 
@@ -51,14 +53,21 @@ def weights(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
         .select(F.col(id_col).cast("long").alias("id"), scaled.alias("w"))
 
 
-def _matrix(column: pa.Array, width: int | None = None) -> np.ndarray:
-    """Rows of weights, filled up with zeros to equal length."""
-    offsets = column.offsets.to_numpy()
-    sizes, flat = np.diff(offsets), column.values.to_numpy()[offsets[0]:offsets[-1]]
-    wide = max(int(sizes.max(initial=0)), width or 0)
-    out = np.zeros((len(sizes), wide), np.int64)
-    out[np.arange(wide) < sizes[:, None]] = flat
-    return out
+def by_term(vectors: pa.Array, rows: slice = slice(None)) -> dict:
+    """term -> (rows, weights) of the non-zero weights, from the lists' offsets:
+    as large as the lists together, whatever the longest of them is."""
+    offsets = vectors.offsets.to_numpy()
+    sizes, flat = np.diff(offsets), vectors.values.to_numpy()[offsets[0]:offsets[-1]]
+    first = (offsets[:-1] - offsets[0])[rows]
+    sizes = sizes[rows]
+    at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)    # place in its vector
+    w = flat[np.repeat(first, sizes) + at]
+    used = np.flatnonzero(w)
+    used = used[np.argsort(at[used], kind="stable")]
+    row, term, w = np.repeat(np.arange(len(sizes)), sizes)[used], at[used], w[used]
+    terms, cuts = np.unique(term, return_index=True)
+    cuts = np.append(cuts, len(term))
+    return {int(t): (row[a:b], w[a:b]) for t, a, b in zip(terms, cuts, cuts[1:])}
 
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -72,36 +81,33 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))][:k]
 
 
-def postings(candidates: np.ndarray) -> list:
-    """(term, rows or None for all, weights): the posting list of each term
+def postings(candidates: pa.Array) -> dict:
+    """term -> (rows or None for all, weights): the posting list of each term
     that some row has; lists of more than half of the rows are kept dense."""
-    out = []
-    for term in range(candidates.shape[1]):
-        column = np.ascontiguousarray(candidates[:, term])
-        rows = np.flatnonzero(column)
-        if 2 * len(rows) > len(column):
-            out.append((term, None, column))
-        elif len(rows):
-            out.append((term, rows, column[rows]))
+    out, n = by_term(candidates), len(candidates)
+    for term, (rows, w) in out.items():
+        if 2 * len(rows) > n:
+            column = np.zeros(n, w.dtype)
+            column[rows] = w
+            out[term] = None, column
     return out
 
 
-def accumulate(queries: np.ndarray, lists: list, n: int, tile: int = 64) -> np.ndarray:
-    """Scores (queries x ``n`` candidates): for a tile of queries, one term
-    after the other scatters query weight x posting weights into the scores."""
-    scores = np.zeros((len(queries), n), np.int64)
-    buffer = np.empty((tile, n), np.int64)
-    for lo in range(0, len(queries), tile):
-        part, asking = scores[lo:lo + tile], queries[lo:lo + tile]
-        for term, rows, w in lists:
-            if term >= asking.shape[1]:
-                continue
-            asked = np.flatnonzero(asking[:, term])
-            weight = asking[asked, term][:, None]
-            if not len(asked):
-                continue
-            if rows is None and len(asked) == len(part):
-                part += np.multiply(weight, w, out=buffer[:len(part)])
+def accumulate(tiles: list, lists: dict, n: int) -> np.ndarray:
+    """Scores (queries x ``n`` candidates).  ``tiles`` holds (number of queries,
+    their weights by term); in each, one term after the other scatters query
+    weight x posting weights into the scores."""
+    kind = next((w.dtype for _, w in lists.values()), np.dtype(np.int64))
+    scores = np.zeros((sum(m for m, _ in tiles), n), kind)
+    lo = 0
+    for m, asking in tiles:
+        part, buffer = scores[lo:lo + m], np.empty((m, n), kind)
+        lo += m
+        for term in asking.keys() & lists.keys():
+            (asked, weight), (rows, w) = asking[term], lists[term]
+            weight = weight[:, None]
+            if rows is None and len(asked) == m:
+                part += np.multiply(weight, w, out=buffer)
             elif rows is None:
                 part[asked] += weight * w
             else:
@@ -109,18 +115,28 @@ def accumulate(queries: np.ndarray, lists: list, n: int, tile: int = 64) -> np.n
     return scores
 
 
-def check_wide(scores: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, candidates: np.ndarray,
-               ids: np.ndarray) -> None:
-    """Puts right the scores of candidates whose products or sums may not have fitted a long."""
-    width = min(queries.shape[1], candidates.shape[1])
-    q, c = queries[:, :width], candidates[:, :width]
-    qa, ca = np.abs(q.astype(float)), np.abs(c.astype(float))
-    if not qa.size or not ca.size or qa.sum(axis=1).max() * ca.max() < 2.0 ** 62:
+def _sizes(lists: dict) -> dict:
+    return {t: (rows, np.abs(w.astype(float))) for t, (rows, w) in lists.items()}
+
+
+def check_wide(scores: np.ndarray, tiles: list, query_ids: np.ndarray, queries: pa.Array, lists: dict,
+               candidates: pa.Array, ids: np.ndarray) -> None:
+    """Puts right the scores of candidates whose products or sums may not have
+    fitted a long; ``queries`` and ``candidates`` are the vectors themselves."""
+    sizes = [(m, _sizes(asking)) for m, asking in tiles]
+    most = max((w.max() for _, w in _sizes(lists).values()), default=0.0)
+    total = 0.0
+    for m, asking in sizes:
+        sums = np.zeros(m)
+        for rows, w in asking.values():
+            sums[rows] += w
+        total = max(total, sums.max(initial=0.0))
+    if total * most < 2.0 ** 62:
         return
-    for i, j in zip(*np.nonzero(qa @ ca.T >= 2.0 ** 62)):
+    for i, j in zip(*np.nonzero(accumulate(sizes, _sizes(lists), len(ids)) >= 2.0 ** 62)):
         if query_ids[i] == ids[j]:
             continue
-        score = sum(int(x) * int(y) for x, y in zip(q[i], c[j]))
+        score = sum(x * y for x, y in zip(queries[int(i)].as_py(), candidates[int(j)].as_py()))
         if not -2 ** 63 <= score < 2 ** 63:
             raise OverflowError(f"score {score} does not fit a long")
         scores[i, j] = score
@@ -160,20 +176,25 @@ def _repeated(found: DataFrame) -> DataFrame:
 def _search(rows: DataFrame, queries: pa.Table, k: int) -> DataFrame:
     """The best k candidates of each query in each task."""
     query_ids, times = queries.column("id").to_numpy(), queries.column("times").to_numpy()
-    query_w = _matrix(queries.column("w").combine_chunks()) if queries.num_rows \
-        else np.zeros((0, 0), np.int64)
+    query_w = queries.column("w").combine_chunks() if queries.num_rows else pa.array([], pa.list_(pa.int64()))
+    if isinstance(query_w, pa.ChunkedArray):
+        query_w = query_w.chunk(0)
 
     def run(batches):
+        tiles = [(min(TILE, len(query_ids) - lo), by_term(query_w, slice(lo, lo + TILE)))
+                 for lo in range(0, len(query_ids), TILE)]
         kept = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in query_ids]
         for b in batches:
             for at in range(0, b.num_rows, SLICE):
                 part = b.slice(at, SLICE)
                 ids = part.column("id").to_numpy()
-                candidates = _matrix(part.column("w"))
+                candidates = part.column("w")
                 lists = postings(candidates)
-                for lo in range(0, len(query_ids), 512):
-                    scores = accumulate(query_w[lo:lo + 512], lists, len(ids))
-                    check_wide(scores, query_w[lo:lo + 512], query_ids[lo:lo + 512], candidates, ids)
+                for lo in range(0, len(query_ids), 8 * TILE):
+                    some = tiles[lo // TILE:lo // TILE + 8]
+                    scores = accumulate(some, lists, len(ids))
+                    check_wide(scores, some, query_ids[lo:lo + 8 * TILE], query_w[lo:lo + 8 * TILE], lists,
+                               candidates, ids)
                     for q, row in enumerate(scores, lo):
                         pick = best(row, ids, k + 1)
                         pick = pick[ids[pick] != query_ids[q]]

@@ -3,7 +3,8 @@
 A rule is a host and the beginning of a path.  It fits its host and all
 subdomains if the URL's path starts with the rule's; of several the longest
 one decides.  A URL's possible keys are the ends of its host at label borders
-times the beginnings of its path of the lengths that rules have.  A blocked
+times the beginnings of its path of the lengths that rules have; ends longer
+than the longest rule's host are not built.  A blocked
 Bloom filter of the rules (blocks of 512 bits, one bit in each of a block's
 eight words) passes the keys that may be listed; these are joined exactly
 with the rule table, which removes false positives.  The filter has at most
@@ -41,12 +42,13 @@ def split_url(url: str | None) -> tuple[str, str]:
     return host, rest[:min((i for i in map(rest.find, "?#") if i >= 0), default=len(rest))]
 
 
-def host_ends(host: str) -> list[str]:
-    """The host and its parent domains."""
-    out = [host]
-    while (dot := host.find(".")) >= 0:
-        host = host[dot + 1:]
-        out.append(host)
+def host_ends(host: str, longest: int) -> list[str]:
+    """The host and its parent domains, of at most ``longest`` characters."""
+    out = [host] if len(host) <= longest else []
+    dot = host.find(".", max(0, len(host) - longest - 1))
+    while dot >= 0:
+        out.append(host[dot + 1:])
+        dot = host.find(".", dot + 1)
     return out
 
 
@@ -101,6 +103,7 @@ def judge(pages: DataFrame, rules: DataFrame, *, id_col: str = "page_id", url_co
     listed = canonical_rules(rules)
     filter_ = build_filter(listed, max_blocks)
     lengths = sorted(r.n for r in listed.select(F.length("rule_path").alias("n")).distinct().collect())
+    longest = listed.agg(F.max(F.length("rule_host"))).first()[0] or 0
     rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("page_id"),
                         F.col(url_col).alias("url"))
     id_type = rows.schema["page_id"].dataType.simpleString()
@@ -113,7 +116,7 @@ def judge(pages: DataFrame, rules: DataFrame, *, id_col: str = "page_id", url_co
                 hosts.append(host)
                 paths.append(path)
                 starts = [path[:n] for n in lengths if n <= len(path)]
-                ends = host_ends(host)
+                ends = host_ends(host, longest)
                 own += [_key(h, p) for h in ends for p in starts]
                 owner += [i] * (len(starts) * len(ends))
             h = np.fromiter((xxhash.xxh64_intdigest(k.encode("utf-8", "replace"), SEED) for k in own),

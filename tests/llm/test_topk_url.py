@@ -88,6 +88,27 @@ def test_large_components_take_part(spark):
             top(spark, bad, k=5, every=50)
 
 
+def test_a_very_long_vector_costs_its_own_length(spark):
+    # filled up to equal length, a slice of these rows would take 33 GB
+    rows = vectors(2100, seed=4, width=3)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1).unionByName(
+        spark.sql("select 1400L + 700 * id + 1 as vec_id, transform(sequence(0, 1999999), i -> "
+                  "case i when 1 then 2.0D when 1999999 then 3.0D else 0.0D end) as embedding from range(2)")).coalesce(1)
+    got = sorted(map(tuple, topk.top_k(df, k=3, every=700).collect()))
+    short = rows + [(1401, [0.0, 2.0, 0.0]), (2101, [0.0, 2.0, 0.0])]
+    assert got == brute_top(short, 3, 700)
+
+
+def test_posting_lists_of_a_sliced_array():
+    import pyarrow as pa
+    lists = pa.array([[9], [0, 5], [], [7, 0, 2], [1, 1]], pa.list_(pa.int64()))[1:4]
+    found = {t: (r.tolist(), w.tolist()) for t, (r, w) in topk.by_term(lists).items()}
+    assert found == {0: ([2], [7]), 1: ([0], [5]), 2: ([2], [2])}
+    part = {t: (r.tolist(), w.tolist()) for t, (r, w) in topk.by_term(lists, slice(1, 3)).items()}
+    assert part == {0: ([1], [7]), 2: ([1], [2])}
+    assert topk.by_term(lists[:0]) == {}
+
+
 def test_selection_prefers_small_ids():
     for scores in itertools.product(range(3), repeat=5):
         ids = np.array([9, 2, 7, 4, 5])
@@ -146,6 +167,15 @@ def test_no_rules_and_no_pages(spark):
     assert judged(spark, [], list(URL_RULES)) == []
 
 
+def test_only_ends_that_a_rule_may_have():
+    assert url_filter.host_ends("a.bc.d", 9) == ["a.bc.d", "bc.d", "d"]
+    assert url_filter.host_ends("a.bc.d", 4) == ["bc.d", "d"]
+    assert url_filter.host_ends("a.bc.d", 3) == ["d"] and url_filter.host_ends("abc", 2) == []
+    assert url_filter.host_ends(".a.", 3) == [".a.", "a.", ""] and url_filter.host_ends("", 0) == [""]
+    ends = url_filter.host_ends("a." * 1_000_000 + "net", 11)
+    assert sum(map(len, ends)) < 100 and ends[-1] == "net"
+
+
 def test_filter_passes_every_key_and_few_others():
     rng = np.random.default_rng(1)
     keys, other = rng.integers(0, 1 << 63, 2000).astype(np.uint64), rng.integers(0, 1 << 63, 20000).astype(np.uint64)
